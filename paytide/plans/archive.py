@@ -1,0 +1,29 @@
+"""The archive job: move expired transactions out of the hot table.
+
+    spark-submit -m paytide.plans.archive --store PATH [--snapshot]
+"""
+
+from __future__ import annotations
+
+import argparse
+from datetime import datetime, timezone
+
+from .. import session
+from ..operators.retention import HOT_HOURS, archive_run
+from ..sources import HotStore
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Archive expired transactions and trim the hot table.")
+    parser.add_argument("--store", required=True, help="root of the hot store")
+    parser.add_argument("--hours", type=int, default=HOT_HOURS, help="hours that stay hot")
+    parser.add_argument("--snapshot", action="store_true", help="archive all rows, not only the expired")
+    parser.add_argument("--as-of", help="UTC time to use instead of now, yyyy-mm-ddThh:mm:ss")
+    args = parser.parse_args(argv)
+    spark = session.build("archive")
+    now = datetime.fromisoformat(args.as_of) if args.as_of else datetime.now(timezone.utc).replace(tzinfo=None)
+    archive_run(HotStore(spark, args.store), now, args.hours, args.snapshot)
+
+
+if __name__ == "__main__":
+    main()

@@ -1,0 +1,48 @@
+"""Compare a Spark result with the SQL result, bit for bit, in any row order."""
+
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+# Spark type -> the type the SQL must return.
+KINDS = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{Path(sf_dir) / name}.parquet'")
+    return con
+
+
+def ordered(columns, rows):
+    at = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted((tuple(repr(row[i]) for i in at) for row in rows))
+
+
+def compare(df, con, sql):
+    """None when equal, otherwise a text that says how they differ."""
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    want = result.fetchall()
+    if sorted(names) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    for name, kind in df.dtypes:
+        if KINDS[kind] != kinds[name]:
+            return f"type of {name}: {kind} != {kinds[name]}"
+    have = [tuple(row) for row in df.collect()]
+    left, right = ordered(df.columns, have), ordered(names, want)
+    if len(left) != len(right):
+        return f"{len(left)} rows != {len(right)} rows"
+    for a, b in zip(left, right):
+        if a != b:
+            return f"{a} != {b}"
+    return None
