@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -17,8 +17,8 @@ FIXED_BYTES = 8 * 8
 TEXT_COLUMNS = ("transaction_id", "transaction_timestamp", "status")
 
 
-def cutoff_of(as_of: Column, hours: int = HOT_HOURS) -> Column:
-    return as_of - F.make_dt_interval(hours=F.lit(hours))
+def hot_span(hours: int = HOT_HOURS) -> Column:
+    return F.make_dt_interval(hours=F.lit(hours))
 
 
 def retain_hot(fact: DataFrame, cutoff: Column) -> DataFrame:
@@ -56,9 +56,8 @@ def retain_by_size(fact: DataFrame, budget: int = HOT_BYTES) -> DataFrame:
     return fact.where(F.col("ts") >= fitting.agg(F.min("hour")).scalar())
 
 
-def archive_manifest(fact: DataFrame, as_of: Column, hours: int = HOT_HOURS) -> DataFrame:
+def archive_manifest(fact: DataFrame, as_of: Column, cutoff: Column) -> DataFrame:
     """What a run at ``as_of`` would find, keep and archive: one pass, one row."""
-    cutoff = cutoff_of(as_of, hours)
     found = fact.agg(
         F.min("ts").alias("min_ts"),
         F.max("ts").alias("max_ts"),
@@ -93,16 +92,15 @@ def archive_run(store: HotStore, as_of: datetime, hours: int = HOT_HOURS, snapsh
     hot = store.current()
     if hot.isEmpty():
         return False
-    cutoff = cutoff_of(F.lit(as_of).cast("timestamp_ntz"), hours)
-    batch_id = spark.range(1).select(F.unix_seconds(F.lit(as_of).cast("timestamp_ntz").cast("timestamp"))).first()[0]
+    cutoff = F.lit(as_of - timedelta(hours=hours)).cast("timestamp_ntz")
+    batch_id = int(as_of.replace(tzinfo=timezone.utc).timestamp())
     if store.runs().where(F.col("batch_id") == batch_id).take(1):
         return False
     moved = store.write_batch(hot if snapshot else archive_expired(hot, cutoff), batch_id)
     kept = store.write_generation(retain_hot(hot, cutoff), generation + 1)
-    facts = stored_facts(hot).first()
-    kept_rows = kept.count()
+    rows, kept_rows = hot.count(), kept.count()
     batch = stored_facts(moved).first()
-    wanted = facts.rows if snapshot else facts.rows - kept_rows
+    wanted = rows if snapshot else rows - kept_rows
     if batch.rows != wanted:
         raise RuntimeError(f"batch {batch_id} holds {batch.rows} rows instead of {wanted}; nothing was committed")
     run = spark.range(1).select(
@@ -111,9 +109,9 @@ def archive_run(store: HotStore, as_of: datetime, hours: int = HOT_HOURS, snapsh
         cutoff.alias("cutoff"),
         F.lit(batch.min_ts).cast("timestamp_ntz").alias("min_ts"),
         F.lit(batch.max_ts).cast("timestamp_ntz").alias("max_ts"),
-        F.lit(facts.rows).cast("bigint").alias("rows"),
+        F.lit(rows).cast("bigint").alias("rows"),
         F.lit(kept_rows).cast("bigint").alias("kept"),
-        F.lit(facts.rows - kept_rows).cast("bigint").alias("expired"),
+        F.lit(rows - kept_rows).cast("bigint").alias("expired"),
         F.lit(batch.checksum).cast("bigint").alias("checksum"),
     )
     store.commit(run)

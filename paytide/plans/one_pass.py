@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.money import amount_of, mean_of
 from ..operators.kpis import percent
@@ -25,54 +25,85 @@ LABELS = {
 }
 
 
-def by_dimension(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+# A table of the fact's parents, and the key both share. It carries foreign keys the fact lacks.
+Header = tuple[DataFrame, str]
+HEADER = "header"
+
+
+def _labels(dims: dict[str, DataFrame]) -> list[DataFrame]:
+    """Each dimension as a lookup (kpi, key, found)."""
+    return [
+        dim.select(
+            F.lit(kpi).alias("kpi"),
+            F.col(LABELS[kpi][0]).cast("bigint").alias("key"),
+            F.col(LABELS[kpi][1]).alias("found"),
+            F.lit(True).alias("known"),
+        )
+        for kpi, dim in dims.items()
+    ]
+
+
+def _place(kpi: Column, key: Column, label: Column) -> Column:
+    return F.struct(
+        kpi.alias("kpi"), key.cast("bigint").alias("key"), label.cast("string").alias("label")
+    )
+
+
+def by_dimension(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
     """Totals as (kpi, dim_value, measures) for ``global``, ``daily`` and each of ``dims``.
 
     ``dims`` maps KPI names of ``LABELS`` to their dimension. Each KPI keeps the meaning of its
-    own inner join: rows with an unknown or NULL key are missing from that KPI only.
+    own inner join: rows with an unknown or NULL key are missing from that KPI only. Foreign keys the
+    fact lacks are taken from ``header``, which meets totals per parent, never the fact's rows.
     """
-    keys = {kpi: LABELS[kpi][0] for kpi in dims}
-    wide = fact.select(
-        *[F.col(key).cast("bigint").alias(kpi) for kpi, key in keys.items()],
-        F.unix_date("txn_date").cast("bigint").alias("daily"),
-        "transaction_amount",
-        "status",
-    )
-    long = wide.unpivot(["transaction_amount", "status"], ["daily", *keys], "kpi", "key")
-    reduced = totals(long, "kpi", "key").where((F.col("kpi") == "daily") | F.col("key").isNotNull())
-    days = F.date_from_unix_date(F.col("key").cast("int")).cast("string")
-    if not dims:
-        labelled = reduced.withColumn("dim_value", days)
-    else:
-        labels = reduce(
-            DataFrame.unionAll,
-            [
-                dim.select(
-                    F.lit(kpi).alias("kpi"),
-                    F.col(LABELS[kpi][0]).cast("bigint").alias("key"),
-                    F.col(LABELS[kpi][1]).alias("label"),
-                    F.lit(True).alias("known"),
-                )
-                for kpi, dim in dims.items()
-            ],
+    own = {kpi: dim for kpi, dim in dims.items() if LABELS[kpi][0] in fact.columns}
+    theirs = {kpi: dim for kpi, dim in dims.items() if kpi not in own}
+    header = header if theirs else None
+    kpi, none = F.col("kpi"), F.lit(None)
+
+    # The only step that reads the fact: one row per (kpi, key) leaves the map tasks.
+    columns = {"daily": F.unix_date("txn_date")} | {name: F.col(LABELS[name][0]) for name in own}
+    lookups = _labels(own)
+    if header is not None:
+        parents, parent_key = header
+        columns[HEADER] = F.col(parent_key)
+        carried = {name: F.col(LABELS[name][0]).cast("bigint").alias(f"their_{name}") for name in theirs}
+        lookups.append(
+            parents.select(F.lit(HEADER).alias("kpi"), F.col(parent_key).cast("bigint").alias("key"), *carried.values())
         )
-        daily = F.col("kpi") == "daily"
-        joined = reduced.join(labels, ["kpi", "key"], "left").where(daily | F.col("known"))
-        labelled = joined.withColumn("dim_value", F.when(daily, days).otherwise(F.col("label")))
-    day_and_all = F.array(
-        F.struct(F.lit("daily").alias("kpi"), F.col("dim_value").alias("dim_value")),
-        F.struct(F.lit("global").alias("kpi"), F.lit(None).cast("string").alias("dim_value")),
+    keys = [column.cast("bigint").alias(name) for name, column in columns.items()]
+    long = fact.select(*keys, "transaction_amount", "status").unpivot(
+        ["transaction_amount", "status"], list(columns), "kpi", "key"
     )
-    own = F.array(F.struct(F.col("kpi").alias("kpi"), F.col("dim_value").alias("dim_value")))
-    spread = labelled.select(
-        F.explode(F.when(F.col("kpi") == "daily", day_and_all).otherwise(own)).alias("to"), *MEASURES
-    )
-    return merge(spread.select("to.kpi", "to.dim_value", *MEASURES), "kpi", "dim_value")
+    reduced = totals(long, "kpi", "key")
+
+    # One lookup answers for all keys of the fact: a label, or the keys of the parent.
+    if lookups:
+        known = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lookups)
+        reduced = reduced.join(known, ["kpi", "key"], "left")
+    if not own:
+        reduced = reduced.withColumns({"found": none.cast("string"), "known": none.cast("boolean")})
+    days = F.date_from_unix_date(F.col("key").cast("int"))
+    places = F.when(kpi == "daily", F.array(_place(kpi, none, days), _place(F.lit("global"), none, none)))
+    if header is not None:
+        through = [_place(F.lit(name), F.col(f"their_{name}"), none) for name in theirs]
+        places = places.when(kpi == HEADER, F.filter(F.array(*through), lambda to: to["key"].isNotNull()))
+    places = places.when(F.col("known"), F.array(_place(kpi, none, F.col("found"))))
+    spread = reduced.select(F.explode(places).alias("to"), *MEASURES)
+    placed = merge(spread.select("to.*", *MEASURES), "kpi", "key", "label")
+
+    # What came through the parent still has a key to look up; the rest has its label.
+    label, unresolved = F.col("label"), F.col("key").isNotNull()
+    if header is not None:
+        placed = placed.join(reduce(DataFrame.unionAll, _labels(theirs)), ["kpi", "key"], "left")
+        placed = placed.where(~unresolved | F.col("known"))
+        label = F.when(unresolved, F.col("found")).otherwise(label)
+    return merge(placed, "kpi", label.alias("dim_value"))
 
 
-def kpi_all_one_pass(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def kpi_all_one_pass(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
     """Every KPI in long form. Over an empty fact there are no rows at all."""
-    return by_dimension(fact, dims).select(
+    return by_dimension(fact, dims, header).select(
         "kpi",
         "dim_value",
         F.col("n").alias("transactions"),
@@ -81,9 +112,9 @@ def kpi_all_one_pass(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def kpi_fraud_rate(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def kpi_fraud_rate(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
     """Share of fraudulent transactions, overall, per day and per dimension label."""
-    return by_dimension(fact, dims).select(
+    return by_dimension(fact, dims, header).select(
         "kpi",
         "dim_value",
         F.col("n").alias("transactions"),

@@ -98,12 +98,14 @@ def kpi_by_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_all_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return one_pass.kpi_all_one_pass(sample.sales(spark, sf_dir), all_dims(spark, sf_dir))
+    lines, header = sample.order_lines(spark, sf_dir), sample.order_headers(spark, sf_dir)
+    return one_pass.kpi_all_one_pass(lines, all_dims(spark, sf_dir), (header, "order_id"))
 
 
 @query
 def kpi_fraud_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return one_pass.kpi_fraud_rate(sample.sales(spark, sf_dir), all_dims(spark, sf_dir))
+    lines, header = sample.order_lines(spark, sf_dir), sample.order_headers(spark, sf_dir)
+    return one_pass.kpi_fraud_rate(lines, all_dims(spark, sf_dir), (header, "order_id"))
 
 
 @query
@@ -212,7 +214,7 @@ def retain_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = sample.feed(spark, sf_dir)
-    return retention.archive_manifest(fact, latest(fact)).drop("checksum")
+    return retention.archive_manifest(fact, latest(fact), latest(fact, back=retention.hot_span())).drop("checksum")
 
 
 # ---- quality -----------------------------------------------------------------------------
@@ -279,7 +281,8 @@ def datetime_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refreshed(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
     dims = all_dims(spark, sf_dir)
     del dims["device"]
-    return refresh(sample.sales(spark, sf_dir), dims, session.work_path(spark, name))
+    header = (sample.order_headers(spark, sf_dir), "order_id")
+    return refresh(sample.order_lines(spark, sf_dir), dims, session.work_path(spark, name), header)
 
 
 @query
@@ -322,13 +325,13 @@ def latest_kpi_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def live_count_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of the hot table: what the three-hour retention keeps."""
     fact = sample.feed(spark, sf_dir)
-    return retention.live_count(fact, retention.cutoff_of(latest(fact)))
+    return retention.live_count(fact, latest(fact, back=retention.hot_span()))
 
 
 @query
 def live_count_60s(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = sample.feed(spark, sf_dir)
-    return retention.live_count(fact, latest(fact) - F.make_dt_interval(secs=F.lit(60)))
+    return retention.live_count(fact, latest(fact, back=F.make_dt_interval(secs=F.lit(60))))
 
 
 # ---- streams -----------------------------------------------------------------------------

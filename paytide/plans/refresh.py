@@ -14,13 +14,15 @@ from ..model import KPI_TABLES, SERVING
 from ..operators.retention import archived_once
 from ..operators.serving import serving_rows
 from ..sources import HotStore, Source, load_dimension
-from .one_pass import kpi_all_one_pass
+from .one_pass import Header, kpi_all_one_pass
 
 LONG = "kpi STRING, dim_value STRING, transactions BIGINT, total DOUBLE, average DOUBLE"
 EMPTY_GLOBAL = [("global", None, 0, None, None)]
 
 
-def refresh(fact: DataFrame, dims: dict[str, DataFrame], out: str) -> tuple[DataFrame, DataFrame]:
+def refresh(
+    fact: DataFrame, dims: dict[str, DataFrame], out: str, header: Header | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Compute all KPIs in one scan, store them, and derive everything else from the stored rows.
 
     Returns the stored long KPI table and the stored serving rows. The fact is read once; the
@@ -28,7 +30,7 @@ def refresh(fact: DataFrame, dims: dict[str, DataFrame], out: str) -> tuple[Data
     no second scan.
     """
     spark = fact.sparkSession
-    kpi_all_one_pass(fact, dims).write.mode("overwrite").parquet(f"{out}/kpis")
+    kpi_all_one_pass(fact, dims, header).write.mode("overwrite").parquet(f"{out}/kpis")
     stored = spark.read.schema(LONG).parquet(f"{out}/kpis")
     empty = spark.createDataFrame(EMPTY_GLOBAL, LONG)
     if not stored.where(F.col("kpi") == "global").take(1):
