@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.money import amount_of
-from ..model import DATETIME
 from .totals import totals
 
 # The calendar document.
@@ -40,7 +39,12 @@ def dim_upsert(base: DataFrame, updates: DataFrame, key: str, version: str = "ve
 
 def datetime_document(spark: SparkSession) -> DataFrame:
     """The calendar as one nested row."""
-    return spark.createDataFrame([(HOURS, DAYS_OF_WEEK, WEEKEND_FLAGS)], DATETIME)
+    flags = [F.lit(x) for pair in WEEKEND_FLAGS.items() for x in pair]
+    return spark.range(1).select(
+        F.array(*map(F.lit, HOURS)).alias("hours"),
+        F.array(*map(F.lit, DAYS_OF_WEEK)).alias("days_of_week"),
+        F.create_map(*flags).alias("weekend_flags"),
+    )
 
 
 def calendar(document: DataFrame) -> DataFrame:

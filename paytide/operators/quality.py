@@ -2,44 +2,41 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.clock import parse_time
+from ..functions.clock import parse_time, typed_time
 from ..model import FACT_KEYS, STATUSES
 
 REASONS = "reasons"
 
 
-def reasons() -> Column:
-    """Codes of everything wrong with a raw fact row, in a fixed order; empty for a good row."""
-    amount = F.col("transaction_amount")
-    missing_key = F.lit(False)
-    for key in FACT_KEYS:
-        missing_key = missing_key | F.col(key).isNull()
-    checks = {
+def checks() -> dict[str, Column]:
+    """What can be wrong with a raw fact row: code -> condition, never NULL."""
+    amount, status = F.col("transaction_amount"), F.col("status")
+    return {
         "bad_timestamp": parse_time("transaction_timestamp").isNull(),
-        "null_key": missing_key,
+        "null_key": reduce(or_, [F.col(key).isNull() for key in FACT_KEYS]),
         "bad_amount": amount.isNull() | F.isnan(amount) | (amount < 0),
-        "unknown_status": F.col("status").isNull() | ~F.col("status").isin(*STATUSES),
+        "unknown_status": status.isNull() | ~status.isin(*STATUSES),
     }
-    return F.array_compact(F.array(*[F.when(bad, F.lit(code)) for code, bad in checks.items()]))
 
 
-def check(fact: DataFrame) -> DataFrame:
-    return fact.withColumn(REASONS, reasons())
+def faulty() -> Column:
+    return reduce(or_, checks().values())
 
 
 def clean_valid(fact: DataFrame) -> DataFrame:
     """Rows that pass every check, with typed time. A narrow step: no shuffle."""
-    good = check(fact).where(F.size(REASONS) == 0).drop(REASONS)
-    ts = parse_time("transaction_timestamp")
-    return good.withColumn("ts", ts).withColumn("txn_date", F.to_date(ts))
+    return typed_time(fact.where(~faulty()))
 
 
 def quarantine(fact: DataFrame) -> DataFrame:
-    """Rows that fail a check, with the codes joined by commas."""
-    bad = check(fact).where(F.size(REASONS) > 0)
-    return bad.withColumn(REASONS, F.array_join(REASONS, ","))
+    """Rows that fail a check, with the codes of all failed checks joined by commas."""
+    codes = [F.when(bad, F.lit(code)) for code, bad in checks().items()]
+    return fact.where(faulty()).withColumn(REASONS, F.concat_ws(",", *codes))
 
 
 def ri_orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -95,15 +92,23 @@ def label_consistency(fact: DataFrame) -> DataFrame:
     return named.groupBy("status", *BANDS).agg(F.count("*").alias("transactions")).withColumn("agrees", agrees)
 
 
-def _facts_of_columns(df: DataFrame) -> DataFrame:
-    """The table unpivoted to (column, value as text, value as number), floats without -0.0."""
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def _value_and_number(name: str, kind: str) -> tuple[Column, Column]:
+    """A column, and the column as DOUBLE or NULL when it is no number. Floats lose their -0.0."""
+    col = F.col(name)
+    if kind in ("float", "double"):
+        col = F.when(col == 0, F.lit(0.0)).otherwise(col)
+    number = col if kind.startswith(NUMERIC) else F.lit(None)
+    return col, number.cast("double")
+
+
+def _unpivoted(df: DataFrame) -> DataFrame:
+    """The table as (column, value as text, value as number)."""
     parts = []
     for name, kind in df.dtypes:
-        col = F.col(name)
-        numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
-        if kind in ("float", "double"):
-            col = F.when(col == 0, F.lit(0.0)).otherwise(col)
-        number = col.cast("double") if numeric else F.lit(None).cast("double")
+        col, number = _value_and_number(name, kind)
         parts.append(
             F.struct(F.lit(name).alias("column"), col.cast("string").alias("value"), number.alias("number"))
         )
@@ -117,7 +122,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     per task. A column of unique values does shuffle them all; for such tables use
     ``column_profile_approx``.
     """
-    values = _facts_of_columns(df).groupBy("column", "value").agg(
+    values = _unpivoted(df).groupBy("column", "value").agg(
         F.count("*").alias("n"), F.min("number").alias("number")
     )
     return values.groupBy("column").agg(
@@ -129,12 +134,29 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def column_profile_approx(df: DataFrame, rsd: float = 0.01) -> DataFrame:
-    """The same profile with HyperLogLog distinct counts: one pass, a sketch per column and task."""
-    return _facts_of_columns(df).groupBy("column").agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col("value").isNull()).alias("nulls"),
-        F.approx_count_distinct("value", rsd).alias("distinct_values"),
-        F.min("number").alias("min_value"),
-        F.max("number").alias("max_value"),
-    )
+def column_profile_approx(df: DataFrame, precision: int = 14) -> DataFrame:
+    """The same profile with HyperLogLog distinct counts, about one percent off.
+
+    One pass without unpivoting: each task sends one row of sketches.
+    """
+    measures, rows = [F.count("*").alias("rows")], []
+    for at, (name, kind) in enumerate(df.dtypes):
+        col, number = _value_and_number(name, kind)
+        hashed = col if kind in ("int", "bigint", "string") else col.cast("string")
+        measures += [
+            F.count(col).alias(f"known_{at}"),
+            F.hll_sketch_agg(hashed, precision).alias(f"sketch_{at}"),
+            F.min(number).alias(f"min_{at}"),
+            F.max(number).alias(f"max_{at}"),
+        ]
+        rows.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.col("rows").alias("rows"),
+                (F.col("rows") - F.col(f"known_{at}")).alias("nulls"),
+                F.hll_sketch_estimate(f"sketch_{at}").alias("distinct_values"),
+                F.col(f"min_{at}").alias("min_value"),
+                F.col(f"max_{at}").alias("max_value"),
+            )
+        )
+    return df.agg(*measures).select(F.inline(F.array(*rows)))

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..sources.hot_store import HotStore
+from ..sources import HotStore, load_archive
 from .hot_cold import expired
 
 HOT_HOURS = 3
@@ -88,17 +88,17 @@ def archive_run(store: HotStore, as_of: datetime, hours: int = HOT_HOURS, snapsh
     one unchanging generation throughout, checks what it wrote, and commits last.
     """
     spark = store.spark
-    generation = store.generation()
-    hot = store.current()
-    if hot.isEmpty():
-        return False
+    done = {run.batch_id: run.generation for run in store.runs().select("batch_id", "generation").collect()}
+    generation = max(done.values(), default=0)
+    hot = store.at(generation)
+    rows = hot.count()
     cutoff = F.lit(as_of - timedelta(hours=hours)).cast("timestamp_ntz")
     batch_id = int(as_of.replace(tzinfo=timezone.utc).timestamp())
-    if store.runs().where(F.col("batch_id") == batch_id).take(1):
+    if rows == 0 or batch_id in done:
         return False
     moved = store.write_batch(hot if snapshot else archive_expired(hot, cutoff), batch_id)
     kept = store.write_generation(retain_hot(hot, cutoff), generation + 1)
-    rows, kept_rows = hot.count(), kept.count()
+    kept_rows = kept.count()
     batch = stored_facts(moved).first()
     wanted = rows if snapshot else rows - kept_rows
     if batch.rows != wanted:
@@ -122,8 +122,10 @@ def archived_once(store: HotStore) -> DataFrame:
     """Hot and cold as one fact in which every transaction appears once.
 
     Works for expired-only and snapshot batches alike: a batch counts for what had expired at
-    its own run's cutoff. The manifest has one row per run.
+    its own run's cutoff. Joining the manifest, one row per run, also leaves out batches that were
+    never committed.
     """
     runs = store.runs().select("batch_id", "cutoff")
-    archived = store.archive().join(runs, "batch_id").where(expired("ts", F.col("cutoff")))
-    return store.current().unionByName(archived.drop("batch_id", "cutoff"))
+    archived = load_archive(store.spark, store.archive_root).join(runs, "batch_id")
+    once = archived.where(expired("ts", F.col("cutoff"))).drop("batch_id", "cutoff")
+    return store.current().unionByName(once)

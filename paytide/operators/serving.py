@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.money import amount_of, mean_of
 from ..model import KPI_TABLES
+from ..sources import Source
 from .totals import totals
 
 JSON = {"ignoreNullFields": "false"}
@@ -57,6 +59,45 @@ def load_kpi(serving: DataFrame, kpi: str) -> DataFrame:
     return found.select(F.inline(F.from_json("payload", PAYLOADS[kpi])))
 
 
+def load_kpi_table(spark: SparkSession, source: Source, schema: StructType) -> DataFrame:
+    """A stored KPI table; a day that is stored as text becomes a date."""
+    table = source.read(spark, schema)
+    if "txn_date" in table.columns:
+        table = table.withColumn("txn_date", F.to_date("txn_date"))
+    return table
+
+
+# Chart title -> (KPI, measure).
+CHARTS = {
+    "Daily Transaction Volume": ("daily", "transactions"),
+    "Daily Revenue Trend": ("daily", "total"),
+    "Revenue by Merchant Category": ("merchant", "total"),
+    "Spending by Customer Segment": ("customer", "total"),
+    "Payment Method Share": ("payment", "total"),
+}
+
+
+def chart_series(kpis: DataFrame) -> DataFrame:
+    """The points of every chart as (title, x, y), from a long KPI table."""
+    points = [
+        F.when(
+            F.col("kpi") == kpi,
+            F.struct(F.lit(title).alias("title"), F.col("dim_value").alias("x"), F.col(y).cast("double").alias("y")),
+        )
+        for title, (kpi, y) in CHARTS.items()
+    ]
+    return kpis.select(F.inline(F.array_compact(F.array(*points))))
+
+
+def run_cards(run: DataFrame) -> DataFrame:
+    """Texts for the cards of one run."""
+    return run.select(
+        F.format_number("total_transactions", 0).alias("transactions_text"),
+        F.format_number("total_volume", 2).alias("revenue_text"),
+        F.format_string("%.2f", "avg_transaction_value").alias("average_text"),
+    )
+
+
 def kpi_run_history(fact: DataFrame, hours: int = 3) -> DataFrame:
     """The global KPI as each periodic refresh saw it: totals of everything before the run.
 

@@ -1,6 +1,6 @@
 """All KPI groupings from one scan of the fact.
 
-The fact is unpivoted to (dimension, key) and reduced to one row per distinct key with map-side
+The fact is unpivoted to (kpi, key) and reduced to one row per distinct key with map-side
 combine. Everything after that works on the reduced rows: one join with all dimension labels at
 once, then one merge by label. The global KPI is derived from the daily rows and costs no extra
 copy of the fact.
@@ -8,6 +8,7 @@ copy of the fact.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,26 +28,44 @@ LABELS = {
 
 # A table of the fact's parents, and the key both share. It carries foreign keys the fact lacks.
 Header = tuple[DataFrame, str]
-HEADER = "header"
 
 
-def _labels(dims: dict[str, DataFrame]) -> list[DataFrame]:
-    """Each dimension as a lookup (kpi, key, found)."""
-    return [
+def _keys(kpis: Iterable[str]) -> list[Column]:
+    return [F.col(LABELS[kpi][0]).cast("bigint").alias(kpi) for kpi in kpis]
+
+
+def _reduced(fact: DataFrame, kpis: list[str]) -> DataFrame:
+    """Totals per (kpi, key): one scan, and one row per distinct key leaves each map task."""
+    values = ["transaction_amount", "status"]
+    wide = fact.select(F.unix_date("txn_date").cast("bigint").alias("daily"), *_keys(kpis), *values)
+    return totals(wide.unpivot(values, ["daily", *kpis], "kpi", "key"), "kpi", "key")
+
+
+def _reduced_by_parent(fact: DataFrame, kpis: list[str], header: Header) -> DataFrame:
+    """Totals per (kpi, key) for keys only the parent has.
+
+    The fact is reduced per parent before it meets the parents. This reads the amounts a second
+    time, which is cheaper than carrying parent keys through the same hash table as the few
+    keys of the other KPIs.
+    """
+    parents, parent_key = header
+    per_parent = totals(fact, parent_key).join(parents, parent_key)
+    measured = per_parent.select(*_keys(kpis), *MEASURES)
+    return merge(measured.unpivot(list(MEASURES), kpis, "kpi", "key"), "kpi", "key")
+
+
+def _labels(dims: dict[str, DataFrame]) -> DataFrame:
+    """All dimensions as one lookup (kpi, key, label)."""
+    parts = [
         dim.select(
             F.lit(kpi).alias("kpi"),
             F.col(LABELS[kpi][0]).cast("bigint").alias("key"),
-            F.col(LABELS[kpi][1]).alias("found"),
+            F.col(LABELS[kpi][1]).alias("label"),
             F.lit(True).alias("known"),
         )
         for kpi, dim in dims.items()
     ]
-
-
-def _place(kpi: Column, key: Column, label: Column) -> Column:
-    return F.struct(
-        kpi.alias("kpi"), key.cast("bigint").alias("key"), label.cast("string").alias("label")
-    )
+    return reduce(DataFrame.unionAll, parts)
 
 
 def by_dimension(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
@@ -54,55 +73,29 @@ def by_dimension(fact: DataFrame, dims: dict[str, DataFrame], header: Header | N
 
     ``dims`` maps KPI names of ``LABELS`` to their dimension. Each KPI keeps the meaning of its
     own inner join: rows with an unknown or NULL key are missing from that KPI only. Foreign keys the
-    fact lacks are taken from ``header``, which meets totals per parent, never the fact's rows.
+    fact lacks are taken from ``header``. The global row exists over an empty fact, too.
     """
-    own = {kpi: dim for kpi, dim in dims.items() if LABELS[kpi][0] in fact.columns}
-    theirs = {kpi: dim for kpi, dim in dims.items() if kpi not in own}
-    header = header if theirs else None
-    kpi, none = F.col("kpi"), F.lit(None)
-
-    # The only step that reads the fact: one row per (kpi, key) leaves the map tasks.
-    columns = {"daily": F.unix_date("txn_date")} | {name: F.col(LABELS[name][0]) for name in own}
-    lookups = _labels(own)
-    if header is not None:
-        parents, parent_key = header
-        columns[HEADER] = F.col(parent_key)
-        carried = {name: F.col(LABELS[name][0]).cast("bigint").alias(f"their_{name}") for name in theirs}
-        lookups.append(
-            parents.select(F.lit(HEADER).alias("kpi"), F.col(parent_key).cast("bigint").alias("key"), *carried.values())
-        )
-    keys = [column.cast("bigint").alias(name) for name, column in columns.items()]
-    long = fact.select(*keys, "transaction_amount", "status").unpivot(
-        ["transaction_amount", "status"], list(columns), "kpi", "key"
-    )
-    reduced = totals(long, "kpi", "key")
-
-    # One lookup answers for all keys of the fact: a label, or the keys of the parent.
-    if lookups:
-        known = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lookups)
-        reduced = reduced.join(known, ["kpi", "key"], "left")
-    if not own:
-        reduced = reduced.withColumns({"found": none.cast("string"), "known": none.cast("boolean")})
-    days = F.date_from_unix_date(F.col("key").cast("int"))
-    places = F.when(kpi == "daily", F.array(_place(kpi, none, days), _place(F.lit("global"), none, none)))
-    if header is not None:
-        through = [_place(F.lit(name), F.col(f"their_{name}"), none) for name in theirs]
-        places = places.when(kpi == HEADER, F.filter(F.array(*through), lambda to: to["key"].isNotNull()))
-    places = places.when(F.col("known"), F.array(_place(kpi, none, F.col("found"))))
-    spread = reduced.select(F.explode(places).alias("to"), *MEASURES)
-    placed = merge(spread.select("to.*", *MEASURES), "kpi", "key", "label")
-
-    # What came through the parent still has a key to look up; the rest has its label.
-    label, unresolved = F.col("label"), F.col("key").isNotNull()
-    if header is not None:
-        placed = placed.join(reduce(DataFrame.unionAll, _labels(theirs)), ["kpi", "key"], "left")
-        placed = placed.where(~unresolved | F.col("known"))
-        label = F.when(unresolved, F.col("found")).otherwise(label)
-    return merge(placed, "kpi", label.alias("dim_value"))
+    own = [kpi for kpi in dims if header is None or LABELS[kpi][0] in fact.columns]
+    theirs = [kpi for kpi in dims if kpi not in own]
+    reduced = _reduced(fact, own)
+    if theirs:
+        reduced = reduced.unionByName(_reduced_by_parent(fact, theirs, header))
+    daily = F.col("kpi") == "daily"
+    known = reduced.where(daily | F.col("key").isNotNull()).join(_labels(dims), ["kpi", "key"], "left")
+    days = F.date_from_unix_date(F.col("key").cast("int")).cast("string")
+    value = F.when(daily, days).otherwise(F.col("label"))
+    labelled = known.where(daily | F.col("known")).withColumn("dim_value", value)
+    own_place = F.struct(F.col("kpi").alias("kpi"), F.col("dim_value").alias("dim_value"))
+    whole = F.struct(F.lit("global").alias("kpi"), F.lit(None).cast("string").alias("dim_value"))
+    places = F.when(daily, F.array(own_place, whole)).otherwise(F.array(own_place))
+    spread = labelled.select(F.explode(places).alias("to"), *MEASURES).select("to.kpi", "to.dim_value", *MEASURES)
+    nothing = [F.lit(None if m == "units" else 0).cast("bigint").alias(m) for m in MEASURES]
+    start = fact.sparkSession.range(1).select(whole.kpi.alias("kpi"), whole.dim_value.alias("dim_value"), *nothing)
+    return merge(spread.unionByName(start), "kpi", "dim_value")
 
 
 def kpi_all_one_pass(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
-    """Every KPI in long form. Over an empty fact there are no rows at all."""
+    """Every KPI in long form."""
     return by_dimension(fact, dims, header).select(
         "kpi",
         "dim_value",

@@ -248,6 +248,16 @@ SELECT date_trunc('hour', ts) AS hour_start, CAST(MIN(ts) AS DATE) AS txn_date,
 FROM feed GROUP BY 1""",
     "kpi_refresh": every_kpi(AMOUNTS, "merchant", "customer", "payment"),
     "serving_roundtrip": f"WITH {SALES}\n{DAILY.format('sales')}",
+    "chart_series": f"""WITH {SALES}, {DIMS}
+SELECT 'Daily Transaction Volume' AS title, CAST(txn_date AS VARCHAR) AS x, CAST(COUNT(*) AS DOUBLE) AS y
+FROM sales GROUP BY txn_date
+UNION ALL SELECT 'Daily Revenue Trend', CAST(txn_date AS VARCHAR), {total()} FROM sales GROUP BY txn_date
+UNION ALL SELECT 'Revenue by Merchant Category', business_category, {total()}
+FROM sales JOIN merchants USING (merchant_id) GROUP BY business_category
+UNION ALL SELECT 'Spending by Customer Segment', customer_segment, {total()}
+FROM sales JOIN customers USING (customer_id) GROUP BY customer_segment
+UNION ALL SELECT 'Payment Method Share', method_type, {total()}
+FROM sales JOIN methods USING (payment_method_id) GROUP BY method_type""",
     "overview_cards": f"""WITH {SALES},
 daily AS (
   SELECT txn_date, COUNT(*) AS n, COUNT(transaction_amount) AS priced,
@@ -266,6 +276,9 @@ SELECT method_type, CAST(volume AS DOUBLE) AS total_volume,
     "latest_kpi_run": f"""WITH {FEED}
 SELECT time_bucket(INTERVAL 3 HOURS, MAX(ts)) + INTERVAL 3 HOURS AS run_ts, COUNT(*) AS total_transactions,
   {total()} AS total_volume, {mean()} AS avg_transaction_value FROM feed""",
+    "run_cards": f"""WITH {FEED}
+SELECT format('{{:,}}', COUNT(*)) AS transactions_text, format('{{:,.2f}}', {total()}) AS revenue_text,
+  printf('%.2f', {mean()}) AS average_text FROM feed""",
     "live_count_hot": f"""WITH {FEED}
 SELECT COUNT(*) AS live_transactions FROM feed WHERE ts >= {AS_OF} - INTERVAL 3 HOURS""",
     "live_count_60s": f"""WITH {FEED}

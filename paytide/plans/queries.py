@@ -11,7 +11,7 @@ from .. import session
 from ..functions.clock import latest
 from ..operators import dims as dim_ops
 from ..operators import hot_cold, kpis, latency, quality, retention, serving, time_kpis
-from ..operators.totals import report, roll_up, totals
+from ..operators.totals import roll_up, totals
 from ..sources import HotStore, sample
 from ..streaming import live
 from ..streaming.run import read_feed, to_table
@@ -305,6 +305,13 @@ def serving_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.load_kpi(rows, "daily")
 
 
+@query
+def chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the dashboard's charts draw, from the stored KPIs."""
+    stored, _serving = refreshed(spark, sf_dir, "chart_series")
+    return serving.chart_series(stored)
+
+
 @query
 def overview_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.overview_cards(sample.order_lines(spark, sf_dir))
@@ -321,6 +328,12 @@ def latest_kpi_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.latest_kpi_run(serving.kpi_run_history(sample.feed(spark, sf_dir)))
 
 
+@query
+def run_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest run as the texts on the dashboard's cards."""
+    return serving.run_cards(serving.latest_kpi_run(serving.kpi_run_history(sample.feed(spark, sf_dir))))
+
+
 @query
 def live_count_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of the hot table: what the three-hour retention keeps."""
@@ -377,5 +390,6 @@ def stream_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_kpi_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = live.live_segments(event_stream(spark, sf_dir), sample.customers(spark, sf_dir), "stream_kpi_segment")
-    return report(merged, "transactions", "total_spend", "avg_spend", label="customer_segment")
+    root = session.work_path(spark, "stream_kpi_segment")
+    served = live.live_segments(event_stream(spark, sf_dir), sample.customers(spark, sf_dir), root)
+    return serving.load_kpi(served, "customer")

@@ -7,17 +7,16 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import session
-from ..model import KPI_TABLES, SERVING
+from ..model import DIMENSIONS, KPI_TABLES, SERVING
 from ..operators.retention import archived_once
 from ..operators.serving import serving_rows
-from ..sources import HotStore, Source, load_dimension
+from ..sources import HotStore, Source, has_rows, load_dimension, register
 from .one_pass import Header, kpi_all_one_pass
 
 LONG = "kpi STRING, dim_value STRING, transactions BIGINT, total DOUBLE, average DOUBLE"
-EMPTY_GLOBAL = [("global", None, 0, None, None)]
 
 
 def refresh(
@@ -32,9 +31,6 @@ def refresh(
     spark = fact.sparkSession
     kpi_all_one_pass(fact, dims, header).write.mode("overwrite").parquet(f"{out}/kpis")
     stored = spark.read.schema(LONG).parquet(f"{out}/kpis")
-    empty = spark.createDataFrame(EMPTY_GLOBAL, LONG)
-    if not stored.where(F.col("kpi") == "global").take(1):
-        stored = stored.unionAll(empty)
     for kpi, (table, *_rest) in KPI_TABLES.items():
         kpi_table(stored, kpi).write.mode("overwrite").parquet(f"{out}/{table}")
     serving_rows(stored).coalesce(1).write.mode("overwrite").parquet(f"{out}/serving")
@@ -42,15 +38,27 @@ def refresh(
 
 
 def kpi_table(stored: DataFrame, kpi: str) -> DataFrame:
-    """One KPI table, under its own column names and in its own order, from the long form."""
+    """One KPI table, under its own column names and in its own order, from the long form.
+
+    One row per day or label: a single sorted file.
+    """
     _table, _key, label, n, total, average = KPI_TABLES[kpi]
     rows = stored.where(F.col("kpi") == kpi)
     columns = [F.col("transactions").alias(n), F.col("total").alias(total), F.col("average").alias(average)]
     if label is None:
         return rows.select(*columns)
     value = F.col("dim_value").cast("date") if label == "txn_date" else F.col("dim_value")
-    table = rows.select(value.alias(label), *columns)
-    return table.orderBy(label) if label == "txn_date" else table.orderBy(F.desc(total), label)
+    order = [label] if label == "txn_date" else [F.desc(total), label]
+    return rows.select(value.alias(label), *columns).coalesce(1).sortWithinPartitions(*order)
+
+
+def load_model(spark: SparkSession, store_root: str, dims_root: str) -> dict[str, DataFrame]:
+    """The fact (hot and cold, each transaction once) and all dimensions, also as views for SQL."""
+    tables = {"transactions_fact": archived_once(HotStore(spark, store_root))}
+    for name in DIMENSIONS:
+        tables[name] = load_dimension(spark, name, Source(f"{dims_root}/{name}"))
+    register(tables)
+    return tables
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -59,11 +67,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--dims", required=True, help="folder with one table per dimension")
     parser.add_argument("--out", required=True, help="folder for the results")
     args = parser.parse_args(argv)
-    spark = session.build("kpi-refresh")
-    fact = archived_once(HotStore(spark, args.store))
-    names = {"merchant": "merchants_dim", "customer": "customers_dim", "payment": "payment_methods_dim"}
-    dims = {kpi: load_dimension(spark, table, Source(f"{args.dims}/{table}")) for kpi, table in names.items()}
-    refresh(fact, dims, args.out)
+    tables = load_model(session.build("kpi-refresh"), args.store, args.dims)
+    if not has_rows(tables["transactions_fact"]):
+        return
+    dims = {"merchant": "merchants_dim", "customer": "customers_dim", "payment": "payment_methods_dim"}
+    refresh(tables["transactions_fact"], {kpi: tables[name] for kpi, name in dims.items()}, args.out)
 
 
 if __name__ == "__main__":

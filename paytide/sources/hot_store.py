@@ -35,9 +35,12 @@ class HotStore:
     def generation(self) -> int:
         return self.runs().agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
 
+    def at(self, generation: int) -> DataFrame:
+        """The rows of a generation: an empty frame with the full schema when there are none."""
+        return read_or_empty(self.spark, Source(self.generation_path(generation)), STORED_FACT)
+
     def current(self) -> DataFrame:
-        """The live rows: an empty frame with the full schema when there are none."""
-        return read_or_empty(self.spark, Source(self.generation_path(self.generation())), STORED_FACT)
+        return self.at(self.generation())
 
     def archive(self) -> DataFrame:
         return load_archive(self.spark, self.archive_root, self.runs().select("batch_id"))

@@ -7,17 +7,21 @@ row later than the watermark is dropped here; the batch KPIs count it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.money import mean_of, units_of
+from ..functions.clock import latest
+from ..functions.money import amount_of, mean_of, units_of
 from ..operators.kpis import percent
 from ..operators.latency import MILLI
+from ..operators.serving import serving_rows
 from ..operators.totals import merge, roll_up, totals
-from .run import each_batch
+from ..sources import Source, read_or_empty
+from .run import drain, use_large_state
 
 LATENESS = "10 minutes"
 DEDUP_HORIZON = "3 hours"
@@ -81,22 +85,46 @@ def live_dedup(feed: DataFrame, horizon: str = DEDUP_HORIZON, collapse: bool = T
     return feed.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["transaction_id"])
 
 
-def live_segments(feed: DataFrame, customers: DataFrame, name: str) -> DataFrame:
-    """Totals per customer segment, kept current by micro-batch; returns the merged totals.
+SEGMENTS = "customer_segment STRING, n BIGINT, n_priced BIGINT, units BIGINT, n_fraud BIGINT"
+
+
+def segments_until(spark: SparkSession, root: str, number: int) -> DataFrame:
+    """Totals per segment after micro-batch ``number``; empty before the first."""
+    schema = StructType.fromDDL(SEGMENTS)
+    return read_or_empty(spark, Source(f"{root}/segments/batch={number}"), schema)
 
-    Each batch is reduced per customer, then enriched with the static dimension (as a batch
-    join, so a large dimension is merge-joined and a small one broadcast), and lands as a few rows in
-    a folder of its number. Writing a batch again after a failure replaces its folder, so nothing
-    is counted twice. The total is the merge of all folders.
-    """
 
-    def write(batch: DataFrame, number: int, table: str) -> None:
-        delta = roll_up(totals(batch, "customer_id"), customers, "customer_id", "customer_segment")
-        delta.coalesce(1).write.mode("overwrite").parquet(f"{table}/batch={number}")
+def segment_writer(customers: DataFrame, root: str) -> Callable[[DataFrame, int], None]:
+    """What each micro-batch does to the KPI per customer segment and its serving row.
+
+    The batch is reduced per customer, enriched with the static dimension (a batch join: a small
+    dimension is broadcast, a large one merge-joined with reduced rows), added to the totals of the
+    batch before, and written under its own number. Repeating a batch after a failure
+    reads the same predecessor and replaces the same folder, so nothing is counted twice.
+    """
 
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = roll_up(totals(batch, "customer_id"), customers, "customer_id", "customer_segment")
+        both = fresh.unionByName(segments_until(spark, root, number - 1))
+        merge(both, "customer_segment").coalesce(1).write.mode("overwrite").parquet(f"{root}/segments/batch={number}")
+        kpi = segments_until(spark, root, number).select(
+            F.lit("customer").alias("kpi"),
+            F.col("customer_segment").alias("dim_value"),
+            F.col("n").alias("transactions"),
+            amount_of(F.col("units")).alias("total"),
+            mean_of(F.col("units"), F.col("n_priced")).alias("average"),
+        )
+        serving_rows(kpi).write.mode("overwrite").parquet(f"{root}/serving/batch={number}")
+
+    return write
+
+
+def live_segments(feed: DataFrame, customers: DataFrame, root: str) -> DataFrame:
+    """Process all available transactions and return the serving rows after the last micro-batch."""
     spark: SparkSession = feed.sparkSession
-    table = each_batch(feed, name, write)
-    deltas = spark.read.schema(
-        "customer_segment STRING, n BIGINT, n_priced BIGINT, units BIGINT, n_fraud BIGINT"
-    ).parquet(table)
-    return merge(deltas, "customer_segment")
+    use_large_state(spark)
+    writer = feed.writeStream.foreachBatch(segment_writer(customers, root))
+    drain(writer, f"{root}/checkpoint")
+    served = spark.read.schema("key STRING, payload STRING, batch BIGINT").parquet(f"{root}/serving")
+    return served.where(F.col("batch") == latest(served, "batch")).drop("batch")

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from .. import session
@@ -30,6 +28,11 @@ def drain(writer: DataStreamWriter, checkpoint: str, timeout: int = TIMEOUT) ->
         query.stop()
 
 
+def keep_running(writer: DataStreamWriter, checkpoint: str, every: str) -> StreamingQuery:
+    """Start a stream that takes up new data at an interval, such as ``3 hours``, until stopped."""
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+
+
 def use_large_state(spark: SparkSession) -> None:
     """Keep stream state in RocksDB, beyond the heap, unless the session chose a store itself."""
     if spark.conf.get(session.STATE_STORE, "").endswith("HDFSBackedStateStoreProvider"):
@@ -46,13 +49,3 @@ def to_table(stream: DataFrame, name: str, *partitions: str) -> DataFrame:
         writer = writer.partitionBy(*partitions)
     drain(writer, f"{root}/checkpoint")
     return spark.read.schema(stream.schema).parquet(f"{root}/table")
-
-
-def each_batch(stream: DataFrame, name: str, write: Callable[[DataFrame, int, str], None]) -> str:
-    """Drain a stream batch by batch; ``write`` gets the batch, its number and a folder."""
-    spark = stream.sparkSession
-    use_large_state(spark)
-    root = session.work_path(spark, name)
-    writer = stream.writeStream.foreachBatch(lambda batch, number: write(batch, number, f"{root}/table"))
-    drain(writer, f"{root}/checkpoint")
-    return f"{root}/table"
