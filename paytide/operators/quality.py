@@ -12,6 +12,9 @@ from ..model import FACT_KEYS, STATUSES
 
 REASONS = "reasons"
 
+# An amount beyond this has no exact sum in whole cents.
+LARGEST_AMOUNT = 9e16
+
 
 def checks() -> dict[str, Column]:
     """What can be wrong with a raw fact row: code -> condition, never NULL."""
@@ -19,7 +22,7 @@ def checks() -> dict[str, Column]:
     return {
         "bad_timestamp": parse_time("transaction_timestamp").isNull(),
         "null_key": reduce(or_, [F.col(key).isNull() for key in FACT_KEYS]),
-        "bad_amount": amount.isNull() | F.isnan(amount) | (amount < 0),
+        "bad_amount": amount.isNull() | F.isnan(amount) | (amount < 0) | (amount > LARGEST_AMOUNT),
         "unknown_status": status.isNull() | ~status.isin(*STATUSES),
     }
 

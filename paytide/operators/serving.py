@@ -59,6 +59,19 @@ def load_kpi(serving: DataFrame, kpi: str) -> DataFrame:
     return found.select(F.inline(F.from_json("payload", PAYLOADS[kpi])))
 
 
+def load_kpi_long(serving: DataFrame, kpi: str) -> DataFrame:
+    """A KPI from its serving row in the long form (kpi, dim_value, transactions, total, average)."""
+    _table, _key, label, n, total, average = KPI_TABLES[kpi]
+    value = F.lit(None) if label is None else F.col(label)
+    return load_kpi(serving, kpi).select(
+        F.lit(kpi).alias("kpi"),
+        value.cast("string").alias("dim_value"),
+        F.col(n).alias("transactions"),
+        F.col(total).alias("total"),
+        F.col(average).alias("average"),
+    )
+
+
 def load_kpi_table(spark: SparkSession, source: Source, schema: StructType) -> DataFrame:
     """A stored KPI table; a day that is stored as text becomes a date."""
     table = source.read(spark, schema)

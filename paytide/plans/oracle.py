@@ -247,7 +247,7 @@ SELECT date_trunc('hour', ts) AS hour_start, CAST(MIN(ts) AS DATE) AS txn_date,
   {total()} AS total_volume
 FROM feed GROUP BY 1""",
     "kpi_refresh": every_kpi(AMOUNTS, "merchant", "customer", "payment"),
-    "serving_roundtrip": f"WITH {SALES}\n{DAILY.format('sales')}",
+    "serving_roundtrip": every_kpi(AMOUNTS, "merchant", "customer", "payment"),
     "chart_series": f"""WITH {SALES}, {DIMS}
 SELECT 'Daily Transaction Volume' AS title, CAST(txn_date AS VARCHAR) AS x, CAST(COUNT(*) AS DOUBLE) AS y
 FROM sales GROUP BY txn_date

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import session
 from ..functions.clock import latest
+from ..model import KPI_TABLES
 from ..operators import dims as dim_ops
 from ..operators import hot_cold, kpis, latency, quality, retention, serving, time_kpis
 from ..operators.totals import roll_up, totals
@@ -300,9 +302,9 @@ def serving_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def serving_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily KPI as the dashboard gets it: written as JSON, stored, read and parsed."""
+    """All KPIs as the dashboard gets them: written as JSON, stored, read and parsed."""
     _stored, rows = refreshed(spark, sf_dir, "serving_roundtrip")
-    return serving.load_kpi(rows, "daily")
+    return reduce(DataFrame.unionAll, [serving.load_kpi_long(rows, kpi) for kpi in KPI_TABLES])
 
 
 @query
