@@ -55,7 +55,7 @@ def serving_rows(kpis: DataFrame) -> DataFrame:
 
 def load_kpi(serving: DataFrame, kpi: str) -> DataFrame:
     """A KPI table back from its serving row; no rows when the key is missing or the text is broken."""
-    found = serving.where(F.col("key") == KPI_TABLES[kpi][1])
+    found = serving.where((F.col("key") == KPI_TABLES[kpi][1]) & F.col("payload").startswith("["))
     return found.select(F.inline(F.from_json("payload", PAYLOADS[kpi])))
 
 

@@ -41,10 +41,10 @@ def test_json_keeps_nulls_iso_days_and_order(spark):
     }
 
 
-@pytest.mark.parametrize("payload", ["oops", "", None, "{}", "[]"])
+@pytest.mark.parametrize("payload", ["oops", "", None, "{}", "[]", "[oops"])
 def test_broken_or_missing_payload_gives_no_rows(spark, payload):
     cache = spark.createDataFrame([("kpi:daily", payload)], SERVING)
-    assert [r for r in serving.load_kpi(cache, "daily").collect() if r.transactions is not None] == []
+    assert serving.load_kpi(cache, "daily").count() == 0
     assert serving.load_kpi(cache, "merchant").count() == 0
 
 
