@@ -98,42 +98,30 @@ def label_consistency(fact: DataFrame) -> DataFrame:
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
-def _value_and_number(name: str, kind: str) -> tuple[Column, Column]:
-    """A column, and the column as DOUBLE or NULL when it is no number. Floats lose their -0.0."""
+def _plain(name: str, kind: str) -> Column:
+    """A column whose floats have no -0.0, which is the same value as 0.0 in another text."""
     col = F.col(name)
-    if kind in ("float", "double"):
-        col = F.when(col == 0, F.lit(0.0)).otherwise(col)
-    number = col if kind.startswith(NUMERIC) else F.lit(None)
-    return col, number.cast("double")
-
-
-def _unpivoted(df: DataFrame) -> DataFrame:
-    """The table as (column, value as text, value as number)."""
-    parts = []
-    for name, kind in df.dtypes:
-        col, number = _value_and_number(name, kind)
-        parts.append(
-            F.struct(F.lit(name).alias("column"), col.cast("string").alias("value"), number.alias("number"))
-        )
-    return df.select(F.inline(F.array(*parts)))
+    return F.when(col == 0, F.lit(0.0)).otherwise(col) if kind in ("float", "double") else col
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column: rows, nulls, exact distinct values, numeric minimum and maximum.
 
-    Equal values are collapsed inside the map tasks, so a value many rows share is shuffled once
-    per task. A column of unique values does shuffle them all; for such tables use
+    The table is unpivoted to (column, text). Equal values are collapsed inside the map tasks, so a
+    value many rows share is shuffled once per task, and only distinct values are read back as
+    numbers. A column of unique values does shuffle them all; for such tables use
     ``column_profile_approx``.
     """
-    values = _unpivoted(df).groupBy("column", "value").agg(
-        F.count("*").alias("n"), F.min("number").alias("number")
-    )
+    texts = df.select(*[_plain(name, kind).cast("string").alias(name) for name, kind in df.dtypes])
+    values = texts.unpivot([], df.columns, "column", "value").groupBy("column", "value").agg(F.count("*").alias("n"))
+    numeric = [name for name, kind in df.dtypes if kind.startswith(NUMERIC)]
+    number = F.when(F.col("column").isin(*numeric), F.col("value").try_cast("double"))
     return values.groupBy("column").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
         F.count("value").alias("distinct_values"),
-        F.min("number").alias("min_value"),
-        F.max("number").alias("max_value"),
+        F.min(number).alias("min_value"),
+        F.max(number).alias("max_value"),
     )
 
 
@@ -144,7 +132,8 @@ def column_profile_approx(df: DataFrame, precision: int = 14) -> DataFrame:
     """
     measures, rows = [F.count("*").alias("rows")], []
     for at, (name, kind) in enumerate(df.dtypes):
-        col, number = _value_and_number(name, kind)
+        col = _plain(name, kind)
+        number = (col if kind.startswith(NUMERIC) else F.lit(None)).cast("double")
         hashed = col if kind in ("int", "bigint", "string") else col.cast("string")
         measures += [
             F.count(col).alias(f"known_{at}"),

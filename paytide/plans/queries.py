@@ -176,35 +176,31 @@ def newest(fact: DataFrame) -> datetime:
     return fact.agg(F.max("ts")).first()[0]
 
 
-def stored_feed(spark: SparkSession, sf_dir: str, name: str) -> tuple[HotStore, datetime]:
-    """A hot store holding the feed, and the time of its newest transaction."""
-    store = HotStore(spark, session.work_path(spark, name))
-    store.ingest(sample.feed(spark, sf_dir))
-    return store, newest(store.current())
+def archived(spark: SparkSession, sf_dir: str, name: str, snapshot: bool) -> DataFrame:
+    """Run the archive over the feed as the live table, and read the batch back."""
+    fact = sample.feed(spark, sf_dir)
+    store = HotStore(spark, session.work_path(spark, name), fact)
+    retention.archive_run(store, newest(fact), snapshot=snapshot)
+    return fact_rows(store.archive())
 
 
 @query
 def archive_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the archive in snapshot mode and read the batch back."""
-    store, as_of = stored_feed(spark, sf_dir, "archive_snapshot")
-    retention.archive_run(store, as_of, snapshot=True)
-    return fact_rows(store.archive())
+    return archived(spark, sf_dir, "archive_snapshot", snapshot=True)
 
 
 @query
 def archive_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the archive and read what it moved."""
-    store, as_of = stored_feed(spark, sf_dir, "archive_expired")
-    retention.archive_run(store, as_of)
-    return fact_rows(store.archive())
+    return archived(spark, sf_dir, "archive_expired", snapshot=False)
 
 
 @query
 def retain_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the archive and read what stayed live, from the new generation."""
-    store, as_of = stored_feed(spark, sf_dir, "retain_hot")
-    retention.archive_run(store, as_of)
-    return fact_rows(store.current())
+    """Write what stays live as the next generation and read it."""
+    fact = sample.feed(spark, sf_dir)
+    store = HotStore(spark, session.work_path(spark, "retain_hot"), fact)
+    kept = retention.retain_hot(store.current(), latest(fact, back=retention.hot_span()))
+    return fact_rows(store.write_generation(kept, 1))
 
 
 @query
@@ -354,7 +350,8 @@ def live_count_60s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     session.configure(spark)
-    events = read_feed(spark, sf_dir, sample.EVENTS, pathGlobFilter="events.parquet")
+    # A stream's path must be a folder or a pattern; this one matches the table as a file or a folder.
+    events = read_feed(spark, f"{sf_dir}/events.parque[t]", sample.EVENTS)
     return sample.as_feed(events.withColumn("ts", F.col("ts").cast("timestamp")))
 
 

@@ -17,9 +17,11 @@ from .tables import Source, load_archive, read_or_empty
 
 
 class HotStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, origin: DataFrame | None = None):
+        """``origin`` is a live table kept elsewhere: it is generation 0, and is never written to."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.origin = origin
 
     @property
     def archive_root(self) -> str:
@@ -37,6 +39,8 @@ class HotStore:
 
     def at(self, generation: int) -> DataFrame:
         """The rows of a generation: an empty frame with the full schema when there are none."""
+        if generation == 0 and self.origin is not None:
+            return typed_time(self.origin).select(*STORED_FACT.names)
         return read_or_empty(self.spark, Source(self.generation_path(generation)), STORED_FACT)
 
     def current(self) -> DataFrame:
@@ -47,8 +51,11 @@ class HotStore:
 
     def ingest(self, df: DataFrame) -> None:
         """Append transactions to the live generation."""
+        generation = self.generation()
+        if generation == 0 and self.origin is not None:
+            raise ValueError("the live table is kept elsewhere until the first run")
         rows = typed_time(df).select(*STORED_FACT.names)
-        rows.write.mode("append").parquet(self.generation_path(self.generation()))
+        rows.write.mode("append").parquet(self.generation_path(generation))
 
     def write_generation(self, df: DataFrame, generation: int) -> DataFrame:
         path = self.generation_path(generation)

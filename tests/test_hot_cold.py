@@ -155,3 +155,15 @@ def test_only_a_missing_path_reads_as_empty(spark, tmp_path):
     (broken / "a.parquet").write_text("not parquet")
     with pytest.raises(Exception):
         read_or_empty(spark, Source(str(broken)), FACT).count()
+
+
+def test_live_table_kept_elsewhere(spark, tmp_path):
+    live = hourly(spark, 0, 13)
+    store = HotStore(spark, str(tmp_path), live)
+    with pytest.raises(ValueError):
+        store.ingest(live)
+    assert retention.archive_run(store, NOW)
+    assert store.current().count() == 4
+    store.ingest(fact(spark, [txn(50, when="2024-01-01 12:30:00")]))
+    assert store.current().count() == 5
+    same(retention.archived_once(store).where("transaction_id <> 't50'"), live.select(*STORED_FACT.names))
