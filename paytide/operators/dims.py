@@ -21,6 +21,8 @@ def dim_upsert(base: DataFrame, updates: DataFrame, key: str, version: str = "ve
     it; a column no update sets keeps its stored value, and an explicit NULL overwrites. The newest
     value per column is a ``max`` of (version, value), which combines before the shuffle:
     a key with very many updates stays one row per task.
+
+    One full outer join: each side is read once, and both shuffle on the key.
     """
     columns = [c for c in base.columns if c != key]
     newest = [

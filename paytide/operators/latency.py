@@ -77,8 +77,12 @@ def quantiles(
 
 
 def kpi_latency(fact: DataFrame, column: str = "processing_time", small: int = SMALL) -> DataFrame:
-    """One row: transactions, mean, maximum, exact median and 95th percentile."""
-    values = fact.select(F.col(column).cast("double").alias("v"))
+    """One row: transactions, mean, maximum, exact median and 95th percentile.
+
+    NaN and infinity are no measurements; such rows count as transactions without one.
+    """
+    taken = F.col(column).cast("double")
+    values = fact.select(F.when(F.abs(taken) < F.lit(float("inf")), taken).alias("v"))
     known = values.agg(
         F.count("*").alias("transactions"),
         F.count("v").alias("rows"),

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.clock import latest
 from ..functions.money import amount_of, mean_of, units_of
+from ..operators.hot_cold import identity
 from ..operators.kpis import percent
 from ..operators.latency import MILLI
 from ..operators.serving import serving_rows
@@ -66,10 +67,10 @@ def live_fraud(feed: DataFrame, length: str = "1 hour", lateness: str = LATENESS
 
 
 def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of each id within one Arrow batch."""
+    """The first row of each identity within one Arrow batch."""
     for batch in batches:
-        codes = batch.column("transaction_id").dictionary_encode(null_encoding="encode").indices
-        _ids, first = np.unique(codes.to_numpy(zero_copy_only=False), return_index=True)
+        codes = batch.column("identity").dictionary_encode().indices
+        _values, first = np.unique(codes.to_numpy(zero_copy_only=False), return_index=True)
         yield batch.take(pa.array(np.sort(first)))
 
 
@@ -80,9 +81,10 @@ def live_dedup(feed: DataFrame, horizon: str = DEDUP_HORIZON, collapse: bool = T
     ``collapse`` removes the copies within each Arrow batch first, which leaves one row per ten
     thousand of a massively redelivered transaction.
     """
+    marked = feed.withColumn("identity", identity(feed.columns))
     if collapse:
-        feed = feed.mapInArrow(_first_copies, feed.schema)
-    return feed.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["transaction_id"])
+        marked = marked.mapInArrow(_first_copies, marked.schema)
+    return marked.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["identity"]).drop("identity")
 
 
 SEGMENTS = "customer_segment STRING, n BIGINT, n_priced BIGINT, units BIGINT, n_fraud BIGINT"

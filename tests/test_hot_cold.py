@@ -43,6 +43,12 @@ def test_dedup_by_id_is_the_same_for_any_order_of_differing_copies(spark):
     same(once, hot_cold.dedup_by_id(hot_cold.hot_cold_union(b, a)))
 
 
+def test_rows_without_id_are_copies_only_when_identical(spark):
+    nameless = [(None, *txn(0, amount=amount)[1:]) for amount in (1.0, 1.0, 2.0)]
+    once = hot_cold.dedup_by_id(fact(spark, nameless))
+    assert sorted(r.transaction_amount for r in once.collect()) == [1.0, 2.0]
+
+
 def test_union_fills_a_missing_column(spark):
     old = fact(spark, [txn(1)]).drop("status")
     both = hot_cold.hot_cold_union(fact(spark, [txn(2)]), old)

@@ -198,6 +198,11 @@ def test_narrowing_over_random_values(spark):
     assert len(values) > BUCKETS
 
 
+def test_nan_and_infinity_are_no_measurements(spark):
+    got = kpi_latency(latency_fact(spark, [1.0, float("nan"), 3.0, float("inf")]), small=1).first()
+    assert (got.transactions, got.avg_latency, got.max_latency, got.p50_latency) == (4, 2.0, 3.0, 2.0)
+
+
 def test_latency_of_nothing(spark):
     assert rows(kpi_latency(latency_fact(spark, []))) == [(0, None, None, None, None)]
 

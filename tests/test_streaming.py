@@ -92,18 +92,18 @@ def test_restarted_stream_appends_each_row_once(spark, feed, tmp_path):
 @pytest.mark.parametrize("collapse", [True, False])
 def test_copies_within_and_across_batches_are_dropped(spark, feed, collapse):
     feed.add(minutes("10:00:00", "10:10:00") + [txn(0, when="2024-01-01 10:00:00")] * 500 + [txn(7, customer=None)] * 3)
-    feed.add(minutes("10:00:00", "10:10:00") + minutes("10:20:00", start=50))
+    nameless = [(None, *txn(0, amount=float(n))[1:]) for n in (1, 2, 2)]
+    feed.add(minutes("10:00:00", "10:10:00") + minutes("10:20:00", start=50) + nameless)
     once = live.live_dedup(feed.stream(), collapse=collapse).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     got = [tuple(r) for r in to_table(once, "dedup").collect()]
     assert sorted(map(str, got)) == sorted(set(map(str, map(tuple, feed.all.collect()))))
 
 
-def test_collapse_keeps_first_copies_nulls_and_order():
-    batch = pa.RecordBatch.from_pydict({"transaction_id": ["b", None, "a", "b", None, "a"], "n": [1, 2, 3, 4, 5, 6]})
+def test_collapse_keeps_first_copies_and_order():
+    batch = pa.RecordBatch.from_pydict({"identity": ["b", "c", "a", "b", "c", "a"], "n": [1, 2, 3, 4, 5, 6]})
     (out,) = live._first_copies(iter([batch]))
-    assert out.to_pydict() == {"transaction_id": ["b", None, "a"], "n": [1, 2, 3]}
-    empty = batch.slice(0, 0)
-    assert [b.num_rows for b in live._first_copies(iter([empty]))] == [0]
+    assert out.to_pydict() == {"identity": ["b", "c", "a"], "n": [1, 2, 3]}
+    assert [b.num_rows for b in live._first_copies(iter([batch.slice(0, 0)]))] == [0]
 
 
 CUSTOMER_ROWS = [(1, "New"), (2, "Loyal"), (2, "Risky")]
