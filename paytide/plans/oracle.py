@@ -231,16 +231,28 @@ JOIN (VALUES ('Fraud', 'fraud'), ('Success', 'normal')) w(status, wanted) USING
             ("transaction_id", False),
             ("customer_id", True),
             ("merchant_id", True),
+            ("device_id", True),
+            ("payment_method_id", True),
+            ("transaction_timestamp", False),
             ("transaction_amount", True),
             ("processing_time", True),
+            ("fraud_score", True),
             ("status", False),
         )
     ),
-    "dim_upsert": f"""WITH {DIMS}
-SELECT customer_id, name, CASE WHEN customer_id % 10 = 0 THEN 'Loyal' ELSE customer_segment END AS customer_segment,
-  CASE WHEN customer_id % 30 = 0 THEN NULL ELSE total_lifetime_spend END AS total_lifetime_spend FROM customers
+    "dim_upsert": f"""WITH {DIMS},
+spend AS (
+  SELECT o_custkey AS customer_id, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS spend FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1),
+segments AS (
+  SELECT user_id AS customer_id, CASE WHEN event_type = 'signup' THEN 'New' ELSE 'Risky' END AS segment FROM events
+  WHERE event_type IN ('signup', 'error')
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+SELECT c.customer_id, name, CASE WHEN s.customer_id IS NULL THEN customer_segment ELSE segment END AS customer_segment,
+  CASE WHEN p.customer_id IS NULL THEN total_lifetime_spend ELSE spend END AS total_lifetime_spend
+FROM customers c LEFT JOIN spend p USING (customer_id) LEFT JOIN segments s ON s.customer_id = c.customer_id
 UNION ALL
-SELECT customer_id + 1000000, 'Newcomer', 'Occasional', NULL FROM customers WHERE customer_id % 50 = 0""",
+SELECT -s_suppkey - 1, s_name, 'Occasional', s_acctbal FROM supplier""",
     "datetime_dim": f"""WITH {FEED}
 SELECT date_trunc('hour', ts) AS hour_start, CAST(MIN(ts) AS DATE) AS txn_date, CAST(hour(MIN(ts)) AS INTEGER) AS "hour",
   strftime(MIN(ts), '%a') AS day_of_week, isodow(MIN(ts)) >= 6 AS is_weekend, COUNT(*) AS transactions,

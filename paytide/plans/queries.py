@@ -245,17 +245,14 @@ def label_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.label_consistency(sample.feed(spark, sf_dir))
 
 
-PROFILED = ("transaction_id", "customer_id", "merchant_id", "transaction_amount", "processing_time", "status")
-
-
 @query
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.column_profile(sample.faulty_feed(spark, sf_dir).select(*PROFILED))
+    return quality.column_profile(sample.faulty_feed(spark, sf_dir))
 
 
 @query
 def column_profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.column_profile_approx(sample.faulty_feed(spark, sf_dir).select(*PROFILED))
+    return quality.column_profile_approx(sample.faulty_feed(spark, sf_dir))
 
 
 # ---- dimensions --------------------------------------------------------------------------

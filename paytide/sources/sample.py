@@ -162,21 +162,33 @@ def overlapping(fact: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def customer_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partial updates of customers: two versions of a segment, an explicit NULL, and new customers."""
-    base = customers(spark, sf_dir)
-    key = F.col("customer_id")
-    none = F.lit(None)
+    """Partial updates of the customers from everything that happened to them.
 
-    def update(rows: DataFrame, version: int, **values: Column) -> DataFrame:
-        columns = [values.get(c, none).cast(kind).alias(c) for c, kind in rows.dtypes if c != "customer_id"]
+    Every order sets the spend (to an explicit NULL while it is pending), every signup and error sets the
+    segment, and every supplier becomes a new customer under a key of its own.
+    """
+
+    def update(rows: DataFrame, key: Column, version: Column, **values: Column) -> DataFrame:
+        kinds = {"name": "string", "customer_segment": "string", "total_lifetime_spend": "double"}
+        columns = [values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]
         sets = F.array(*[F.lit(c) for c in values])
-        return rows.select(key, F.lit(version).alias("version"), sets.alias("sets"), *columns)
+        return rows.select(key.alias("customer_id"), version.alias("version"), sets.alias("sets"), *columns)
 
-    tenth, thirtieth = base.where(key % 10 == 0), base.where(key % 30 == 0)
-    fresh = base.where(key % 50 == 0).withColumn("customer_id", key + 1_000_000)
+    orders, events, suppliers = (table(spark, sf_dir, name) for name in ("orders", "events", "supplier"))
+    spend = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
+    segment = F.when(F.col("event_type") == "signup", "New").otherwise("Risky")
+    telling = events.where(F.col("event_type").isin("signup", "error"))
     return (
-        update(tenth, 1, customer_segment=F.lit("New"))
-        .unionByName(update(thirtieth, 1, total_lifetime_spend=none))
-        .unionByName(update(tenth, 2, customer_segment=F.lit("Loyal")))
-        .unionByName(update(fresh, 1, name=F.lit("Newcomer"), customer_segment=F.lit("Occasional")))
+        update(orders, F.col("o_custkey"), F.col("o_orderkey"), total_lifetime_spend=spend)
+        .unionByName(update(telling, F.col("user_id"), F.col("event_id"), customer_segment=segment))
+        .unionByName(
+            update(
+                suppliers,
+                -F.col("s_suppkey") - 1,
+                F.lit(0).cast("bigint"),
+                name=F.col("s_name"),
+                customer_segment=F.lit("Occasional"),
+                total_lifetime_spend=F.col("s_acctbal"),
+            )
+        )
     )
