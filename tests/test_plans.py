@@ -90,7 +90,7 @@ def test_hot_keys_are_combined_before_the_shuffle(spark):
     )
     assert plan(totals(hot, "customer_id")).count("HashAggregate") == 2
     copies = plan(hot_cold.dedup_by_id(hot))
-    assert "SortAggregate(key=[transaction_id" in copies.split("Exchange hashpartitioning")[1]
+    assert "SortAggregate(key=" in copies.split("Exchange hashpartitioning")[1]
 
 
 def test_skewed_parent_join_is_split(spark, no_broadcast):
