@@ -14,18 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.money import amount_of, mean_of
+from ..operators.enrich import LABELS
 from ..operators.kpis import percent
 from ..operators.totals import MEASURES, merge, totals
 
-# KPI -> (foreign key of the fact, label column of the dimension).
-LABELS = {
-    "merchant": ("merchant_id", "business_category"),
-    "customer": ("customer_id", "customer_segment"),
-    "payment": ("payment_method_id", "method_type"),
-    "device": ("device_id", "device_type"),
-}
-
-
 # A table of the fact's parents, and the key both share. It carries foreign keys the fact lacks.
 Header = tuple[DataFrame, str]
 

@@ -314,4 +314,8 @@ SELECT * FROM (
     "stream_kpi_segment": f"""WITH {FEED}, {DIMS}
 SELECT customer_segment, COUNT(*) AS transactions, {total()} AS total_spend, {mean()} AS avg_spend
 FROM feed JOIN customers USING (customer_id) GROUP BY customer_segment""",
+    "stream_enriched": f"""WITH {FEED}, {DIMS}
+SELECT transaction_id, ts, transaction_amount, business_category, customer_segment, method_type, device_type
+FROM feed LEFT JOIN merchants USING (merchant_id) LEFT JOIN customers USING (customer_id)
+  LEFT JOIN methods USING (payment_method_id) LEFT JOIN devices USING (device_id)""",
 }

@@ -389,3 +389,12 @@ def stream_kpi_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = session.work_path(spark, "stream_kpi_segment")
     served = live.live_segments(event_stream(spark, sf_dir), sample.customers(spark, sf_dir), root)
     return serving.load_kpi(served, "customer")
+
+
+@query
+def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = session.work_path(spark, "stream_enriched")
+    rows = live.live_enriched(ntz(event_stream(spark, sf_dir)), all_dims(spark, sf_dir), root)
+    return rows.select(
+        "transaction_id", "ts", "transaction_amount", "business_category", "customer_segment", "method_type", "device_type"
+    )

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.clock import latest
 from ..functions.money import amount_of, mean_of, units_of
+from ..operators.enrich import enrich
 from ..operators.hot_cold import identity
 from ..operators.kpis import percent
 from ..operators.latency import MILLI
@@ -87,6 +88,23 @@ def live_dedup(feed: DataFrame, horizon: str = DEDUP_HORIZON, collapse: bool = T
     return marked.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["identity"]).drop("identity")
 
 
+def live_enriched(feed: DataFrame, dims: dict[str, DataFrame], root: str) -> DataFrame:
+    """Process all available transactions into a table with dimension labels; returns the table.
+
+    Each micro-batch joins the dimensions as a batch does, with adaptive execution, which a
+    streaming join would not have, and lands in the folder of its number, so that repeating it
+    replaces it.
+    """
+    use_large_state(feed.sparkSession)
+
+    def write(batch: DataFrame, number: int) -> None:
+        enrich(batch, dims).write.mode("overwrite").parquet(f"{root}/enriched/batch={number}")
+
+    drain(feed.writeStream.foreachBatch(write), f"{root}/checkpoint")
+    schema = enrich(feed, dims).schema
+    return feed.sparkSession.read.schema(schema).parquet(f"{root}/enriched")
+
+
 SEGMENTS = "customer_segment STRING, n BIGINT, n_priced BIGINT, units BIGINT, n_fraud BIGINT"
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paytide.operators import dims, kpis, time_kpis
+from paytide.operators.enrich import LABELS
 from paytide.operators.latency import BUCKETS, kpi_latency, kpi_latency_approx
 from paytide.plans import one_pass
 from rows import CUSTOMERS, DEVICES, MERCHANTS, METHODS, at, fact, same, txn
@@ -70,7 +71,7 @@ def brute_force(spark, facts, star):
         return out.select(F.lit(kpi).alias("kpi"), "*")
     parts = [agg(facts, "global", F.lit(None)), agg(facts, "daily", F.col("txn_date"))]
     for kpi, dim in star.items():
-        key, label = one_pass.LABELS[kpi]
+        key, label = LABELS[kpi]
         parts.append(agg(facts.join(dim, key), kpi, F.col(label)))
     out = parts[0]
     for part in parts[1:]:
@@ -207,6 +208,15 @@ def test_latency_of_nothing(spark):
     assert rows(kpi_latency(latency_fact(spark, []))) == [(0, None, None, None, None)]
 
 
+def test_units_are_exact_up_to_the_precision_of_double(spark):
+    from paytide.functions.money import amount_of, units_of
+
+    cents = spark.range(300_000).select((F.col("id") * F.col("id") * 997 + F.col("id")).alias("c"))
+    off = cents.where(units_of(F.col("c").cast("double") / 100.0) != F.col("c"))
+    assert off.take(1) == []
+    assert cents.where(amount_of(F.col("c")) != F.col("c").cast("double") / 100.0).take(1) == []
+
+
 def test_approximate_percentile_is_near(spark):
     got = kpi_latency_approx(latency_fact(spark, [float(i) for i in range(10_001)])).first()
     assert abs(got.p50_latency - 5000) <= 2 and abs(got.p95_latency - 9500) <= 2

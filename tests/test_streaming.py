@@ -117,6 +117,17 @@ def test_live_segments_follow_the_batch_kpi(spark, feed, tmp_path):
         same(load_kpi(served, "customer"), kpis.kpi_by_customer_segment(feed.all, customers))
 
 
+def test_enriched_feed_equals_the_batch_join(spark, feed, tmp_path):
+    customers = spark.createDataFrame(CUSTOMER_ROWS, CUSTOMERS)
+    feed.add([txn(1), txn(2, customer=2), txn(3, customer=None)])
+    live.live_enriched(feed.stream(), {"customer": customers}, str(tmp_path / "live"))
+    feed.add([txn(4, customer=77)])
+    got = live.live_enriched(feed.stream(), {"customer": customers}, str(tmp_path / "live"))
+    assert sorted((r.transaction_id, str(r.customer_segment)) for r in got.collect()) == [
+        ("t1", "New"), ("t2", "Loyal"), ("t2", "Risky"), ("t3", "None"), ("t4", "None")
+    ]
+
+
 def test_repeating_a_micro_batch_counts_nothing_twice(spark, tmp_path):
     customers = spark.createDataFrame(CUSTOMER_ROWS, CUSTOMERS)
     first, second = fact(spark, [txn(1)]), fact(spark, [txn(2), txn(3, customer=2)])
