@@ -26,9 +26,9 @@ def typed_time(df: DataFrame) -> DataFrame:
 def latest(df: DataFrame, column: str = "ts", back: Column | None = None) -> Column:
     """The newest value of a column, less ``back``, as a scalar subquery.
 
-    It runs before the query that uses it and arrives there as a literal, so a comparison with it
-    is pushed into the file scan. The subtraction belongs inside: a filter on an
-    expression over the subquery would not be pushed. No join is involved.
+    It runs before the query that uses it and arrives there as a literal; no join is involved. The
+    subtraction belongs inside: the scan takes a filter on a bare subquery, not on an expression
+    over it.
     """
     newest = F.max(column)
     return df.agg(newest if back is None else newest - back).scalar()

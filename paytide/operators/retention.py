@@ -21,9 +21,19 @@ def hot_span(hours: int = HOT_HOURS) -> Column:
     return F.make_dt_interval(hours=F.lit(hours))
 
 
+def since(fact: DataFrame, moment: Column) -> Column:
+    """At or after a moment.
+
+    Spark has no Parquet filter for TIMESTAMP_NTZ, so the day is compared as well: on a stored
+    fact that skips row groups and folders.
+    """
+    recent = F.col("ts") >= moment
+    return recent & (F.col("txn_date") >= moment.cast("date")) if "txn_date" in fact.columns else recent
+
+
 def retain_hot(fact: DataFrame, cutoff: Column) -> DataFrame:
     """Rows at or after the cutoff."""
-    return fact.where(F.col("ts") >= cutoff)
+    return fact.where(since(fact, cutoff))
 
 
 def archive_expired(fact: DataFrame, cutoff: Column) -> DataFrame:
@@ -31,9 +41,9 @@ def archive_expired(fact: DataFrame, cutoff: Column) -> DataFrame:
     return fact.where(expired("ts", cutoff))
 
 
-def live_count(fact: DataFrame, since: Column) -> DataFrame:
+def live_count(fact: DataFrame, moment: Column) -> DataFrame:
     """Number of transactions at or after a moment."""
-    return fact.where(F.col("ts") >= since).agg(F.count("*").alias("live_transactions"))
+    return fact.where(since(fact, moment)).agg(F.count("*").alias("live_transactions"))
 
 
 def row_bytes() -> Column:
