@@ -128,14 +128,19 @@ def archive_run(store: HotStore, as_of: datetime, hours: int = HOT_HOURS, snapsh
     return True
 
 
+def archived_rows(store: HotStore, runs: DataFrame) -> DataFrame:
+    """What the batches of some runs hold of transactions that had expired at their run.
+
+    A snapshot also holds what stayed live; the next batch or the live table has that, so nothing
+    is counted twice. The batch id is a folder, so only the folders of these runs are read.
+    """
+    archived = load_archive(store.spark, store.archive_root).join(runs.select("batch_id", "cutoff"), "batch_id")
+    return archived.where(expired("ts", F.col("cutoff"))).drop("batch_id", "cutoff")
+
+
 def archived_once(store: HotStore) -> DataFrame:
     """Hot and cold as one fact in which every transaction appears once.
 
-    Works for expired-only and snapshot batches alike: a batch counts for what had expired at
-    its own run's cutoff. Joining the manifest, one row per run, also leaves out batches that were
-    never committed.
+    Going through the manifest, one row per run, leaves out batches that were never committed.
     """
-    runs = store.runs().select("batch_id", "cutoff")
-    archived = load_archive(store.spark, store.archive_root).join(runs, "batch_id")
-    once = archived.where(expired("ts", F.col("cutoff"))).drop("batch_id", "cutoff")
-    return store.current().unionByName(once)
+    return store.current().unionByName(archived_rows(store, store.runs()))

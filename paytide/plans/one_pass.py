@@ -60,18 +60,23 @@ def _labels(dims: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def by_dimension(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
-    """Totals as (kpi, dim_value, measures) for ``global``, ``daily`` and each of ``dims``.
+def reduce_fact(fact: DataFrame, kpis: Iterable[str], header: Header | None = None) -> DataFrame:
+    """Totals per (kpi, key) for ``daily`` and ``kpis``. Keys the fact lacks come from ``header``.
 
-    ``dims`` maps KPI names of ``LABELS`` to their dimension. Each KPI keeps the meaning of its
-    own inner join: rows with an unknown or NULL key are missing from that KPI only. Foreign keys the
-    fact lacks are taken from ``header``. The global row exists over an empty fact, too.
+    Reduced facts add up: the union of two, merged, is the reduced union.
     """
-    own = [kpi for kpi in dims if header is None or LABELS[kpi][0] in fact.columns]
-    theirs = [kpi for kpi in dims if kpi not in own]
+    own = [kpi for kpi in kpis if header is None or LABELS[kpi][0] in fact.columns]
+    theirs = [kpi for kpi in kpis if kpi not in own]
     reduced = _reduced(fact, own)
-    if theirs:
-        reduced = reduced.unionByName(_reduced_by_parent(fact, theirs, header))
+    return reduced.unionByName(_reduced_by_parent(fact, theirs, header)) if theirs else reduced
+
+
+def label_totals(reduced: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Totals as (kpi, dim_value, measures) for ``global``, ``daily`` and each of ``dims``.
+
+    Each KPI keeps the meaning of its own inner join: rows with an unknown or NULL key are missing
+    from that KPI only. The global row exists over an empty fact, too.
+    """
     daily = F.col("kpi") == "daily"
     known = reduced.where(daily | F.col("key").isNotNull()).join(_labels(dims), ["kpi", "key"], "left")
     days = F.date_from_unix_date(F.col("key").cast("int")).cast("string")
@@ -82,13 +87,13 @@ def by_dimension(fact: DataFrame, dims: dict[str, DataFrame], header: Header | N
     places = F.when(daily, F.array(own_place, whole)).otherwise(F.array(own_place))
     spread = labelled.select(F.explode(places).alias("to"), *MEASURES).select("to.kpi", "to.dim_value", *MEASURES)
     nothing = [F.lit(None if m == "units" else 0).cast("bigint").alias(m) for m in MEASURES]
-    start = fact.sparkSession.range(1).select(whole.kpi.alias("kpi"), whole.dim_value.alias("dim_value"), *nothing)
+    start = reduced.sparkSession.range(1).select(whole.kpi.alias("kpi"), whole.dim_value.alias("dim_value"), *nothing)
     return merge(spread.unionByName(start), "kpi", "dim_value")
 
 
-def kpi_all_one_pass(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
-    """Every KPI in long form."""
-    return by_dimension(fact, dims, header).select(
+def long_kpis(labelled: DataFrame) -> DataFrame:
+    """Labelled totals as the long KPI table."""
+    return labelled.select(
         "kpi",
         "dim_value",
         F.col("n").alias("transactions"),
@@ -97,9 +102,14 @@ def kpi_all_one_pass(fact: DataFrame, dims: dict[str, DataFrame], header: Header
     )
 
 
+def kpi_all_one_pass(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
+    """Every KPI in long form."""
+    return long_kpis(label_totals(reduce_fact(fact, dims, header), dims))
+
+
 def kpi_fraud_rate(fact: DataFrame, dims: dict[str, DataFrame], header: Header | None = None) -> DataFrame:
     """Share of fraudulent transactions, overall, per day and per dimension label."""
-    return by_dimension(fact, dims, header).select(
+    return label_totals(reduce_fact(fact, dims, header), dims).select(
         "kpi",
         "dim_value",
         F.col("n").alias("transactions"),

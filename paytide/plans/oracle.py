@@ -92,15 +92,15 @@ DIMENSION_KPIS = {
 }
 
 
-def every_kpi(measures: str, *dimensions: str) -> str:
+def every_kpi(measures: str, *dimensions: str, fact: str = "sales") -> str:
     parts = [
-        f"SELECT 'global' AS kpi, CAST(NULL AS VARCHAR) AS dim_value, {measures} FROM sales",
-        f"SELECT 'daily', CAST(txn_date AS VARCHAR), {measures} FROM sales GROUP BY txn_date",
+        f"SELECT 'global' AS kpi, CAST(NULL AS VARCHAR) AS dim_value, {measures} FROM {fact}",
+        f"SELECT 'daily', CAST(txn_date AS VARCHAR), {measures} FROM {fact} GROUP BY txn_date",
     ]
     for kpi in dimensions:
         dim, key, label = DIMENSION_KPIS[kpi]
-        parts.append(f"SELECT '{kpi}', {label}, {measures} FROM sales JOIN {dim} USING ({key}) GROUP BY {label}")
-    return f"WITH {SALES}, {DIMS}\n" + "\nUNION ALL\n".join(parts)
+        parts.append(f"SELECT '{kpi}', {label}, {measures} FROM {fact} JOIN {dim} USING ({key}) GROUP BY {label}")
+    return f"WITH {SALES if fact == 'sales' else FEED}, {DIMS}\n" + "\nUNION ALL\n".join(parts)
 
 
 AMOUNTS = f"COUNT(*) AS transactions, {total()} AS total, {mean()} AS average"
@@ -259,6 +259,7 @@ SELECT date_trunc('hour', ts) AS hour_start, CAST(MIN(ts) AS DATE) AS txn_date,
   {total()} AS total_volume
 FROM feed GROUP BY 1""",
     "kpi_refresh": every_kpi(AMOUNTS, "merchant", "customer", "payment"),
+    "kpi_refresh_incremental": every_kpi(AMOUNTS, "merchant", "customer", "payment", "device", fact="feed"),
     "serving_roundtrip": every_kpi(AMOUNTS, "merchant", "customer", "payment"),
     "chart_series": f"""WITH {SALES}, {DIMS}
 SELECT 'Daily Transaction Volume' AS title, CAST(txn_date AS VARCHAR) AS x, CAST(COUNT(*) AS DOUBLE) AS y

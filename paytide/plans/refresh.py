@@ -10,26 +10,26 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import session
-from ..model import DIMENSIONS, KPI_TABLES, SERVING
-from ..operators.retention import archived_once
+from ..model import DIMENSIONS, KPI_TABLES, SERVING, schema
+from ..operators.enrich import LABELS
+from ..operators.retention import archived_once, archived_rows
 from ..operators.serving import serving_rows
-from ..sources import HotStore, Source, has_rows, load_dimension, register
-from .one_pass import Header, kpi_all_one_pass
+from ..operators.totals import merge
+from ..sources import HotStore, Source, has_rows, load_dimension, read_or_empty, register
+from .one_pass import Header, kpi_all_one_pass, label_totals, long_kpis, reduce_fact
 
+TOTALS = schema("kpi STRING, key BIGINT, n BIGINT, n_priced BIGINT, units BIGINT, n_fraud BIGINT")
 LONG = "kpi STRING, dim_value STRING, transactions BIGINT, total DOUBLE, average DOUBLE"
 
 
-def refresh(
-    fact: DataFrame, dims: dict[str, DataFrame], out: str, header: Header | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Compute all KPIs in one scan, store them, and derive everything else from the stored rows.
+def publish(kpis: DataFrame, out: str) -> tuple[DataFrame, DataFrame]:
+    """Store a long KPI table, and derive the result tables and the JSON from the stored rows.
 
-    Returns the stored long KPI table and the stored serving rows. The fact is read once; the
-    result tables and the JSON come from a few thousand rows on disk, so a lost executor costs
-    no second scan.
+    Returns the stored long table and the stored serving rows. Everything after the first write
+    reads a few thousand rows, so a lost executor costs no second scan of the fact.
     """
-    spark = fact.sparkSession
-    kpi_all_one_pass(fact, dims, header).write.mode("overwrite").parquet(f"{out}/kpis")
+    spark = kpis.sparkSession
+    kpis.write.mode("overwrite").parquet(f"{out}/kpis")
     stored = spark.read.schema(LONG).parquet(f"{out}/kpis")
     for kpi, (table, *_rest) in KPI_TABLES.items():
         kpi_table(stored, kpi).write.mode("overwrite").parquet(f"{out}/{table}")
@@ -37,6 +37,44 @@ def refresh(
     return stored, spark.read.schema(SERVING).parquet(f"{out}/serving")
 
 
+def refresh(
+    fact: DataFrame, dims: dict[str, DataFrame], out: str, header: Header | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Compute and publish all KPIs from one scan of a whole fact."""
+    return publish(kpi_all_one_pass(fact, dims, header), out)
+
+
+def archived_totals(store: HotStore, now: int) -> DataFrame:
+    """Totals per (kpi, key) of all batches up to generation ``now``, reading each only once ever.
+
+    Archived batches do not change and totals add up, so the totals up to the last refresh are stored,
+    and only the batches of later runs are scanned and added. As in the hot store, a row in a log
+    commits the new totals, and a refresh that dies before it can be repeated.
+    """
+    spark, root = store.spark, f"{store.root}/totals"
+    log = read_or_empty(spark, Source(f"{root}/log"), schema("generation BIGINT"))
+    done = log.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
+    known = read_or_empty(spark, Source(f"{root}/generation={done}"), TOTALS)
+    if now <= done:
+        return known
+    runs = store.runs().where(F.col("generation").between(done + 1, now))
+    fresh = reduce_fact(archived_rows(store, runs), LABELS)
+    merge(known.unionByName(fresh), "kpi", "key").write.mode("overwrite").parquet(f"{root}/generation={now}")
+    spark.range(1).select(F.lit(now).cast("bigint").alias("generation")).write.mode("append").parquet(f"{root}/log")
+    return Source(f"{root}/generation={now}").read(spark, TOTALS)
+
+
+def refresh_store(store: HotStore, dims: dict[str, DataFrame], out: str) -> tuple[DataFrame, DataFrame]:
+    """Publish all KPIs of a hot store; scans the live rows and the batches new since the last time.
+
+    The dimensions are joined anew each time, so a changed label moves the past as well.
+    """
+    now = store.generation()
+    live = reduce_fact(store.at(now), LABELS)
+    whole = merge(archived_totals(store, now).unionByName(live), "kpi", "key")
+    return publish(long_kpis(label_totals(whole, dims)), out)
+
+
 def kpi_table(stored: DataFrame, kpi: str) -> DataFrame:
     """One KPI table, under its own column names and in its own order, from the long form.
 
@@ -66,12 +104,18 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--store", required=True, help="root of the hot store")
     parser.add_argument("--dims", required=True, help="folder with one table per dimension")
     parser.add_argument("--out", required=True, help="folder for the results")
+    parser.add_argument("--full", action="store_true", help="scan the whole archive again")
     args = parser.parse_args(argv)
-    tables = load_model(session.build("kpi-refresh"), args.store, args.dims)
+    spark = session.build("kpi-refresh")
+    tables = load_model(spark, args.store, args.dims)
     if not has_rows(tables["transactions_fact"]):
         return
-    dims = {"merchant": "merchants_dim", "customer": "customers_dim", "payment": "payment_methods_dim"}
-    refresh(tables["transactions_fact"], {kpi: tables[name] for kpi, name in dims.items()}, args.out)
+    names = {"merchant": "merchants_dim", "customer": "customers_dim", "payment": "payment_methods_dim"}
+    dims = {kpi: tables[name] for kpi, name in names.items()}
+    if args.full:
+        refresh(tables["transactions_fact"], dims, args.out)
+    else:
+        refresh_store(HotStore(spark, args.store), dims, args.out)
 
 
 if __name__ == "__main__":

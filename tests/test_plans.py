@@ -14,7 +14,7 @@ from paytide.sources import sample
 
 SF = "/root/testdata/sf0.001"
 STREAMS_AND_JOBS = {n for n in entry_points.queries() if n.startswith("stream_")} | {
-    "archive_snapshot", "archive_expired", "retain_hot", "kpi_refresh", "serving_json", "serving_roundtrip", "chart_series",
+    "archive_snapshot", "archive_expired", "retain_hot", "kpi_refresh", "kpi_refresh_incremental", "serving_json", "serving_roundtrip", "chart_series",
 }
 
 
