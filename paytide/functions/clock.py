@@ -12,6 +12,11 @@ def parse_time(text: Column | str) -> Column:
     return F.try_to_timestamp(text, F.lit(TEXT_FORMAT)).cast("timestamp_ntz")
 
 
+def parse_day(text: Column | str) -> Column:
+    """Date of an ISO text, NULL where it does not parse."""
+    return F.to_date(F.try_to_timestamp(text, F.lit("yyyy-MM-dd")))
+
+
 def text_of(ts: Column | str) -> Column:
     return F.date_format(ts, TEXT_FORMAT)
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.clock import parse_day
 from ..functions.money import amount_of, mean_of
 from ..model import KPI_TABLES
 from ..sources import Source
@@ -75,8 +76,8 @@ def load_kpi_long(serving: DataFrame, kpi: str) -> DataFrame:
 def load_kpi_table(spark: SparkSession, source: Source, schema: StructType) -> DataFrame:
     """A stored KPI table; a day that is stored as text becomes a date."""
     table = source.read(spark, schema)
-    if "txn_date" in table.columns:
-        table = table.withColumn("txn_date", F.to_date("txn_date"))
+    if dict(table.dtypes).get("txn_date") == "string":
+        table = table.withColumn("txn_date", parse_day("txn_date"))
     return table
 
 

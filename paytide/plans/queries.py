@@ -18,7 +18,7 @@ from ..sources import HotStore, sample
 from ..streaming import live
 from ..streaming.run import read_feed, to_table
 from . import one_pass
-from .refresh import refresh, refresh_store
+from .refresh import archived_totals, refresh, refresh_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -289,13 +289,12 @@ def kpi_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Refresh, archive, refresh, archive, refresh: the last one scans only the newest batch and what is live."""
+    """Two archive runs, each followed by its totals; the refresh adds what is live to the stored totals."""
     store = HotStore(spark, session.work_path(spark, "kpi_refresh_incremental"), sample.feed(spark, sf_dir))
-    dims = all_dims(spark, sf_dir)
-    stored, _serving = refresh_store(store, dims, f"{store.root}/out")
     for run in sample.RUNS:
         retention.archive_run(store, datetime.fromisoformat(run))
-        stored, _serving = refresh_store(store, dims, f"{store.root}/out")
+        archived_totals(store, store.generation())
+    stored, _serving = refresh_store(store, all_dims(spark, sf_dir), f"{store.root}/out")
     return stored
 
 

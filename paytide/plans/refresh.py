@@ -1,21 +1,15 @@
-"""The KPI refresh job: hot and archive in, KPI tables and serving rows out.
-
-    spark-submit -m paytide.plans.refresh --store PATH --dims PATH --out PATH
-"""
+"""The KPI refresh: hot and archive in, KPI tables and serving rows out."""
 
 from __future__ import annotations
 
-import argparse
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .. import session
 from ..model import DIMENSIONS, KPI_TABLES, SERVING, schema
 from ..operators.enrich import LABELS
 from ..operators.retention import archived_once, archived_rows
 from ..operators.serving import serving_rows
 from ..operators.totals import merge
-from ..sources import HotStore, Source, has_rows, load_dimension, read_or_empty, register
+from ..sources import HotStore, Source, load_dimension, read_or_empty, register
 from .one_pass import Header, kpi_all_one_pass, label_totals, long_kpis, reduce_fact
 
 TOTALS = schema("kpi STRING, key BIGINT, n BIGINT, n_priced BIGINT, units BIGINT, n_fraud BIGINT")
@@ -90,33 +84,10 @@ def kpi_table(stored: DataFrame, kpi: str) -> DataFrame:
     return rows.select(value.alias(label), *columns).coalesce(1).sortWithinPartitions(*order)
 
 
-def load_model(spark: SparkSession, store_root: str, dims_root: str) -> dict[str, DataFrame]:
+def load_model(store: HotStore, dims_root: str) -> dict[str, DataFrame]:
     """The fact (hot and cold, each transaction once) and all dimensions, also as views for SQL."""
-    tables = {"transactions_fact": archived_once(HotStore(spark, store_root))}
+    tables = {"transactions_fact": archived_once(store)}
     for name in DIMENSIONS:
-        tables[name] = load_dimension(spark, name, Source(f"{dims_root}/{name}"))
+        tables[name] = load_dimension(store.spark, name, Source(f"{dims_root}/{name}"))
     register(tables)
     return tables
-
-
-def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(description="Refresh the KPI tables and serving rows.")
-    parser.add_argument("--store", required=True, help="root of the hot store")
-    parser.add_argument("--dims", required=True, help="folder with one table per dimension")
-    parser.add_argument("--out", required=True, help="folder for the results")
-    parser.add_argument("--full", action="store_true", help="scan the whole archive again")
-    args = parser.parse_args(argv)
-    spark = session.build("kpi-refresh")
-    tables = load_model(spark, args.store, args.dims)
-    if not has_rows(tables["transactions_fact"]):
-        return
-    names = {"merchant": "merchants_dim", "customer": "customers_dim", "payment": "payment_methods_dim"}
-    dims = {kpi: tables[name] for kpi, name in names.items()}
-    if args.full:
-        refresh(tables["transactions_fact"], dims, args.out)
-    else:
-        refresh_store(HotStore(spark, args.store), dims, args.out)
-
-
-if __name__ == "__main__":
-    main()

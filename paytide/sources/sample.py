@@ -1,7 +1,7 @@
 """The payments model over the sample tables (an order system and an event feed).
 
-``sales`` maps order lines to transactions at day precision, ``feed`` maps events to transactions
-with exact times. Columns are built only where they are asked for.
+``order_lines`` with ``order_headers`` are transactions at day precision, ``feed`` maps events to
+transactions with exact times. Columns are built only where they are asked for.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact without the columns that only the order header has.
 
     Every line is a transaction, so KPIs that need neither customer nor payment method do
-    without the header join.
+    without the header, and the others meet it with totals per order.
     """
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
@@ -63,11 +63,6 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole fact: lines with customer and payment method of their order, NULL without one."""
-    return order_lines(spark, sf_dir).join(order_headers(spark, sf_dir), "order_id", "left")
-
-
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),

@@ -121,7 +121,7 @@ def test_hot_keys_are_combined_before_the_shuffle(spark):
 
 
 def test_skewed_parent_join_is_split(spark, no_broadcast):
-    """A row-level join on a hot key, as ``sample.sales`` has, is split by adaptive execution."""
+    """A row-level join on a hot key, as ``enrich`` has, is split by adaptive execution."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",

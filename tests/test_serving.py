@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from paytide.model import DIMENSIONS, KPI_TABLES, SERVING, schema
-from paytide.operators import serving
-from paytide.plans import one_pass
-from paytide.plans.refresh import load_model, main, refresh
+from paytide.functions.clock import parse_day
+from paytide.operators import retention, serving
+from paytide.plans import jobs, one_pass
+from paytide.plans.refresh import load_model, refresh
 from paytide.sources import HotStore, Source, sample
-from rows import CUSTOMERS, MERCHANTS, METHODS, fact, same, txn
+from rows import CUSTOMERS, MERCHANTS, METHODS, at, fact, raw, same, txn
 
 SF = "/root/testdata/sf0.001"
 LONG = "kpi STRING, dim_value STRING, transactions BIGINT, total DOUBLE, average DOUBLE"
@@ -79,11 +80,8 @@ def test_run_history_ends_with_the_whole(spark):
     assert (str(last.run_ts), last.total_transactions, last.avg_transaction_value) == ("2024-01-01 09:00:00", 2, 2.0)
 
 
-def test_jobs_from_the_command_line(spark, tmp_path, monkeypatch):
-    from paytide.plans import archive
-
-    store = HotStore(spark, str(tmp_path / "store"))
-    store.ingest(fact(spark, [txn(1, amount=5.0), txn(2, amount=7.0, when="2024-01-01 01:00:00")]))
+@pytest.fixture()
+def dims_root(spark, tmp_path):
     literal = {
         "customers_dim": spark.createDataFrame([(1, "New")], CUSTOMERS),
         "merchants_dim": spark.createDataFrame([(1, "Travel")], MERCHANTS),
@@ -93,15 +91,52 @@ def test_jobs_from_the_command_line(spark, tmp_path, monkeypatch):
         rows = literal.get(name, spark.createDataFrame([], columns))
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns if f.name not in rows.columns]
         Source(str(tmp_path / "dims" / name)).write(rows.select("*", *missing).select(*columns.names))
-    archive.main(["--store", store.root, "--as-of", "2024-01-01T12:00:00"])
+    return str(tmp_path / "dims")
+
+
+TWO = [txn(1, amount=5.0), txn(2, amount=7.0, when="2024-01-01 01:00:00")]
+
+
+@pytest.mark.parametrize("full", [[], ["--full"]])
+def test_jobs_from_the_command_line(spark, tmp_path, dims_root, full):
+    store = HotStore(spark, str(tmp_path / "store"))
+    store.ingest(fact(spark, TWO))
+    jobs.archive(["--store", store.root, "--as-of", "2024-01-01T12:00:00"])
     assert store.current().count() == 1 and store.archive().count() == 1
-    main(["--store", store.root, "--dims", str(tmp_path / "dims"), "--out", str(tmp_path / "out")])
+    jobs.refresh_kpis(["--store", store.root, "--dims", dims_root, "--out", str(tmp_path / "out"), *full])
     rows = spark.read.schema(SERVING).parquet(str(tmp_path / "out" / "serving"))
     assert serving.load_kpi(rows, "customer").first().total_spend == 12.0
 
-    load_model(spark, store.root, str(tmp_path / "dims"))
+
+def test_jobs_over_a_live_table_in_another_format(spark, tmp_path, dims_root):
+    raw(spark, TWO).write.json(str(tmp_path / "live"))
+    hot = ["--store", str(tmp_path / "store"), "--hot", str(tmp_path / "live"), "--hot-format", "json"]
+    refresh_args = [*hot, "--dims", dims_root, "--out", str(tmp_path / "out")]
+    for step in (lambda: None, lambda: jobs.archive([*hot, "--as-of", "2024-01-01T12:00:00"])):
+        step()
+        jobs.refresh_kpis(refresh_args)
+        rows = spark.read.schema(SERVING).parquet(str(tmp_path / "out" / "serving"))
+        assert serving.load_kpi(rows, "global").first()[:] == (2, 12.0, 6.0)
+        assert [str(r.txn_date) for r in serving.load_kpi(rows, "daily").collect()] == ["2024-01-01"]
+
+
+def test_a_refresh_of_nothing_writes_nothing(spark, tmp_path, dims_root):
+    jobs.refresh_kpis(["--store", str(tmp_path / "none"), "--dims", dims_root, "--out", str(tmp_path / "out")])
+    assert not (tmp_path / "out").exists()
+
+
+def test_plain_sql_over_the_model(spark, tmp_path, dims_root):
+    store = HotStore(spark, str(tmp_path / "store"))
+    store.ingest(fact(spark, TWO))
+    retention.archive_run(store, at("2024-01-01 12:00:00"))
+    load_model(store, dims_root)
     by_sql = spark.sql(
         """SELECT m.business_category, COUNT(*) AS n, SUM(t.transaction_amount) AS total
            FROM transactions_fact t JOIN merchants_dim m ON t.merchant_id = m.merchant_id GROUP BY m.business_category"""
     )
     assert [tuple(r) for r in by_sql.collect()] == [("Travel", 2, 12.0)]
+
+
+def test_days_parse_or_are_null(spark):
+    days = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("x",), (None,)], "t STRING")
+    assert [str(r[0]) for r in days.select(parse_day("t")).collect()] == ["2024-02-29", "None", "None", "None"]
