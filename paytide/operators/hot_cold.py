@@ -12,9 +12,9 @@ def hot_cold_union(live: DataFrame, *batches: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches, live)
 
 
-def identity(columns: list[str], key: str = "transaction_id") -> Column:
-    """What makes two rows copies of each other: the key, or the whole row where there is none."""
-    return F.coalesce(F.col(key), F.to_json(F.struct(*columns)))
+def nameless(columns: list[str], key: str = "transaction_id") -> Column:
+    """The whole row as text where it has no key, else NULL: such rows are copies only if identical."""
+    return F.when(F.col(key).isNull(), F.to_json(F.struct(*columns)))
 
 
 def dedup_by_id(fact: DataFrame, key: str = "transaction_id") -> DataFrame:
@@ -24,9 +24,9 @@ def dedup_by_id(fact: DataFrame, key: str = "transaction_id") -> DataFrame:
     replaced. Copies are combined inside the map tasks before the shuffle, so a transaction copied
     many times is one row per task.
     """
-    columns = fact.columns
-    one = fact.groupBy(identity(columns, key).alias("identity")).agg(F.min(F.struct(*columns)).alias("row"))
-    return one.select("row.*")
+    rest = [c for c in fact.columns if c != key]
+    one = fact.groupBy(key, nameless(rest, key).alias("nameless")).agg(F.min(F.struct(*rest)).alias("row"))
+    return one.select(key, "row.*").select(*fact.columns)
 
 
 def expired(ts: Column | str, cutoff: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # Runtime settings the results depend on, or that a large state needs.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

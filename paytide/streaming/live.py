@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from ..functions.clock import latest
 from ..functions.money import amount_of, mean_of, units_of
 from ..operators.enrich import enrich
-from ..operators.hot_cold import identity
+from ..operators.hot_cold import nameless
 from ..operators.kpis import percent
 from ..operators.latency import MILLI
 from ..operators.serving import serving_rows
@@ -82,7 +82,7 @@ def live_dedup(feed: DataFrame, horizon: str = DEDUP_HORIZON, collapse: bool = T
     ``collapse`` removes the copies within each Arrow batch first, which leaves one row per ten
     thousand of a massively redelivered transaction.
     """
-    marked = feed.withColumn("identity", identity(feed.columns))
+    marked = feed.withColumn("identity", F.coalesce(F.col("transaction_id"), nameless(feed.columns)))
     if collapse:
         marked = marked.mapInArrow(_first_copies, marked.schema)
     return marked.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["identity"]).drop("identity")

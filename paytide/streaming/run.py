@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from .. import session
 
-TIMEOUT = 1800
+TIMEOUT = 24 * 3600
 
 
 def read_feed(
