@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -41,8 +39,8 @@ def serving_rows(kpis: DataFrame) -> DataFrame:
     array has one element per day or label, which is what makes it fit one cache entry.
     """
     kpi = F.col("kpi")
-    entry = reduce(lambda other, name: other.when(kpi == name, _entry(name)), KPI_TABLES, F)
-    key = reduce(lambda other, name: other.when(kpi == name, F.lit(KPI_TABLES[name][1])), KPI_TABLES, F)
+    entry = F.coalesce(*[F.when(kpi == name, _entry(name)) for name in KPI_TABLES])
+    key = F.coalesce(*[F.when(kpi == name, F.lit(KPI_TABLES[name][1])) for name in KPI_TABLES])
     order = F.struct(
         F.when(kpi != "daily", F.coalesce(-F.col("total"), F.lit(float("inf")))).alias("by_total"),
         F.col("dim_value").alias("by_label"),

@@ -91,6 +91,16 @@ def test_repeating_a_run_changes_nothing(spark, store):
     assert store.runs().count() == 1
 
 
+def test_runs_that_move_nothing_or_everything(spark, store):
+    store.ingest(hourly(spark, 10, 13))
+    assert retention.archive_run(store, NOW)
+    assert (store.current().count(), store.archive().count()) == (3, 0)
+    assert retention.archive_run(store, NOW + timedelta(days=2))
+    assert (store.current().count(), store.archive().count()) == (0, 3)
+    assert not retention.archive_run(store, NOW + timedelta(days=3))
+    assert [(r.kept, r.expired) for r in store.runs().orderBy("generation").collect()] == [(3, 0), (0, 3)]
+
+
 def test_run_over_nothing(store):
     assert not retention.archive_run(store, NOW)
     assert not has_rows(store.current()) and not has_rows(store.archive())
