@@ -159,3 +159,27 @@ def test_a_failing_stream_raises(spark, feed, tmp_path):
 
     with pytest.raises(Exception, match="broken sink"):
         drain(feed.stream().writeStream.foreachBatch(fail), str(tmp_path / "checkpoint"))
+
+
+@pytest.mark.parametrize("live_op, length, step", [(live.live_tpm, 60, 60), (live.live_moving_count, 60, 10)])
+def test_windows_over_many_batches_equal_the_batch_result(spark, feed, tmp_path, live_op, length, step):
+    import random
+
+    rng = random.Random(step)
+    schema, now = live_op(read_feed(spark, str(tmp_path), STORED_FACT).withColumn("ts", F.col("ts").cast("timestamp"))).schema, 0
+    for turn in range(4):
+        seconds = [now + rng.randrange(900) for _ in range(60)]
+        now += 500  # batches overlap in time, within the lateness
+        feed.add([txn(turn * 100 + i, when=f"2024-01-01 {10 + s // 3600}:{s // 60 % 60:02d}:{s % 60:02d}") for i, s in enumerate(seconds)])
+        out = drained(live_op(feed.stream()), tmp_path, spark, schema)
+    moments = [r.s for r in feed.all.select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("s")).collect()]
+    closed = max(moments) - 600
+    want = {}
+    for s in moments:
+        start = s - s % step
+        while start > s - length:
+            if start + length <= closed:
+                want[start] = want.get(start, 0) + 1
+            start -= step
+    got = out.select(F.unix_seconds(F.col("window_start").cast("timestamp")).alias("s"), "transactions").collect()
+    assert sorted((r.s, r.transactions) for r in got) == sorted(want.items())
