@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+def moment(value: datetime | str | None) -> Column:
+    """A fixed UTC time. It travels as text: a Python datetime would pass through the time zone of the process."""
+    text = value.isoformat(sep=" ") if isinstance(value, datetime) else value
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def parse_time(text: Column | str) -> Column:
     """Timestamp of a text, NULL where it does not parse (a raise would end the whole job)."""
     return F.try_to_timestamp(text, F.lit(TEXT_FORMAT)).cast("timestamp_ntz")

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.clock import moment
 from ..sources import HotStore, load_archive
 from .hot_cold import expired
 
@@ -21,14 +22,14 @@ def hot_span(hours: int = HOT_HOURS) -> Column:
     return F.make_dt_interval(hours=F.lit(hours))
 
 
-def since(fact: DataFrame, moment: Column) -> Column:
+def since(fact: DataFrame, start: Column) -> Column:
     """At or after a moment.
 
     Spark has no Parquet filter for TIMESTAMP_NTZ, so the day is compared as well: on a stored
     fact that skips row groups and folders.
     """
-    recent = F.col("ts") >= moment
-    return recent & (F.col("txn_date") >= moment.cast("date")) if "txn_date" in fact.columns else recent
+    recent = F.col("ts") >= start
+    return recent & (F.col("txn_date") >= start.cast("date")) if "txn_date" in fact.columns else recent
 
 
 def retain_hot(fact: DataFrame, cutoff: Column) -> DataFrame:
@@ -41,9 +42,9 @@ def archive_expired(fact: DataFrame, cutoff: Column) -> DataFrame:
     return fact.where(expired("ts", cutoff))
 
 
-def live_count(fact: DataFrame, moment: Column) -> DataFrame:
+def live_count(fact: DataFrame, start: Column) -> DataFrame:
     """Number of transactions at or after a moment."""
-    return fact.where(since(fact, moment)).agg(F.count("*").alias("live_transactions"))
+    return fact.where(since(fact, start)).agg(F.count("*").alias("live_transactions"))
 
 
 def row_bytes() -> Column:
@@ -102,7 +103,7 @@ def archive_run(store: HotStore, as_of: datetime, hours: int = HOT_HOURS, snapsh
     generation = max(done.values(), default=0)
     hot = store.at(generation)
     rows = hot.count()
-    cutoff = F.lit(as_of - timedelta(hours=hours)).cast("timestamp_ntz")
+    cutoff = moment(as_of - timedelta(hours=hours))
     batch_id = int(as_of.replace(tzinfo=timezone.utc).timestamp())
     if rows == 0 or batch_id in done:
         return False
@@ -117,8 +118,8 @@ def archive_run(store: HotStore, as_of: datetime, hours: int = HOT_HOURS, snapsh
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.lit(generation + 1).cast("bigint").alias("generation"),
         cutoff.alias("cutoff"),
-        F.lit(batch.min_ts).cast("timestamp_ntz").alias("min_ts"),
-        F.lit(batch.max_ts).cast("timestamp_ntz").alias("max_ts"),
+        moment(batch.min_ts).alias("min_ts"),
+        moment(batch.max_ts).alias("max_ts"),
         F.lit(rows).cast("bigint").alias("rows"),
         F.lit(kept_rows).cast("bigint").alias("kept"),
         F.lit(rows - kept_rows).cast("bigint").alias("expired"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import session
-from ..functions.clock import text_of
+from ..functions.clock import moment, text_of
 from ..model import schema
 
 EVENTS = schema(
@@ -139,10 +139,6 @@ def faulty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def moment(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
-
-
 # Two archive runs. A snapshot ends at its run and the next begins three hours before.
 RUNS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 CUTOFFS = ("2024-01-09 21:00:00", "2024-01-19 21:00:00")
