@@ -17,3 +17,50 @@ SELECT t.page_id, t.payload_bytes, t.payload_digest,
        CASE WHEN f.keeper <> t.page_id THEN f.keeper END AS refers_to
 FROM told t LEFT JOIN first f USING (payload_digest)
 """
+
+ORACLE["op8_decontaminate"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM benchmark
+), doc_word AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS p FROM doc
+), item_word AS (
+  SELECT item_id, len(w) AS size, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS q FROM item
+), doc_line AS (
+  SELECT doc_id, p, word AS w0, lead(word, 1) OVER x AS w1, lead(word, 2) OVER x AS w2, lead(word, 3) OVER x AS w3,
+         lead(word, 4) OVER x AS w4, lead(word, 5) OVER x AS w5, lead(word, 6) OVER x AS w6, lead(word, 7) OVER x AS w7
+  FROM doc_word WINDOW x AS (PARTITION BY doc_id ORDER BY p)
+), item_line AS (
+  SELECT item_id, q, word AS w0, lead(word, 1) OVER x AS w1, lead(word, 2) OVER x AS w2, lead(word, 3) OVER x AS w3,
+         lead(word, 4) OVER x AS w4, lead(word, 5) OVER x AS w5, lead(word, 6) OVER x AS w6, lead(word, 7) OVER x AS w7
+  FROM item_word WINDOW x AS (PARTITION BY item_id ORDER BY q)
+), hit AS (
+  SELECT doc_id, item_id, p - q AS shift, q FROM doc_line d JOIN item_line i USING (w0, w1, w3, w5, w6)
+  WHERE d.w7 IS NOT NULL AND i.w7 IS NOT NULL
+  UNION
+  SELECT doc_id, item_id, p - q AS shift, q FROM doc_line d JOIN item_line i USING (w0, w2, w3, w4, w7)
+), marked AS (
+  SELECT *, CASE WHEN q - lag(q) OVER x <= 16 THEN 0 ELSE 1 END AS new
+  FROM hit WINDOW x AS (PARTITION BY doc_id, item_id, shift ORDER BY q)
+), numbered AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id, item_id, shift ORDER BY q) AS stretch FROM marked
+), found AS (
+  SELECT doc_id, item_id, shift, stretch, min(q) AS first, max(q) - min(q) + 8 AS n FROM numbered GROUP BY ALL
+), judged AS (
+  SELECT f.doc_id, f.item_id, f.shift, f.first, f.n, any_value(i.size) AS size, greatest(0, -f.shift) AS whole_from,
+         count(*) FILTER (d.word = i.word) AS whole_same,
+         count(*) FILTER (d.word = i.word AND i.q >= f.first AND i.q < f.first + f.n) AS same
+  FROM found f JOIN item_word i USING (item_id) JOIN doc_word d ON d.doc_id = f.doc_id AND d.p = i.q + f.shift
+  GROUP BY f.doc_id, f.item_id, f.shift, f.stretch, f.first, f.n
+), told AS (
+  SELECT doc_id, item_id, shift, whole_same * 100 >= size * 80 AS whole,
+         CASE WHEN whole THEN size ELSE n END AS n_words, CASE WHEN whole THEN whole_same ELSE same END AS n_same,
+         CASE WHEN whole THEN whole_from ELSE first END AS item_word
+  FROM judged WHERE whole OR (n >= 13 AND same * 100 >= n * 80)
+)
+SELECT doc_id, item_id, n_words::INTEGER AS n_words, n_same::INTEGER AS n_same,
+       (item_word + shift)::INTEGER AS doc_word, item_word::INTEGER AS item_word
+FROM told
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_same DESC, n_words, item_word + shift, item_word) = 1
+"""
