@@ -64,3 +64,25 @@ SELECT doc_id, item_id, n_words::INTEGER AS n_words, n_same::INTEGER AS n_same,
 FROM told
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_same DESC, n_words, item_word + shift, item_word) = 1
 """
+
+ORACLE["op1_repeated_passages"] = r"""
+WITH unit AS (
+  SELECT doc_id, unnest(u) AS raw, generate_subscripts(u, 1) - 1 AS nth
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\n.!?]*[.!?\n]+|[^\n.!?]+') AS u FROM documents)
+), placed AS (
+  SELECT doc_id, nth, sum(length(raw)) OVER x - length(raw) AS start, sum(length(raw)) OVER x AS stop,
+         trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\x09-\x0D\x20]+', ' ', 'g')) AS plain
+  FROM unit WINDOW x AS (PARTITION BY doc_id ORDER BY nth ROWS UNBOUNDED PRECEDING)
+), told AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY plain) AS kept,
+         row_number() OVER (PARTITION BY plain ORDER BY doc_id, nth) AS rank,
+         CASE WHEN plain = '' THEN 0 ELSE len(string_split(plain, ' ')) END AS n_words
+  FROM placed
+), numbered AS (
+  SELECT *, nth - row_number() OVER (PARTITION BY doc_id ORDER BY nth) AS run FROM told WHERE rank > 1
+)
+SELECT doc_id, min(start)::INTEGER AS start, max(stop)::INTEGER AS stop, count(*) AS n_units,
+       sum(n_words)::BIGINT AS n_words, min_by(kept, nth) AS kept_doc_id
+FROM numbered GROUP BY doc_id, run HAVING sum(CASE WHEN n_words >= 4 THEN n_words ELSE 0 END) >= 20
+"""

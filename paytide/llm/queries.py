@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, secrets, sharding, warc
+from . import bpe, decontam, langid, repeats, secrets, sharding, warc
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
