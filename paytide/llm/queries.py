@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, langid, multi_index, repeats, secrets, sharding, warc
+from . import bpe, decontam, html_text, langid, multi_index, repeats, secrets, sharding, warc
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.passages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
