@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, html_text, langid, multi_index, repeats, secrets, sharding, warc
+from . import bpe, decontam, html_text, jaccard, langid, multi_index, repeats, secrets, sharding, warc
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op3_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op4_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), k=4, share=85)
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
