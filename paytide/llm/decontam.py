@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .tables import drop_ids
+
 WORD = r"[\p{L}\p{M}\p{N}]+"
 # Which words of a window are hashed.
 MASKS = ((0, 1, 3, 5, 6), (0, 2, 3, 4, 7))
@@ -129,9 +131,9 @@ def clean(docs: DataFrame, tests: DataFrame) -> DataFrame:
     holds nothing and stays.
     """
     key = F.xxhash64("text")
-    leaking = overlaps(docs.select(key.alias("doc_id"), "text"), tests).select("doc_id").distinct()
-    kept = docs.withColumn(KEY, F.when(F.col("text").isNotNull(), key))
-    return kept.join(leaking.withColumnRenamed("doc_id", KEY), KEY, "left_anti").select(*docs.columns)
+    leaking = overlaps(docs.select(key.alias("doc_id"), "text"), tests).select("doc_id")
+    keyed = docs.withColumn(KEY, F.when(F.col("text").isNotNull(), key))
+    return drop_ids(keyed, KEY, leaking).select(*docs.columns)
 
 
 # A name no input column has; the rows' text hash travels under it.

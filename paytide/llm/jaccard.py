@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .tables import map_rows, written
+from .tables import SENT_IDS, drop_ids, map_rows, written
 
 # Shingles per task of one traversal, and per node of a divided block.
 WEIGHT = 300_000
@@ -39,8 +39,6 @@ FREQUENT = 1 << 17
 # A shingle is a candidate for the list if so many documents of a part of the table hold it.
 SEEN_TOGETHER = 4
 COUNTED_AT_ONCE = 3_000_000
-# Class ids up to this number (16 bytes each) are sent to every task instead of shuffling the texts.
-SENT_IDS = 1_000_000
 FAN = 8
 
 PASS_SCHEMA = "doc_id long, n long, d1 long, d2 long, shingle long, seen long"
@@ -362,3 +360,12 @@ def join(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
         F.when(F.col("doc_id").isNull(), F.lit(None).cast("long"))
         .when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("class_component")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
+    """``docs`` with one document of each group: that with the smallest id; all columns kept.
+
+    Rows without an id, words or text stay.
+    """
+    groups = join(docs, k, share)
+    return drop_ids(docs, "doc_id", groups.where("doc_id <> component_id").select("doc_id"))

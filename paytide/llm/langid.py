@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .tables import map_rows
+from .tables import ddl, map_rows
 
 # Length of a rank list, of documents and languages alike.
 RANKS = 300
@@ -153,3 +153,21 @@ def identify(docs: DataFrame, ranks: int = RANKS) -> DataFrame:
     known = profile(learn(docs.where(~held_out(F.col("doc_id"))), ranks), ranks)
     told = predict(docs, known, ranks)
     return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def keep_known(docs: DataFrame, ranks: int = RANKS) -> DataFrame:
+    """``docs`` without the rows whose language is ``und``, all columns kept.
+
+    A missing ``lang`` is filled with the language told. What is learned comes from the rows not
+    held out, as in :func:`identify`.
+    """
+    known = profile(learn(docs.where(~held_out(F.col("doc_id"))), ranks), ranks)
+    text, lang = docs.columns.index("text"), docs.columns.index("lang")
+
+    def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for row in rows:
+            told, _ = nearest(row[text], known, ranks)
+            if told != UNKNOWN:
+                yield row if row[lang] is not None else (*row[:lang], told, *row[lang + 1 :])
+
+    return map_rows(docs, rows_of, ddl(docs), 2_000)

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import map_rows
+from .tables import ddl, map_rows
 
 KINDS = ("assign", "access", "hex")
 LAYER_BYTES = 64 << 20
@@ -282,10 +282,6 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     return out.select(*columns)
 
 
-def ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
 def masked(text: str, spans: list[Span], mark: str) -> str:
     out, at = [], 0
     for start, _, end in sorted(spans):

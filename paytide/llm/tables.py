@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..session import work_path
 
 
+SENT_IDS = 1_000_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -24,6 +27,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ddl(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema string."""
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema.fields)
+
+
+def drop_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``df`` without the rows whose ``key`` is in ``ids`` (one column); rows with a null key stay.
+
+    Up to SENT_IDS ids (16 bytes each) are sent to every task, so the rows need no shuffle.
+    """
+    ids = written(ids.toDF(key).distinct(), "dropped")
+    few = ids.limit(SENT_IDS + 1).count() <= SENT_IDS
+    return df.join(F.broadcast(ids) if few else ids, key, "left_anti").select(*df.columns)
+
+
 def map_rows(
     df: DataFrame, rows_of: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str, at_once: int = 20_000
 ) -> DataFrame:
