@@ -11,9 +11,13 @@ together; a pair of nodes is left out if the largest overlap that its bitmaps an
 small for a link, or if all its records are in one group. What is left is compared exactly.
 
 A first round brings each class into one block, which finds most groups. A second takes all blocks in
-which classes of different groups are left. Blocks are divided by size band and by hash into nodes of
-bounded weight, and only pairs of nodes that can hold a link across groups are sent to a task, so
-neither a large group nor a frequent shingle meets in one task, and groups are never written as pairs.
+which classes of different groups are left; there the trees are built over the prefixes alone, and two
+sets may be linked only if their prefixes agree so far that the rest can make up for what differs. What
+hangs together by such pairs is a cluster, whose texts are compared as in the first round.
+
+Blocks and clusters are divided by size band and by hash into nodes of bounded weight, and only pairs of
+nodes that can hold a link across groups are sent to a task, so neither a large group nor a frequent
+shingle meets in one task. Tasks report no more links than join what they found, never all pairs.
 
 Whole texts are compared; the comparison of shares is done in integers.
 """
@@ -125,53 +129,46 @@ def prefixes(docs: DataFrame, k: int, share: int, late: np.ndarray) -> DataFrame
 class Tree:
     """A signature tree over records sorted so that similar ones are neighbours.
 
-    Level 0 holds the leaves. Nodes are numbered; a node's children and records are ranges.
+    A record is a set, or a part of one: ``sizes`` are the sizes of the whole sets. Level 0 holds the
+    leaves. Nodes are numbered; a node's children and records are ranges.
     """
 
-    def __init__(self, sets: list[np.ndarray], bits: int):
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, bits: int):
         n = len(sets)
-        words = bits // 64
-        maps = np.zeros((n, words), dtype=np.uint64)
-        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        maps = np.zeros((n, bits // 64), dtype=np.uint64)
         for row, s in enumerate(sets):
             places = s.view(np.uint64) >> np.uint64(64 - bits.bit_length() + 1)
             np.bitwise_or.at(maps[row], (places >> np.uint64(6)).astype(np.int64), np.uint64(1) << (places & np.uint64(63)))
+        known = np.array([len(s) for s in sets], dtype=np.int64)
         # Shingles of a record beyond its bits: so much more than the common bits two records may share.
-        self.excess = self.sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
-        self.maps, self.low, self.high, self.most = [], [], [], []
-        step, level = 1, (maps, self.sizes, self.sizes, self.excess)
-        self.steps = []
-        while True:
-            self.steps.append(step)
-            for held, values in zip((self.maps, self.low, self.high, self.most), level):
-                held.append(values)
-            if len(level[0]) <= 1:
-                break
+        excess = known - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        # Per level: bitmaps, least and largest size, largest excess, most shingles that the part lacks.
+        level = (maps, sizes, sizes, excess, sizes - known)
+        combine = (np.bitwise_or, np.minimum, np.maximum, np.maximum, np.maximum)
+        self.levels, self.steps, self.n = [level], [1], n
+        while len(level[0]) > 1:
             starts = np.arange(0, len(level[0]), FAN)
-            level = (
-                np.bitwise_or.reduceat(level[0], starts, axis=0), np.minimum.reduceat(level[1], starts),
-                np.maximum.reduceat(level[2], starts), np.maximum.reduceat(level[3], starts),
-            )
-            step *= FAN
-        self.n = n
+            level = tuple(f.reduceat(values, starts, axis=0) for f, values in zip(combine, level))
+            self.levels.append(level)
+            self.steps.append(self.steps[-1] * FAN)
 
     def top(self) -> int:
-        return len(self.steps) - 1
+        return len(self.levels) - 1
 
     def records(self, level: int, node: int) -> range:
         step = self.steps[level]
         return range(node * step, min((node + 1) * step, self.n))
 
     def children(self, level: int, node: int) -> range:
-        return range(node * FAN, min((node + 1) * FAN, len(self.maps[level - 1])))
+        return range(node * FAN, min((node + 1) * FAN, len(self.levels[level - 1][0])))
 
     def may_link(self, level: int, a: int, b: int, share: int) -> bool:
         """Can a record below one node reach a record below the other?"""
-        low, high = self.low[level], self.high[level]
+        maps, low, high, excess, rest = self.levels[level]
         if 100 * high[a] < share * low[b] or 100 * high[b] < share * low[a]:
             return False
-        common = int(np.bitwise_count(self.maps[level][a] & self.maps[level][b]).sum())
-        overlap = min(common + min(self.most[level][a], self.most[level][b]), high[a], high[b])
+        common = int(np.bitwise_count(maps[a] & maps[b]).sum()) + min(excess[a], excess[b])
+        overlap = min(common + max(rest[a], rest[b]), high[a], high[b])
         return (100 + share) * overlap >= share * (low[a] + low[b])
 
 
@@ -197,33 +194,38 @@ class Groups:
         return all(self.root(n) == root for r in ranges for n in r)
 
 
-def linked(a: np.ndarray, b: np.ndarray, share: int) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, share: int) -> bool:
+    """Are two sets linked? Of parts: can their sets be linked?
+
+    The parts are the first shingles in one order, so all common shingles up to the nearer one of
+    the two ends are in both; beyond it there are no more than that set has left.
+    """
     at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    common = int((b[at] == a).sum())
-    return 100 * common >= share * (len(a) + len(b) - common)
+    overlap = int((b[at] == a).sum()) + max(size_a - len(a), size_b - len(b))
+    return (100 + share) * overlap >= share * (size_a + size_b)
 
 
-def traverse(sets: list[np.ndarray], labels: list[int], share: int) -> list[tuple[int, int]]:
+def traverse(sets: list[np.ndarray], sizes: list[int], labels: list[int], share: int) -> list[tuple[int, int]]:
     """Links between records of different groups, enough of them to join all that are linked.
 
     ``labels`` names the groups known before; records are (a, b) places in ``sets``.
     """
-    order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), len(sets[i])))
-    sets = [sets[i] for i in order]
+    order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), sizes[i]))
+    sets, sizes = [sets[i] for i in order], [sizes[i] for i in order]
     groups = Groups([labels[i] for i in order])
     if groups.one(range(len(sets))):
         return []
     middle = int(np.median([len(s) for s in sets]))
-    bits = 1 << min(16, max(10, (8 * middle).bit_length()))
-    tree = Tree(sets, bits)
+    tree = Tree(sets, np.array(sizes, dtype=np.int64), 1 << min(16, max(10, (8 * middle).bit_length())))
     out = []
     todo = [(tree.top(), 0, 0)]
     while todo:
         level, a, b = todo.pop()
         if level == 0:
-            if a != b and groups.root(a) != groups.root(b) and tree.may_link(0, a, b, share) and linked(sets[a], sets[b], share):
-                groups.join(a, b)
-                out.append((order[a], order[b]))
+            if a != b and groups.root(a) != groups.root(b) and tree.may_link(0, a, b, share):
+                if linked(sets[a], sets[b], sizes[a], sizes[b], share):
+                    groups.join(a, b)
+                    out.append((order[a], order[b]))
             continue
         if groups.one(tree.records(level, a), tree.records(level, b)) or (a != b and not tree.may_link(level, a, b, share)):
             continue
@@ -235,55 +237,87 @@ def traverse(sets: list[np.ndarray], labels: list[int], share: int) -> list[tupl
     return out
 
 
-def links_of(table: pa.Table, k: int, share: int) -> pa.Table:
-    """Links found among the rows (class_id, label, text) of one task."""
-    once = {}
-    for class_id, label, text in zip(table["class_id"].to_pylist(), table["label"].to_pylist(), table["text"].to_pylist()):
-        once.setdefault(class_id, (label, text))
+def links_of(table: pa.Table, share: int, set_of) -> pa.Table:
+    """Links found among the rows (class_id, label, n, payload) of one task."""
+    columns = (table[c].to_pylist() for c in ("class_id", "label", "n", "payload"))
+    once = {class_id: rest for class_id, *rest in zip(*columns)}
     ids = sorted(once)
-    sets = [shingles(once[i][1], k) for i in ids]
-    found = traverse(sets, [once[i][0] for i in ids], share) if len(ids) > 1 else []
+    found = []
+    if len(ids) > 1:
+        sets = [set_of(once[i][2]) for i in ids]
+        found = traverse(sets, [once[i][1] for i in ids], [once[i][0] for i in ids], share)
     return pa.table([[ids[a] for a, _ in found], [ids[b] for _, b in found]], schema=LINK_ARROW)
 
 
-def with_texts(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """``members`` (with class_id) and the text of each class, which is its first document's.
+def traversed(members: DataFrame, keys: list[str], payload: DataFrame, share: int, set_of) -> DataFrame:
+    """Links within every group of ``keys`` of ``members`` (keys, class_id, label, n).
 
-    The ids are sent to the scan of the texts if they are few enough, so only texts that are
-    needed are shuffled; else both sides are.
+    ``payload`` (class_id, payload) has what ``set_of`` makes a record of. The ids are sent to its scan
+    if they are few enough, so only what is needed is shuffled; else both sides are.
     """
     ids = members.select("class_id").distinct()
-    texts = docs.select(F.col("doc_id").alias("class_id"), "text")
     if ids.limit(SENT_IDS + 1).count() <= SENT_IDS:
-        texts = texts.join(F.broadcast(ids), "class_id", "left_semi")
-    return members.join(texts, "class_id")
+        payload = payload.join(F.broadcast(ids), "class_id", "left_semi")
+    full = members.join(payload, "class_id").select(*keys, "class_id", "label", "n", "payload")
+    return full.groupBy(*keys).applyInArrow(lambda table: links_of(table, share, set_of), LINK_SCHEMA)
 
 
-def traversed(members: DataFrame, keys: list[str], docs: DataFrame, k: int, share: int) -> DataFrame:
-    """Links within every group of ``keys`` of ``members`` (keys, class_id, label)."""
-    full = with_texts(members, docs).select(*keys, "class_id", "label", "text")
-    return full.groupBy(*keys).applyInArrow(lambda table: links_of(table, k, share), LINK_SCHEMA)
+def divided(rows: DataFrame, share: int, weight: str) -> tuple[DataFrame, list[str]]:
+    """``rows`` (block, class_id, n, label) as members of the pairs of nodes that may hold a link.
 
+    Blocks that hold one group are gone. A block is divided by size band, and a band by hash into
+    nodes of at most about WEIGHT (the sum of the expression ``weight``). A pair of nodes is left out if
+    all in it is one group or if the sizes are too far apart.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / log(100 / share)).cast("int")
+    # A block that fits one task is one node.
+    heavy = rows.groupBy("block").agg(F.sum(F.expr(weight)).alias("all"), F.min("label").alias("low"), F.max("label").alias("high"))
+    heavy = heavy.where("low < high").select("block", (F.col("all") > WEIGHT).alias("heavy"))
+    rows = rows.join(heavy, "block").withColumn("band", F.when(F.col("heavy"), band).otherwise(F.lit(0))).drop("heavy")
+    rows = written(rows, "open_blocks")
+    parts = rows.groupBy("block", "band").agg(F.ceil(F.sum(F.expr(weight)) / WEIGHT).alias("parts"))
+    placed = rows.join(parts, ["block", "band"]).withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("parts")))
+    placed = written(placed.drop("parts"), "placed")
+    # The upper levels of the trees: size range and group of each node; pairs of them that may hold a link.
+    nodes = placed.groupBy("block", "band", "part").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    left = nodes.select("block", *(F.col(c).alias(f"{c}_a") for c in nodes.columns if c != "block"))
+    right = nodes.select("block", *(F.col(c).alias(f"{c}_b") for c in nodes.columns if c != "block"))
+    # A link's sizes differ by less than one band's width, so they are in one band or in neighbouring ones.
+    ordered = (F.col("band_b") == F.col("band_a") + 1) | ((F.col("band_a") == F.col("band_b")) & (F.col("part_a") <= F.col("part_b")))
+    mixed = ~((F.col("low_a") == F.col("high_a")) & (F.col("low_b") == F.col("high_b")) & (F.col("low_a") == F.col("low_b")))
+    fits = (F.col("most_a") * 100 >= F.col("least_b") * share) & (F.col("most_b") * 100 >= F.col("least_a") * share)
+    key = ["block", "band_a", "part_a", "band_b", "part_b"]
+    pairs = written(left.join(right, "block").where(ordered & mixed & fits).select(*key), "node_pairs")
+    side_a = pairs.join(placed.withColumnsRenamed({"band": "band_a", "part": "part_a"}), ["block", "band_a", "part_a"])
+    side_b = pairs.where("band_a <> band_b OR part_a <> part_b").join(
+        placed.withColumnsRenamed({"band": "band_b", "part": "part_b"}), ["block", "band_b", "part_b"]
+    )
+    columns = [*key, "class_id", "label", "n"]
+    return side_a.select(*columns).unionByName(side_b.select(*columns)), key
 
-def first_round(shared: DataFrame, docs: DataFrame, k: int, share: int) -> DataFrame:
-    """Links in one block per class: that of its least shared shingle.
+
+def first_round(shared: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
+    """Links in one block per class: that of its first shared shingle.
 
     A heavy block is divided by hash; the class with the least id is in each part, so parts of a
     group of copies meet in it.
     """
     one = written(shared.groupBy("class_id", "n").agg(F.min("shingle").alias("block")), "round_one")
-    blocks = one.groupBy("block").agg(F.min("class_id").alias("leader"), F.max("class_id").alias("last"), F.sum("n").alias("weight"))
-    blocks = blocks.where("leader < last").select("block", "leader", F.ceil(F.col("weight") / WEIGHT).alias("parts"))
-    placed = one.join(blocks, "block")
-    rows = placed.select("block", F.pmod(F.xxhash64("class_id"), F.col("parts")).alias("part"), "class_id")
+    blocks = one.groupBy("block").agg(
+        F.min(F.struct("class_id", "n")).alias("leader"), F.count("*").alias("members"), F.sum("n").alias("weight")
+    )
+    blocks = blocks.where("members > 1").select("block", "leader", F.ceil(F.col("weight") / WEIGHT).alias("parts"))
+    rows = one.join(blocks, "block").select("block", F.pmod(F.xxhash64("class_id"), F.col("parts")).alias("part"), "class_id", "n")
     leaders = blocks.where("parts > 1").select(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("leader").alias("class_id")
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "leader.*"
     )
     members = rows.unionByName(leaders).withColumn("label", F.col("class_id"))
-    return traversed(members, ["block", "part"], docs, k, share)
+    return traversed(members, ["block", "part"], texts, share, lambda text: shingles(text, k))
 
 
-def second_round(shared: DataFrame, groups: DataFrame, docs: DataFrame, k: int, share: int) -> DataFrame:
+def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
     """Links across groups in all blocks that hold classes of several groups."""
     labelled = shared.join(groups, F.col("class_id") == F.col("node"), "left").select(
         "shingle", "class_id", "n", F.coalesce("component", "class_id").alias("label")
@@ -295,34 +329,15 @@ def second_round(shared: DataFrame, groups: DataFrame, docs: DataFrame, k: int,
         F.count("*").alias("members"), F.bit_xor(F.xxhash64("class_id")).alias("x1"), F.bit_xor(F.xxhash64("class_id", F.lit(1))).alias("x2"),
     ).where("low < high")
     open_blocks = open_blocks.groupBy("low", "high", "members", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle")
-    band = F.floor(F.log(F.col("n").cast("double")) / log(100 / share)).cast("int")
-    rows = labelled.join(open_blocks, "shingle").select(F.col("shingle").alias("block"), "class_id", "n", "label", band.alias("band"))
-    rows = written(rows, "open_blocks")
-    parts = rows.groupBy("block", "band").agg(F.ceil(F.sum("n") / WEIGHT).alias("parts"))
-    placed = rows.join(parts, ["block", "band"]).withColumn("part", F.pmod(F.xxhash64("class_id"), F.col("parts")))
-    placed = written(placed.drop("parts"), "placed")
-    # The upper levels of the trees: size range and group of each node; pairs of them that may hold a link.
-    node = ["block", "band", "part"]
-    nodes = placed.groupBy(*node).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("low"), F.max("label").alias("high")
-    )
-    left = nodes.select("block", *(F.col(c).alias(f"{c}_a") for c in nodes.columns if c != "block"))
-    right = nodes.select("block", *(F.col(c).alias(f"{c}_b") for c in nodes.columns if c != "block"))
-    # A link's sizes differ by less than one band's width, so they are in one band or in neighbouring ones.
-    ordered = (F.col("band_b") == F.col("band_a") + 1) | ((F.col("band_a") == F.col("band_b")) & (F.col("part_a") <= F.col("part_b")))
-    mixed = ~((F.col("low_a") == F.col("high_a")) & (F.col("low_b") == F.col("high_b")) & (F.col("low_a") == F.col("low_b")))
-    fits = (F.col("most_a") * 100 >= F.col("least_b") * share) & (F.col("most_b") * 100 >= F.col("least_a") * share)
-    pairs = left.join(right, "block").where(ordered & mixed & fits).select(
-        "block", "band_a", "part_a", "band_b", "part_b"
-    )
-    pairs = written(pairs, "node_pairs")
-    key = ["block", "band_a", "part_a", "band_b", "part_b"]
-    side_a = pairs.join(placed.withColumnsRenamed({"band": "band_a", "part": "part_a"}), ["block", "band_a", "part_a"])
-    side_b = pairs.where("band_a <> band_b OR part_a <> part_b").join(
-        placed.withColumnsRenamed({"band": "band_b", "part": "part_b"}), ["block", "band_b", "part_b"]
-    )
-    members = side_a.select(*key, "class_id", "label").unionByName(side_b.select(*key, "class_id", "label"))
-    return traversed(members, key, docs, k, share)
+    rows = labelled.join(open_blocks, "shingle").select(F.col("shingle").alias("block"), "class_id", "n", "label")
+    members, key = divided(rows, share, f"n - ceil(n * {share} / 100) + 1")
+    prefix = short.select("class_id", F.col("shingles").alias("payload"))
+    near = written(traversed(members, key, prefix, share, lambda part: np.sort(np.array(part, dtype=np.int64))), "near")
+    clusters = components(near)
+    known = labelled.select("class_id", "n", "label").distinct()
+    rows = clusters.join(known, F.col("node") == F.col("class_id")).select(F.col("component").alias("block"), "class_id", "n", "label")
+    members, key = divided(rows, share, "n")
+    return traversed(members, key, texts, share, lambda text: shingles(text, k))
 
 
 def join(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
@@ -344,12 +359,14 @@ def join(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
     classes = written(classes, "classes")
     late = frequent(passed)
     short = prefixes(docs, k, share, late).join(classes.select("class_id"), F.col("doc_id") == F.col("class_id"), "left_semi")
-    rows = written(short.select(F.col("doc_id").alias("class_id"), "n", F.explode("shingles").alias("shingle")), "prefixes")
+    short = written(short.withColumnRenamed("doc_id", "class_id"), "prefixes")
+    rows = short.select("class_id", "n", F.explode("shingles").alias("shingle"))
     met = rows.groupBy("shingle").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
     shared = written(rows.join(met.select("shingle"), "shingle").select("shingle", "class_id", "n"), "shared")
-    links = written(first_round(shared, docs, k, share), "links_one")
+    texts = docs.select(F.col("doc_id").alias("class_id"), F.col("text").alias("payload"))
+    links = written(first_round(shared, texts, k, share), "links_one")
     groups = components(links)
-    more = written(second_round(shared, groups, docs, k, share), "links_two")
+    more = written(second_round(shared, groups, short, texts, k, share), "links_two")
     groups = components(links.unionByName(more))
     of_class = classes.join(groups, F.col("class_id") == F.col("node"), "left").select(
         "d1", "d2", F.coalesce("component", "class_id").alias("class_component")

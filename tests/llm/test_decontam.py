@@ -1,0 +1,76 @@
+import random
+import re
+
+from samples import documents, odd_documents, prose
+
+from paytide.llm import decontam
+
+
+def items(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2) for r in rows], "item_id long, text string, seed int, shift int")
+
+
+def swapped(text, every):
+    return " ".join("zzz" if n % every == every - 1 else w for n, w in enumerate(text.split()))
+
+
+def found(df):
+    return {(r["doc_id"], r["item_id"]): (r["n_words"], r["n_same"], r["doc_word"], r["item_word"]) for r in df.collect()}
+
+
+def test_substitutions_cuts_and_clean_texts(spark):
+    tests = [(i, prose(i, 40, 5_000)) for i in range(5)] + [(5, prose(5, 9, 5_000)), (6, prose(6, 5, 5_000)), (7, None)]
+    text = dict(tests)
+    head, tail = prose(50, 30, 5_000), prose(51, 30, 5_000)
+    docs = [
+        (0, f"{head} {text[0].upper()}! {tail}"), (1, f"{head}, {swapped(text[1], 5)} {tail}"),
+        (2, f"{head} {swapped(text[2], 2)} {tail}"), (3, f"{head} {' '.join(text[3].split()[5:25])}"),
+        (4, f"{head} {' '.join(text[4].split()[:12])} {tail}"), (5, text[5]), (6, text[6] * 3), (8, f"{head} {tail}"),
+        (9, " ".join(text[0].split()[20:]) + f" {head} " + " ".join(text[0].split()[:20])),
+    ]
+    got = found(decontam.overlaps(documents(spark, docs), items(spark, tests)))
+    assert got[0, 0] == (40, 40, 30, 0)
+    assert got[1, 1] == (40, 32, 30, 0)
+    assert got[3, 3] == (20, 20, 30, 5)
+    assert got[5, 5] == (9, 9, 0, 0)
+    # Both halves of item 0 count by themselves; the first of equal stretches in the document is told.
+    assert got[9, 0] == (20, 20, 0, 20)
+    assert set(got) == {(0, 0), (1, 1), (3, 3), (5, 5), (9, 0)}
+
+
+def test_seeds_find_what_aligned_comparison_finds(spark):
+    """Every item with at most one word in five replaced is found, wherever the words are."""
+    rnd = random.Random(4)
+    tests = [(i, prose(100 + i, rnd.randint(20, 60), 3_000)) for i in range(30)]
+    docs = []
+    for i, text in tests:
+        words = text.split()
+        for n in rnd.sample(range(len(words)), len(words) // 6):
+            words[n] = "replaced"
+        docs.append((i, f"{prose(i, rnd.randint(0, 50), 3_000)} {' '.join(words)} {prose(i + 1, 20, 3_000)}"))
+    got = found(decontam.overlaps(documents(spark, docs), items(spark, tests)))
+    assert {(i, i) for i, _ in tests} == set(got)
+    for (d, i), (n, same, at, first) in got.items():
+        doc, item = (re.findall(r"\w+", t[d][1].lower()) for t in (docs, tests))
+        assert same == sum(a == b for a, b in zip(doc[at : at + n], item[first : first + n])) and 100 * same >= 80 * n
+
+
+def test_odd_rows_and_sides_that_are_not_sent(spark, monkeypatch):
+    docs = odd_documents(spark)
+    passage = " ".join(prose(2, 80).split()[10:50])
+    tests = items(spark, [(1, passage), (None, passage), (2, None), (3, ""), (1, passage)])
+    want = {(d, i): (40, 40, 10, 0) for d in (5, 6) for i in (1, None)}
+    assert found(decontam.overlaps(docs, tests)) == want
+    monkeypatch.setattr(decontam, "SENT_SEEDS", 0)
+    assert found(decontam.overlaps(docs, tests)) == want
+    kept = decontam.clean(docs, tests)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "4", "7", "8", "9", "None", "None"]
+    assert decontam.overlaps(docs.limit(0), tests).count() == 0
+    assert decontam.clean(docs, tests.limit(0)).count() == 12
+
+
+def test_no_python_in_the_plan(spark):
+    df = decontam.overlaps(odd_documents(spark), items(spark, [(1, "a b c d e f g h i j")]))
+    plan = df._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,0 +1,74 @@
+from collections import Counter
+
+from samples import odd_documents
+from pyspark.sql import functions as F
+
+from paytide.llm import langid
+from paytide.llm.queries import REGISTRY
+from paytide.llm.tables import table
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_grams(text):
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    line = " " + " ".join(words) + " "
+    return Counter(
+        line[i : i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1) if line[i : i + n] != " "
+    )
+
+
+def packed(gram):
+    return sum(ord(c) << (21 * i) for i, c in enumerate(gram))
+
+
+def ranks(counts, most=langid.RANKS):
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], packed(x[0])))[:most]]
+
+
+def test_rank_lists_and_distances_by_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    rows = docs.select("doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("out")).collect()
+    totals = {}
+    for r in rows:
+        if not r["out"]:
+            totals.setdefault(r["lang"], Counter()).update(plain_grams(r["text"]))
+    lists = {lang: {g: i for i, g in enumerate(ranks(c))} for lang, c in totals.items()}
+    told = {r["doc_id"]: r for r in REGISTRY["op5_language_id"](spark, SF).collect()}
+    assert len(told) == len(rows)
+    for r in rows[:60]:
+        mine = ranks(plain_grams(r["text"]))
+        apart = {
+            lang: sum(abs(places[g] - i) if g in places else langid.RANKS for i, g in enumerate(mine))
+            for lang, places in lists.items()
+        }
+        best = min(apart, key=lambda lang: (apart[lang], lang))
+        assert told[r["doc_id"]]["lang_pred"] == best
+        assert told[r["doc_id"]]["score"] == 1 - apart[best] / (langid.RANKS * len(mine))
+
+
+def test_held_out_accuracy(spark):
+    told = REGISTRY["op5_language_id"](spark, SF).join(table(spark, SF, "documents").select("doc_id", "lang"), "doc_id")
+    right = told.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.98
+
+
+def test_only_the_text_is_looked_at(spark):
+    docs = table(spark, SF, "documents").limit(100)
+    known = langid.profile(langid.learn(docs))
+    plain = {r["doc_id"]: r for r in langid.predict(docs, known).collect()}
+    other = docs.withColumns({"lang": F.lit("xx"), "source": F.lit("yy")})
+    assert {r["doc_id"]: r for r in langid.predict(other, known).collect()} == plain
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in langid.identify(docs).collect()} == {"und"}
+    taught = docs.withColumn("lang", F.when(F.col("doc_id") == 5, F.lit("aa")))
+    told = langid.identify(taught).collect()
+    assert len(told) == 12 and all(0 <= r["score"] <= 1 for r in told)
+    assert {r["lang_pred"] for r in told if r["doc_id"] in (1, 2, 3, 9)} == {"und"}
+    assert langid.identify(taught.limit(0)).count() == 0
+    kept = langid.keep_known(taught)
+    assert kept.columns == taught.columns
+    assert {r["lang"] for r in kept.collect()} == {"aa"}

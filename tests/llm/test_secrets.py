@@ -1,0 +1,106 @@
+import base64
+import bz2
+import gzip
+import hashlib
+import lzma
+import re
+import urllib.parse
+import zlib
+
+import pytest
+from samples import documents, odd_documents
+from pyspark.sql import functions as F
+
+from paytide.llm import secrets
+from paytide.llm.queries import REGISTRY
+from paytide.llm.tables import table
+
+SECRET = 'api_key: "Zx81qq7719"'
+
+
+def b64(raw):
+    return base64.b64encode(raw).decode()
+
+
+def spans(text):
+    return secrets.named(secrets.Worklist(text).spans()[1])
+
+
+def quoted(text):
+    return "".join(f"%{b:02X}" for b in text.encode())
+
+
+@pytest.mark.parametrize("wrap", [
+    quoted, urllib.parse.quote, lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: b64(t.encode()),
+    lambda t: base64.urlsafe_b64encode(t.encode()).decode(), lambda t: b64(gzip.compress(t.encode())),
+    lambda t: b64(zlib.compress(t.encode())), lambda t: b64(bz2.compress(t.encode())), lambda t: b64(lzma.compress(t.encode())),
+    lambda t: b64(gzip.compress(gzip.compress(t.encode()))), lambda t: b64(b64(t.encode()).encode()),
+    lambda t: quoted(b64(t.encode())), lambda t: b64(quoted(t).encode()), lambda t: quoted(quoted(t)),
+])
+def test_a_wrapped_secret_is_found_at_its_place(wrap):
+    inside = wrap(SECRET)
+    text = f"héad {inside} tail"
+    found = [s.split(":") for s in spans(text).split(",") if s]
+    assert found
+    # The assignment ends with its value, so the quote after it is outside; a stream is one span.
+    assert {(kind, int(a)) for kind, a, _ in found} == {("assign", 5)}
+    assert all(5 < int(b) <= 5 + len(inside) for _, _, b in found)
+    assert secrets.masked(text, secrets.Worklist(text).spans()[1], "#").startswith("héad #")
+
+
+def test_base64_spans_are_the_groups_of_the_characters():
+    text = b64(b"abc token=123456 xyz")
+    # Bytes 4 to 16 lie in the groups of four signs from 4 to 24.
+    assert spans(text) == "assign:4:24"
+
+
+def brute(text):
+    pattern = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A | re.I)
+    out = [(m.start(), 0, m.end()) for m in pattern.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def test_query_has_the_base_spans(spark):
+    sf = "/root/testdata/sf0.01"
+    told = {r["doc_id"]: r for r in REGISTRY["op7_secret_scan"](spark, sf).collect()}
+    for doc in table(spark, sf, "documents").collect():
+        base, r = brute(doc["text"] or ""), told[doc["doc_id"]]
+        assert r["base_sha256"] == hashlib.sha256(secrets.named(base).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == n for _, k, _ in base) for n in range(3)]
+        assert {s for s in secrets.named(base).split(",") if s} <= set(r["spans"].split(","))
+
+
+def test_letters_of_other_alphabets_are_no_keyword():
+    assert spans("ſecret=abcdef toKen=abcdef") == ""
+    assert spans("SECRET=abcdef") == "assign:0:13"
+
+
+def test_too_short_matches_are_consumed():
+    assert spans("token=abc token=abcdef") == "assign:10:22"
+    assert spans("token=token=abcdef") == "assign:0:18"
+
+
+def test_an_encoding_of_itself_ends():
+    text = "%2525252525" + " " + b64(b"%25") * 30
+    assert spans(text) == ""
+
+
+def test_bombs_are_bounded():
+    bomb = b64(zlib.compress(b"0 " * 5_000_000))
+    work = secrets.Worklist(bomb, layer_bytes=1 << 20)
+    work.spans()
+    assert work.truncated
+
+
+def test_redaction_and_odd_rows(spark):
+    docs = odd_documents(spark)
+    assert secrets.scan(docs).count() == 12
+    assert secrets.scan(docs.limit(0)).count() == 0
+    same = secrets.redact(docs)
+    assert same.columns == docs.columns and sorted(map(repr, same.collect())) == sorted(map(repr, docs.collect()))
+    leaky = documents(spark, [(1, "a token=abcdef b " + b64(b"password=hunter22")), (2, None)]).withColumn("n_chars", F.lit(5))
+    out = {r["doc_id"]: r for r in secrets.redact(leaky).collect()}
+    assert out[1]["text"].startswith("a [SECRET] b [SECRET]") and out[1]["n_chars"] == len(out[1]["text"])
+    assert out[2]["text"] is None and out[2]["n_chars"] == 5
