@@ -175,9 +175,8 @@ class Tree:
 class Groups:
     """Union-find whose roots are the smallest members."""
 
-    def __init__(self, labels: list[int]):
-        first: dict[int, int] = {}
-        self.parent = [first.setdefault(label, n) for n, label in enumerate(labels)]
+    def __init__(self, n: int):
+        self.parent = list(range(n))
 
     def root(self, n: int) -> int:
         while self.parent[n] != n:
@@ -206,15 +205,18 @@ def linked(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, share: int) -
 
 
 def traverse(sets: list[np.ndarray], sizes: list[int], labels: list[int], share: int) -> list[tuple[int, int]]:
-    """Links between records of different groups, enough of them to join all that are linked.
+    """Links between records with different labels, enough of them to join all that are so linked.
 
-    ``labels`` names the groups known before; records are (a, b) places in ``sets``.
+    ``labels`` names the groups known before: within one nothing is looked for. They join no records
+    here, because for parts a link is only a possible one, and who is in a group with one end of it
+    must still meet the other end. Links are (a, b) places in ``sets``.
     """
+    if len(set(labels)) < 2:
+        return []
     order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), sizes[i]))
     sets, sizes = [sets[i] for i in order], [sizes[i] for i in order]
-    groups = Groups([labels[i] for i in order])
-    if groups.one(range(len(sets))):
-        return []
+    groups = Groups(len(sets))
+    named = np.unique(np.array(labels, dtype=np.int64)[order], return_inverse=True)[1]
     middle = int(np.median([len(s) for s in sets]))
     tree = Tree(sets, np.array(sizes, dtype=np.int64), 1 << min(16, max(10, (8 * middle).bit_length())))
     out = []
@@ -222,12 +224,14 @@ def traverse(sets: list[np.ndarray], sizes: list[int], labels: list[int], share:
     while todo:
         level, a, b = todo.pop()
         if level == 0:
-            if a != b and groups.root(a) != groups.root(b) and tree.may_link(0, a, b, share):
+            if named[a] != named[b] and groups.root(a) != groups.root(b) and tree.may_link(0, a, b, share):
                 if linked(sets[a], sets[b], sizes[a], sizes[b], share):
                     groups.join(a, b)
                     out.append((order[a], order[b]))
             continue
-        if groups.one(tree.records(level, a), tree.records(level, b)) or (a != b and not tree.may_link(level, a, b, share)):
+        both = tree.records(level, a), tree.records(level, b)
+        known = {name for r in both for name in named[r.start : r.stop].tolist()}
+        if len(known) == 1 or groups.one(*both) or (a != b and not tree.may_link(level, a, b, share)):
             continue
         below_a, below_b = tree.children(level, a), tree.children(level, b)
         # What is popped first is pushed last: nodes with themselves, where most links are.

@@ -59,7 +59,7 @@ def families(seed):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("weight, seed, k, share", [(300_000, 1, 4, 85), (300, 2, 5, 80), (150, 3, 4, 85)])
+@pytest.mark.parametrize("weight, seed, k, share", [(300_000, 1, 4, 85), (300, 2, 5, 80), (150, 3, 4, 85), (300_000, 5, 4, 85), (200, 6, 5, 80)])
 def test_groups_by_brute_force(spark, monkeypatch, weight, seed, k, share):
     """Small weights divide every block into many nodes."""
     monkeypatch.setattr(jaccard, "WEIGHT", weight)
@@ -92,7 +92,7 @@ def test_traversal_finds_all_groups():
         rows = families(n + 10)[: rnd.randint(2, 60)]
         sets = [jaccard.shingles(t, 4) for _, t in rows]
         links = jaccard.traverse(sets, list(map(len, sets)), list(range(len(sets))), 85)
-        group = jaccard.Groups(list(range(len(sets))))
+        group = jaccard.Groups(len(sets))
         for a, b in links:
             assert jaccard.linked(sets[a], sets[b], len(sets[a]), len(sets[b]), 85)
             group.join(a, b)

@@ -73,7 +73,7 @@ def test_query_has_the_base_spans(spark):
 
 
 def test_letters_of_other_alphabets_are_no_keyword():
-    assert spans("ſecret=abcdef toKen=abcdef") == ""
+    assert spans("\u017fecret=abcdef to\u212aen=abcdef") == ""
     assert spans("SECRET=abcdef") == "assign:0:13"
 
 
