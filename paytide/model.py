@@ -47,10 +47,11 @@ STORED_FACT = schema(
 # In the archive each batch is a folder, so its id is a partition column.
 ARCHIVED_FACT = T.StructType([*STORED_FACT.fields, *schema("batch_id BIGINT").fields])
 
-# One row per archive run; a run counts only once its row is here.
+# One row per archive run; a run counts only once its row is here. ``whole`` tells that all rows of the batch left the
+# hot table; a snapshot also holds rows that stayed.
 MANIFEST = schema(
     """batch_id BIGINT, generation BIGINT, cutoff TIMESTAMP_NTZ, min_ts TIMESTAMP_NTZ, max_ts TIMESTAMP_NTZ,
-       rows BIGINT, kept BIGINT, expired BIGINT, checksum BIGINT"""
+       rows BIGINT, kept BIGINT, expired BIGINT, checksum BIGINT, whole BOOLEAN"""
 )
 
 CUSTOMERS = schema(

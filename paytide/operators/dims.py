@@ -67,5 +67,5 @@ def datetime_dim(fact: DataFrame, document: DataFrame) -> DataFrame:
         "day_of_week",
         "is_weekend",
         F.col("n").alias("transactions"),
-        amount_of(F.col("units")).alias("total_volume"),
+        amount_of().alias("total_volume"),
     )

@@ -21,12 +21,22 @@ def dedup_by_id(fact: DataFrame, key: str = "transaction_id") -> DataFrame:
     """One row per transaction, whatever the copies look like.
 
     The smallest row wins instead of the first: the result is the same after a lost executor is
-    replaced. Copies are combined inside the map tasks before the shuffle, so a transaction copied
-    many times is one row per task.
+    replaced. Ids are counted first, in a hash table with map-side combine; only rows whose id
+    occurs again are sorted and shuffled whole, and their copies are combined inside the map
+    tasks, so a transaction copied many times is one row per task. The other rows pass by.
     """
     rest = [c for c in fact.columns if c != key]
-    one = fact.groupBy(key, nameless(rest, key).alias("nameless")).agg(F.min(F.struct(*rest)).alias("row"))
-    return one.select(key, "row.*").select(*fact.columns)
+    named = fact.withColumn(WHOLE, nameless(rest, key))
+    repeated = named.groupBy(key, WHOLE).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = repeated.select(F.col(key).alias("copied id"), F.col(WHOLE).alias("copied row"))
+    same = F.col(key).eqNullSafe(F.col("copied id")) & F.col(WHOLE).eqNullSafe(F.col("copied row"))
+    copies = named.join(repeated, same, "left_semi").groupBy(key, WHOLE).agg(F.min(F.struct(*rest)).alias("row"))
+    once = named.join(repeated, same, "left_anti").select(*fact.columns)
+    return once.unionByName(copies.select(key, "row.*").select(*fact.columns))
+
+
+# A name no fact has; the text of a row without a key travels under it.
+WHOLE = "whole row"
 
 
 def expired(ts: Column | str, cutoff: Column) -> Column:

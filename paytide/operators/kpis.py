@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.money import amount_of, mean_of
 from ..model import KPI_TABLES
-from .totals import report, roll_up, totals
+from .totals import SUMS, report, roll_up, totals
 
 
 def kpi_global(fact: DataFrame) -> DataFrame:
@@ -57,8 +57,8 @@ def kpi_by_calendar(fact: DataFrame, calendar: DataFrame) -> DataFrame:
         "hour",
         "is_weekend",
         F.col("n").alias("transactions"),
-        amount_of(F.col("units")).alias("total_volume"),
-        mean_of(F.col("units"), F.col("n_priced")).alias("avg_value"),
+        amount_of().alias("total_volume"),
+        mean_of("n_priced").alias("avg_value"),
     )
 
 
@@ -73,11 +73,12 @@ def share(partials: DataFrame, methods: DataFrame) -> DataFrame:
     The window has no partition, but its input is one row per method.
     """
     rolled = roll_up(partials, methods, "payment_method_id", "method_type")
-    whole = F.sum("units").over(Window.partitionBy())
+    everything = Window.partitionBy()
+    whole = amount_of(F.sum("units").over(everything), F.sum("parts").over(everything))
     return rolled.select(
         "method_type",
-        amount_of(F.col("units")).alias("total_volume"),
-        F.try_divide(F.col("units").cast("double"), whole.cast("double")).alias("share"),
+        amount_of().alias("total_volume"),
+        F.try_divide(amount_of(), whole).alias("share"),
     )
 
 
@@ -91,19 +92,19 @@ def overview_cards(fact: DataFrame) -> DataFrame:
     ``avg_of_daily_avg`` is the unweighted mean of the daily means cut to an integer, as the
     dashboard shows it; ``avg_value`` is the mean over transactions.
     """
-    daily = totals(fact, "txn_date").withColumn("daily_avg", mean_of(F.col("units"), F.col("n_priced")))
+    daily = totals(fact, "txn_date").withColumn("daily_avg", mean_of("n_priced"))
     cards = daily.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_transactions"),
-        F.coalesce(F.sum("units"), F.lit(0)).alias("units"),
+        *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in SUMS],
         F.sum("n_priced").alias("n_priced"),
         F.coalesce(F.avg("daily_avg").cast("int"), F.lit(0)).alias("avg_of_daily_avg"),
     )
-    revenue = amount_of(F.col("units"))
+    revenue = amount_of()
     return cards.select(
         "total_transactions",
         revenue.alias("total_revenue"),
         "avg_of_daily_avg",
-        mean_of(F.col("units"), F.col("n_priced")).alias("avg_value"),
+        mean_of("n_priced").alias("avg_value"),
         F.format_number("total_transactions", 0).alias("transactions_text"),
         F.format_string("%.2f B", revenue / F.lit(1e9)).alias("revenue_text"),
     )

@@ -14,11 +14,10 @@ from math import ceil, floor
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.money import amount_of, mean_of, units_of
+from ..functions.money import mean_of, measured, sums
 
 BUCKETS = 4096
 SMALL = 100_000
-MILLI = 3
 SCHEMA = "transactions BIGINT, avg_latency DOUBLE, max_latency DOUBLE, p50_latency DOUBLE, p95_latency DOUBLE"
 
 
@@ -79,18 +78,18 @@ def quantiles(
 def kpi_latency(fact: DataFrame, column: str = "processing_time", small: int = SMALL) -> DataFrame:
     """One row: transactions, mean, maximum, exact median and 95th percentile.
 
-    NaN and infinity are no measurements; such rows count as transactions without one.
+    NaN and infinity are no measurements; such rows count as transactions without one, here as in the
+    approximate form.
     """
-    taken = F.col(column).cast("double")
-    values = fact.select(F.when(F.abs(taken) < F.lit(float("inf")), taken).alias("v"))
+    values = fact.select(measured(column).alias("v"))
     known = values.agg(
         F.count("*").alias("transactions"),
         F.count("v").alias("rows"),
-        F.sum(units_of("v", MILLI)).alias("units"),
+        *sums("v"),
         F.min("v").alias("low"),
         F.max("v").alias("high"),
     )
-    seen = known.withColumn("avg", mean_of(F.col("units"), F.col("rows"), MILLI)).first()
+    seen = known.withColumn("avg", mean_of("rows")).first()
     if seen.rows == 0:
         middle, tail = None, None
     else:
@@ -100,16 +99,16 @@ def kpi_latency(fact: DataFrame, column: str = "processing_time", small: int = S
 
 def kpi_latency_approx(fact: DataFrame, column: str = "processing_time", accuracy: int = 10_000) -> DataFrame:
     """The same row in one pass; each percentile is a value within ``1/accuracy`` of its rank."""
-    at = F.percentile_approx(column, [0.5, 0.95], accuracy)
-    return fact.agg(
+    at = F.percentile_approx("v", [0.5, 0.95], accuracy)
+    return fact.select(measured(column).alias("v")).agg(
         F.count("*").alias("transactions"),
-        amount_of(F.sum(units_of(column, MILLI)), MILLI).alias("total"),
-        F.count(column).alias("rows"),
-        F.max(column).alias("max_latency"),
+        *sums("v"),
+        F.count("v").alias("rows"),
+        F.max("v").alias("max_latency"),
         at.alias("at"),
     ).select(
         "transactions",
-        F.try_divide("total", F.col("rows").cast("double")).alias("avg_latency"),
+        mean_of("rows").alias("avg_latency"),
         "max_latency",
         F.col("at")[0].alias("p50_latency"),
         F.col("at")[1].alias("p95_latency"),

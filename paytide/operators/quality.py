@@ -8,13 +8,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clock import parse_time, typed_time
+from ..functions.money import unmeasured
 from ..model import FACT_KEYS, STATUSES
 
 REASONS = "reasons"
 
-# An amount beyond this has no exact sum in whole cents.
-LARGEST_AMOUNT = 9e16
-
 
 def checks() -> dict[str, Column]:
     """What can be wrong with a raw fact row: code -> condition, never NULL."""
@@ -22,7 +20,7 @@ def checks() -> dict[str, Column]:
     return {
         "bad_timestamp": parse_time("transaction_timestamp").isNull(),
         "null_key": reduce(or_, [F.col(key).isNull() for key in FACT_KEYS]),
-        "bad_amount": amount.isNull() | F.isnan(amount) | (amount < 0) | (amount > LARGEST_AMOUNT),
+        "bad_amount": amount.isNull() | unmeasured(amount) | (amount < 0),
         "unknown_status": status.isNull() | ~status.isin(*STATUSES),
     }
 
@@ -57,8 +55,15 @@ def ri_orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         known = part if known is None else known.unionAll(part)
     known = known.distinct().withColumn("known", F.lit(True))
     orphan = F.col("known").isNull() & F.col("key").isNotNull()
+    # Every key has its row, also over an empty fact: each starts with a count of no rows.
+    start = reduce(DataFrame.unionAll, [
+        fact.sparkSession.range(1).select(
+            F.lit(key).alias("dim"), F.lit(None).cast("bigint").alias("key"), F.lit(0).cast("bigint").alias("n")
+        )
+        for key in keys
+    ])
     return (
-        used.join(known, ["dim", "key"], "left")
+        used.unionByName(start).join(known, ["dim", "key"], "left")
         .groupBy("dim")
         .agg(
             F.count_if(orphan).alias("orphan_keys"),
@@ -85,13 +90,14 @@ def band(column: str, normal: tuple, fraud: tuple) -> Column:
 def label_consistency(fact: DataFrame) -> DataFrame:
     """How often each status goes with each combination of bands.
 
-    ``agrees`` is true when all three bands say what the status says.
+    ``agrees`` is true when all three bands say what the status says; nothing agrees with an unknown
+    status or none.
     """
     named = fact.select("status", *[band(*spec).alias(name) for name, spec in BANDS.items()])
-    expected = F.when(F.col("status") == "Fraud", "fraud").otherwise("normal")
+    expected = F.when(F.col("status") == "Fraud", "fraud").when(F.col("status") == "Success", "normal")
     agrees = F.lit(True)
     for name in BANDS:
-        agrees = agrees & (F.col(name) == expected)
+        agrees = agrees & F.col(name).eqNullSafe(expected)
     return named.groupBy("status", *BANDS).agg(F.count("*").alias("transactions")).withColumn("agrees", agrees)
 
 
@@ -114,6 +120,11 @@ def column_profile(df: DataFrame) -> DataFrame:
     """
     texts = df.select(*[_plain(name, kind).cast("string").alias(name) for name, kind in df.dtypes])
     values = texts.unpivot([], df.columns, "column", "value").groupBy("column", "value").agg(F.count("*").alias("n"))
+    # Every column has its row, also of an empty table: each starts with no rows.
+    names = F.explode(F.array(*map(F.lit, df.columns))).alias("column")
+    values = values.unionByName(
+        df.sparkSession.range(1).select(names, F.lit(None).cast("string").alias("value"), F.lit(0).cast("bigint").alias("n"))
+    )
     numeric = [name for name, kind in df.dtypes if kind.startswith(NUMERIC)]
     number = F.when(F.col("column").isin(*numeric), F.col("value").try_cast("double"))
     return values.groupBy("column").agg(

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.clock import moment
 from ..sources import HotStore, load_archive
-from .hot_cold import expired
+from .hot_cold import expired, hot_cold_union
 
 HOT_HOURS = 3
 HOT_BYTES = 300_000_000
@@ -54,17 +55,46 @@ def row_bytes() -> Column:
     return size.cast("bigint")
 
 
-def retain_by_size(fact: DataFrame, budget: int = HOT_BYTES) -> DataFrame:
-    """The newest whole hours that fit into a byte budget.
+def _edge(rows: DataFrame, unit: str, used: int, budget: int) -> tuple[datetime, int] | None:
+    """The newest bucket of time that does not fit whole, and the bytes that are used before it.
+
+    Only the sums per bucket are ordered, and one row reaches the driver.
+    """
+    bucket = F.date_trunc(unit, "ts").cast("timestamp_ntz").alias("bucket")
+    sizes = rows.groupBy(bucket).agg(F.sum(row_bytes()).alias("bytes"))
+    running = F.sum("bytes").over(Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0))
+    over = sizes.withColumn("running", running + used).where(F.col("running") > budget)
+    first = over.orderBy(F.desc("bucket")).first()
+    return None if first is None else (first.bucket, first.running - first.bytes)
+
+
+def split_by_size(fact: DataFrame, budget: int = HOT_BYTES) -> tuple[DataFrame, DataFrame, datetime | None]:
+    """(kept, the others, time from which all is kept): the newest rows that fit into a byte budget.
 
-    Only the per-hour sums are ordered. What they yield is one moment, and the rows are then
-    selected by a plain comparison.
+    Whole hours are taken as long as they fit, in the hour that does not fit whole minutes, and in
+    the minute that does not fit rows by time and id, so all that fits is kept and a busy
+    hour cannot empty the table. Rows without time are not kept. Without a budget overrun the time is None.
     """
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    per_hour = fact.where(F.col("ts").isNotNull()).groupBy(hour.alias("hour")).agg(F.sum(row_bytes()).alias("bytes"))
-    running = F.sum("bytes").over(Window.orderBy(F.desc("hour")).rowsBetween(Window.unboundedPreceding, 0))
-    fitting = per_hour.withColumn("running", running).where(F.col("running") <= budget)
-    return fact.where(F.col("ts") >= fitting.agg(F.min("hour")).scalar())
+    timed = fact.where(F.col("ts").isNotNull())
+    untimed = fact.where(F.col("ts").isNull())
+    hour = _edge(timed, "hour", 0, budget)
+    if hour is None:
+        return timed, untimed, None
+    inside = timed.where(since(timed, moment(hour[0])) & (F.col("ts") < moment(hour[0] + timedelta(hours=1))))
+    minute, used = _edge(inside, "minute", hour[1], budget)
+    start, end = moment(minute), moment(minute + timedelta(minutes=1))
+    # One minute of rows is ordered, none else.
+    newest = Window.orderBy(F.desc("ts"), F.asc_nulls_last("transaction_id")).rowsBetween(Window.unboundedPreceding, 0)
+    last = inside.where((F.col("ts") >= start) & (F.col("ts") < end))
+    fits = last.withColumn("fits", F.sum(row_bytes()).over(newest) + used <= budget)
+    newer, older = fact.where(since(fact, end)), timed.where(F.col("ts") < start)
+    kept = hot_cold_union(newer, fits.where("fits").drop("fits"))
+    return kept, hot_cold_union(older, fits.where("NOT fits").drop("fits"), untimed), minute + timedelta(minutes=1)
+
+
+def retain_by_size(fact: DataFrame, budget: int = HOT_BYTES) -> DataFrame:
+    """The newest rows that fit into a byte budget."""
+    return split_by_size(fact, budget)[0]
 
 
 def archive_manifest(fact: DataFrame, as_of: Column, cutoff: Column) -> DataFrame:
@@ -91,52 +121,72 @@ def stored_facts(df: DataFrame) -> DataFrame:
     )
 
 
-def archive_run(store: HotStore, as_of: datetime, hours: int = HOT_HOURS, snapshot: bool = False) -> bool:
+def archive_run(
+    store: HotStore, as_of: datetime, hours: int = HOT_HOURS, snapshot: bool = False, budget: int | None = None
+) -> bool:
     """Archive the hot table and trim it; False when there was nothing to do.
 
-    By default only the expired rows go to the archive, so hot and cold stay disjoint.
-    ``snapshot`` archives everything, including what stays live. The run reads
-    one unchanging generation throughout, checks what it wrote, and commits last.
+    By default only the expired rows go to the archive, so hot and cold stay disjoint. With a byte
+    budget, live rows that do not fit go there too. ``snapshot`` archives everything, including what
+    stays live. The run reads one unchanging generation throughout, compares what it wrote with what
+    it read, and commits last.
     """
     spark = store.spark
     done = {run.batch_id: run.generation for run in store.runs().select("batch_id", "generation").collect()}
     generation = max(done.values(), default=0)
     hot = store.at(generation)
-    rows = hot.count()
-    cutoff = moment(as_of - timedelta(hours=hours))
+    until = as_of - timedelta(hours=hours)
     batch_id = int(as_of.replace(tzinfo=timezone.utc).timestamp())
-    if rows == 0 or batch_id in done:
+    rows = hot.count() if batch_id not in done else 0
+    if rows == 0:
         return False
-    moved = store.write_batch(hot if snapshot else archive_expired(hot, cutoff), batch_id)
-    kept = store.write_generation(retain_hot(hot, cutoff), generation + 1)
-    kept_rows = kept.count()
-    batch = stored_facts(moved).first()
-    wanted = rows if snapshot else rows - kept_rows
-    if batch.rows != wanted:
-        raise RuntimeError(f"batch {batch_id} holds {batch.rows} rows instead of {wanted}; nothing was committed")
+    kept, moved = retain_hot(hot, moment(until)), archive_expired(hot, moment(until))
+    if budget is not None:
+        kept, over, all_from = split_by_size(kept, budget)
+        moved = hot_cold_union(moved, over)
+        until = until if all_from is None else max(until, all_from)
+    batch_rows = hot if snapshot else moved
+    wanted = stored_facts(batch_rows).first()
+    stored = stored_facts(store.write_batch(batch_rows, batch_id)).first()
+    if stored != wanted:
+        raise RuntimeError(f"batch {batch_id} holds {stored} instead of {wanted}; nothing was committed")
+    if store.origin is None:
+        kept_rows = store.write_generation(kept, generation + 1).count()
+    else:
+        kept_rows = kept.count() if snapshot else rows - wanted.rows
+    if not snapshot and kept_rows + wanted.rows != rows:
+        raise RuntimeError(f"{kept_rows} rows kept and {wanted.rows} archived of {rows}; nothing was committed")
     run = spark.range(1).select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.lit(generation + 1).cast("bigint").alias("generation"),
-        cutoff.alias("cutoff"),
-        moment(batch.min_ts).alias("min_ts"),
-        moment(batch.max_ts).alias("max_ts"),
+        moment(until).alias("cutoff"),
+        moment(wanted.min_ts).alias("min_ts"),
+        moment(wanted.max_ts).alias("max_ts"),
         F.lit(rows).cast("bigint").alias("rows"),
         F.lit(kept_rows).cast("bigint").alias("kept"),
         F.lit(rows - kept_rows).cast("bigint").alias("expired"),
-        F.lit(batch.checksum).cast("bigint").alias("checksum"),
+        F.lit(wanted.checksum).cast("bigint").alias("checksum"),
+        F.lit(not snapshot).alias("whole"),
     )
     store.commit(run)
     return True
 
 
 def archived_rows(store: HotStore, runs: DataFrame) -> DataFrame:
-    """What the batches of some runs hold of transactions that had expired at their run.
+    """What the batches of some runs hold of transactions that left the hot table at their run.
 
     A snapshot also holds what stayed live; the next batch or the live table has that, so nothing
-    is counted twice. The batch id is a folder, so only the folders of these runs are read.
+    is counted twice. The manifest has one row per run; its ids go into the scan as literals, so only
+    the folders of these runs are read and no batch becomes the key of a join.
     """
-    archived = load_archive(store.spark, store.archive_root).join(runs.select("batch_id", "cutoff"), "batch_id")
-    return archived.where(expired("ts", F.col("cutoff"))).drop("batch_id", "cutoff")
+    known = runs.select("batch_id", "cutoff", "whole").collect()
+    archived = load_archive(store.spark, store.archive_root).where(F.col("batch_id").isin([r.batch_id for r in known]))
+    snapshots = [r for r in known if not r.whole]
+    left = reduce(
+        lambda rest, r: F.when(F.col("batch_id") == r.batch_id, expired("ts", moment(r.cutoff))).otherwise(rest),
+        snapshots, F.lit(True),
+    )
+    return archived.where(left).drop("batch_id")
 
 
 def archived_once(store: HotStore) -> DataFrame:

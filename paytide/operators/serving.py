@@ -9,7 +9,7 @@ from ..functions.clock import parse_day
 from ..functions.money import amount_of, mean_of
 from ..model import KPI_TABLES
 from ..sources import Source
-from .totals import totals
+from .totals import SUMS, totals
 
 JSON = {"ignoreNullFields": "false"}
 
@@ -119,12 +119,12 @@ def kpi_run_history(fact: DataFrame, hours: int = 3) -> DataFrame:
     slot = (F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(period)) + 1) * period
     per_run = totals(fact.where(F.col("ts").isNotNull()), slot.alias("run_at"))
     so_far = Window.orderBy("run_at").rowsBetween(Window.unboundedPreceding, 0)
-    running = per_run.select("run_at", *[F.sum(m).over(so_far).alias(m) for m in ("n", "n_priced", "units")])
+    running = per_run.select("run_at", *[F.sum(m).over(so_far).alias(m) for m in ("n", "n_priced", *SUMS)])
     return running.select(
         F.timestamp_seconds("run_at").cast("timestamp_ntz").alias("run_ts"),
         F.col("n").alias("total_transactions"),
-        amount_of(F.col("units")).alias("total_volume"),
-        mean_of(F.col("units"), F.col("n_priced")).alias("avg_transaction_value"),
+        amount_of().alias("total_volume"),
+        mean_of("n_priced").alias("avg_transaction_value"),
     )
 
 

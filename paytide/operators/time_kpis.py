@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.money import amount_of
-from .totals import totals
+from .totals import SUMS, totals
 
 
 def bucketed(fact: DataFrame, unit: str) -> DataFrame:
@@ -24,12 +24,12 @@ def kpi_tpm(fact: DataFrame) -> DataFrame:
 def kpi_velocity(fact: DataFrame) -> DataFrame:
     """Revenue per hour and its change against the previous hour that had any."""
     in_time = Window.orderBy("hour")
-    delta = F.col("units") - F.lag("units").over(in_time)
+    change = [F.col(s) - F.lag(s).over(in_time) for s in SUMS]
     return bucketed(fact, "hour").select(
         "hour",
         F.col("n").alias("transactions"),
-        amount_of(F.col("units")).alias("revenue"),
-        amount_of(delta).alias("revenue_delta"),
+        amount_of().alias("revenue"),
+        amount_of(*change).alias("revenue_delta"),
     )
 
 

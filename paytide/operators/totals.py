@@ -12,18 +12,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.money import amount_of, mean_of, units_of
+from ..functions.money import amount_of, mean_of, measured, sums, unmeasured
 
 AMOUNT = "transaction_amount"
-MEASURES = ("n", "n_priced", "units", "n_fraud")
+MEASURES = ("n", "n_priced", "n_odd", "units", "parts", "n_fraud")
+# Sums that are NULL where nothing was measured.
+SUMS = ("units", "parts")
 
 
 def totals(fact: DataFrame, *keys: str | Column) -> DataFrame:
-    """Row count, count and sum of amounts, and fraud count per key. Unused ones are pruned."""
+    """Row count, count and sum of amounts, odd amounts, and fraud count per key. Unused ones are pruned."""
     return fact.groupBy(*keys).agg(
         F.count("*").alias("n"),
-        F.count(AMOUNT).alias("n_priced"),
-        F.sum(units_of(AMOUNT)).alias("units"),
+        F.count(measured(AMOUNT)).alias("n_priced"),
+        F.count_if(unmeasured(AMOUNT)).alias("n_odd"),
+        *sums(AMOUNT),
         F.count_if(F.col("status") == "Fraud").alias("n_fraud"),
     )
 
@@ -48,6 +51,6 @@ def report(partials: DataFrame, transactions: str, total: str, average: str, lab
     return partials.select(
         *columns,
         F.coalesce("n", F.lit(0)).cast("bigint").alias(transactions),
-        amount_of(F.col("units")).alias(total),
-        mean_of(F.col("units"), F.col("n_priced")).alias(average),
+        amount_of().alias(total),
+        mean_of("n_priced").alias(average),
     )

@@ -8,17 +8,22 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from .. import session
+from ..model import FACT
+from ..operators.quality import clean_valid, quarantine
 from ..operators.retention import HOT_HOURS, archive_run
-from ..sources import HotStore, Source, has_rows, load_hot
-from .refresh import load_model, refresh, refresh_store
+from ..sources import HotStore, Source, has_rows, load_hot, read_or_empty
+from ..streaming import live
+from ..streaming.run import drain, keep_running, read_feed, use_large_state
+from .refresh import load_dims, load_model, refresh, refresh_store
 
 
 def _parser(description: str) -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=description)
     parser.add_argument("--store", required=True, help="root of the hot store")
-    parser.add_argument("--hot", help="where the live table is before the first run, if not in the store")
+    parser.add_argument("--hot", help="where the live table is, if not in the store")
     parser.add_argument("--hot-format", help="format of that table (default: parquet)")
     parser.add_argument("--hot-option", action="append", default=[], metavar="NAME=VALUE", help="reader option")
+    parser.add_argument("--quarantine", help="take valid rows of that table only, and write the others here")
     return parser
 
 
@@ -26,7 +31,12 @@ def _store(spark: SparkSession, args: argparse.Namespace) -> HotStore:
     if args.hot is None and args.hot_format is None:
         return HotStore(spark, args.store)
     options = dict(option.split("=", 1) for option in args.hot_option)
-    return HotStore(spark, args.store, load_hot(spark, Source(args.hot, args.hot_format or "parquet", options)))
+    source = Source(args.hot, args.hot_format or "parquet", options)
+    if args.quarantine is None:
+        return HotStore(spark, args.store, load_hot(spark, source))
+    raw = read_or_empty(spark, source, FACT)
+    quarantine(raw).write.mode("overwrite").parquet(args.quarantine)
+    return HotStore(spark, args.store, clean_valid(raw))
 
 
 def archive(argv: list[str] | None = None) -> None:
@@ -34,11 +44,12 @@ def archive(argv: list[str] | None = None) -> None:
     parser = _parser("Archive expired transactions and trim the hot table.")
     parser.add_argument("--hours", type=int, default=HOT_HOURS, help="hours that stay hot")
     parser.add_argument("--snapshot", action="store_true", help="archive all rows, not only the expired")
+    parser.add_argument("--bytes", type=int, help="size of the hot table beyond which live rows are archived, too")
     parser.add_argument("--as-of", help="UTC time to use instead of now, yyyy-mm-ddThh:mm:ss")
     args = parser.parse_args(argv)
     spark = session.build("archive")
     now = datetime.fromisoformat(args.as_of) if args.as_of else datetime.now(timezone.utc).replace(tzinfo=None)
-    archive_run(_store(spark, args), now, args.hours, args.snapshot)
+    archive_run(_store(spark, args), now, args.hours, args.snapshot, args.bytes)
 
 
 def refresh_kpis(argv: list[str] | None = None) -> None:
@@ -53,9 +64,31 @@ def refresh_kpis(argv: list[str] | None = None) -> None:
     tables = load_model(store, args.dims)
     if not has_rows(tables["transactions_fact"]):
         return
-    names = {"merchant": "merchants_dim", "customer": "customers_dim", "payment": "payment_methods_dim"}
-    dims = {kpi: tables[name] for kpi, name in names.items()}
+    dims = load_dims(spark, args.dims)
     if args.full:
         refresh(tables["transactions_fact"], dims, args.out)
     else:
         refresh_store(store, dims, args.out)
+
+
+def stream(argv: list[str] | None = None) -> None:
+    """Take up new transactions at an interval, each once, and refresh all KPIs after each time."""
+    parser = argparse.ArgumentParser(description="Ingest a feed of transactions and keep the KPIs fresh.")
+    parser.add_argument("--feed", required=True, help="folder new files of transactions arrive in")
+    parser.add_argument("--feed-format", default="json", help="format of the files (default: json)")
+    parser.add_argument("--root", required=True, help="folder of the table, the archive and the stream's progress")
+    parser.add_argument("--dims", required=True, help="folder with one table per dimension")
+    parser.add_argument("--out", required=True, help="folder for the results")
+    parser.add_argument("--quarantine", help="folder for rows that are not valid; without it all rows are taken")
+    parser.add_argument("--every", default="3 hours", help="interval (default: 3 hours)")
+    parser.add_argument("--once", action="store_true", help="take up what is there, then stop")
+    args = parser.parse_args(argv)
+    spark = session.build("stream")
+    use_large_state(spark)
+    feed = read_feed(spark, args.feed, FACT, args.feed_format)
+    dims = load_dims(spark, args.dims)
+    writer = feed.writeStream.foreachBatch(live.ingest_and_refresh(args.root, dims, args.out, args.quarantine))
+    if args.once:
+        drain(writer, f"{args.root}/checkpoint")
+    else:
+        keep_running(writer, f"{args.root}/checkpoint", args.every).awaitTermination()

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.money import amount_of, mean_of
 from ..operators.enrich import LABELS
 from ..operators.kpis import percent
-from ..operators.totals import MEASURES, merge, totals
+from ..operators.totals import MEASURES, SUMS, merge, totals
 
 # A table of the fact's parents, and the key both share. It carries foreign keys the fact lacks.
 Header = tuple[DataFrame, str]
@@ -26,24 +26,40 @@ def _keys(kpis: Iterable[str]) -> list[Column]:
     return [F.col(LABELS[kpi][0]).cast("bigint").alias(kpi) for kpi in kpis]
 
 
-def _reduced(fact: DataFrame, kpis: list[str]) -> DataFrame:
-    """Totals per (kpi, key): one scan, and one row per distinct key leaves each map task."""
+def _reduced(fact: DataFrame, kpis: list[str], parent_key: str | None = None) -> DataFrame:
+    """Totals per (kpi, key): one scan, and one row per distinct key leaves each map task.
+
+    A parent's key is reduced in the same scan, as if it were a KPI of the name ``PARENT``.
+    """
     values = ["transaction_amount", "status"]
-    wide = fact.select(F.unix_date("txn_date").cast("bigint").alias("daily"), *_keys(kpis), *values)
-    return totals(wide.unpivot(values, ["daily", *kpis], "kpi", "key"), "kpi", "key")
+    parent = [] if parent_key is None else [F.col(parent_key).cast("bigint").alias(PARENT)]
+    wide = fact.select(F.unix_date("txn_date").cast("bigint").alias("daily"), *_keys(kpis), *parent, *values)
+    names = ["daily", *kpis, *([PARENT] if parent else [])]
+    return totals(wide.unpivot(values, names, "kpi", "key"), "kpi", "key")
+
 
+PARENT = "parent"
 
-def _reduced_by_parent(fact: DataFrame, kpis: list[str], header: Header) -> DataFrame:
-    """Totals per (kpi, key) for keys only the parent has.
 
-    The fact is reduced per parent before it meets the parents. This reads the amounts a second
-    time, which is cheaper than carrying parent keys through the same hash table as the few
-    keys of the other KPIs.
+def _through_parents(reduced: DataFrame, kpis: list[str], header: Header) -> DataFrame:
+    """Totals per parent turned into totals per key that only the parents have.
+
+    The other rows pass through the same join without a partner, spread by their own keys, so the
+    fact needs no second scan. A total without a parent is dropped, as by an inner join.
     """
     parents, parent_key = header
-    per_parent = totals(fact, parent_key).join(parents, parent_key)
-    measured = per_parent.select(*_keys(kpis), *MEASURES)
-    return merge(measured.unpivot(list(MEASURES), kpis, "kpi", "key"), "kpi", "key")
+    known = parents.select(
+        F.lit(True).alias("of_parent"), F.col(parent_key).cast("bigint").alias("parent_key"), *_keys(kpis)
+    )
+    is_parent = F.col("kpi") == PARENT
+    joined = reduced.join(
+        known, (is_parent == F.col("of_parent")) & (F.col("key") == F.col("parent_key")), "left"
+    )
+    own = F.array(F.struct("kpi", "key"))
+    theirs = F.array(*[F.struct(F.lit(k).alias("kpi"), F.col(k).alias("key")) for k in kpis])
+    places = F.when(~is_parent, own).when(F.col("of_parent"), theirs)
+    spread = joined.select(F.explode(places).alias("to"), *MEASURES).select("to.kpi", "to.key", *MEASURES)
+    return merge(spread, "kpi", "key")
 
 
 def _labels(dims: dict[str, DataFrame]) -> DataFrame:
@@ -67,8 +83,9 @@ def reduce_fact(fact: DataFrame, kpis: Iterable[str], header: Header | None = No
     """
     own = [kpi for kpi in kpis if header is None or LABELS[kpi][0] in fact.columns]
     theirs = [kpi for kpi in kpis if kpi not in own]
-    reduced = _reduced(fact, own)
-    return reduced.unionByName(_reduced_by_parent(fact, theirs, header)) if theirs else reduced
+    if not theirs:
+        return _reduced(fact, own)
+    return _through_parents(_reduced(fact, own, header[1]), theirs, header)
 
 
 def label_totals(reduced: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -86,7 +103,7 @@ def label_totals(reduced: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     whole = F.struct(F.lit("global").alias("kpi"), F.lit(None).cast("string").alias("dim_value"))
     places = F.when(daily, F.array(own_place, whole)).otherwise(F.array(own_place))
     spread = labelled.select(F.explode(places).alias("to"), *MEASURES).select("to.kpi", "to.dim_value", *MEASURES)
-    nothing = [F.lit(None if m == "units" else 0).cast("bigint").alias(m) for m in MEASURES]
+    nothing = [F.lit(None if m in SUMS else 0).cast("bigint").alias(m) for m in MEASURES]
     start = reduced.sparkSession.range(1).select(whole.kpi.alias("kpi"), whole.dim_value.alias("dim_value"), *nothing)
     return merge(spread.unionByName(start), "kpi", "dim_value")
 
@@ -97,8 +114,8 @@ def long_kpis(labelled: DataFrame) -> DataFrame:
         "kpi",
         "dim_value",
         F.col("n").alias("transactions"),
-        amount_of(F.col("units")).alias("total"),
-        mean_of(F.col("units"), F.col("n_priced")).alias("average"),
+        amount_of().alias("total"),
+        mean_of("n_priced").alias("average"),
     )
 
 

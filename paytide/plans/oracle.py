@@ -40,7 +40,8 @@ faulty AS (
          merchant_id, device_id, payment_method_id,
          CASE WHEN e % 97 = 0 THEN 'junk' ELSE transaction_timestamp END AS transaction_timestamp,
          CASE WHEN e % 89 = 0 THEN -transaction_amount ELSE transaction_amount END AS transaction_amount,
-         processing_time, fraud_score, status
+         processing_time, fraud_score,
+         CASE WHEN e % 71 = 0 THEN 'Pending' WHEN e % 73 = 0 THEN NULL ELSE status END AS status
   FROM (SELECT *, CAST(transaction_id AS BIGINT) AS e FROM feed)),
 checked AS (
   SELECT *, concat_ws(',',
@@ -70,11 +71,11 @@ copies AS (
 # ---- building blocks ----------------------------------------------------------------------
 
 
-def total(column: str = "transaction_amount", digits: int = 2) -> str:
+def total(column: str = "transaction_amount", digits: int = 6) -> str:
     return f"CAST(SUM(CAST({column} AS DECIMAL(18,{digits}))) AS DOUBLE)"
 
 
-def mean(column: str = "transaction_amount", digits: int = 2) -> str:
+def mean(column: str = "transaction_amount", digits: int = 6) -> str:
     return f"{total(column, digits)} / COUNT({column})"
 
 
@@ -139,6 +140,8 @@ def band(column: str, normal: tuple, fraud: tuple) -> str:
 ORACLE: dict[str, str] = {
     "kpi_global": f"""WITH {SALES}
 SELECT COUNT(*) AS total_transactions, {total()} AS total_volume, {mean()} AS avg_transaction_value FROM sales""",
+    "kpi_daily_fine": "WITH taxed AS (SELECT CAST(l_shipdate AS DATE) AS txn_date, l_extendedprice * (1 - l_discount) * (1 + l_tax)"
+    f" AS transaction_amount FROM lineitem) {DAILY.format('taxed')}",
     "kpi_daily": f"WITH {SALES}\n{DAILY.format('sales')}",
     "kpi_by_merchant_category": star("merchants", "merchant_id", "business_category", "total_revenue", "avg_ticket_size"),
     "kpi_by_customer_segment": star("customers", "customer_id", "customer_segment", "total_spend", "avg_spend"),
@@ -151,7 +154,7 @@ FROM feed GROUP BY ALL""",
     "kpi_all_one_pass": every_kpi(AMOUNTS, "merchant", "customer", "payment", "device"),
     "kpi_fraud_rate": every_kpi(FRAUD, "merchant", "customer", "payment", "device"),
     "kpi_latency": f"""WITH {SALES}
-SELECT COUNT(*) AS transactions, {mean("processing_time", 3)} AS avg_latency, MAX(processing_time) AS max_latency,
+SELECT COUNT(*) AS transactions, {mean("processing_time")} AS avg_latency, MAX(processing_time) AS max_latency,
   quantile_cont(processing_time, 0.5) AS p50_latency, quantile_cont(processing_time, 0.95) AS p95_latency
 FROM sales""",
     "kpi_tpm": f"""WITH {FEED}
@@ -159,7 +162,7 @@ SELECT date_trunc('minute', ts) AS "minute", COUNT(*) AS transactions FROM feed
     "kpi_velocity": f"""WITH {FEED},
 hourly AS (
   SELECT date_trunc('hour', ts) AS "hour", COUNT(*) AS transactions,
-         SUM(CAST(transaction_amount AS DECIMAL(18,2))) AS volume FROM feed GROUP BY 1)
+         SUM(CAST(transaction_amount AS DECIMAL(18,6))) AS volume FROM feed GROUP BY 1)
 SELECT "hour", transactions, CAST(volume AS DOUBLE) AS revenue,
   CAST(volume - LAG(volume) OVER (ORDER BY "hour") AS DOUBLE) AS revenue_delta
 FROM hourly""",
@@ -183,14 +186,20 @@ SELECT "hour", n AS fraud_transactions, trailing_mean FROM framed WHERE n > 2 *
     "archive_snapshot": f"WITH {FEED}\nSELECT {FEED_COLUMNS} FROM feed",
     "archive_expired": f"WITH {FEED}\nSELECT {FEED_COLUMNS} FROM feed WHERE ts < {AS_OF} - INTERVAL 3 HOURS",
     "retain_hot": f"WITH {FEED}\nSELECT {FEED_COLUMNS} FROM feed WHERE ts >= {AS_OF} - INTERVAL 3 HOURS",
+    "archive_two_runs_external": f"""WITH {FEED}
+SELECT transaction_id, ts, CASE
+    WHEN ts < TIMESTAMP '2024-01-09 21:00:00' AND CAST(transaction_id AS BIGINT) % 50 <> 0 THEN '2024-01-10'
+    WHEN ts < TIMESTAMP '2024-01-10' THEN '2024-01-20'
+    WHEN ts < TIMESTAMP '2024-01-19 21:00:00' AND CAST(transaction_id AS BIGINT) % 50 <> 0 THEN '2024-01-20'
+    ELSE 'hot' END AS place FROM feed""",
     "retain_by_size": f"""WITH {FEED},
 sized AS (
   SELECT transaction_id, ts, CAST(64 + strlen(transaction_id) + strlen(transaction_timestamp) + strlen(status) AS BIGINT)
          AS row_bytes FROM feed),
 running AS (
-  SELECT "hour", SUM(b) OVER (ORDER BY "hour" DESC) AS upto
-  FROM (SELECT date_trunc('hour', ts) AS "hour", SUM(row_bytes) AS b FROM sized GROUP BY 1))
-SELECT sized.* FROM sized JOIN running ON date_trunc('hour', ts) = "hour" WHERE upto <= 250000""",
+  SELECT *, SUM(row_bytes) OVER (ORDER BY ts DESC, transaction_id ROWS UNBOUNDED PRECEDING) AS upto,
+         SUM(row_bytes) OVER () AS everything FROM sized)
+SELECT transaction_id, ts, row_bytes, upto <= everything // 2000 AS tight FROM running WHERE upto <= everything // 7""",
     "archive_manifest": f"""WITH {FEED},
 run AS (SELECT MAX(ts) AS as_of FROM feed)
 SELECT CAST(floor(epoch(MAX(as_of))) AS BIGINT) AS batch_id, MAX(as_of) - INTERVAL 3 HOURS AS cutoff,
@@ -218,12 +227,13 @@ FROM checked WHERE reasons <> ''""",
     ),
     "label_consistency": f"""WITH {FEED},
 banded AS (
-  SELECT status, {band("transaction_amount", (10, 500), (5000, 20000))} AS amount_band,
+  SELECT CASE WHEN e % 71 = 0 THEN 'Pending' WHEN e % 73 = 0 THEN NULL ELSE status END AS status,
+    {band("transaction_amount", (10, 500), (5000, 20000))} AS amount_band,
     {band("processing_time", (50, 200), (1000, 3000))} AS latency_band,
-    {band("fraud_score", (0, 0.2), (0.8, 1.0))} AS score_band FROM feed)
-SELECT * EXCLUDE (wanted), amount_band = wanted AND latency_band = wanted AND score_band = wanted AS agrees FROM (
+    {band("fraud_score", (0, 0.2), (0.8, 1.0))} AS score_band FROM (SELECT *, CAST(transaction_id AS BIGINT) AS e FROM feed))
+SELECT * EXCLUDE (wanted), COALESCE(amount_band = wanted AND latency_band = wanted AND score_band = wanted, FALSE) AS agrees FROM (
   SELECT status, amount_band, latency_band, score_band, COUNT(*) AS transactions FROM banded GROUP BY ALL)
-JOIN (VALUES ('Fraud', 'fraud'), ('Success', 'normal')) w(status, wanted) USING (status)""",
+LEFT JOIN (VALUES ('Fraud', 'fraud'), ('Success', 'normal')) w(status, wanted) USING (status)""",
     "column_profile": f"WITH {FAULTY}\n"
     + "\nUNION ALL\n".join(
         profile(column, numeric)
@@ -274,7 +284,7 @@ FROM sales JOIN methods USING (payment_method_id) GROUP BY method_type""",
     "overview_cards": f"""WITH {SALES},
 daily AS (
   SELECT txn_date, COUNT(*) AS n, COUNT(transaction_amount) AS priced,
-         SUM(CAST(transaction_amount AS DECIMAL(18,2))) AS volume, {mean()} AS avg_value FROM sales GROUP BY txn_date)
+         SUM(CAST(transaction_amount AS DECIMAL(18,6))) AS volume, {mean()} AS avg_value FROM sales GROUP BY txn_date)
 SELECT CAST(SUM(n) AS BIGINT) AS total_transactions, CAST(SUM(volume) AS DOUBLE) AS total_revenue,
   CAST(trunc(AVG(avg_value)) AS INTEGER) AS avg_of_daily_avg, CAST(SUM(volume) AS DOUBLE) / SUM(priced) AS avg_value,
   format('{{:,}}', CAST(SUM(n) AS BIGINT)) AS transactions_text,
@@ -282,10 +292,10 @@ SELECT CAST(SUM(n) AS BIGINT) AS total_transactions, CAST(SUM(volume) AS DOUBLE)
 FROM daily""",
     "payment_share": f"""WITH {SALES}, {DIMS},
 volumes AS (
-  SELECT method_type, SUM(CAST(transaction_amount AS DECIMAL(18,2))) AS volume
+  SELECT method_type, SUM(CAST(transaction_amount AS DECIMAL(18,6))) AS volume
   FROM sales JOIN methods USING (payment_method_id) GROUP BY method_type)
 SELECT method_type, CAST(volume AS DOUBLE) AS total_volume,
-  CAST(volume * 100 AS DOUBLE) / CAST(SUM(volume) OVER () * 100 AS DOUBLE) AS share FROM volumes""",
+  CAST(volume AS DOUBLE) / CAST(SUM(volume) OVER () AS DOUBLE) AS share FROM volumes""",
     "latest_kpi_run": f"""WITH {FEED}
 SELECT time_bucket(INTERVAL 3 HOURS, MAX(ts)) + INTERVAL 3 HOURS AS run_ts, COUNT(*) AS total_transactions,
   {total()} AS total_volume, {mean()} AS avg_transaction_value FROM feed""",
@@ -311,7 +321,7 @@ SELECT * FROM (
     "stream_fraud": f"""WITH {FEED}
 SELECT * FROM (
   SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, {FRAUD},
-         {mean("processing_time", 3)} AS avg_latency FROM feed GROUP BY 1, 2) WHERE {CLOSED}""",
+         {mean("processing_time")} AS avg_latency FROM feed GROUP BY 1, 2) WHERE {CLOSED}""",
     "stream_kpi_segment": f"""WITH {FEED}, {DIMS}
 SELECT customer_segment, COUNT(*) AS transactions, {total()} AS total_spend, {mean()} AS avg_spend
 FROM feed JOIN customers USING (customer_id) GROUP BY customer_segment""",
@@ -320,3 +330,5 @@ SELECT transaction_id, ts, transaction_amount, business_category, customer_segme
 FROM feed LEFT JOIN merchants USING (merchant_id) LEFT JOIN customers USING (customer_id)
   LEFT JOIN methods USING (payment_method_id) LEFT JOIN devices USING (device_id)""",
 }
+
+ORACLE["stream_kpi_all"] = ORACLE["kpi_refresh_incremental"]

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import session
-from ..functions.clock import latest
+from ..functions.clock import latest, moment
 from ..model import KPI_TABLES
 from ..operators import dims as dim_ops
 from ..operators import hot_cold, kpis, latency, quality, retention, serving, time_kpis
@@ -24,7 +24,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 ID_TIME = ("transaction_id", "ts")
-SIZE_BUDGET = 250_000
 
 
 def query(fn: Query) -> Query:
@@ -63,6 +62,12 @@ def kpi_by_merchant_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.kpi_by_merchant_category(sample.order_lines(spark, sf_dir), sample.merchants(spark, sf_dir))
 
 
+@query
+def kpi_daily_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals of amounts with six decimals: price less discount plus tax."""
+    return kpis.kpi_daily(sample.taxed_lines(spark, sf_dir))
+
+
 def totals_by_header(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Totals per column of the order header: lines are reduced per order before they meet it."""
     per_order = totals(sample.order_lines(spark, sf_dir), "order_id")
@@ -203,10 +208,37 @@ def retain_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_rows(store.write_generation(kept, 1))
 
 
+@query
+def archive_two_runs_external(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A live table kept elsewhere over two archive runs, with new and late rows in between.
+
+    Every fiftieth transaction arrives one run late. Returns each transaction with the place it ends in.
+    """
+    root = session.work_path(spark, "archive_two_runs_external")
+    fact = sample.feed(spark, sf_dir)
+    late = F.col("transaction_id").cast("bigint") % 50 == 0
+    there = [
+        (F.col("ts") < moment(sample.RUNS[0])) & ~late,
+        (F.col("ts") < moment(sample.RUNS[0])) | ((F.col("ts") < moment(sample.RUNS[1])) & ~late),
+    ]
+    for run, arrived in zip(sample.RUNS, there):
+        retention.archive_run(HotStore(spark, root, fact.where(arrived)), datetime.fromisoformat(run))
+    store = HotStore(spark, root, fact)
+    hot = store.current().select(*ID_TIME, F.lit("hot").alias("place"))
+    batch = F.from_unixtime("batch_id", "yyyy-MM-dd")
+    return hot.unionByName(store.archive().select(*ID_TIME, batch.alias("place")))
+
+
 @query
 def retain_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = retention.retain_by_size(sample.feed(spark, sf_dir), SIZE_BUDGET)
-    return kept.select(*ID_TIME, retention.row_bytes().alias("row_bytes"))
+    """What a seventh of the bytes holds, and of that what a two-thousandth holds: less than the newest hour."""
+    fact = sample.feed(spark, sf_dir)
+    everything = fact.agg(F.sum(retention.row_bytes())).first()[0] or 0
+    kept = retention.retain_by_size(fact, everything // 7)
+    tight = retention.retain_by_size(fact, everything // 2000).select(F.col("transaction_id").alias("newest"), F.lit(True).alias("tight"))
+    return kept.join(tight, F.col("transaction_id") == F.col("newest"), "left").select(
+        *ID_TIME, retention.row_bytes().alias("row_bytes"), F.coalesce("tight", F.lit(False)).alias("tight")
+    )
 
 
 @query
@@ -242,7 +274,7 @@ def ri_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def label_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.label_consistency(sample.feed(spark, sf_dir))
+    return quality.label_consistency(sample.faulty_feed(spark, sf_dir).withColumn("transaction_amount", F.abs("transaction_amount")))
 
 
 @query
@@ -374,10 +406,25 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping snapshots and the live rows as one stream, each transaction kept once."""
-    first, second, live_rows = sample.overlapping(event_stream(spark, sf_dir))
-    once = live.live_dedup(first.unionByName(second).unionByName(live_rows))
-    return to_table(ntz(once), "stream_dedup").select("transaction_id", "ts", "transaction_amount", "status")
+    """Two overlapping snapshots and the live rows as a stream of files, newest first, each transaction kept once.
+
+    One file is one micro-batch, so nearly all rows of the later batches are late, and copies
+    come days after their originals.
+    """
+    root = session.work_path(spark, "stream_dedup")
+    first, second, live_rows = sample.overlapping(ntz(sample.feed(spark, sf_dir)))
+    for number, part in enumerate((live_rows, second, first)):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/files/part={number}")
+    files = read_feed(spark, f"{root}/files/*", first.schema, maxFilesPerTrigger="1")
+    return live.ingest(files, root).select("transaction_id", "ts", "transaction_amount", "status")
+
+
+@query
+def stream_kpi_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All KPIs, refreshed after each micro-batch of the stream."""
+    root = session.work_path(spark, "stream_kpi_all")
+    dims = all_dims(spark, sf_dir)
+    return live.live_kpis(event_stream(spark, sf_dir), root, dims)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..model import DIMENSIONS, KPI_TABLES, SERVING, schema
 from ..operators.enrich import LABELS
@@ -12,7 +12,7 @@ from ..operators.totals import merge
 from ..sources import HotStore, Source, load_dimension, read_or_empty, register
 from .one_pass import Header, kpi_all_one_pass, label_totals, long_kpis, reduce_fact
 
-TOTALS = schema("kpi STRING, key BIGINT, n BIGINT, n_priced BIGINT, units BIGINT, n_fraud BIGINT")
+TOTALS = schema("kpi STRING, key BIGINT, n BIGINT, n_priced BIGINT, n_odd BIGINT, units BIGINT, parts BIGINT, n_fraud BIGINT")
 LONG = "kpi STRING, dim_value STRING, transactions BIGINT, total DOUBLE, average DOUBLE"
 
 
@@ -48,7 +48,9 @@ def archived_totals(store: HotStore, now: int) -> DataFrame:
     spark, root = store.spark, f"{store.root}/totals"
     log = read_or_empty(spark, Source(f"{root}/log"), schema("generation BIGINT"))
     done = log.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
-    known = read_or_empty(spark, Source(f"{root}/generation={done}"), TOTALS)
+    stored = Source(f"{root}/generation={done}")
+    # Before the first refresh there are no totals; after it they must be there.
+    known = stored.read(spark, TOTALS) if done else read_or_empty(spark, stored, TOTALS)
     if now <= done:
         return known
     runs = store.runs().where(F.col("generation").between(done + 1, now))
@@ -84,6 +86,12 @@ def kpi_table(stored: DataFrame, kpi: str) -> DataFrame:
     return rows.select(value.alias(label), *columns).coalesce(1).sortWithinPartitions(*order)
 
 
+def load_dims(spark: SparkSession, dims_root: str) -> dict[str, DataFrame]:
+    """The dimensions of the KPI tables, by KPI."""
+    names = {"merchant": "merchants_dim", "customer": "customers_dim", "payment": "payment_methods_dim"}
+    return {kpi: load_dimension(spark, name, Source(f"{dims_root}/{name}")) for kpi, name in names.items()}
+
+
 def load_model(store: HotStore, dims_root: str) -> dict[str, DataFrame]:
     """The fact (hot and cold, each transaction once) and all dimensions, also as views for SQL."""
     tables = {"transactions_fact": archived_once(store)}

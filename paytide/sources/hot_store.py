@@ -3,7 +3,8 @@
 Hot data lives in numbered generations that are never rewritten in place. An archive run
 writes the next generation and an archive batch, then appends one manifest row. That row
 is the commit: readers take the generation it names and the batches it lists, so a run
-that dies half way leaves only folders nobody reads, and repeating it is safe.
+that dies half way leaves only folders nobody reads, and repeating it is safe. A live table kept elsewhere
+has no generations here; the manifest and the batches tell what of it is still live.
 There is one writer at a time: ingest pauses while a run switches generations.
 """
 
@@ -11,14 +12,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.clock import typed_time
+from ..functions.clock import moment, typed_time
 from ..model import MANIFEST, STORED_FACT
+from ..operators.hot_cold import expired, nameless
 from .tables import Source, load_archive, read_or_empty
 
 
 class HotStore:
     def __init__(self, spark: SparkSession, root: str, origin: DataFrame | None = None):
-        """``origin`` is a live table kept elsewhere: it is generation 0, and is never written to."""
+        """``origin`` is a live table kept elsewhere, which others write to and this store never does.
+
+        What is hot is then, at any time, what the origin holds less what was archived.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self.origin = origin
@@ -39,10 +44,32 @@ class HotStore:
 
     def at(self, generation: int) -> DataFrame:
         """The rows of a generation: an empty frame with the full schema when there are none."""
-        if generation == 0 and self.origin is not None:
-            return typed_time(self.origin).select(*STORED_FACT.names)
+        if self.origin is not None:
+            return self._left_in_origin(generation)
         return read_or_empty(self.spark, Source(self.generation_path(generation)), STORED_FACT)
 
+    def _left_in_origin(self, generation: int) -> DataFrame:
+        """Rows of the origin that no run up to this generation archived.
+
+        All at or after the last run's cutoff is live. What is older was archived, unless it arrived
+        late; ids tell, and are looked up in the committed batches of these rows' days alone.
+        """
+        rows = typed_time(self.origin).select(*STORED_FACT.names)
+        runs = self.runs().where(F.col("generation").between(1, generation)).select("batch_id", "cutoff").collect()
+        if not runs:
+            return rows
+        cutoff = moment(max(runs, key=lambda r: r.batch_id).cutoff)
+        old = rows.where(expired("ts", cutoff))
+        key = F.coalesce("transaction_id", nameless(STORED_FACT.names))
+        stored = load_archive(self.spark, self.archive_root).where(F.col("batch_id").isin([r.batch_id for r in runs]))
+        stored = stored.select("txn_date", key.alias("archived")).distinct()
+        late = old.withColumn("identity", key).join(
+            stored.withColumnRenamed("txn_date", "archived_day"),
+            F.col("txn_date").eqNullSafe(F.col("archived_day")) & (F.col("identity") == F.col("archived")), "left_anti",
+        )
+        fresh = (F.col("ts") >= cutoff) & (F.col("txn_date") >= cutoff.cast("date"))
+        return rows.where(fresh).unionByName(late.drop("identity"))
+
     def current(self) -> DataFrame:
         return self.at(self.generation())
 
@@ -51,11 +78,10 @@ class HotStore:
 
     def ingest(self, df: DataFrame) -> None:
         """Append transactions to the live generation."""
-        generation = self.generation()
-        if generation == 0 and self.origin is not None:
-            raise ValueError("the live table is kept elsewhere until the first run")
+        if self.origin is not None:
+            raise ValueError("the live table is kept elsewhere")
         rows = typed_time(df).select(*STORED_FACT.names)
-        rows.write.mode("append").parquet(self.generation_path(generation))
+        rows.write.mode("append").parquet(self.generation_path(self.generation()))
 
     def write_generation(self, df: DataFrame, generation: int) -> DataFrame:
         path = self.generation_path(generation)

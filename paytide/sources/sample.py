@@ -63,6 +63,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def taxed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by day with the amount that was paid for them."""
+    paid = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.to_date("l_shipdate").alias("txn_date"), paid.alias("transaction_amount"), status_of(F.col("l_returnflag") == "R").alias("status")
+    )
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
@@ -136,6 +144,7 @@ def faulty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transaction_timestamp": F.when(every(97), "junk").otherwise(F.col("transaction_timestamp")),
         "transaction_amount": F.when(every(89), -amount).otherwise(amount),
         "customer_id": customer,
+        "status": F.when(every(71), "Pending").when(every(73), None).otherwise(F.col("status")),
     })
 
 

@@ -2,32 +2,33 @@
 
 A feed has the event time in ``ts`` as TIMESTAMP (a watermark takes no TIMESTAMP_NTZ). Windows
 combine inside the map tasks, so a minute that holds a third of the feed is one row per task. A
-row later than the watermark is dropped here; the batch KPIs count it.
+row later than the watermark is missing from its closed window; ``ingest`` stores it, so the batch KPIs count it
+and ``late_rows`` tells how many there were.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import partial
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from ..functions.clock import latest
-from ..functions.money import amount_of, mean_of, units_of
+from ..functions.clock import latest, typed_time
+from ..functions.money import amount_of, mean_of, measured, sums
 from ..operators.enrich import enrich
-from ..operators.hot_cold import nameless
+from ..operators.hot_cold import dedup_by_id, nameless
 from ..operators.kpis import percent
-from ..operators.latency import MILLI
+from ..operators.quality import clean_valid, quarantine
 from ..operators.serving import serving_rows
 from ..operators.totals import merge, roll_up, totals
-from ..sources import Source, read_or_empty
+from ..model import STORED_FACT
+from ..plans.refresh import LONG, refresh_store
+from ..sources import HotStore, Source, read_or_empty
 from .run import drain, use_large_state
 
 LATENESS = "10 minutes"
-DEDUP_HORIZON = "3 hours"
-
 
 def _edges(grouped: DataFrame) -> DataFrame:
     """A result per window with the window's edges as columns."""
@@ -65,8 +66,8 @@ def live_fraud(feed: DataFrame, length: str = "1 hour", lateness: str = LATENESS
         lateness,
         F.count("*").alias("transactions"),
         F.count_if(F.col("status") == "Fraud").alias("fraud_transactions"),
-        F.sum(units_of("processing_time", MILLI)).alias("units"),
-        F.count("processing_time").alias("timed"),
+        *sums("processing_time"),
+        F.count(measured("processing_time")).alias("timed"),
     )
     return counted.select(
         "window_start",
@@ -74,29 +75,86 @@ def live_fraud(feed: DataFrame, length: str = "1 hour", lateness: str = LATENESS
         "transactions",
         "fraud_transactions",
         percent(F.col("fraud_transactions"), F.col("transactions")).alias("fraud_rate_pct"),
-        mean_of(F.col("units"), F.col("timed"), MILLI).alias("avg_latency"),
+        mean_of("timed").alias("avg_latency"),
     )
 
 
-def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of each identity within one Arrow batch."""
-    for batch in batches:
-        codes = batch.column("identity").dictionary_encode().indices
-        _values, first = np.unique(codes.to_numpy(zero_copy_only=False), return_index=True)
-        yield batch.take(pa.array(np.sort(first)))
+def identity() -> Column:
+    """A transaction's id; without one, the whole row stands for it."""
+    return F.coalesce("transaction_id", nameless(STORED_FACT.names))
+
+
+def ingested(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """The transactions of all micro-batches so far, or of those before a number."""
+    stored = read_or_empty(spark, Source(root), T.StructType([*STORED_FACT.fields, T.StructField("batch", T.LongType())]))
+    return (stored if before is None else stored.where(F.col("batch") < before)).drop("batch")
+
+
+def ingest_writer(root: str, rejected: str | None = None) -> Callable[[DataFrame, int], None]:
+    """What each micro-batch adds to the stored transactions: those that are not there yet.
+
+    Copies within the batch are collapsed with map-side combine; copies of stored transactions are
+    found by id among the stored rows of the batch's own days, which are folders. However late a
+    transaction is, it is stored, and ``late`` counts come from the table. A batch lands in the folder of its
+    number and compares itself with the batches before it only, so repeating it after a failure
+    replaces it by the same rows. With ``rejected``, only valid rows are stored; the others go to that
+    folder with what is wrong with them.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if rejected is not None:
+            quarantine(batch).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+            batch = clean_valid(batch)
+        rows = typed_time(batch)
+        rows = rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*STORED_FACT.names)
+        days = [r[0] for r in rows.select("txn_date").distinct().collect()]
+        known = ingested(spark, root, number)
+        same_days = F.col("txn_date").isin([d for d in days if d is not None])
+        known = known.where(same_days | F.col("txn_date").isNull() if None in days else same_days)
+        known = known.select(F.col("txn_date").alias("known_day"), identity().alias("known"))
+        fresh = dedup_by_id(rows).withColumn("identity", identity()).join(
+            known, F.col("txn_date").eqNullSafe(F.col("known_day")) & (F.col("identity") == F.col("known")), "left_anti"
+        )
+        out = fresh.drop("identity").hint("rebalance", "txn_date")
+        out.write.mode("overwrite").partitionBy("txn_date").parquet(f"{root}/batch={number}")
+
+    return write
 
 
-def live_dedup(feed: DataFrame, horizon: str = DEDUP_HORIZON, collapse: bool = True) -> DataFrame:
-    """Each transaction once, if its copies arrive within the horizon.
+def ingest(feed: DataFrame, root: str) -> DataFrame:
+    """Store all available transactions, each once, and return the table.
 
-    Streaming deduplication has no map-side step: all copies of an id would go to one task.
-    ``collapse`` removes the copies within each Arrow batch first, which leaves one row per ten
-    thousand of a massively redelivered transaction.
+    The table can be the origin of a ``HotStore``: the stream goes on while archive runs trim what counts as hot.
     """
-    marked = feed.withColumn("identity", F.coalesce(F.col("transaction_id"), nameless(feed.columns)))
-    if collapse:
-        marked = marked.mapInArrow(_first_copies, marked.schema)
-    return marked.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["identity"]).drop("identity")
+    use_large_state(feed.sparkSession)
+    drain(feed.writeStream.foreachBatch(ingest_writer(f"{root}/table")), f"{root}/checkpoint")
+    return ingested(feed.sparkSession, f"{root}/table")
+
+
+def late_rows(stored: DataFrame, behind: Column) -> DataFrame:
+    """Number of stored transactions before a moment, such as a watermark the windows have passed."""
+    return stored.agg(F.count_if(F.col("ts") < behind).alias("late_transactions"))
+
+
+def ingest_and_refresh(
+    root: str, dims: dict[str, DataFrame], out: str, rejected: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A micro-batch that stores its transactions and publishes all KPIs over hot and archive."""
+    add = ingest_writer(f"{root}/table", rejected)
+
+    def write(batch: DataFrame, number: int) -> None:
+        add(batch, number)
+        refresh_store(HotStore(batch.sparkSession, f"{root}/store", ingested(batch.sparkSession, f"{root}/table")), dims, out)
+
+    return write
+
+
+def live_kpis(feed: DataFrame, root: str, dims: dict[str, DataFrame]) -> DataFrame:
+    """Process all available transactions; the long KPI table after the last micro-batch."""
+    use_large_state(feed.sparkSession)
+    drain(feed.writeStream.foreachBatch(ingest_and_refresh(root, dims, f"{root}/out")), f"{root}/checkpoint")
+    return feed.sparkSession.read.schema(LONG).parquet(f"{root}/out/kpis")
 
 
 def live_enriched(feed: DataFrame, dims: dict[str, DataFrame], root: str) -> DataFrame:
@@ -116,13 +174,14 @@ def live_enriched(feed: DataFrame, dims: dict[str, DataFrame], root: str) -> Dat
     return feed.sparkSession.read.schema(schema).parquet(f"{root}/enriched")
 
 
-SEGMENTS = "customer_segment STRING, n BIGINT, n_priced BIGINT, units BIGINT, n_fraud BIGINT"
+SEGMENTS = "customer_segment STRING, n BIGINT, n_priced BIGINT, n_odd BIGINT, units BIGINT, parts BIGINT, n_fraud BIGINT"
 
 
 def segments_until(spark: SparkSession, root: str, number: int) -> DataFrame:
-    """Totals per segment after micro-batch ``number``; empty before the first."""
-    schema = StructType.fromDDL(SEGMENTS)
-    return read_or_empty(spark, Source(f"{root}/segments/batch={number}"), schema)
+    """Totals per segment after micro-batch ``number``; empty before the first, but never missing after it."""
+    stored = Source(f"{root}/segments/batch={number}")
+    read = stored.read if number >= 0 else partial(read_or_empty, source=stored)
+    return read(spark, schema=StructType.fromDDL(SEGMENTS))
 
 
 def segment_writer(customers: DataFrame, root: str) -> Callable[[DataFrame, int], None]:
@@ -143,8 +202,8 @@ def segment_writer(customers: DataFrame, root: str) -> Callable[[DataFrame, int]
             F.lit("customer").alias("kpi"),
             F.col("customer_segment").alias("dim_value"),
             F.col("n").alias("transactions"),
-            amount_of(F.col("units")).alias("total"),
-            mean_of(F.col("units"), F.col("n_priced")).alias("average"),
+            amount_of().alias("total"),
+            mean_of("n_priced").alias("average"),
         )
         serving_rows(kpi).write.mode("overwrite").parquet(f"{root}/serving/batch={number}")
 

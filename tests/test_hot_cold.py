@@ -148,12 +148,18 @@ def test_cutoff_dedup_equals_dedup_by_id(spark):
     same(once, hot_cold.dedup_by_id(hot_cold.hot_cold_union(live, first, second)))
 
 
-def test_size_budget_keeps_whole_newest_hours(spark):
+def test_size_budget_goes_on_within_the_hour(spark):
     facts = fact(spark, [txn(h, when=f"2024-01-01 {h:02d}:30:00") for h in range(10)])
     size = facts.select(retention.row_bytes()).first()[0]
     assert ids(retention.retain_by_size(facts, 3 * size + 1)) == ["t7", "t8", "t9"]
     assert ids(retention.retain_by_size(facts, size - 1)) == []
     assert retention.retain_by_size(facts).count() == 10
+    busy = fact(spark, [txn(h, when=f"2024-01-01 09:{h // 4:02d}:{h % 2:02d}") for h in range(10)] + [txn(11, when=None)])
+    for budget in range(11):
+        kept, others, _ = retention.split_by_size(busy, budget * size + 1)
+        newest = sorted(range(10), key=lambda h: (-(h // 4), -(h % 2), h))[:budget]
+        assert ids(kept) == sorted(f"t{h}" for h in newest)
+        same(kept.unionByName(others), busy)
 
 
 def test_live_count_includes_the_moment_itself(spark):
@@ -180,6 +186,24 @@ def test_live_table_kept_elsewhere(spark, tmp_path):
         store.ingest(live)
     assert retention.archive_run(store, NOW)
     assert store.current().count() == 4
-    store.ingest(fact(spark, [txn(50, when="2024-01-01 12:30:00")]))
-    assert store.current().count() == 5
-    same(retention.archived_once(store).where("transaction_id <> 't50'"), live.select(*STORED_FACT.names))
+    # New and late rows arrive in the live table, which still holds what was archived.
+    more = live.unionByName(fact(spark, [txn(50, when="2024-01-01 12:30:00"), txn(51, when="2024-01-01 00:10:00"), txn(52, when=None)]))
+    store = HotStore(spark, str(tmp_path), more)
+    assert store.current().count() == 7
+    same(retention.archived_once(store), more.select(*STORED_FACT.names))
+    assert retention.archive_run(store, NOW + timedelta(hours=2))
+    same(retention.archived_once(store), more.select(*STORED_FACT.names))
+    assert ids(store.current()) == ["t11", "t12", "t50"]
+
+
+@pytest.mark.parametrize("elsewhere", [False, True])
+def test_a_run_with_a_byte_budget(spark, tmp_path, elsewhere):
+    live = hourly(spark, 0, 13)
+    size = live.where("transaction_id = 't12'").select(retention.row_bytes()).first()[0]
+    store = HotStore(spark, str(tmp_path), live if elsewhere else None)
+    if not elsewhere:
+        store.ingest(live)
+    assert retention.archive_run(store, NOW, budget=2 * size + 1)
+    assert ids(store.current()) == ["t11", "t12"]
+    same(retention.archived_once(store), live.select(*STORED_FACT.names))
+    assert not retention.archive_run(store, NOW)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from paytide.operators import dims, kpis, time_kpis
 from paytide.operators.enrich import LABELS
 from paytide.operators.latency import BUCKETS, kpi_latency, kpi_latency_approx
+from paytide.operators.totals import totals
 from paytide.plans import one_pass
 from rows import CUSTOMERS, DEVICES, MERCHANTS, METHODS, at, fact, same, txn
 
@@ -208,13 +209,48 @@ def test_latency_of_nothing(spark):
     assert rows(kpi_latency(latency_fact(spark, []))) == [(0, None, None, None, None)]
 
 
-def test_units_are_exact_up_to_the_precision_of_double(spark):
-    from paytide.functions.money import amount_of, units_of
+def amounts(spark, values):
+    return fact(spark, [txn(n, amount=v) for n, v in enumerate(values)])
 
-    cents = spark.range(300_000).select((F.col("id") * F.col("id") * 997 + F.col("id")).alias("c"))
-    off = cents.where(units_of(F.col("c").cast("double") / 100.0) != F.col("c"))
-    assert off.take(1) == []
-    assert cents.where(amount_of(F.col("c")) != F.col("c").cast("double") / 100.0).take(1) == []
+
+@pytest.mark.parametrize("values, total, average", [
+    ([0.004] * 1000, 4.0, 0.004),
+    ([0.125, -0.125, 0.0000005, -0.0000005], 0.0, 0.0),
+    ([0.0000005], 0.000001, 0.000001),
+    ([-0.0], 0.0, 0.0),
+    ([float("nan"), float("inf"), float("-inf"), 2.5, 0.5], 3.0, 1.5),
+    ([1e17, 0.25], 1e17, 5e16),
+    ([1e17] * 40 + [0.5], 4e18, 4e18 / 41),
+    ([float("nan")], None, None),
+])
+def test_sums_keep_the_value_and_survive(spark, star, values, total, average):
+    got = kpis.kpi_global(amounts(spark, values)).first()
+    assert tuple(got) == (len(values), total, average)
+    long = {(r["kpi"], r["dim_value"]): r for r in one_pass.kpi_all_one_pass(amounts(spark, values), star).collect()}
+    assert long["global", None][2:] == (len(values), total, average)
+
+
+def test_odd_amounts_are_counted(spark):
+    got = totals(amounts(spark, [float("nan"), float("inf"), None, 1.0, 1e300])).first()
+    assert (got.n, got.n_priced, got.n_odd) == (5, 1, 3)
+
+
+def test_sums_equal_decimal_sums(spark):
+    from paytide.functions.money import amount_of, sums
+
+    values = spark.range(300_000).select(((F.col("id") * F.col("id") * 997 + F.col("id")).cast("double") / 1e6).alias("v"))
+    one = values.withColumn("exact", F.col("v").cast("decimal(38,6)")).groupBy(F.col("v")).agg(*sums("v"), F.sum("exact").alias("exact"))
+    assert one.where(amount_of() != F.col("exact").cast("double")).take(1) == []
+    whole = values.agg(*sums("v"), F.sum(F.col("v").cast("decimal(38,6)")).alias("exact"))
+    assert whole.where(amount_of() != F.col("exact").cast("double")).take(1) == []
+
+
+@pytest.mark.parametrize("operator", [kpi_latency, kpi_latency_approx])
+def test_latencies_that_are_small_large_or_none(spark, operator):
+    got = operator(latency_fact(spark, [0.0004] * 10)).first()
+    assert (got.avg_latency, got.max_latency, got.p95_latency) == (0.0004, 0.0004, 0.0004)
+    assert operator(latency_fact(spark, [1e17])).first().avg_latency == 1e17
+    assert operator(latency_fact(spark, [float("nan"), 3.0])).first().avg_latency == 3.0
 
 
 def test_approximate_percentile_is_near(spark):

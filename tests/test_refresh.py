@@ -1,5 +1,6 @@
 """The incremental refresh against a full one."""
 
+import shutil
 from datetime import timedelta
 
 import pytest
@@ -87,7 +88,7 @@ def test_a_refresh_that_dies_before_its_log_row_can_be_repeated(spark, tmp_path,
     store.ingest(rows)
     retention.archive_run(store, NOW)
     # Totals of a dead refresh: written, not logged, and wrong.
-    wrong = spark.createDataFrame([("daily", 1, 99, 99, 99, 99)], job.TOTALS)
+    wrong = spark.createDataFrame([("daily", 1, *[99] * (len(job.TOTALS) - 2))], job.TOTALS)
     wrong.write.parquet(f"{store.root}/totals/generation=1")
     stored, _serving = job.refresh_store(store, dims, str(tmp_path / "out"))
     same(stored, kpi_all_one_pass(rows, dims))
@@ -101,3 +102,13 @@ def test_a_changed_label_moves_the_past(spark, tmp_path, dims):
     dims["customer"] = spark.createDataFrame([(1, "Risky")], CUSTOMERS)
     stored, _serving = job.refresh_store(store, dims, str(tmp_path / "out"))
     assert [r.dim_value for r in stored.where("kpi = 'customer'").collect()] == ["Risky"]
+
+
+def test_lost_state_raises(spark, tmp_path):
+    store = HotStore(spark, str(tmp_path / "store"))
+    store.ingest(fact(spark, [txn(1), txn(2, when="2024-01-01 01:00:00")]))
+    retention.archive_run(store, at("2024-01-01 14:00:00"))
+    assert job.archived_totals(store, 1).count() > 0
+    shutil.rmtree(tmp_path / "store" / "totals" / "generation=1")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        job.archived_totals(store, 1).count()

@@ -1,7 +1,7 @@
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from paytide.functions.clock import moment
 from paytide.model import STORED_FACT
 from paytide.operators import kpis
 from paytide.operators.serving import load_kpi
@@ -89,21 +89,34 @@ def test_restarted_stream_appends_each_row_once(spark, feed, tmp_path):
     assert sorted(r.transaction_id for r in out.collect()) == ["t0", "t1", "t5"]
 
 
-@pytest.mark.parametrize("collapse", [True, False])
-def test_copies_within_and_across_batches_are_dropped(spark, feed, collapse):
+def test_each_transaction_is_stored_once_however_late(spark, feed, tmp_path):
     feed.add(minutes("10:00:00", "10:10:00") + [txn(0, when="2024-01-01 10:00:00")] * 500 + [txn(7, customer=None)] * 3)
+    live.ingest(feed.stream(), str(tmp_path / "in"))
     nameless = [(None, *txn(0, amount=float(n))[1:]) for n in (1, 2, 2)]
-    feed.add(minutes("10:00:00", "10:10:00") + minutes("10:20:00", start=50) + nameless)
-    once = live.live_dedup(feed.stream(), collapse=collapse).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = [tuple(r) for r in to_table(once, "dedup").collect()]
-    assert sorted(map(str, got)) == sorted(set(map(str, map(tuple, feed.all.collect()))))
-
-
-def test_collapse_keeps_first_copies_and_order():
-    batch = pa.RecordBatch.from_pydict({"identity": ["b", "c", "a", "b", "c", "a"], "n": [1, 2, 3, 4, 5, 6]})
-    (out,) = live._first_copies(iter([batch]))
-    assert out.to_pydict() == {"identity": ["b", "c", "a"], "n": [1, 2, 3]}
-    assert [b.num_rows for b in live._first_copies(iter([batch.slice(0, 0)]))] == [0]
+    late = [txn(90, when="2024-01-01 00:00:01"), txn(91, when=None)]
+    feed.add(minutes("10:00:00", "10:10:00") + minutes("10:20:00", start=50) + nameless + late)
+    live.ingest(feed.stream(), str(tmp_path / "in"))
+    feed.add(nameless + late)
+    stored = live.ingest(feed.stream(), str(tmp_path / "in"))
+    got = [tuple(r) for r in stored.select(*feed.all.columns).collect()]
+    want = feed.all.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    assert sorted(map(str, got)) == sorted(set(map(str, map(tuple, want.collect()))))
+    assert live.late_rows(stored, moment("2024-01-01 09:00:00")).first()[0] == 1
+
+
+def test_repeating_an_ingested_batch_replaces_it(spark, feed, tmp_path):
+    feed.add(minutes("10:00:00", "10:10:00"))
+    root = str(tmp_path / "table")
+    write = live.ingest_writer(root)
+    for number in (0, 1, 1, 0):
+        write(feed.all, number)
+    assert live.ingested(spark, root).count() == 2
+
+
+def test_missing_totals_raise(spark, tmp_path):
+    assert live.segments_until(spark, str(tmp_path), -1).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        live.segments_until(spark, str(tmp_path), 0).count()
 
 
 CUSTOMER_ROWS = [(1, "New"), (2, "Loyal"), (2, "Risky")]
