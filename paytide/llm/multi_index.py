@@ -31,7 +31,7 @@ SAMPLE = 20_000
 PROBES = 64
 # The measured share leaves some room above the recall that is asked for.
 RECALL = 0.97
-BLOCK = 2_048
+BLOCK = 8_192
 QUERIES = 1_024
 LARGEST_K = 256
 PASSES = 12
