@@ -11,9 +11,9 @@ together; a pair of nodes is left out if the largest overlap that its bitmaps an
 small for a link, or if all its records are in one group. What is left is compared exactly.
 
 A first round brings each class into one block, which finds most groups. A second takes all blocks in
-which classes of different groups are left; there the trees are built over the prefixes alone, and two
-sets may be linked only if their prefixes agree so far that the rest can make up for what differs. What
-hangs together by such pairs is a cluster, whose texts are compared as in the first round.
+which classes of different groups are left; there the trees are built over bitmaps of the prefixes alone,
+and two sets may be linked only if their prefixes agree so far that the rest can make up for what
+differs. What hangs together by such pairs is a cluster, whose texts are compared as in the first round.
 
 Blocks and clusters are divided by size band and by hash into nodes of bounded weight, and only pairs of
 nodes that can hold a link across groups are sent to a task, so neither a large group nor a frequent
@@ -24,11 +24,11 @@ Whole texts are compared; the comparison of shares is done in integers.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 from math import log
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -46,8 +46,7 @@ COUNTED_AT_ONCE = 3_000_000
 FAN = 8
 
 PASS_SCHEMA = "doc_id long, n long, d1 long, d2 long, shingle long, seen long"
-PREFIX_SCHEMA = "doc_id long, n long, shingles array<long>"
-LINK_ARROW = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+PREFIX_SCHEMA = "doc_id long, n long, shingles array<long>, bits binary"
 LINK_SCHEMA = "u long, v long"
 
 
@@ -109,7 +108,7 @@ def frequent(passed: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, share: int, late: np.ndarray) -> DataFrame:
-    """(doc_id, n, shingles): the shingles each document is brought together by."""
+    """(doc_id, n, shingles, bits): the shingles each document is brought together by, and their bitmap."""
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text in rows:
@@ -121,31 +120,46 @@ def prefixes(docs: DataFrame, k: int, share: int, late: np.ndarray) -> DataFrame
                 at = np.minimum(np.searchsorted(late, found), len(late) - 1)
                 is_late = late[at] == found
                 found = np.concatenate([found[~is_late], found[is_late]])
-            yield doc_id, len(found), found[:length].tolist()
+            yield doc_id, len(found), found[:length].tolist(), bitmap(found[:length], width(length)).tobytes()
 
     return map_rows(docs.select("doc_id", "text"), rows_of, PREFIX_SCHEMA, 5_000)
 
 
+def width(n: int) -> int:
+    """Bits for about n shingles: a power of two, so that bitmaps of different widths can be compared."""
+    return 1 << min(16, max(8, (4 * n).bit_length()))
+
+
+def bitmap(found: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap of shingles; the first bits of a hash are its place."""
+    places = found.view(np.uint64) >> np.uint64(64 - bits.bit_length() + 1)
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    np.bitwise_or.at(out, (places >> np.uint64(6)).astype(np.int64), np.uint64(1) << (places & np.uint64(63)))
+    return out
+
+
+def folded(raw: bytes, bits: int) -> np.ndarray:
+    """A stored bitmap at a smaller width: neighbouring bits become one."""
+    if len(raw) * 8 == bits:
+        return np.frombuffer(raw, dtype=np.uint64)
+    single = np.unpackbits(np.frombuffer(raw, dtype=np.uint8), bitorder="little").reshape(bits, -1).any(axis=1)
+    return np.packbits(single, bitorder="little").view(np.uint64)
+
+
 class Tree:
     """A signature tree over records sorted so that similar ones are neighbours.
 
-    A record is a set, or a part of one: ``sizes`` are the sizes of the whole sets. Level 0 holds the
+    A record is a set, or a part of one: ``known`` shingles of a set of ``sizes``. Level 0 holds the
     leaves. Nodes are numbered; a node's children and records are ranges.
     """
 
-    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, bits: int):
-        n = len(sets)
-        maps = np.zeros((n, bits // 64), dtype=np.uint64)
-        for row, s in enumerate(sets):
-            places = s.view(np.uint64) >> np.uint64(64 - bits.bit_length() + 1)
-            np.bitwise_or.at(maps[row], (places >> np.uint64(6)).astype(np.int64), np.uint64(1) << (places & np.uint64(63)))
-        known = np.array([len(s) for s in sets], dtype=np.int64)
+    def __init__(self, maps: np.ndarray, known: np.ndarray, sizes: np.ndarray):
         # Shingles of a record beyond its bits: so much more than the common bits two records may share.
         excess = known - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
         # Per level: bitmaps, least and largest size, largest excess, most shingles that the part lacks.
         level = (maps, sizes, sizes, excess, sizes - known)
         combine = (np.bitwise_or, np.minimum, np.maximum, np.maximum, np.maximum)
-        self.levels, self.steps, self.n = [level], [1], n
+        self.levels, self.steps, self.n = [level], [1], len(maps)
         while len(level[0]) > 1:
             starts = np.arange(0, len(level[0]), FAN)
             level = tuple(f.reduceat(values, starts, axis=0) for f, values in zip(combine, level))
@@ -193,44 +207,29 @@ class Groups:
         return all(self.root(n) == root for r in ranges for n in r)
 
 
-def linked(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, share: int) -> bool:
-    """Are two sets linked? Of parts: can their sets be linked?
-
-    The parts are the first shingles in one order, so all common shingles up to the nearer one of
-    the two ends are in both; beyond it there are no more than that set has left.
-    """
+def linked(a: np.ndarray, b: np.ndarray, share: int) -> bool:
     at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    overlap = int((b[at] == a).sum()) + max(size_a - len(a), size_b - len(b))
-    return (100 + share) * overlap >= share * (size_a + size_b)
+    overlap = int((b[at] == a).sum())
+    return (100 + share) * overlap >= share * (len(a) + len(b))
 
 
-def traverse(sets: list[np.ndarray], sizes: list[int], labels: list[int], share: int) -> list[tuple[int, int]]:
-    """Links between records with different labels, enough of them to join all that are so linked.
+def traverse(tree: Tree, labels: np.ndarray, share: int, confirmed: Callable[[int, int], bool]) -> Groups:
+    """Groups of records that are joined by links between different labels.
 
     ``labels`` names the groups known before: within one nothing is looked for. They join no records
-    here, because for parts a link is only a possible one, and who is in a group with one end of it
-    must still meet the other end. Links are (a, b) places in ``sets``.
+    here, because a link may be a possible one only, and who is in a group with one end of it must
+    still meet the other end.
     """
-    if len(set(labels)) < 2:
-        return []
-    order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), sizes[i]))
-    sets, sizes = [sets[i] for i in order], [sizes[i] for i in order]
-    groups = Groups(len(sets))
-    named = np.unique(np.array(labels, dtype=np.int64)[order], return_inverse=True)[1]
-    middle = int(np.median([len(s) for s in sets]))
-    tree = Tree(sets, np.array(sizes, dtype=np.int64), 1 << min(16, max(10, (8 * middle).bit_length())))
-    out = []
+    groups = Groups(tree.n)
     todo = [(tree.top(), 0, 0)]
     while todo:
         level, a, b = todo.pop()
         if level == 0:
-            if named[a] != named[b] and groups.root(a) != groups.root(b) and tree.may_link(0, a, b, share):
-                if linked(sets[a], sets[b], sizes[a], sizes[b], share):
-                    groups.join(a, b)
-                    out.append((order[a], order[b]))
+            if labels[a] != labels[b] and groups.root(a) != groups.root(b) and tree.may_link(0, a, b, share) and confirmed(a, b):
+                groups.join(a, b)
             continue
         both = tree.records(level, a), tree.records(level, b)
-        known = {name for r in both for name in named[r.start : r.stop].tolist()}
+        known = {name for r in both for name in labels[r.start : r.stop].tolist()}
         if len(known) == 1 or groups.one(*both) or (a != b and not tree.may_link(level, a, b, share)):
             continue
         below_a, below_b = tree.children(level, a), tree.children(level, b)
@@ -238,32 +237,64 @@ def traverse(sets: list[np.ndarray], sizes: list[int], labels: list[int], share:
         todo += [(level - 1, x, y) for x in below_a for y in below_b if a != b or x < y]
         if a == b:
             todo += [(level - 1, x, x) for x in below_a]
-    return out
+    return groups
+
+
+def compare_texts(rows: list[tuple], k: int, share: int) -> tuple[list[int], Groups]:
+    """Groups by exact links of records (class_id, label, n, text); the ids in the groups' order."""
+    records = [(shingles(text, k), class_id, label) for class_id, label, _, text in rows]
+    records.sort(key=lambda r: (int(r[0][0]), len(r[0]), r[1]))
+    sets, ids, labels = zip(*records)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    bits = 2 * width(int(np.median(sizes)))
+    tree = Tree(np.stack([bitmap(s, bits) for s in sets]), sizes, sizes)
+    return list(ids), traverse(tree, np.array(labels), share, lambda a, b: linked(sets[a], sets[b], share))
 
 
-def links_of(table: pa.Table, share: int, set_of) -> pa.Table:
-    """Links found among the rows (class_id, label, n, payload) of one task."""
-    columns = (table[c].to_pylist() for c in ("class_id", "label", "n", "payload"))
-    once = {class_id: rest for class_id, *rest in zip(*columns)}
-    ids = sorted(once)
-    found = []
-    if len(ids) > 1:
-        sets = [set_of(once[i][2]) for i in ids]
-        found = traverse(sets, [once[i][1] for i in ids], [once[i][0] for i in ids], share)
-    return pa.table([[ids[a] for a, _ in found], [ids[b] for _, b in found]], schema=LINK_ARROW)
+def compare_prefixes(rows: list[tuple], share: int) -> tuple[list[int], Groups]:
+    """Groups by possible links of records (class_id, label, n, bitmap of the prefix).
+
+    The prefixes are the first shingles in one order, so all common shingles up to the nearer one of
+    two prefixes' ends are in both; beyond it there are no more than that set has left.
+    """
+    rows = sorted(rows, key=lambda r: (r[3], r[0]))
+    ids, labels, sizes, raw = zip(*rows)
+    bits = 8 * min(map(len, raw))
+    sizes = np.array(sizes, dtype=np.int64)
+    known = sizes + sizes * share // -100 + 1
+    tree = Tree(np.stack([folded(r, bits) for r in raw]), known, sizes)
+    return list(ids), traverse(tree, np.array(labels), share, lambda a, b: True)
+
+
+def stars(rows: Iterator[tuple], keys: int, compare) -> Iterator[tuple]:
+    """Of rows sorted by their first ``keys`` columns: each joined record and the least id of its group."""
+    for _, group in groupby(rows, key=lambda r: r[:keys]):
+        records = list({r[keys]: r[keys:] for r in group}.values())
+        if len(records) < 2:
+            continue
+        ids, groups = compare(records)
+        members: dict[int, list[int]] = {}
+        for place, class_id in enumerate(ids):
+            members.setdefault(groups.root(place), []).append(class_id)
+        for joined in members.values():
+            least = min(joined)
+            yield from ((class_id, least) for class_id in joined if class_id != least)
 
 
-def traversed(members: DataFrame, keys: list[str], payload: DataFrame, share: int, set_of) -> DataFrame:
-    """Links within every group of ``keys`` of ``members`` (keys, class_id, label, n).
+def traversed(members: DataFrame, keys: list[str], payload: DataFrame, compare) -> DataFrame:
+    """(u, v): what ``compare`` joins in every group of ``keys`` of ``members`` (keys, class_id, label, n).
 
-    ``payload`` (class_id, payload) has what ``set_of`` makes a record of. The ids are sent to its scan
-    if they are few enough, so only what is needed is shuffled; else both sides are.
+    ``payload`` (class_id, payload) has what records are made of. The ids are sent to its scan if they
+    are few enough, so only what is needed is shuffled; else both sides are. A task reads its groups
+    one after the other.
     """
     ids = members.select("class_id").distinct()
     if ids.limit(SENT_IDS + 1).count() <= SENT_IDS:
         payload = payload.join(F.broadcast(ids), "class_id", "left_semi")
     full = members.join(payload, "class_id").select(*keys, "class_id", "label", "n", "payload")
-    return full.groupBy(*keys).applyInArrow(lambda table: links_of(table, share, set_of), LINK_SCHEMA)
+    sorted_groups = full.repartition(*keys).sortWithinPartitions(*keys)
+    n_keys = len(keys)
+    return map_rows(sorted_groups, lambda rows: stars(rows, n_keys, compare), LINK_SCHEMA)
 
 
 def divided(rows: DataFrame, share: int, weight: str) -> tuple[DataFrame, list[str]]:
@@ -318,7 +349,7 @@ def first_round(shared: DataFrame, texts: DataFrame, k: int, share: int) -> Data
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "leader.*"
     )
     members = rows.unionByName(leaders).withColumn("label", F.col("class_id"))
-    return traversed(members, ["block", "part"], texts, share, lambda text: shingles(text, k))
+    return traversed(members, ["block", "part"], texts, lambda rows: compare_texts(rows, k, share))
 
 
 def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
@@ -335,13 +366,13 @@ def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts:
     open_blocks = open_blocks.groupBy("low", "high", "members", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle")
     rows = labelled.join(open_blocks, "shingle").select(F.col("shingle").alias("block"), "class_id", "n", "label")
     members, key = divided(rows, share, f"n - ceil(n * {share} / 100) + 1")
-    prefix = short.select("class_id", F.col("shingles").alias("payload"))
-    near = written(traversed(members, key, prefix, share, lambda part: np.sort(np.array(part, dtype=np.int64))), "near")
+    prefix = short.select("class_id", F.col("bits").alias("payload"))
+    near = written(traversed(members, key, prefix, lambda rows: compare_prefixes(rows, share)).distinct(), "near")
     clusters = components(near)
     known = labelled.select("class_id", "n", "label").distinct()
     rows = clusters.join(known, F.col("node") == F.col("class_id")).select(F.col("component").alias("block"), "class_id", "n", "label")
     members, key = divided(rows, share, "n")
-    return traversed(members, key, texts, share, lambda text: shingles(text, k))
+    return traversed(members, key, texts, lambda rows: compare_texts(rows, k, share))
 
 
 def join(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:

@@ -90,15 +90,10 @@ def test_traversal_finds_all_groups():
     rnd = random.Random(5)
     for n in range(60):
         rows = families(n + 10)[: rnd.randint(2, 60)]
-        sets = [jaccard.shingles(t, 4) for _, t in rows]
-        links = jaccard.traverse(sets, list(map(len, sets)), list(range(len(sets))), 85)
-        group = jaccard.Groups(len(sets))
-        for a, b in links:
-            assert jaccard.linked(sets[a], sets[b], len(sets[a]), len(sets[b]), 85)
-            group.join(a, b)
+        ids, groups = jaccard.compare_texts([(i, i, 0, t) for i, t in rows], 4, 85)
         want = brute(rows, 4, 85)
-        mine = [group.root(i) for i in range(len(rows))]
-        theirs = [want[i][1] for i, _ in rows]
+        mine = [groups.root(place) for place in range(len(ids))]
+        theirs = [want[i][1] for i in ids]
         assert len(set(zip(mine, theirs))) == len(set(mine)) == len(set(theirs))
 
 
@@ -108,12 +103,21 @@ def test_bitmaps_never_prune_a_link():
         whole = np.unique(rnd.integers(-(2**63), 2**63 - 1, 400))
         sets = [np.sort(rnd.choice(whole, rnd.integers(1, 300), replace=False)) for _ in range(2)]
         sizes = np.array(list(map(len, sets)))
-        if jaccard.linked(*sets, *sizes, 50):
-            assert jaccard.Tree(sets, sizes, 1024).may_link(0, 0, 1, 50)
-            # The parts the blocks are made of, in one order.
+        if jaccard.linked(*sets, 50):
+            assert jaccard.Tree(np.stack([jaccard.bitmap(s, 1024) for s in sets]), sizes, sizes).may_link(0, 0, 1, 50)
+            # The parts the blocks are made of, in one order, with bitmaps of different widths.
             parts = [s[: len(s) - jaccard.needed(len(s), 50) + 1] for s in sets]
-            assert jaccard.linked(*parts, *sizes, 50)
-            assert jaccard.Tree(parts, sizes, 1024).may_link(0, 0, 1, 50)
+            raw = [jaccard.bitmap(p, jaccard.width(len(p))).tobytes() for p in parts]
+            ids, groups = jaccard.compare_prefixes([(i, i, len(s), r) for i, (s, r) in enumerate(zip(sets, raw))], 50)
+            assert groups.root(0) == groups.root(1)
+
+
+def test_folding_is_a_bitmap_of_the_smaller_width():
+    rnd = np.random.default_rng(6)
+    found = rnd.integers(-(2**63), 2**63 - 1, 200)
+    wide = jaccard.bitmap(found, 2048).tobytes()
+    for bits in (256, 512, 2048):
+        assert (jaccard.folded(wide, bits) == jaccard.bitmap(found, bits)).all()
 
 
 def test_odd_rows(spark):
