@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.clock import parse_day
 from ..functions.money import amount_of
 from .totals import totals
 
@@ -13,6 +14,18 @@ DAYS_OF_WEEK = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 WEEKEND_FLAGS = {"Sat": True, "Sun": True}
 
 
+def merchant_tenure(merchants: DataFrame, today: Column) -> DataFrame:
+    """Typed registration day, days since then, and the dispute rate to two decimals, half away from zero.
+
+    A day that does not parse is NULL, and so is the tenure.
+    """
+    day = parse_day("registration_date")
+    return merchants.select(
+        "merchant_id", day.alias("registration_date"), F.date_diff(today, day).alias("tenure_days"),
+        F.round("avg_dispute_rate", 2).alias("avg_dispute_rate"),
+    )
+
+
 def dim_upsert(base: DataFrame, updates: DataFrame, key: str, version: str = "version", sets: str = "sets") -> DataFrame:
     """Apply partial updates to a dimension (overwrite in place, no history).
 

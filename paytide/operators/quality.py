@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clock import parse_time, typed_time
 from ..functions.money import unmeasured
-from ..model import FACT_KEYS, STATUSES
+from ..model import FACT, FACT_KEYS, STATUSES
 
 REASONS = "reasons"
 
@@ -29,6 +29,12 @@ def faulty() -> Column:
     return reduce(or_, checks().values())
 
 
+def typed_numbers(raw: DataFrame) -> DataFrame:
+    """A raw feed whose fields may all be text, with the fact's types; what is no number becomes NULL."""
+    kinds = {f.name: f.dataType for f in FACT}
+    return raw.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in raw.columns])
+
+
 def clean_valid(fact: DataFrame) -> DataFrame:
     """Rows that pass every check, with typed time. A narrow step: no shuffle."""
     return typed_time(fact.where(~faulty()))

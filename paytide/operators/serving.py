@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -58,6 +60,18 @@ def load_kpi(serving: DataFrame, kpi: str) -> DataFrame:
     return found.select(F.inline(F.from_json("payload", PAYLOADS[kpi])))
 
 
+def served_elements(serving: DataFrame) -> DataFrame:
+    """(key, position, label, transactions) of every element of the served arrays, in the order they are served."""
+    parts = []
+    for kpi, (_table, key, label, n, _total, _average) in KPI_TABLES.items():
+        found = serving.where(F.col("key") == key).select(F.posexplode(F.from_json("payload", PAYLOADS[kpi])).alias("position", "e"))
+        value = F.lit(None) if label is None else F.col(f"e.{label}")
+        parts.append(found.select(
+            F.lit(key).alias("key"), "position", value.cast("string").alias("label"), F.col(f"e.{n}").alias("transactions")
+        ))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def load_kpi_long(serving: DataFrame, kpi: str) -> DataFrame:
     """A KPI from its serving row in the long form (kpi, dim_value, transactions, total, average)."""
     _table, _key, label, n, total, average = KPI_TABLES[kpi]

@@ -332,3 +332,25 @@ FROM feed LEFT JOIN merchants USING (merchant_id) LEFT JOIN customers USING (cus
 }
 
 ORACLE["stream_kpi_all"] = ORACLE["kpi_refresh_incremental"]
+
+ORACLE["serving_order"] = f"""SELECT 'kpi:' || kpi AS "key", dim_value AS label, transactions,
+  CAST(row_number() OVER (PARTITION BY kpi ORDER BY CASE WHEN kpi <> 'daily' THEN -total END, dim_value) - 1 AS INTEGER) AS "position"
+FROM ({every_kpi(AMOUNTS, "merchant", "customer", "payment")})"""
+
+ORACLE["kpi_sql_views"] = f"""WITH {FEED}, {DIMS}
+SELECT customer_segment, status, COUNT(*) AS transactions, MAX(transaction_amount) AS largest,
+  COUNT(DISTINCT merchant_id) AS merchants
+FROM feed JOIN customers USING (customer_id) GROUP BY ALL"""
+
+ORACLE["kpi_table_text_days"] = ORACLE["kpi_daily"]
+
+ORACLE["merchant_tenure"] = """SELECT s_suppkey AS merchant_id, day AS registration_date,
+  CAST(DATE '2024-01-01' - day AS INTEGER) AS tenure_days, round(s_acctbal / 7, 2) AS avg_dispute_rate
+FROM (SELECT *, CASE WHEN s_suppkey % 17 = 0 OR s_suppkey % 19 = 0 THEN NULL
+                     ELSE DATE '2020-01-01' + CAST(s_suppkey % 1000 AS INTEGER) END AS day FROM supplier)"""
+
+ORACLE["feed_try_cast"] = f"""WITH {FEED}
+SELECT transaction_id, CASE WHEN e % 59 <> 0 THEN customer_id END AS customer_id,
+  CASE WHEN e % 61 <> 0 THEN transaction_amount END AS transaction_amount,
+  CASE WHEN e % 67 <> 0 THEN processing_time END AS processing_time, fraud_score
+FROM (SELECT *, CAST(transaction_id AS BIGINT) AS e FROM feed)"""

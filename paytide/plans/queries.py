@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import session
 from ..functions.clock import latest, moment
-from ..model import KPI_TABLES
+from ..model import KPI_TABLES, schema
 from ..operators import dims as dim_ops
 from ..operators import hot_cold, kpis, latency, quality, retention, serving, time_kpis
 from ..operators.totals import roll_up, totals
-from ..sources import HotStore, sample
+from ..sources import HotStore, Source, sample
 from ..streaming import live
 from ..streaming.run import read_feed, to_table
 from . import one_pass
-from .refresh import archived_totals, refresh, refresh_store
+from .refresh import archived_totals, load_model, refresh, refresh_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -343,6 +343,56 @@ def serving_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, [serving.load_kpi_long(rows, kpi) for kpi in KPI_TABLES])
 
 
+@query
+def serving_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served arrays element by element: days ascend, other KPIs descend by total."""
+    _stored, rows = refreshed(spark, sf_dir, "serving_order")
+    return serving.served_elements(rows)
+
+
+@query
+def kpi_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain SQL over the model of a store, its tables read with their declared schemas."""
+    root = session.work_path(spark, "kpi_sql_views")
+    tables = {
+        "customers_dim": sample.customers(spark, sf_dir), "merchants_dim": sample.merchants(spark, sf_dir),
+        "devices_dim": sample.devices(spark, sf_dir), "payment_methods_dim": sample.payment_methods(spark, sf_dir),
+    }
+    for name, dim in tables.items():
+        Source(f"{root}/dims/{name}").write(dim)
+    store = HotStore(spark, f"{root}/store", sample.feed(spark, sf_dir))
+    retention.archive_run(store, datetime.fromisoformat(sample.RUNS[0]))
+    load_model(store, f"{root}/dims")
+    return spark.sql(
+        """SELECT customer_segment, status, count(*) AS transactions, max(transaction_amount) AS largest,
+                  count(DISTINCT merchant_id) AS merchants
+           FROM transactions_fact INNER JOIN customers_dim USING (customer_id) GROUP BY customer_segment, status"""
+    )
+
+
+@query
+def kpi_table_text_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily KPI from a store that keeps days as text."""
+    path = session.work_path(spark, "kpi_table_text_days")
+    daily = kpis.kpi_daily(sample.order_lines(spark, sf_dir))
+    text = Source(path, "json")
+    text.write(daily.withColumn("txn_date", F.col("txn_date").cast("string")))
+    columns = schema("txn_date STRING, transactions BIGINT, total_volume DOUBLE, avg_value DOUBLE")
+    return serving.load_kpi_table(spark, text, columns)
+
+
+@query
+def merchant_tenure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    today = F.lit("2024-01-01").cast("date")
+    return dim_ops.merchant_tenure(sample.registered_merchants(spark, sf_dir), today)
+
+
+@query
+def feed_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = quality.typed_numbers(sample.text_feed(spark, sf_dir))
+    return typed.select("transaction_id", "customer_id", "transaction_amount", "processing_time", "fraud_score")
+
+
 @query
 def chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the dashboard's charts draw, from the stored KPIs."""

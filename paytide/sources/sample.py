@@ -93,6 +93,26 @@ def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def registered_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchants with a registration day as text, some of it broken, and a dispute rate."""
+    key = F.col("s_suppkey")
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (key % 1000).cast("int")).cast("string")
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("merchant_id"), F.when(key % 17 == 0, "2021-02-30").when(key % 19 == 0, None).otherwise(day).alias("registration_date"),
+        (F.col("s_acctbal") / 7).alias("avg_dispute_rate"),
+    )
+
+
+def text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with every field as text, some of the numbers broken."""
+    event = F.col("transaction_id").cast("bigint")
+    columns = {c: F.col(c).cast("string") for c in FEED_COLUMNS[:-2]}
+    columns["transaction_amount"] = F.when(event % 61 == 0, "n/a").otherwise(columns["transaction_amount"])
+    columns["processing_time"] = F.when(event % 67 == 0, "").otherwise(columns["processing_time"])
+    columns["customer_id"] = F.when(event % 59 == 0, "12x").otherwise(columns["customer_id"])
+    return feed(spark, sf_dir).select(*[c.alias(name) for name, c in columns.items()])
+
+
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("device_id"), F.col("p_type").alias("device_type"), F.col("p_brand").alias("os")
