@@ -2,80 +2,86 @@
 
 Spark's exact ``percentile`` keeps every distinct value of the column in one aggregation
 buffer, which a continuous column at scale does not fit. ``quantiles`` gets the same exact values
-by narrowing: count the rows per equal-width bucket, keep the bucket that holds the wanted
-rank, repeat inside it. A pass is one scan of one column whose shuffle is at most ``BUCKETS`` rows
-per task, and it divides the range by ``BUCKETS``, so two or three passes are enough for any realistic
-column. A value that a third of the rows share ends the search as soon as it is alone in its bucket.
+by narrowing: count the rows per equal-width bucket, keep the buckets that hold the wanted
+ranks, repeat inside them. A pass is one scan of one column for all open brackets together, its shuffle
+is at most ``BUCKETS`` rows per task and bracket, and it divides a range by ``BUCKETS``, so two or three
+passes are enough for any realistic column. The least and the largest value of a bracket are never in one
+bucket, so each pass gets on; a value that a third of the rows share ends the search once it is alone.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, floor
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.money import mean_of, measured, sums
 
 BUCKETS = 4096
-SMALL = 100_000
 SCHEMA = "transactions BIGINT, avg_latency DOUBLE, max_latency DOUBLE, p50_latency DOUBLE, p95_latency DOUBLE"
 
 
-def _histogram(values: DataFrame, low: float, high: float) -> list:
-    """(rows, smallest, largest) of every non-empty bucket between two values, ascending."""
-    width = (high - low) / BUCKETS
-    bucket = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(BUCKETS - 1))
+class Bracket(NamedTuple):
+    """Values between two, the rows below them, and the 0-based ranks that fall among them."""
+
+    low: float
+    high: float
+    below: int
+    ranks: list[int]
+
+
+def _histogram(values: DataFrame, brackets: list[Bracket]) -> list:
+    """(bracket, rows, smallest, largest) of every non-empty bucket of every bracket, ascending."""
+    number = reduce(
+        lambda rest, at: F.when(F.col("v").between(brackets[at].low, brackets[at].high), at).otherwise(rest),
+        range(len(brackets)), F.lit(None).cast("int"),
+    )
+    at = F.col("bracket") + 1
+    low, high = (F.element_at(F.array(*[F.lit(edge) for edge in edges]), at) for edges in zip(*[b[:2] for b in brackets]))
+    bucket = F.least(F.floor((F.col("v") - low) / (high - low) * F.lit(float(BUCKETS))), F.lit(BUCKETS - 1))
     return (
-        values.where(F.col("v").between(low, high))
-        .groupBy(bucket.alias("bucket"))
+        values.withColumn("bracket", number)
+        .where(F.col("bracket").isNotNull())
+        .groupBy("bracket", bucket.alias("bucket"))
         .agg(F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
-        .orderBy("bucket")
+        .orderBy("bracket", "bucket")
         .collect()
     )
 
 
-def _pick(values: DataFrame, low: float, high: float, ranks: list[int]) -> dict[int, float]:
-    """Values at some ranks of a bracket known to hold at most ``SMALL`` distinct values."""
-    counts = values.where(F.col("v").between(low, high)).groupBy("v").count()
-    upto = F.sum("count").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    row = counts.withColumn("upto", upto).agg(
-        *[F.min(F.when(F.col("upto") > rank, F.col("v"))) for rank in ranks]
-    ).first()
-    return dict(zip(ranks, row))
-
-
-def _values_at(
-    values: DataFrame, low: float, high: float, rows: int, ranks: list[int], small: int
-) -> dict[int, float]:
-    """Values at 0-based ranks among the ``rows`` rows between two values."""
-    if low == high:
-        return dict.fromkeys(ranks, low)
-    if rows <= small or (high - low) / BUCKETS == 0.0:
-        return _pick(values, low, high, ranks)
+def _values_at(values: DataFrame, whole: Bracket) -> dict[int, float]:
+    """The values at the ranks of a bracket."""
     found: dict[int, float] = {}
-    below = 0
-    for part in _histogram(values, low, high):
-        inside = [r - below for r in ranks if below <= r < below + part.rows]
-        if inside:
-            part_values = _values_at(values, part.low, part.high, part.rows, inside, small)
-            found.update({r + below: v for r, v in part_values.items()})
-        below += part.rows
+    todo = [whole]
+    while todo:
+        found.update({rank: b.low for b in todo if b.low == b.high for rank in b.ranks})
+        todo = [b for b in todo if b.low < b.high]
+        if not todo:
+            break
+        narrower, below = [], {at: b.below for at, b in enumerate(todo)}
+        for part in _histogram(values, todo):
+            start = below[part.bracket]
+            inside = [r for r in todo[part.bracket].ranks if start <= r < start + part.rows]
+            if inside:
+                narrower.append(Bracket(part.low, part.high, start, inside))
+            below[part.bracket] = start + part.rows
+        todo = narrower
     return found
 
 
-def quantiles(
-    values: DataFrame, low: float, high: float, rows: int, probabilities: list[float], small: int = SMALL
-) -> list[float]:
+def quantiles(values: DataFrame, low: float, high: float, rows: int, probabilities: list[float]) -> list[float]:
     """Exact interpolated quantiles of the column ``v`` whose minimum, maximum and count are known."""
     positions = [(rows - 1) * p for p in probabilities]
     ranks = sorted({edge(at) for at in positions for edge in (floor, ceil)})
-    found = _values_at(values, low, high, rows, ranks, small)
+    found = _values_at(values, Bracket(low, high, 0, ranks))
     return [
         found[floor(at)] + (found[ceil(at)] - found[floor(at)]) * (at - floor(at)) for at in positions
     ]
 
 
-def kpi_latency(fact: DataFrame, column: str = "processing_time", small: int = SMALL) -> DataFrame:
+def kpi_latency(fact: DataFrame, column: str = "processing_time") -> DataFrame:
     """One row: transactions, mean, maximum, exact median and 95th percentile.
 
     NaN and infinity are no measurements; such rows count as transactions without one, here as in the
@@ -93,7 +99,7 @@ def kpi_latency(fact: DataFrame, column: str = "processing_time", small: int = S
     if seen.rows == 0:
         middle, tail = None, None
     else:
-        middle, tail = quantiles(values, seen.low, seen.high, seen.rows, [0.5, 0.95], small)
+        middle, tail = quantiles(values, seen.low, seen.high, seen.rows, [0.5, 0.95])
     return fact.sparkSession.createDataFrame([(seen.transactions, seen.avg, seen.high, middle, tail)], SCHEMA)
 
 

@@ -183,7 +183,7 @@ def test_narrowing_finds_exact_percentiles(spark, values):
     import numpy as np
 
     known = [v for v in values if v is not None]
-    got = kpi_latency(latency_fact(spark, values), small=3).first()
+    got = kpi_latency(latency_fact(spark, values)).first()
     assert got.transactions == len(values)
     assert got.max_latency == max(known)
     for at_p, have in ((0.5, got.p50_latency), (0.95, got.p95_latency)):
@@ -194,14 +194,14 @@ def test_narrowing_over_random_values(spark):
     import numpy as np
 
     values = np.random.default_rng(5).lognormal(3, 2, 60_000)
-    got = kpi_latency(spark.createDataFrame([(float(v),) for v in values], "processing_time DOUBLE"), small=20).first()
+    got = kpi_latency(spark.createDataFrame([(float(v),) for v in values], "processing_time DOUBLE")).first()
     assert math.isclose(got.p50_latency, float(np.quantile(values, 0.5)), rel_tol=1e-12)
     assert math.isclose(got.p95_latency, float(np.quantile(values, 0.95)), rel_tol=1e-12)
     assert len(values) > BUCKETS
 
 
 def test_nan_and_infinity_are_no_measurements(spark):
-    got = kpi_latency(latency_fact(spark, [1.0, float("nan"), 3.0, float("inf")]), small=1).first()
+    got = kpi_latency(latency_fact(spark, [1.0, float("nan"), 3.0, float("inf")])).first()
     assert (got.transactions, got.avg_latency, got.max_latency, got.p50_latency) == (4, 2.0, 3.0, 2.0)
 
 
