@@ -36,7 +36,7 @@ from .components import components
 from .tables import SENT_IDS, drop_ids, map_rows, written
 
 # Shingles per task of one traversal, and per node of a divided block.
-WEIGHT = 300_000
+WEIGHT = 1_000_000
 # Shingles the order puts last: the most frequent ones. The number bounds a list that every task gets;
 # which shingles are on it changes the work, not the result.
 FREQUENT = 1 << 17
@@ -126,8 +126,11 @@ def prefixes(docs: DataFrame, k: int, share: int, late: np.ndarray) -> DataFrame
 
 
 def width(n: int) -> int:
-    """Bits for about n shingles: a power of two, so that bitmaps of different widths can be compared."""
-    return 1 << min(16, max(8, (4 * n).bit_length()))
+    """Bits for about n shingles: a power of two, so that bitmaps of different widths can be compared.
+
+    With sixteen bits or more for each shingle hardly any two share one, so bounds are nearly counts.
+    """
+    return 1 << min(16, max(8, (16 * n).bit_length() - 1))
 
 
 def bitmap(found: np.ndarray, bits: int) -> np.ndarray:
@@ -185,6 +188,15 @@ class Tree:
         overlap = min(common + max(rest[a], rest[b]), high[a], high[b])
         return (100 + share) * overlap >= share * (low[a] + low[b])
 
+    def pairs(self, a: range, b: range, share: int) -> np.ndarray:
+        """Places in two ranges of records that may be linked, all compared at once."""
+        maps, sizes, _, excess, rest = self.levels[0]
+        x, y = slice(a.start, a.stop), slice(b.start, b.stop)
+        common = np.bitwise_count(maps[x][:, None, :] & maps[y][None, :, :]).sum(axis=2, dtype=np.int64)
+        common += np.minimum.outer(excess[x], excess[y]) + np.maximum.outer(rest[x], rest[y])
+        overlap = np.minimum(common, np.minimum.outer(sizes[x], sizes[y]))
+        return np.argwhere((100 + share) * overlap >= share * np.add.outer(sizes[x], sizes[y]))
+
 
 class Groups:
     """Union-find whose roots are the smallest members."""
@@ -224,14 +236,16 @@ def traverse(tree: Tree, labels: np.ndarray, share: int, confirmed: Callable[[in
     todo = [(tree.top(), 0, 0)]
     while todo:
         level, a, b = todo.pop()
-        if level == 0:
-            if labels[a] != labels[b] and groups.root(a) != groups.root(b) and tree.may_link(0, a, b, share) and confirmed(a, b):
-                groups.join(a, b)
-            continue
         both = tree.records(level, a), tree.records(level, b)
         known = {name for r in both for name in labels[r.start : r.stop].tolist()}
         if len(known) == 1 or groups.one(*both) or (a != b and not tree.may_link(level, a, b, share)):
             continue
+        if level <= 1:
+            for i, j in tree.pairs(*both, share).tolist():
+                i, j = both[0].start + i, both[1].start + j
+                if i != j and labels[i] != labels[j] and groups.root(i) != groups.root(j) and confirmed(i, j):
+                    groups.join(i, j)
+            continue
         below_a, below_b = tree.children(level, a), tree.children(level, b)
         # What is popped first is pushed last: nodes with themselves, where most links are.
         todo += [(level - 1, x, y) for x in below_a for y in below_b if a != b or x < y]
@@ -246,7 +260,7 @@ def compare_texts(rows: list[tuple], k: int, share: int) -> tuple[list[int], Gro
     records.sort(key=lambda r: (int(r[0][0]), len(r[0]), r[1]))
     sets, ids, labels = zip(*records)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    bits = 2 * width(int(np.median(sizes)))
+    bits = width(int(np.median(sizes)))
     tree = Tree(np.stack([bitmap(s, bits) for s in sets]), sizes, sizes)
     return list(ids), traverse(tree, np.array(labels), share, lambda a, b: linked(sets[a], sets[b], share))
 
@@ -307,7 +321,7 @@ def divided(rows: DataFrame, share: int, weight: str) -> tuple[DataFrame, list[s
     band = F.floor(F.log(F.col("n").cast("double")) / log(100 / share)).cast("int")
     # A block that fits one task is one node.
     heavy = rows.groupBy("block").agg(F.sum(F.expr(weight)).alias("all"), F.min("label").alias("low"), F.max("label").alias("high"))
-    heavy = heavy.where("low < high").select("block", (F.col("all") > WEIGHT).alias("heavy"))
+    heavy = written(heavy.where("low < high").select("block", (F.col("all") > WEIGHT).alias("heavy")), "heavy")
     rows = rows.join(heavy, "block").withColumn("band", F.when(F.col("heavy"), band).otherwise(F.lit(0))).drop("heavy")
     rows = written(rows, "open_blocks")
     parts = rows.groupBy("block", "band").agg(F.ceil(F.sum(F.expr(weight)) / WEIGHT).alias("parts"))
@@ -397,7 +411,9 @@ def join(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
     short = written(short.withColumnRenamed("doc_id", "class_id"), "prefixes")
     rows = short.select("class_id", "n", F.explode("shingles").alias("shingle"))
     met = rows.groupBy("shingle").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
-    shared = written(rows.join(met.select("shingle"), "shingle").select("shingle", "class_id", "n"), "shared")
+    # Stored, so that nothing but its shuffle is below the join and a frequent shingle's rows are split.
+    met = written(met.select("shingle"), "met")
+    shared = written(rows.join(met, "shingle").select("shingle", "class_id", "n"), "shared")
     texts = docs.select(F.col("doc_id").alias("class_id"), F.col("text").alias("payload"))
     links = written(first_round(shared, texts, k, share), "links_one")
     groups = components(links)

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .tables import map_rows
+from .tables import map_rows, written
 
 UNIT = re.compile(r"[^\n.!?]*[.!?\n]+|[^\n.!?]+")
 SOLID = 4
@@ -61,6 +61,8 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         every.where("fresh").groupBy("h1", "h2").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
         .where("keeper < last").drop("last")
     )
+    # A stored table has no aggregate left above its shuffle, so a unit that many documents share is split.
+    spread = written(spread, "spread")
     told = every.join(spread, ["h1", "h2"], "left").where(~F.col("fresh") | (F.col("keeper") < F.col("doc_id")))
     repeats = told.select(
         "doc_id", "nth", "start", "stop", "n_words", F.coalesce("keeper", "doc_id").alias("kept")
