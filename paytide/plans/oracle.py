@@ -354,3 +354,6 @@ SELECT transaction_id, CASE WHEN e % 59 <> 0 THEN customer_id END AS customer_id
   CASE WHEN e % 61 <> 0 THEN transaction_amount END AS transaction_amount,
   CASE WHEN e % 67 <> 0 THEN processing_time END AS processing_time, fraud_score
 FROM (SELECT *, CAST(transaction_id AS BIGINT) AS e FROM feed)"""
+
+ORACLE["latest_stored_run"] = f"""WITH {FEED}
+SELECT CAST(2 AS BIGINT) AS run, TIMESTAMP '2024-01-20' AS run_at, {AMOUNTS} FROM feed WHERE ts < TIMESTAMP '2024-01-20'"""

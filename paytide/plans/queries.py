@@ -18,7 +18,7 @@ from ..sources import HotStore, Source, sample
 from ..streaming import live
 from ..streaming.run import read_feed, to_table
 from . import one_pass
-from .refresh import archived_totals, load_model, refresh, refresh_store
+from .refresh import archived_totals, load_model, newest_totals, refresh, refresh_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -411,6 +411,16 @@ def payment_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.share(per_method, sample.payment_methods(spark, sf_dir))
 
 
+@query
+def latest_stored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two refreshes at the times of the archive runs; the newest stored one with its totals."""
+    out = session.work_path(spark, "latest_stored_run")
+    fact, dims = sample.feed(spark, sf_dir), all_dims(spark, sf_dir)
+    for run in sample.RUNS:
+        refresh(fact.where(F.col("ts") < moment(run)), dims, out, run_at=datetime.fromisoformat(run))
+    return newest_totals(spark, out)
+
+
 @query
 def latest_kpi_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.latest_kpi_run(serving.kpi_run_history(sample.feed(spark, sf_dir)))

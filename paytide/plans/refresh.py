@@ -2,40 +2,106 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.clock import moment
 from ..model import DIMENSIONS, KPI_TABLES, SERVING, schema
 from ..operators.enrich import LABELS
 from ..operators.retention import archived_once, archived_rows
 from ..operators.serving import serving_rows
 from ..operators.totals import merge
-from ..sources import HotStore, Source, load_dimension, read_or_empty, register
+from ..sources import HotStore, Source, load_dimension, read_or_empty, register, remove_folder
 from .one_pass import Header, kpi_all_one_pass, label_totals, long_kpis, reduce_fact
 
 TOTALS = schema("kpi STRING, key BIGINT, n BIGINT, n_priced BIGINT, n_odd BIGINT, units BIGINT, parts BIGINT, n_fraud BIGINT")
 LONG = "kpi STRING, dim_value STRING, transactions BIGINT, total DOUBLE, average DOUBLE"
+RUNS = schema("run BIGINT, run_at TIMESTAMP_NTZ")
+
+
+def published_runs(spark: SparkSession, out: str) -> DataFrame:
+    """Committed refreshes, one row each."""
+    return read_or_empty(spark, Source(f"{out}/log"), RUNS)
+
+
+def run_path(out: str, run: int) -> str:
+    return f"{out}/run={run}"
+
+
+def latest_run(spark: SparkSession, out: str) -> str:
+    """Where the newest committed refresh lies; raises if there is none."""
+    newest = published_runs(spark, out).agg(F.max("run")).first()[0]
+    if newest is None:
+        raise FileNotFoundError(f"no refresh was published to {out}")
+    return run_path(out, newest)
+
+
+def stored_kpis(spark: SparkSession, out: str) -> DataFrame:
+    """The long KPI table of the newest refresh."""
+    return Source(f"{latest_run(spark, out)}/kpis").read(spark, schema(LONG))
+
 
+def stored_serving(spark: SparkSession, out: str) -> DataFrame:
+    """The serving rows of the newest refresh."""
+    return Source(f"{latest_run(spark, out)}/serving").read(spark, SERVING)
 
-def publish(kpis: DataFrame, out: str) -> tuple[DataFrame, DataFrame]:
+
+def publish(kpis: DataFrame, out: str, run_at: datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """Store a long KPI table, and derive the result tables and the JSON from the stored rows.
 
-    Returns the stored long table and the stored serving rows. Everything after the first write
-    reads a few thousand rows, so a lost executor costs no second scan of the fact.
+    Each refresh has a folder of its own, and a row in the log, with its time, commits it: readers see the
+    tables of one refresh, never of two, and a refresh that dies is not seen. Returns the stored long table and the
+    stored serving rows. Everything after the first write reads a few thousand rows, so a lost executor
+    costs no second scan of the fact.
     """
     spark = kpis.sparkSession
-    kpis.write.mode("overwrite").parquet(f"{out}/kpis")
-    stored = spark.read.schema(LONG).parquet(f"{out}/kpis")
+    run = (published_runs(spark, out).agg(F.max("run")).first()[0] or 0) + 1
+    folder = run_path(out, run)
+    kpis.write.mode("overwrite").parquet(f"{folder}/kpis")
+    stored = Source(f"{folder}/kpis").read(spark, schema(LONG))
     for kpi, (table, *_rest) in KPI_TABLES.items():
-        kpi_table(stored, kpi).write.mode("overwrite").parquet(f"{out}/{table}")
-    serving_rows(stored).coalesce(1).write.mode("overwrite").parquet(f"{out}/serving")
-    return stored, spark.read.schema(SERVING).parquet(f"{out}/serving")
+        kpi_table(stored, kpi).write.mode("overwrite").parquet(f"{folder}/{table}")
+    serving_rows(stored).coalesce(1).write.mode("overwrite").parquet(f"{folder}/serving")
+    at = moment(run_at or datetime.now(timezone.utc).replace(tzinfo=None))
+    row = spark.range(1).select(F.lit(run).cast("bigint").alias("run"), at.alias("run_at"))
+    row.coalesce(1).write.mode("append").parquet(f"{out}/log")
+    return stored, Source(f"{folder}/serving").read(spark, SERVING)
+
+
+def vacuum(spark: SparkSession, out: str, keep: int = 1) -> list[str]:
+    """Remove the folders of all but the newest ``keep`` committed refreshes; returns them.
+
+    What the newest rows name is never removed, and nothing newer than the newest row, which a refresh may be writing.
+    """
+    runs = [r.run for r in published_runs(spark, out).orderBy(F.desc("run")).collect()]
+    old = [run_path(out, run) for run in runs[max(1, keep):]]
+    return [path for path in old if remove_folder(spark, path)]
+
+
+def vacuum_store(store: HotStore) -> list[str]:
+    """Remove generations of the hot table and totals that no reader of the newest committed row takes."""
+    now = store.generation()
+    done = read_or_empty(store.spark, Source(f"{store.root}/totals/log"), schema("generation BIGINT"))
+    totals_now = done.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
+    old = [store.generation_path(g) for g in range(now)]
+    old += [f"{store.root}/totals/generation={g}" for g in range(totals_now)]
+    return [path for path in old if remove_folder(store.spark, path)]
+
+
+def newest_totals(spark: SparkSession, out: str) -> DataFrame:
+    """The newest stored refresh and its global KPI: (run, run_at, transactions, total, average)."""
+    newest = published_runs(spark, out).orderBy(F.desc("run")).limit(1)
+    whole = stored_kpis(spark, out).where(F.col("kpi") == "global").select("transactions", "total", "average")
+    # One row on either side.
+    return newest.withColumn("one", F.lit(1)).join(whole.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def refresh(
-    fact: DataFrame, dims: dict[str, DataFrame], out: str, header: Header | None = None
+    fact: DataFrame, dims: dict[str, DataFrame], out: str, header: Header | None = None, run_at: datetime | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Compute and publish all KPIs from one scan of a whole fact."""
-    return publish(kpi_all_one_pass(fact, dims, header), out)
+    return publish(kpi_all_one_pass(fact, dims, header), out, run_at)
 
 
 def archived_totals(store: HotStore, now: int) -> DataFrame:

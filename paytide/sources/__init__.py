@@ -1,4 +1,5 @@
-from .tables import Source, load_archive, load_dimension, load_hot, read_or_empty, register, has_rows
+from .tables import Source, load_archive, load_dimension, load_hot, read_or_empty, register, remove_folder, has_rows
 from .hot_store import HotStore
 
-__all__ = ["Source", "load_archive", "load_dimension", "load_hot", "read_or_empty", "register", "has_rows", "HotStore"]
+__all__ = ["Source", "load_archive", "load_dimension", "load_hot", "read_or_empty", "register",
+           "remove_folder", "has_rows", "HotStore"]

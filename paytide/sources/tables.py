@@ -66,3 +66,9 @@ def register(tables: dict[str, DataFrame]) -> None:
 def has_rows(df: DataFrame) -> bool:
     """Stops at the first row and stays inside the optimized plan."""
     return not df.isEmpty()
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder from whatever file system it lies in; False if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

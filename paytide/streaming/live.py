@@ -24,7 +24,7 @@ from ..operators.quality import clean_valid, quarantine
 from ..operators.serving import serving_rows
 from ..operators.totals import merge, roll_up, totals
 from ..model import STORED_FACT
-from ..plans.refresh import LONG, refresh_store
+from ..plans.refresh import refresh_store, stored_kpis
 from ..sources import HotStore, Source, read_or_empty
 from .run import drain, use_large_state
 
@@ -154,7 +154,7 @@ def live_kpis(feed: DataFrame, root: str, dims: dict[str, DataFrame]) -> DataFra
     """Process all available transactions; the long KPI table after the last micro-batch."""
     use_large_state(feed.sparkSession)
     drain(feed.writeStream.foreachBatch(ingest_and_refresh(root, dims, f"{root}/out")), f"{root}/checkpoint")
-    return feed.sparkSession.read.schema(LONG).parquet(f"{root}/out/kpis")
+    return stored_kpis(feed.sparkSession, f"{root}/out")
 
 
 def live_enriched(feed: DataFrame, dims: dict[str, DataFrame], root: str) -> DataFrame:

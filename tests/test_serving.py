@@ -11,7 +11,7 @@ from paytide.model import DIMENSIONS, KPI_TABLES, SERVING, schema
 from paytide.functions.clock import parse_day
 from paytide.operators import retention, serving
 from paytide.plans import jobs, one_pass
-from paytide.plans.refresh import load_model, refresh
+from paytide.plans.refresh import latest_run, load_model, load_dims, newest_totals, published_runs, refresh, stored_kpis, stored_serving, vacuum, vacuum_store
 from paytide.sources import HotStore, Source, sample
 from rows import CUSTOMERS, MERCHANTS, METHODS, at, fact, raw, same, txn
 
@@ -65,7 +65,7 @@ def test_what_is_served_equals_the_kpis(spark, tmp_path):
     served = payloads(rows)
     assert set(served) == {key for _table, key, *_rest in KPI_TABLES.values()}
     for kpi, (table, key, *_rest) in KPI_TABLES.items():
-        result = spark.read.parquet(f"{tmp_path}/{table}")
+        result = spark.read.parquet(f"{latest_run(spark, str(tmp_path))}/{table}")
         same(result, serving.load_kpi(rows, kpi))
         assert [d[KPI_TABLES[kpi][3]] for d in served[key]] == [r[KPI_TABLES[kpi][3]] for r in result.collect()]
 
@@ -108,7 +108,7 @@ def test_jobs_from_the_command_line(spark, tmp_path, dims_root, full):
     jobs.archive(["--store", store.root, "--as-of", "2024-01-01T12:00:00"])
     assert store.current().count() == 1 and store.archive().count() == 1
     jobs.refresh_kpis(["--store", store.root, "--dims", dims_root, "--out", str(tmp_path / "out"), *full])
-    rows = spark.read.schema(SERVING).parquet(str(tmp_path / "out" / "serving"))
+    rows = stored_serving(spark, str(tmp_path / "out"))
     assert serving.load_kpi(rows, "customer").first().total_spend == 12.0
 
 
@@ -119,11 +119,40 @@ def test_jobs_over_a_live_table_in_another_format(spark, tmp_path, dims_root):
     for step in (lambda: None, lambda: jobs.archive([*hot, "--as-of", "2024-01-01T12:00:00"])):
         step()
         jobs.refresh_kpis(refresh_args)
-        rows = spark.read.schema(SERVING).parquet(str(tmp_path / "out" / "serving"))
+        rows = stored_serving(spark, str(tmp_path / "out"))
         assert serving.load_kpi(rows, "global").first()[:] == (2, 12.0, 6.0)
         assert [str(r.txn_date) for r in serving.load_kpi(rows, "daily").collect()] == ["2024-01-01"]
 
 
+def test_stored_runs(spark, tmp_path, dims_root):
+    store = HotStore(spark, str(tmp_path / "store"))
+    out = str(tmp_path / "out")
+    store.ingest(fact(spark, TWO))
+    dims = load_dims(spark, dims_root)
+    with pytest.raises(FileNotFoundError):
+        latest_run(spark, out)
+    refresh(store.current(), dims, out, run_at=at("2024-01-01 12:00:00"))
+    store.ingest(fact(spark, [txn(3, amount=1.0)]))
+    refresh(store.current(), dims, out, run_at=at("2024-01-01 15:00:00"))
+    assert newest_totals(spark, out).first()[:] == (2, at("2024-01-01 15:00:00"), 3, 13.0, 13.0 / 3)
+    # A run that died before its log row is not seen, and its folder is used again.
+    spark.range(1).write.parquet(f"{out}/run=3/kpis")
+    assert stored_kpis(spark, out).where("kpi = 'global'").first().transactions == 3
+    assert vacuum(spark, out) == [f"{out}/run=1"] and vacuum(spark, out) == []
+    refresh(store.current(), dims, out)
+    assert published_runs(spark, out).count() == 3 and stored_kpis(spark, out).where("kpi = 'global'").first().transactions == 3
+
+
+def test_vacuum_keeps_what_the_manifest_names(spark, tmp_path):
+    store = HotStore(spark, str(tmp_path / "store"))
+    rows = fact(spark, TWO)
+    store.ingest(rows)
+    retention.archive_run(store, at("2024-01-01 12:00:00"))
+    before = retention.archived_once(store).count()
+    assert vacuum_store(store) == [store.generation_path(0)]
+    assert retention.archived_once(store).count() == before == 2
+
+
 def test_the_stream_job_from_another_folder(spark, tmp_path, dims_root):
     """Started as a user does, in a process of its own: no PYTHONPATH, another working directory."""
     broken = raw(spark, [*TWO, txn(3, status="Pending"), txn(4, when="junk")])
@@ -132,7 +161,7 @@ def test_the_stream_job_from_another_folder(spark, tmp_path, dims_root):
     job = Path(__file__).resolve().parent.parent / "jobs" / "stream.py"
     args = ["--feed", "feed", "--root", "root", "--dims", dims_root, "--out", "out", "--quarantine", "bad", "--once"]
     subprocess.run([sys.executable, str(job), *args], cwd=tmp_path, env=env, check=True, timeout=300, capture_output=True)
-    served = spark.read.schema(SERVING).parquet(str(tmp_path / "out" / "serving"))
+    served = stored_serving(spark, str(tmp_path / "out"))
     assert serving.load_kpi(served, "global").first()[:] == (2, 12.0, 6.0)
     assert sorted(r.transaction_id for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == ["t3", "t4"]
 
