@@ -75,7 +75,7 @@ def learn(docs: DataFrame, ranks: int = RANKS) -> DataFrame:
             found = grams(text)
             held.setdefault(lang, []).append(found)
             size += len(found)
-            if size > 4_000_000:
+            if size > 1_000_000:
                 yield from flushed(held)
                 held, size = {}, 0
         yield from flushed(held)

@@ -13,6 +13,7 @@ from ..session import work_path
 
 
 SENT_IDS = 1_000_000
+SLICE = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +56,9 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def source() -> Iterator[tuple]:
             for batch in batches:
-                yield from zip(*(column.to_pylist() for column in batch.columns))
+                # A batch is in Arrow already; only a slice of it becomes Python objects at a time.
+                for start in range(0, batch.num_rows, SLICE):
+                    yield from zip(*(column.to_pylist() for column in batch.slice(start, SLICE).columns))
 
         held: list[tuple] = []
         for row in rows_of(source()):
