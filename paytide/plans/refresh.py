@@ -91,10 +91,12 @@ def vacuum_store(store: HotStore) -> list[str]:
 
 def newest_totals(spark: SparkSession, out: str) -> DataFrame:
     """The newest stored refresh and its global KPI: (run, run_at, transactions, total, average)."""
-    newest = published_runs(spark, out).orderBy(F.desc("run")).limit(1)
-    whole = stored_kpis(spark, out).where(F.col("kpi") == "global").select("transactions", "total", "average")
-    # One row on either side.
-    return newest.withColumn("one", F.lit(1)).join(whole.withColumn("one", F.lit(1)), "one").drop("one")
+    newest = published_runs(spark, out).orderBy(F.desc("run")).first()
+    if newest is None:
+        raise FileNotFoundError(f"no refresh was published to {out}")
+    return stored_kpis(spark, out).where(F.col("kpi") == "global").select(
+        F.lit(newest.run).cast("bigint").alias("run"), moment(newest.run_at).alias("run_at"), "transactions", "total", "average"
+    )
 
 
 def refresh(

@@ -189,7 +189,11 @@ def test_work_path_needs_a_shared_folder_on_a_cluster(spark):
     assert session.work_path(spark, "x").startswith(f"{root}/paytide/x-")
 
 
-def test_retention_windows_run_over_hours_only(spark):
+def test_retention_orders_the_rows_of_one_minute_only(spark):
+    """Hours and minutes are sums; below the only window over rows, a filter leaves one minute."""
     text = plan(retention.retain_by_size(sample.feed(spark, SF), 1000))
-    window = text.index("Window [")
-    assert "HashAggregate" in text[window:].split("FileScan")[0]
+    assert text.count("Window [") == 1
+    below = text[text.index("Window ["):]
+    edges = [re.findall(r"ts#\d+ %s (\S+ \d\d:\d\d):00" % sign, below) for sign in (">=", "<")]
+    start, end = max(edges[0]), min(edges[1])
+    assert int(end[-2:]) - int(start[-2:]) == 1 and start[:-2] == end[:-2]
