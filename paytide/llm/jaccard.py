@@ -13,7 +13,9 @@ small for a link, or if all its records are in one group. What is left is compar
 A first round brings each class into one block, which finds most groups. A second takes all blocks in
 which classes of different groups are left; there the trees are built over bitmaps of the prefixes alone,
 and two sets may be linked only if their prefixes agree so far that the rest can make up for what
-differs. What hangs together by such pairs is a cluster, whose texts are compared as in the first round.
+differs. What hangs together in a block by the bitmaps is compared again by the prefixes themselves, equal
+sets of classes once; what hangs together by these is a cluster, whose texts are compared as in the
+first round.
 
 Blocks and clusters are divided by size band and by hash into nodes of bounded weight, and only pairs of
 nodes that can hold a link across groups are sent to a task, so neither a large group nor a frequent
@@ -46,8 +48,8 @@ COUNTED_AT_ONCE = 3_000_000
 FAN = 8
 
 PASS_SCHEMA = "doc_id long, n long, d1 long, d2 long, shingle long, seen long"
-PREFIX_SCHEMA = "doc_id long, n long, shingles array<long>, bits binary"
-LINK_SCHEMA = "u long, v long"
+PREFIX_SCHEMA = "doc_id long, n long, shingles array<long>, part binary, bits binary"
+GROUP_SCHEMA = "found long, least long, class_id long"
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -108,7 +110,8 @@ def frequent(passed: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, share: int, late: np.ndarray) -> DataFrame:
-    """(doc_id, n, shingles, bits): the shingles each document is brought together by, and their bitmap."""
+    """(doc_id, n, shingles, part, bits): the shingles each document is brought together by, as rows to be, sorted, and
+    as a bitmap."""
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text in rows:
@@ -120,7 +123,8 @@ def prefixes(docs: DataFrame, k: int, share: int, late: np.ndarray) -> DataFrame
                 at = np.minimum(np.searchsorted(late, found), len(late) - 1)
                 is_late = late[at] == found
                 found = np.concatenate([found[~is_late], found[is_late]])
-            yield doc_id, len(found), found[:length].tolist(), bitmap(found[:length], width(length)).tobytes()
+            part = found[:length]
+            yield doc_id, len(found), part.tolist(), np.sort(part).tobytes(), bitmap(part, width(length)).tobytes()
 
     return map_rows(docs.select("doc_id", "text"), rows_of, PREFIX_SCHEMA, 5_000)
 
@@ -219,14 +223,21 @@ class Groups:
         return all(self.root(n) == root for r in ranges for n in r)
 
 
-def linked(a: np.ndarray, b: np.ndarray, share: int) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, share: int) -> bool:
+    """Are two sets linked? Of parts: can their sets be linked?
+
+    Parts are the first shingles in one order, so all common shingles up to the nearer one of the two
+    ends are in both; beyond it there are no more than that set has left.
+    """
     at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    overlap = int((b[at] == a).sum())
-    return (100 + share) * overlap >= share * (len(a) + len(b))
+    overlap = int((b[at] == a).sum()) + max(size_a - len(a), size_b - len(b))
+    return (100 + share) * overlap >= share * (size_a + size_b)
 
 
-def traverse(tree: Tree, labels: np.ndarray, share: int, confirmed: Callable[[int, int], bool]) -> Groups:
-    """Groups of records that are joined by links between different labels.
+def traverse(
+    tree: Tree, labels: np.ndarray, share: int, confirmed: Callable[[int, int], bool], sides: np.ndarray | None = None
+) -> Groups:
+    """Groups of records that are joined by links between different labels, and different sides if there are any.
 
     ``labels`` names the groups known before: within one nothing is looked for. They join no records
     here, because a link may be a possible one only, and who is in a group with one end of it must
@@ -238,12 +249,15 @@ def traverse(tree: Tree, labels: np.ndarray, share: int, confirmed: Callable[[in
         level, a, b = todo.pop()
         both = tree.records(level, a), tree.records(level, b)
         known = {name for r in both for name in labels[r.start : r.stop].tolist()}
-        if len(known) == 1 or groups.one(*both) or (a != b and not tree.may_link(level, a, b, share)):
+        met = {0, 1} if sides is None else {side for r in both for side in sides[r.start : r.stop].tolist()}
+        if len(known) == 1 or len(met) == 1 or groups.one(*both) or (a != b and not tree.may_link(level, a, b, share)):
             continue
         if level <= 1:
             for i, j in tree.pairs(*both, share).tolist():
                 i, j = both[0].start + i, both[1].start + j
-                if i != j and labels[i] != labels[j] and groups.root(i) != groups.root(j) and confirmed(i, j):
+                if i == j or labels[i] == labels[j] or (sides is not None and sides[i] == sides[j]):
+                    continue
+                if groups.root(i) != groups.root(j) and confirmed(i, j):
                     groups.join(i, j)
             continue
         below_a, below_b = tree.children(level, a), tree.children(level, b)
@@ -254,15 +268,25 @@ def traverse(tree: Tree, labels: np.ndarray, share: int, confirmed: Callable[[in
     return groups
 
 
+def compare_sets(records: list[tuple], share: int) -> tuple[list[int], Groups]:
+    """Groups of records (class_id, label, size, shingles), whole sets or parts; the ids in the groups' order."""
+    records = sorted(records, key=lambda r: (int(r[3][0]), r[2], r[0]))
+    ids, labels, sizes, sets = zip(*records)
+    sizes, known = np.array(sizes, dtype=np.int64), np.array(list(map(len, sets)), dtype=np.int64)
+    bits = width(int(np.median(known)))
+    tree = Tree(np.stack([bitmap(s, bits) for s in sets]), known, sizes)
+    confirmed = lambda a, b: linked(sets[a], sets[b], int(sizes[a]), int(sizes[b]), share)
+    return list(ids), traverse(tree, np.array(labels), share, confirmed)
+
+
 def compare_texts(rows: list[tuple], k: int, share: int) -> tuple[list[int], Groups]:
-    """Groups by exact links of records (class_id, label, n, text); the ids in the groups' order."""
-    records = [(shingles(text, k), class_id, label) for class_id, label, _, text in rows]
-    records.sort(key=lambda r: (int(r[0][0]), len(r[0]), r[1]))
-    sets, ids, labels = zip(*records)
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    bits = width(int(np.median(sizes)))
-    tree = Tree(np.stack([bitmap(s, bits) for s in sets]), sizes, sizes)
-    return list(ids), traverse(tree, np.array(labels), share, lambda a, b: linked(sets[a], sets[b], share))
+    """Groups by links of records (class_id, label, n, text)."""
+    return compare_sets([(i, label, n, shingles(text, k)) for i, label, n, text in rows], share)
+
+
+def compare_parts(rows: list[tuple], share: int) -> tuple[list[int], Groups]:
+    """Groups by possible links of records (class_id, label, n, sorted prefix)."""
+    return compare_sets([(i, label, n, np.frombuffer(raw, dtype=np.int64)) for i, label, n, raw in rows], share)
 
 
 def compare_prefixes(rows: list[tuple], share: int) -> tuple[list[int], Groups]:
@@ -271,32 +295,49 @@ def compare_prefixes(rows: list[tuple], share: int) -> tuple[list[int], Groups]:
     The prefixes are the first shingles in one order, so all common shingles up to the nearer one of
     two prefixes' ends are in both; beyond it there are no more than that set has left.
     """
-    rows = sorted(rows, key=lambda r: (r[3], r[0]))
-    ids, labels, sizes, raw = zip(*rows)
-    bits = 8 * min(map(len, raw))
-    sizes = np.array(sizes, dtype=np.int64)
-    known = sizes + sizes * share // -100 + 1
-    tree = Tree(np.stack([folded(r, bits) for r in raw]), known, sizes)
-    return list(ids), traverse(tree, np.array(labels), share, lambda a, b: True)
-
-
-def stars(rows: Iterator[tuple], keys: int, compare) -> Iterator[tuple]:
-    """Of rows sorted by their first ``keys`` columns: each joined record and the least id of its group."""
-    for _, group in groupby(rows, key=lambda r: r[:keys]):
+    classes: dict[int, list[tuple]] = {}
+    for row in rows:
+        classes.setdefault(8 * len(row[3]), []).append(row)
+    ids, place_of = [row[0] for row in rows], {row[0]: n for n, row in enumerate(rows)}
+    groups = Groups(len(rows))
+    widths = sorted(classes)
+    for n, bits in enumerate(widths):
+        for other in widths[n:]:
+            # Bitmaps of different widths meet at the smaller one, if the sizes can be linked at all.
+            if 100 * max(r[2] for r in classes[bits]) < share * min(r[2] for r in classes[other]):
+                continue
+            found = classes[bits] + (classes[other] if other != bits else [])
+            found = sorted(((folded(r[3], bits), r) for r in found), key=lambda x: (x[0].tobytes(), x[1][0]))
+            maps, met = zip(*found)
+            sizes = np.array([r[2] for r in met], dtype=np.int64)
+            tree = Tree(np.stack(maps), sizes + sizes * share // -100 + 1, sizes)
+            sides = np.array([len(r[3]) for r in met]) if other != bits else None
+            joined = traverse(tree, np.array([r[1] for r in met]), share, lambda a, b: True, sides)
+            for place, row in enumerate(met):
+                groups.join(place_of[row[0]], place_of[met[joined.root(place)][0]])
+    return ids, groups
+
+
+def groups_of(rows: Iterator[tuple], keys: int, compare) -> Iterator[tuple]:
+    """Of rows sorted by their first ``keys`` columns: a number for the key, and each joined record under the
+    least id of its group."""
+    for key, group in groupby(rows, key=lambda r: r[:keys]):
         records = list({r[keys]: r[keys:] for r in group}.values())
         if len(records) < 2:
             continue
         ids, groups = compare(records)
+        found = xxhash.xxh64_intdigest(repr(key)) - (1 << 63)
         members: dict[int, list[int]] = {}
         for place, class_id in enumerate(ids):
             members.setdefault(groups.root(place), []).append(class_id)
         for joined in members.values():
             least = min(joined)
-            yield from ((class_id, least) for class_id in joined if class_id != least)
+            if len(joined) > 1:
+                yield from ((found, least, class_id) for class_id in joined)
 
 
 def traversed(members: DataFrame, keys: list[str], payload: DataFrame, compare) -> DataFrame:
-    """(u, v): what ``compare`` joins in every group of ``keys`` of ``members`` (keys, class_id, label, n).
+    """(found, least, class_id): what ``compare`` joins in every group of ``keys`` of ``members`` (keys, class_id, label, n).
 
     ``payload`` (class_id, payload) has what records are made of. The ids are sent to its scan if they
     are few enough, so only what is needed is shuffled; else both sides are. A task reads its groups
@@ -308,7 +349,22 @@ def traversed(members: DataFrame, keys: list[str], payload: DataFrame, compare)
     full = members.join(payload, "class_id").select(*keys, "class_id", "label", "n", "payload")
     sorted_groups = full.repartition(*keys).sortWithinPartitions(*keys)
     n_keys = len(keys)
-    return map_rows(sorted_groups, lambda rows: stars(rows, n_keys, compare), LINK_SCHEMA)
+    return map_rows(sorted_groups, lambda rows: groups_of(rows, n_keys, compare), GROUP_SCHEMA)
+
+
+def as_links(groups: DataFrame) -> DataFrame:
+    """Each member linked with the least one of its group."""
+    return groups.where("class_id <> least").select(F.col("class_id").alias("u"), F.col("least").alias("v")).distinct()
+
+
+def once(groups: DataFrame) -> DataFrame:
+    """Groups with the same members once: number, extremes and two sums of hashes tell sets apart."""
+    sets = groups.groupBy("found", "least").agg(
+        F.count("*").alias("members"), F.max("class_id").alias("most"),
+        F.bit_xor(F.xxhash64("class_id")).alias("x1"), F.bit_xor(F.xxhash64("class_id", F.lit(1))).alias("x2"),
+    )
+    first = sets.groupBy("least", "members", "most", "x1", "x2").agg(F.min("found").alias("found")).select("found", "least")
+    return groups.join(written(first, "sets"), ["found", "least"])
 
 
 def divided(rows: DataFrame, share: int, weight: str) -> tuple[DataFrame, list[str]]:
@@ -363,7 +419,7 @@ def first_round(shared: DataFrame, texts: DataFrame, k: int, share: int) -> Data
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "leader.*"
     )
     members = rows.unionByName(leaders).withColumn("label", F.col("class_id"))
-    return traversed(members, ["block", "part"], texts, lambda rows: compare_texts(rows, k, share))
+    return as_links(traversed(members, ["block", "part"], texts, lambda rows: compare_texts(rows, k, share)))
 
 
 def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
@@ -380,13 +436,16 @@ def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts:
     open_blocks = open_blocks.groupBy("low", "high", "members", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle")
     rows = labelled.join(open_blocks, "shingle").select(F.col("shingle").alias("block"), "class_id", "n", "label")
     members, key = divided(rows, share, f"n - ceil(n * {share} / 100) + 1")
-    prefix = short.select("class_id", F.col("bits").alias("payload"))
-    near = written(traversed(members, key, prefix, lambda rows: compare_prefixes(rows, share)).distinct(), "near")
-    clusters = components(near)
-    known = labelled.select("class_id", "n", "label").distinct()
+    bits = short.select("class_id", F.col("bits").alias("payload"))
+    met = written(traversed(members, key, bits, lambda rows: compare_prefixes(rows, share)), "met_by_bits")
+    known = written(labelled.select("class_id", "n", "label").distinct(), "known")
+    members = written(once(met).join(known, "class_id").select("found", "least", "class_id", "label", "n"), "met_once")
+    parts = short.select("class_id", F.col("part").alias("payload"))
+    near = traversed(members, ["found", "least"], parts, lambda rows: compare_parts(rows, share))
+    clusters = components(written(as_links(near), "near"))
     rows = clusters.join(known, F.col("node") == F.col("class_id")).select(F.col("component").alias("block"), "class_id", "n", "label")
     members, key = divided(rows, share, "n")
-    return traversed(members, key, texts, lambda rows: compare_texts(rows, k, share))
+    return as_links(traversed(members, key, texts, lambda rows: compare_texts(rows, k, share)))
 
 
 def join(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:

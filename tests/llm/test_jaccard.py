@@ -90,7 +90,7 @@ def test_traversal_finds_all_groups():
     rnd = random.Random(5)
     for n in range(60):
         rows = families(n + 10)[: rnd.randint(2, 60)]
-        ids, groups = jaccard.compare_texts([(i, i, 0, t) for i, t in rows], 4, 85)
+        ids, groups = jaccard.compare_texts([(i, i, len(jaccard.shingles(t, 4)), t) for i, t in rows], 4, 85)
         want = brute(rows, 4, 85)
         mine = [groups.root(place) for place in range(len(ids))]
         theirs = [want[i][1] for i in ids]
@@ -103,11 +103,12 @@ def test_bitmaps_never_prune_a_link():
         whole = np.unique(rnd.integers(-(2**63), 2**63 - 1, 400))
         sets = [np.sort(rnd.choice(whole, rnd.integers(1, 300), replace=False)) for _ in range(2)]
         sizes = np.array(list(map(len, sets)))
-        if jaccard.linked(*sets, 50):
+        if jaccard.linked(*sets, *sizes.tolist(), 50):
             assert jaccard.Tree(np.stack([jaccard.bitmap(s, 1024) for s in sets]), sizes, sizes).may_link(0, 0, 1, 50)
             # The parts the blocks are made of, in one order, with bitmaps of different widths.
             parts = [s[: len(s) - jaccard.needed(len(s), 50) + 1] for s in sets]
             raw = [jaccard.bitmap(p, jaccard.width(len(p))).tobytes() for p in parts]
+            assert jaccard.linked(*parts, *sizes.tolist(), 50)
             ids, groups = jaccard.compare_prefixes([(i, i, len(s), r) for i, (s, r) in enumerate(zip(sets, raw))], 50)
             assert groups.root(0) == groups.root(1)
 
