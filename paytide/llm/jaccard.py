@@ -424,17 +424,27 @@ def first_round(shared: DataFrame, texts: DataFrame, k: int, share: int) -> Data
 
 def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
     """Links across groups in all blocks that hold classes of several groups."""
+    # Of a pair's first common shingle: no more can be common than the set has from there on, so it
+    # is linked with no set larger than this.
+    reach = F.floor((F.col("n") - F.col("place")) * (100 + share) / share).cast("long") - F.col("n")
     labelled = shared.join(groups, F.col("class_id") == F.col("node"), "left").select(
-        "shingle", "class_id", "n", F.coalesce("component", "class_id").alias("label")
+        "shingle", "class_id", "n", reach.alias("reach"), F.coalesce("component", "class_id").alias("label")
     )
     labelled = written(labelled, "labelled")
-    open_blocks = labelled.groupBy("shingle").agg(
+    mixed = labelled.groupBy("shingle").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"), F.max("reach").alias("farthest")
+    )
+    mixed = written(mixed.where("low < high").select("shingle", "least", "farthest"), "mixed")
+    useful = labelled.join(mixed, "shingle").where("reach >= least AND n <= farthest")
+    useful = written(useful.select("shingle", "class_id", "n", "label"), "useful")
+    open_blocks = useful.groupBy("shingle").agg(
         F.min("label").alias("low"), F.max("label").alias("high"),
         # Blocks with the same members need one visit: number, extremes and two sums of hashes tell them apart.
         F.count("*").alias("members"), F.bit_xor(F.xxhash64("class_id")).alias("x1"), F.bit_xor(F.xxhash64("class_id", F.lit(1))).alias("x2"),
     ).where("low < high")
     open_blocks = open_blocks.groupBy("low", "high", "members", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle")
-    rows = labelled.join(open_blocks, "shingle").select(F.col("shingle").alias("block"), "class_id", "n", "label")
+    open_blocks = written(open_blocks, "open")
+    rows = useful.join(open_blocks, "shingle").select(F.col("shingle").alias("block"), "class_id", "n", "label")
     members, key = divided(rows, share, f"n - ceil(n * {share} / 100) + 1")
     bits = short.select("class_id", F.col("bits").alias("payload"))
     met = written(traversed(members, key, bits, lambda rows: compare_prefixes(rows, share)), "met_by_bits")
@@ -468,11 +478,11 @@ def join(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
     late = frequent(passed)
     short = prefixes(docs, k, share, late).join(classes.select("class_id"), F.col("doc_id") == F.col("class_id"), "left_semi")
     short = written(short.withColumnRenamed("doc_id", "class_id"), "prefixes")
-    rows = short.select("class_id", "n", F.explode("shingles").alias("shingle"))
+    rows = short.select("class_id", "n", F.posexplode("shingles").alias("place", "shingle"))
     met = rows.groupBy("shingle").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
     # Stored, so that nothing but its shuffle is below the join and a frequent shingle's rows are split.
     met = written(met.select("shingle"), "met")
-    shared = written(rows.join(met, "shingle").select("shingle", "class_id", "n"), "shared")
+    shared = written(rows.join(met, "shingle").select("shingle", "class_id", "n", "place"), "shared")
     texts = docs.select(F.col("doc_id").alias("class_id"), F.col("text").alias("payload"))
     links = written(first_round(shared, texts, k, share), "links_one")
     groups = components(links)
