@@ -38,13 +38,13 @@ from .components import components
 from .tables import SENT_IDS, drop_ids, map_rows, written
 
 # Shingles per task of one traversal, and per node of a divided block.
-WEIGHT = 1_000_000
+WEIGHT = 400_000
 # Shingles the order puts last: the most frequent ones. The number bounds a list that every task gets;
 # which shingles are on it changes the work, not the result.
 FREQUENT = 1 << 17
 # A shingle is a candidate for the list if so many documents of a part of the table hold it.
-SEEN_TOGETHER = 4
-COUNTED_AT_ONCE = 3_000_000
+SEEN_TOGETHER = 3
+COUNTED_AT_ONCE = 1_500_000
 FAN = 8
 
 PASS_SCHEMA = "doc_id long, n long, d1 long, d2 long, shingle long, seen long"
