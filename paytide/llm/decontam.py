@@ -4,7 +4,8 @@ A seed is the hash of some words of a window; the mask says which, and the other
 Seeds of all windows of the documents meet the seeds of the benchmark. Hits on one alignment of a
 document with an item that lie close together are one stretch, and the stretch is verified word
 by word: it counts if it is long enough and all but a fifth of its words agree, or if that holds
-for the whole item.
+for the whole item. If neither holds, the part of the stretch with the most agreeing words for which it does
+counts, so a passage is not lost because a weaker hit lies near it.
 
 Both masks leave a gap for a word in four to be replaced. Words are runs of letters, marks and
 digits in lower case. Items and documents of fewer words than a window have no seed, so they match
@@ -13,6 +14,8 @@ nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .tables import drop_ids
@@ -63,19 +66,60 @@ def stretches(hits: DataFrame) -> DataFrame:
     )
 
 
+def agreement(shift: Column, first: Column, n: Column) -> Column:
+    """Which of the n item words from ``first`` on are the same in the document."""
+    return F.zip_with(
+        F.slice(F.col("doc"), shift + first + 1, n), F.slice(F.col("item"), first + 1, n),
+        lambda a, b: F.coalesce(a == b, F.lit(False)),
+    )
+
+
 def agreeing(shift: Column, first: Column, n: Column) -> Column:
     """How many of the n item words from ``first`` on are the same in the document."""
-    pairs = F.zip_with(
-        F.slice(F.col("doc"), shift + first + 1, n), F.slice(F.col("item"), first + 1, n), lambda a, b: a == b
-    )
-    return F.size(F.filter(pairs, lambda same: F.coalesce(same, F.lit(False))))
+    return F.size(F.filter(agreement(shift, first, n), lambda same: same))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def best_part(marks: Column) -> Column:
+    """(n_same, fewest, earliest) of the best range with enough words of which enough agree; null if none.
+
+    The most agreeing words win, then the fewest words, then the earliest. Such a range begins and
+    ends with a run of agreeing words, because a whole run only adds to it.
+    """
+
+    def edges(m: Column, step: int) -> Column:
+        at = F.transform(m, lambda same, i: F.when(same & ~F.coalesce(F.get(m, i + step), F.lit(False)), i))
+        return F.filter(at, lambda i: i.isNotNull())
+
+    def sums(starts: Column, stops: Column) -> Column:
+        lengths = F.zip_with(starts, stops, lambda a, b: b - a + 1)
+        return F.aggregate(lengths, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+    def best(starts: Column, stops: Column, before: Column) -> Column:
+        def of_start(a: Column, i: Column) -> Column:
+            parts = F.transform(F.slice(stops, i + 1, F.size(stops)), lambda b, j: F.struct(
+                (F.get(before, i + j + 1) - F.get(before, i)).alias("n_same"), (a - b - 1).alias("fewest"), (-a).alias("earliest"),
+            ))
+            return F.array_max(F.filter(
+                parts, lambda p: (-p["fewest"] >= LEAST_WORDS) & (p["n_same"] * 100 >= -p["fewest"] * AGREE)
+            ))
+
+        return F.array_max(F.transform(starts, of_start))
+
+    return bound(marks, lambda m: bound(edges(m, -1), lambda starts: bound(edges(m, 1), lambda stops: bound(
+        sums(starts, stops), lambda before: best(starts, stops, before)
+    ))))
 
 
 def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_words, n_same, doc_word, item_word) per document and item it holds.
 
     ``docs`` has doc_id and text, ``tests`` item_id and text; other columns are not read. The row
-    tells the verified stretch with the most agreeing words (then the fewest words, then the
+    tells the verified stretch, or part of one, with the most agreeing words (then the fewest words, then the
     earliest), counted in words from 0. Null texts hold nothing; null ids are an id like any
     other; repeated rows give one result; empty tables an empty one.
     """
@@ -105,14 +149,20 @@ def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
         "doc_id", "item_id", shift, first, n, F.size("item").alias("size"),
         agreeing(shift, first, n).alias("same"),
         whole_from.alias("whole_from"), agreeing(shift, whole_from, whole_n).alias("whole_same"),
+        agreement(shift, first, n).alias("marks"),
     )
     stretch_ok = (F.col("n") >= LEAST_WORDS) & (F.col("same") * 100 >= F.col("n") * AGREE)
     whole_ok = F.col("whole_same") * 100 >= F.col("size") * AGREE
-    told = judged.where(stretch_ok | whole_ok).select(
+    # Only a stretch that fails as one and has enough words for a part is searched.
+    searched = ~stretch_ok & ~whole_ok & (F.col("n") > LEAST_WORDS) & (F.col("same") * 100 >= LEAST_WORDS * AGREE)
+    judged = judged.withColumn("part", F.when(searched, best_part(F.col("marks"))))
+    in_part = F.col("part").isNotNull()
+    told = judged.where(stretch_ok | whole_ok | in_part).select(
         "doc_id", "item_id",
-        F.when(whole_ok, F.col("size")).otherwise(F.col("n")).alias("n_words"),
-        F.when(whole_ok, F.col("whole_same")).otherwise(F.col("same")).alias("n_same"),
-        F.when(whole_ok, F.col("whole_from")).otherwise(F.col("first")).alias("item_word"),
+        F.when(whole_ok, F.col("size")).when(in_part, -F.col("part.fewest")).otherwise(F.col("n")).alias("n_words"),
+        F.when(whole_ok, F.col("whole_same")).when(in_part, F.col("part.n_same")).otherwise(F.col("same")).alias("n_same"),
+        F.when(whole_ok, F.col("whole_from")).when(in_part, F.col("first") - F.col("part.earliest"))
+        .otherwise(F.col("first")).alias("item_word"),
         "shift",
     )
     best = F.max(F.struct("n_same", (-F.col("n_words")).alias("fewest"), (-F.col("item_word") - F.col("shift")).alias("earliest"),

@@ -55,6 +55,34 @@ def test_seeds_find_what_aligned_comparison_finds(spark):
         assert same == sum(a == b for a, b in zip(doc[at : at + n], item[first : first + n])) and 100 * same >= 80 * n
 
 
+def test_a_passage_is_found_beside_a_weaker_hit(spark):
+    """Hits near each other are one stretch; a part of it that is long and alike enough counts."""
+    words = [prose(200 + i, 60, 5_000).split() for i in range(4)]
+    cases = [(13, 8, 8), (20, 8, 8), (23, 8, 8), (12, 8, 8)]
+    docs = []
+    for i, (exact, other, again) in enumerate(cases):
+        until = exact + other + again
+        middle = [f"x{n}" for n in range(other)]
+        docs.append((i, " ".join(["head"] + words[i][:exact] + middle + words[i][exact + other : until] + ["tail"])))
+    tests = items(spark, [(i, " ".join(w)) for i, w in enumerate(words)])
+    got = found(decontam.overlaps(documents(spark, docs), tests))
+    assert got == {(0, 0): (13, 13, 1, 0), (1, 1): (20, 20, 1, 0), (2, 2): (23, 23, 1, 0)}
+    assert [r["doc_id"] for r in decontam.clean(documents(spark, docs), tests).collect()] == [3]
+
+
+def test_best_part_by_brute_force(spark):
+    rnd = random.Random(6)
+    every = [[rnd.random() < p for _ in range(rnd.randint(1, 50))] for p in (0.3, 0.7, 0.8, 0.9) for _ in range(40)]
+
+    def brute(m):
+        ranges = [(a, b) for a in range(len(m)) for b in range(a + 13, len(m) + 1) if 100 * sum(m[a:b]) >= 80 * (b - a)]
+        return max(((sum(m[a:b]), a - b, -a) for a, b in ranges), default=None)
+
+    df = spark.createDataFrame(list(enumerate(every)), "i int, m array<boolean>")
+    got = {r["i"]: r["part"] and tuple(r["part"]) for r in df.select("i", decontam.best_part(df["m"]).alias("part")).collect()}
+    assert got == {i: brute(m) for i, m in enumerate(every)}
+
+
 def test_odd_rows_and_sides_that_are_not_sent(spark, monkeypatch):
     docs = odd_documents(spark)
     passage = " ".join(prose(2, 80).split()[10:50])
