@@ -4,8 +4,10 @@ A text is scanned as it is. Then everything in it that reads as an encoding is u
 a layer of its own, each layer is scanned and unwrapped in turn, and a layer whose content was
 seen before in the same document is not entered again, so the work ends at a fixpoint.
 
-Unwrapped are: percent escapes, Unicode and hexadecimal escapes, base64 in both alphabets, and
-gzip, zlib, bzip2 and xz streams found inside base64. Every layer carries, for each of its
+Unwrapped are: percent escapes, Unicode and hexadecimal escapes, base64 in both alphabets, also
+wrapped over lines, and gzip, zlib, bzip2 and xz streams, all members of them, found inside base64 or
+written as escaped bytes. Bytes that are no text are read byte by byte where they have a printable stretch that
+could hold a secret, and as UTF-16 where every other byte is zero. Every layer carries, for each of its
 characters, the part of the document it came from: one escape for an unescaped character,
 the group of four signs for a base64 byte, the whole stream for a compressed one. A secret
 found in a layer is reported with the span of the document that its characters came from.
@@ -23,11 +25,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -49,6 +53,19 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 ONE_ESCAPE = re.compile(r"\\(?:u\{([0-9A-Fa-f]+)\}|[uxU]([0-9A-Fa-f]+))")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
+# A run that goes on in the next lines; begun only where a run begins, so a long one is read once.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
+SIGNS = re.compile(r"[A-Za-z0-9+/_=-]+")
+# The shortest secret or nested run has so many signs.
+STRETCH = re.compile(rb"[ -~]{12}")
+# Compressed bytes written as escapes: their first bytes, and how far they may go.
+ONE_PERCENT = re.compile(r"%[0-9A-Fa-f]{2}|.", re.DOTALL)
+ONE_BYTE = re.compile(r"\\x[0-9A-Fa-f]{2}|\\.|.", re.DOTALL)
+PERCENT_STREAM = re.compile(r"(?:%1[Ff]%8[Bb]|(?:x|%78)(?:%(?:01|5[Ee]|9[Cc]|[Dd][Aa])|\^)|BZh|%42%5[Aa]%68|%[Ff][Dd](?:7zXZ|%37%7[Aa]%58%5[Aa])%00)(?:%[0-9A-Fa-f]{2}|[!#$&(-;=?-~])*+")
+BYTE_STREAM = re.compile(
+    r"(?:\\x1[Ff]\\x8[Bb]|(?:x|\\x78)(?:\\x(?:01|5[Ee]|9[Cc]|[Dd][Aa])|\^)|BZh|\\x42\\x5[Aa]\\x68|\\x[Ff][Dd](?:7zXZ|\\x37\\x7[Aa]\\x58\\x5[Aa])\\x00)"
+    r"(?:\\x[0-9A-Fa-f]{2}|\\[nrtabfv0\\'\"]|[\x20!#-&(-\[\]-~])*+"
+)
 
 SCHEMA = (
     "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
@@ -81,6 +98,8 @@ class Worklist:
         self.layer_bytes = layer_bytes
         self.truncated = False
         self.layers = 0
+        # What the last stream left of its bytes.
+        self.rest = b""
 
     def spans(self) -> tuple[list[Span], list[Span]]:
         """Spans of the text itself, and those spans with the ones its layers add."""
@@ -105,10 +124,23 @@ class Worklist:
         """The layers one step below ``text``, with the places their characters came from."""
         if "%" in text:
             yield from self.rewritten(text, parent, PERCENT, percent)
+            for m in PERCENT_STREAM.finditer(text):
+                if "%" in m[0]:
+                    yield from self.from_escaped(unquote_to_bytes(m[0]), m, ONE_PERCENT, parent)
         if "\\" in text:
             yield from self.rewritten(text, parent, ESCAPE, escapes)
+            for m in BYTE_STREAM.finditer(text):
+                if "\\x" in m[0]:
+                    yield from self.from_escaped(codecs.escape_decode(m[0])[0], m, ONE_BYTE, parent)
         for m in BASE64.finditer(text):
-            yield from self.from_base64(m[0], m.start(), parent)
+            yield from self.from_base64(m[0], np.arange(m.start(), m.end()), parent)
+        if "\n" in text:
+            for m in WRAPPED.finditer(text):
+                lines = list(SIGNS.finditer(text, m.start(), m.end()))
+                # A first line of another width may be a word before the run.
+                for first in (0, 1) if len(lines) > 2 and len(lines[0][0]) != len(lines[1][0]) else (0,):
+                    at = np.concatenate([np.arange(x.start(), x.end()) for x in lines[first:]])
+                    yield from self.from_base64("".join(x[0] for x in lines[first:]), at, parent)
 
     def rewritten(self, text: str, parent: Layer | None, pattern: re.Pattern, decode) -> Iterator[Layer]:
         """The whole text with its escapes replaced, if it has any."""
@@ -128,25 +160,42 @@ class Worklist:
             ends.append(np.arange(at + 1, len(text) + 1))
             yield mapped("".join(out), np.concatenate(starts), np.concatenate(ends), parent)
 
-    def from_base64(self, run: str, start: int, parent: Layer | None) -> Iterator[Layer]:
+    def from_escaped(self, raw: bytes, m: re.Match, one: re.Pattern, parent: Layer | None) -> Iterator[Layer]:
+        """What a stream written as escapes holds; what stands behind the stream is no part of it."""
+        if self.inflated(raw) is None:
+            return
+        used = len(raw) - len(self.rest)
+        ends = [x.end() for x in one.finditer(m[0])]
+        yield from self.from_stream(raw[:used], m.start(), m.start() + ends[used - 1], parent)
+
+    def from_stream(self, raw: bytes, start: int, end: int, parent: Layer | None) -> Iterator[Layer]:
+        """What a compressed stream holds, if the bytes are one; all of it comes from the whole stretch."""
+        unpacked = self.unpacked(raw)
+        text = (unpacked or b"").decode("utf-8", "replace")
+        if text:
+            yield mapped(text, np.full(len(text), start, dtype=np.int64), np.full(len(text), end, dtype=np.int64), parent)
+
+    def from_base64(self, run: str, at: np.ndarray, parent: Layer | None) -> Iterator[Layer]:
+        """The layers of a run whose signs stand at the places ``at``."""
         raw = base64_bytes(run)
         if raw is None:
             return
-        unpacked = self.unpacked(raw)
-        if unpacked is not None:
-            text = unpacked.decode("utf-8", "replace")
-            if text:
-                whole = np.full(len(text), start, dtype=np.int64), np.full(len(text), start + len(run), dtype=np.int64)
-                yield mapped(text, *whole, parent)
+        if self.unpacked(raw) is not None:
+            yield from self.from_stream(raw, int(at[0]), int(at[-1]) + 1, parent)
             return
         text = readable(raw)
-        if text is None:
+        if text is not None:
+            widths = np.array([len(c.encode()) for c in text]) if not text.isascii() else np.ones(len(text), dtype=np.int64)
+            yield placed(text, np.cumsum(widths) - widths, np.cumsum(widths), at, parent)
             return
-        widths = np.array([len(c.encode()) for c in text]) if not text.isascii() else np.ones(len(text), dtype=np.int64)
-        stop = np.cumsum(widths)
-        first = start + 4 * ((stop - widths) // 3)
-        after = np.minimum(start + 4 * ((stop - 1) // 3) + 4, start + len(run))
-        yield mapped(text, first, after, parent)
+        # Every byte, and those beside zeros, as a character of its own; the patterns are ASCII.
+        for first, step in ((0, 1), (0, 2), (1, 2)):
+            part = raw[first::step]
+            if step == 2 and raw[1 - first :: 2].count(0) * 2 < len(raw) // 2:
+                continue
+            if STRETCH.search(part):
+                begin = np.arange(first, len(raw), step)
+                yield placed(part.decode("latin-1"), begin, begin + 1, at, parent)
 
     def unpacked(self, raw: bytes) -> bytes | None:
         """The content of a compressed stream and of streams stacked inside it; None if it is none."""
@@ -161,23 +210,42 @@ class Worklist:
         return out
 
     def inflated(self, raw: bytes) -> bytes | None:
-        try:
-            if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 5 and int.from_bytes(raw[:2]) % 31 == 0):
-                machine = zlib.decompressobj(47)
-            elif raw[:3] == b"BZh":
-                machine = bz2.BZ2Decompressor()
-            elif raw[:6] == b"\xfd7zXZ\x00":
-                machine = lzma.LZMADecompressor(memlimit=256 << 20)
-            else:
-                return None
-            out = machine.decompress(raw, self.layer_bytes)
-        except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
-            return None
-        if len(out) >= self.layer_bytes:
-            self.truncated = True
+        """The content of all members of a compressed stream; None if the first is none."""
+        out = None
+        while raw:
+            try:
+                machine = machine_of(raw)
+                if machine is None:
+                    break
+                room = self.layer_bytes - len(out or b"")
+                out = (out or b"") + machine.decompress(raw, room)
+            except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
+                break
+            if len(out) >= self.layer_bytes:
+                self.truncated, self.rest = True, b""
+                break
+            # Members may be followed by zeros.
+            self.rest = machine.unused_data
+            raw = self.rest.lstrip(b"\x00")
         return out
 
 
+def machine_of(raw: bytes):
+    """What unpacks the stream that begins here."""
+    if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 5 and int.from_bytes(raw[:2]) % 31 == 0):
+        return zlib.decompressobj(47)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor(memlimit=256 << 20) if raw[:6] == b"\xfd7zXZ\x00" else None
+
+
+def placed(text: str, begin: np.ndarray, end: np.ndarray, at: np.ndarray, parent: Layer | None) -> Layer:
+    """A layer of characters that are the bytes from ``begin`` to ``end`` of a base64 run with signs ``at``."""
+    first = at[4 * (begin // 3)]
+    after = at[np.minimum(4 * ((end - 1) // 3) + 3, len(at) - 1)] + 1
+    return mapped(text, first, after, parent)
+
+
 def digest(text: str) -> bytes:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 

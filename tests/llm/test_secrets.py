@@ -48,6 +48,33 @@ def test_a_wrapped_secret_is_found_at_its_place(wrap):
     assert secrets.masked(text, secrets.Worklist(text).spans()[1], "#").startswith("héad #")
 
 
+FILL = "".join(f"{i * 7919 % 1000:03d} words, " for i in range(30))
+
+
+def lines(text, width, end="\n"):
+    return end.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("inside", [
+    lines(b64(f"{FILL[:45]}{SECRET}{FILL}".encode()), 64), lines(b64(f"{FILL[:45]}{SECRET}{FILL}".encode()), 76, "\r\n"),
+    lines(b64(gzip.compress(f"{FILL}{SECRET}".encode())), 76, "\n  "),
+    b64(b"\x00" + SECRET.encode()), b64(SECRET.encode() + b"\xff\x01"), b64(SECRET.encode("utf-16")), b64(SECRET.encode("utf-16-be")),
+    *(b64(f(b"first") + f(SECRET.encode())) for f in (gzip.compress, bz2.compress, lzma.compress)),
+    *(urllib.parse.quote(f(SECRET.encode())) for f in (gzip.compress, zlib.compress, bz2.compress, lzma.compress)),
+    *("".join(f"\\x{b:02x}" for b in f(SECRET.encode())) for f in (gzip.compress, zlib.compress, bz2.compress, lzma.compress)),
+    repr(gzip.compress(SECRET.encode()))[2:-1],
+])
+def test_layers_are_unwrapped_whole(inside):
+    text = f"héad {inside} tail"
+    found = [s.split(":") for s in spans(text).split(",") if s]
+    assert any(kind == "assign" and 5 <= int(a) < int(b) <= 5 + len(inside) for kind, a, b in found), found
+
+
+def test_a_long_word_before_a_wrapped_run():
+    run = lines(b64(f"{FILL[:45]}{SECRET}{FILL}".encode()), 64)
+    assert spans(f"internationally\n{run}\nend").startswith("assign:")
+
+
 def test_base64_spans_are_the_groups_of_the_characters():
     text = b64(b"abc token=123456 xyz")
     # Bytes 4 to 16 lie in the groups of four signs from 4 to 24.
