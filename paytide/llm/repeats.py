@@ -6,7 +6,8 @@ are grouped over the whole table; the occurrence in the smallest doc_id, and the
 kept, every other one is a repeat.
 
 Single common sentences are no reason to cut a text. Neighbouring repeats form a passage, and a
-passage is removed if its units of ``SOLID`` words or more have ``LEAST_WORDS`` words together.
+passage is removed if its units of ``SOLID`` words or more have ``LEAST_WORDS`` words together. In
+scripts without blanks between words, ``WORD_SIGNS`` letters weigh as much as a word.
 """
 
 from __future__ import annotations
@@ -22,19 +23,23 @@ from .tables import map_rows, written
 UNIT = re.compile(r"[^\n.!?]*[.!?\n]+|[^\n.!?]+")
 SOLID = 4
 LEAST_WORDS = 20
+# Thai, Lao, Burmese, Khmer, kana and Han letters.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+WORD_SIGNS = 2
 
-UNIT_SCHEMA = "h1 long, h2 long, doc_id long, nth int, start int, stop int, n_words int, fresh boolean"
+UNIT_SCHEMA = "h1 long, h2 long, doc_id long, nth int, start int, stop int, n_words int, weight int, fresh boolean"
 
 
 def unit_rows(rows: Iterator[tuple]) -> Iterator[tuple]:
     """Units of each text; ``fresh`` tells the first occurrence within the text."""
     for doc_id, text in rows:
-        seen = set()
+        seen, ascii_only = set(), text.isascii()
         for nth, m in enumerate(UNIT.finditer(text)):
             words = m[0].encode().lower().split()
             digest = xxhash.xxh3_128_intdigest(b" ".join(words))
             h1, h2 = (digest >> 64) - (1 << 63), (digest & MASK) - (1 << 63)
-            yield h1, h2, doc_id, nth, m.start(), m.end(), len(words), digest not in seen
+            weight = max(len(words), 0 if ascii_only else len(UNSPACED.findall(m[0])) // WORD_SIGNS)
+            yield h1, h2, doc_id, nth, m.start(), m.end(), len(words), weight if weight >= SOLID else 0, digest not in seen
             seen.add(digest)
 
 
@@ -42,7 +47,7 @@ MASK = (1 << 64) - 1
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """(h1, h2, doc_id, nth, start, stop, n_words, fresh) of every unit; offsets in code points."""
+    """(h1, h2, doc_id, nth, start, stop, n_words, weight, fresh) of every unit; offsets in code points."""
     named = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     return map_rows(named.select("doc_id", "text"), unit_rows, UNIT_SCHEMA)
 
@@ -65,17 +70,16 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     spread = written(spread, "spread")
     told = every.join(spread, ["h1", "h2"], "left").where(~F.col("fresh") | (F.col("keeper") < F.col("doc_id")))
     repeats = told.select(
-        "doc_id", "nth", "start", "stop", "n_words", F.coalesce("keeper", "doc_id").alias("kept")
+        "doc_id", "nth", "start", "stop", "n_words", "weight", F.coalesce("keeper", "doc_id").alias("kept")
     ).distinct()
     line = Window.partitionBy("doc_id").orderBy("nth")
     numbered = repeats.withColumn("run", F.col("nth") - F.row_number().over(line))
-    solid = F.sum(F.when(F.col("n_words") >= SOLID, F.col("n_words")).otherwise(0))
     return (
         numbered.groupBy("doc_id", "run").agg(
             F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n_units"),
-            F.sum("n_words").alias("n_words"), F.min_by("kept", "nth").alias("kept_doc_id"), solid.alias("solid"),
+            F.sum("n_words").alias("n_words"), F.min_by("kept", "nth").alias("kept_doc_id"), F.sum("weight").alias("weight"),
         )
-        .where(F.col("solid") >= least_words)
+        .where(F.col("weight") >= least_words)
         .select("doc_id", "start", "stop", "n_units", "n_words", "kept_doc_id")
     )
 

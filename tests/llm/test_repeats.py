@@ -36,6 +36,16 @@ def test_short_common_sentences_stay(spark):
     assert repeats.passages(docs).count() == 0
 
 
+def test_a_passage_without_blanks_goes(spark):
+    wide = "".join(chr(0x4e00 + 7 * i) for i in range(60)) + "\n"
+    few = "".join(chr(0x5e00 + 7 * i) for i in range(20)) + "\n"
+    docs = documents(spark, [(n, f"{sentences(n, 2).strip()}\n{wide}") for n in range(3)]
+                     + [(n, few) for n in (10, 11)])
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    cuts = {(d, text[d][a:b]) for d, a, b, _ in cut(repeats.passages(docs))}
+    assert cuts == {(d, wide) for d in (1, 2)}
+
+
 def test_repeats_within_a_document(spark):
     passage = sentences(9, 4)
     # A unit begins right after the one before, so with the blank in front of the sentence.
