@@ -86,3 +86,44 @@ SELECT doc_id, min(start)::INTEGER AS start, max(stop)::INTEGER AS stop, count(*
        sum(n_words)::BIGINT AS n_words, min_by(kept, nth) AS kept_doc_id
 FROM numbered GROUP BY doc_id, run HAVING sum(CASE WHEN n_words >= 4 THEN n_words ELSE 0 END) >= 20
 """
+
+ORACLE["op12_filter_audit"] = r"""
+WITH worded AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), told AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM worded LEFT JOIN told USING (doc_id)
+), cell AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM judged GROUP BY ALL
+), letter AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), stage AS (
+  SELECT filter_order, step, filter_order[step] AS f, 1 << (ascii(filter_order[step]) - 65) AS bit
+  FROM orders, range(1, 6) r(step)
+), chain AS (
+  SELECT *, (sum(bit) OVER (PARTITION BY filter_order ORDER BY step))::INT AS upto FROM stage
+), counted AS (
+  SELECT part, filter_order, step, f,
+         coalesce(sum(n) FILTER (mask & upto = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & upto = bit), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & bit > 0 AND mask & upto <> bit), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & upto = bit), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & upto = bit), 0)::BIGINT AS toxic_lost
+  FROM cell, chain GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted
+"""

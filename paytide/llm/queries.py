@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, html_text, jaccard, langid, multi_index, repeats, secrets, sharding, warc
+from . import (
+    bpe, decontam, filter_audit, html_text, jaccard, langid, multi_index, periodic, repeats, secrets, sharding, simhash, warc,
+)
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +72,18 @@ def op9_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summary(periodic.find(table(spark, sf_dir, "documents"), periodic.echoed))

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.01"
 # Tested against brute force, the tokenizer library or held-out rows instead.
 NO_SQL = {
     "op2_host_suffix_array", "op3_inverted_multi_index", "op4_signature_tree_join", "op5_language_id",
-    "op7_secret_scan", "op9_bpe_roundtrip", "op10_shard_documents",
+    "op7_secret_scan", "op9_bpe_roundtrip", "op10_shard_documents", "op11_covering_simhash", "op13_periodic_runs",
 }
 
 
