@@ -48,10 +48,10 @@ STORED_FACT = schema(
 ARCHIVED_FACT = T.StructType([*STORED_FACT.fields, *schema("batch_id BIGINT").fields])
 
 # One row per archive run; a run counts only once its row is here. ``whole`` tells that all rows of the batch left the
-# hot table; a snapshot also holds rows that stayed.
+# hot table; a snapshot also holds rows that stayed. ``folder`` is where the batch lies, ``checksum`` that of all its rows.
 MANIFEST = schema(
     """batch_id BIGINT, generation BIGINT, cutoff TIMESTAMP_NTZ, min_ts TIMESTAMP_NTZ, max_ts TIMESTAMP_NTZ,
-       rows BIGINT, kept BIGINT, expired BIGINT, checksum BIGINT, whole BOOLEAN"""
+       rows BIGINT, kept BIGINT, expired BIGINT, checksum STRING, whole BOOLEAN, folder STRING, stored BIGINT"""
 )
 
 CUSTOMERS = schema(
@@ -90,6 +90,9 @@ DIMENSIONS = {
 FACT_KEYS = ("transaction_id", "customer_id", "merchant_id", "device_id", "payment_method_id")
 STATUSES = ("Success", "Fraud")
 
+# What was archived, per hour: two such tables are equal exactly if the rows of the hours are.
+FINGERPRINTS = schema("hour TIMESTAMP_NTZ, rows BIGINT, checksum STRING")
+
 # KPI name -> (result table, cache key, name of the label, count, total and average columns).
 KPI_TABLES = {
     "global": ("kpis_global", "kpi:global", None, "total_transactions", "total_volume", "avg_transaction_value"),

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.checksum import checksum, difference, total
 from ..functions.clock import moment
-from ..sources import HotStore, load_archive
+from ..model import STORED_FACT
+from ..sources import ArchiveRun, Conflict, HotStore, LostRows
 from .hot_cold import expired, hot_cold_union
 
 HOT_HOURS = 3
@@ -105,20 +106,30 @@ def archive_manifest(fact: DataFrame, as_of: Column, cutoff: Column) -> DataFram
         F.count("*").alias("rows"),
         F.count_if(F.col("ts") >= cutoff).alias("kept"),
         F.count_if(expired("ts", cutoff)).alias("expired"),
-        F.bit_xor(F.xxhash64("transaction_id")).alias("checksum"),
+        checksum(sorted(c for c in fact.columns if c in STORED_FACT.names)).alias("checksum"),
     )
     batch_id = F.unix_seconds(as_of.cast("timestamp"))
     return found.select(batch_id.alias("batch_id"), cutoff.alias("cutoff"), *found.columns)
 
 
+def facts(where: Column | None = None) -> list[Column]:
+    """Aggregates: count, time span and checksum of all rows, or of those that fulfil a condition."""
+    here = F.lit(True) if where is None else where
+    return [
+        F.count_if(here).alias("rows"),
+        F.min(F.when(here, F.col("ts"))).alias("min_ts"),
+        F.max(F.when(here, F.col("ts"))).alias("max_ts"),
+        checksum(sorted(STORED_FACT.names), where).alias("checksum"),
+    ]
+
+
 def stored_facts(df: DataFrame) -> DataFrame:
-    """Count, time span and order-free checksum of rows as they lie on disk."""
-    return df.agg(
-        F.count("*").alias("rows"),
-        F.min("ts").alias("min_ts"),
-        F.max("ts").alias("max_ts"),
-        F.bit_xor(F.xxhash64("transaction_id")).alias("checksum"),
-    )
+    """Count, time span and checksum of whole rows, whatever their order."""
+    return df.agg(*facts())
+
+
+# How often a run is made again when another run or a merge was faster.
+ATTEMPTS = 5
 
 
 def archive_run(
@@ -128,47 +139,69 @@ def archive_run(
 
     By default only the expired rows go to the archive, so hot and cold stay disjoint. With a byte
     budget, live rows that do not fit go there too. ``snapshot`` archives everything, including what
-    stays live. The run reads one unchanging generation throughout, compares what it wrote with what
-    it read, and commits last.
+    stays live. The run reads one unchanging state throughout, compares what it wrote with what
+    it read, and commits last; what is ingested meanwhile stays live. A run that another one overtook is made again.
     """
-    spark = store.spark
-    done = {run.batch_id: run.generation for run in store.runs().select("batch_id", "generation").collect()}
-    generation = max(done.values(), default=0)
-    hot = store.at(generation)
+    for attempt in range(ATTEMPTS):
+        try:
+            return _archive_once(store, as_of, hours, snapshot, budget)
+        except Conflict:
+            if attempt + 1 == ATTEMPTS:
+                raise
+    return False
+
+
+def _archive_once(store: HotStore, as_of: datetime, hours: int, snapshot: bool, budget: int | None) -> bool:
+    spark, state = store.spark, store.snapshot()
     until = as_of - timedelta(hours=hours)
     batch_id = int(as_of.replace(tzinfo=timezone.utc).timestamp())
-    rows = hot.count() if batch_id not in done else 0
-    if rows == 0:
+    if store.runs(state).where(F.col("batch_id") == batch_id).count():
         return False
-    kept, moved = retain_hot(hot, moment(until)), archive_expired(hot, moment(until))
+    hot = store.current(state)
+    gone = expired("ts", moment(until))
+    # One scan tells all there is and all that goes; checksums add up, so what stays is the difference.
+    found = hot.agg(F.struct(*facts()).alias("all"), F.struct(*facts(gone)).alias("gone")).first()
+    if found["all"].rows == 0:
+        return False
+    if store.origin is None:
+        wanted_parts = sum(p.rows for p in state.parts), total([p.checksum for p in state.parts])
+        if (found["all"].rows, found["all"].checksum) != wanted_parts:
+            raise LostRows(f"the live parts hold {found['all'].rows} rows, not those committed: {wanted_parts}")
+    kept, moved, wanted = retain_hot(hot, moment(until)), archive_expired(hot, moment(until)), found["gone"]
     if budget is not None:
         kept, over, all_from = split_by_size(kept, budget)
-        moved = hot_cold_union(moved, over)
-        until = until if all_from is None else max(until, all_from)
-    batch_rows = hot if snapshot else moved
-    wanted = stored_facts(batch_rows).first()
-    stored = stored_facts(store.write_batch(batch_rows, batch_id)).first()
-    if stored != wanted:
-        raise RuntimeError(f"batch {batch_id} holds {stored} instead of {wanted}; nothing was committed")
+        if all_from is not None:
+            moved, until = hot_cold_union(moved, over), max(until, all_from)
+            wanted = stored_facts(moved).first()
+    kept_rows, kept_sum = found["all"].rows - wanted.rows, difference(found["all"].checksum, wanted.checksum)
+    batch_rows, wanted = (hot, found["all"]) if snapshot else (moved, wanted)
+    folder = store.batch_folder(batch_id)
+    stored = store.write_batch(batch_rows, batch_id, folder)
+    if stored_facts(stored).first() != wanted:
+        raise LostRows(f"batch {batch_id} does not hold the rows of {wanted}; nothing was committed")
+    part = None
     if store.origin is None:
-        kept_rows = store.write_generation(kept, generation + 1).count()
+        part = store.write_part(kept, state.generation + 1)
+        if (part.rows, part.checksum) != (kept_rows, kept_sum):
+            raise LostRows(f"{part} does not hold the {kept_rows} rows kept; nothing was committed")
     else:
-        kept_rows = kept.count() if snapshot else rows - wanted.rows
-    if not snapshot and kept_rows + wanted.rows != rows:
-        raise RuntimeError(f"{kept_rows} rows kept and {wanted.rows} archived of {rows}; nothing was committed")
-    run = spark.range(1).select(
+        # What leaves the live table, told from the batch as it lies on disk.
+        store.write_fingerprints(stored.where(expired("ts", moment(until))) if snapshot else stored, folder)
+    row = spark.range(1).select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
-        F.lit(generation + 1).cast("bigint").alias("generation"),
+        F.lit(state.generation + 1).cast("bigint").alias("generation"),
         moment(until).alias("cutoff"),
         moment(wanted.min_ts).alias("min_ts"),
         moment(wanted.max_ts).alias("max_ts"),
-        F.lit(rows).cast("bigint").alias("rows"),
+        F.lit(found["all"].rows).cast("bigint").alias("rows"),
         F.lit(kept_rows).cast("bigint").alias("kept"),
-        F.lit(rows - kept_rows).cast("bigint").alias("expired"),
-        F.lit(wanted.checksum).cast("bigint").alias("checksum"),
+        F.lit(found["all"].rows - kept_rows).cast("bigint").alias("expired"),
+        F.lit(wanted.checksum).alias("checksum"),
         F.lit(not snapshot).alias("whole"),
+        F.lit(folder).alias("folder"),
+        F.lit(wanted.rows).cast("bigint").alias("stored"),
     )
-    store.commit(run)
+    store.commit(ArchiveRun(state, row, part))
     return True
 
 
@@ -176,22 +209,21 @@ def archived_rows(store: HotStore, runs: DataFrame) -> DataFrame:
     """What the batches of some runs hold of transactions that left the hot table at their run.
 
     A snapshot also holds what stayed live; the next batch or the live table has that, so nothing
-    is counted twice. The manifest has one row per run; its ids go into the scan as literals, so only
-    the folders of these runs are read and no batch becomes the key of a join.
+    is counted twice: its rows are compared with the cutoff of their run, which a join with the manifest's few rows gives.
+    Only the folders of these runs are listed and read, and one that is gone raises.
     """
-    known = runs.select("batch_id", "cutoff", "whole").collect()
-    archived = load_archive(store.spark, store.archive_root).where(F.col("batch_id").isin([r.batch_id for r in known]))
-    snapshots = [r for r in known if not r.whole]
-    left = reduce(
-        lambda rest, r: F.when(F.col("batch_id") == r.batch_id, expired("ts", moment(r.cutoff))).otherwise(rest),
-        snapshots, F.lit(True),
-    )
-    return archived.where(left).drop("batch_id")
+    rows = store.archived(runs)
+    snapshots = runs.where("NOT whole").select("batch_id", "cutoff")
+    if snapshots.isEmpty():
+        return rows.drop("batch_id")
+    left = rows.join(snapshots, "batch_id", "left").where(F.col("cutoff").isNull() | expired("ts", F.col("cutoff")))
+    return left.select(*STORED_FACT.names)
 
 
 def archived_once(store: HotStore) -> DataFrame:
-    """Hot and cold as one fact in which every transaction appears once.
+    """Hot and cold, of one state of the store, as one fact in which every transaction appears once.
 
     Going through the manifest, one row per run, leaves out batches that were never committed.
     """
-    return store.current().unionByName(archived_rows(store, store.runs()))
+    state = store.snapshot()
+    return store.current(state).unionByName(archived_rows(store, store.runs(state)))

@@ -192,6 +192,11 @@ SELECT transaction_id, ts, CASE
     WHEN ts < TIMESTAMP '2024-01-10' THEN '2024-01-20'
     WHEN ts < TIMESTAMP '2024-01-19 21:00:00' AND CAST(transaction_id AS BIGINT) % 50 <> 0 THEN '2024-01-20'
     ELSE 'hot' END AS place FROM feed""",
+    "archive_with_ingest": f"""WITH {FEED}
+SELECT transaction_id, ts, CASE
+    WHEN ts < TIMESTAMP '2024-01-09 21:00:00' AND CAST(transaction_id AS BIGINT) % 50 <> 0 THEN '2024-01-10'
+    WHEN ts < TIMESTAMP '2024-01-19 21:00:00' THEN '2024-01-20'
+    ELSE 'hot' END AS place FROM feed""",
     "retain_by_size": f"""WITH {FEED},
 sized AS (
   SELECT transaction_id, ts, CAST(64 + strlen(transaction_id) + strlen(transaction_timestamp) + strlen(status) AS BIGINT)

@@ -14,7 +14,7 @@ from ..model import KPI_TABLES, schema
 from ..operators import dims as dim_ops
 from ..operators import hot_cold, kpis, latency, quality, retention, serving, time_kpis
 from ..operators.totals import roll_up, totals
-from ..sources import HotStore, Source, sample
+from ..sources import ArchiveRun, HotStore, Source, sample
 from ..streaming import live
 from ..streaming.run import read_feed, to_table
 from . import one_pass
@@ -208,6 +208,38 @@ def retain_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_rows(store.write_generation(kept, 1))
 
 
+class Busy(HotStore):
+    """A store into which rows arrive between an archive run's read and its commit."""
+
+    arriving: DataFrame | None = None
+
+    def commit(self, run: ArchiveRun) -> None:
+        if self.arriving is not None:
+            arriving, self.arriving = self.arriving, None
+            self.ingest(arriving)
+        super().commit(run)
+
+
+@query
+def archive_with_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two archive runs over a store of its own, during each of which rows arrive, late ones in the first.
+
+    Returns each transaction with the place it ends in.
+    """
+    store = Busy(spark, session.work_path(spark, "archive_with_ingest"))
+    fact = sample.feed(spark, sf_dir)
+    first, second = (F.col("ts") < moment(run) for run in sample.RUNS)
+    late = F.col("transaction_id").cast("bigint") % 50 == 0
+    turns = [(first & ~late, first & late), (~first & second, F.coalesce(~second, F.lit(True)))]
+    for run, (before, during) in zip(sample.RUNS, turns):
+        store.ingest(fact.where(before))
+        store.arriving = fact.where(during)
+        retention.archive_run(store, datetime.fromisoformat(run))
+    hot = store.current().select(*ID_TIME, F.lit("hot").alias("place"))
+    batch = F.from_unixtime("batch_id", "yyyy-MM-dd")
+    return hot.unionByName(store.archive().select(*ID_TIME, batch.alias("place")))
+
+
 @query
 def archive_two_runs_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A live table kept elsewhere over two archive runs, with new and late rows in between.
@@ -466,25 +498,29 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping snapshots and the live rows as a stream of files, newest first, each transaction kept once.
+    """Two overlapping snapshots and the live rows as three micro-batches, newest first, each transaction kept once.
 
-    One file is one micro-batch, so nearly all rows of the later batches are late, and copies
-    come days after their originals.
+    Nearly all rows of the later batches are late, and copies come days after their originals.
     """
     root = session.work_path(spark, "stream_dedup")
     first, second, live_rows = sample.overlapping(ntz(sample.feed(spark, sf_dir)))
-    for number, part in enumerate((live_rows, second, first)):
-        part.coalesce(1).write.mode("append").parquet(f"{root}/files/part={number}")
-    files = read_feed(spark, f"{root}/files/*", first.schema, maxFilesPerTrigger="1")
-    return live.ingest(files, root).select("transaction_id", "ts", "transaction_amount", "status")
+    for part in (live_rows, second, first):
+        part.write.mode("append").parquet(f"{root}/files")
+        stored = live.ingest(read_feed(spark, f"{root}/files", first.schema), root)
+    return stored.select("transaction_id", "ts", "transaction_amount", "status")
 
 
 @query
 def stream_kpi_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All KPIs, refreshed after each micro-batch of the stream."""
+    """All KPIs, refreshed after each of three micro-batches, the last of which is late and repeats the first."""
+    session.configure(spark)
     root = session.work_path(spark, "stream_kpi_all")
-    dims = all_dims(spark, sf_dir)
-    return live.live_kpis(event_stream(spark, sf_dir), root, dims)
+    dims, feed = all_dims(spark, sf_dir), ntz(sample.feed(spark, sf_dir))
+    first = F.col("ts") < moment(sample.RUNS[0])
+    for part in (feed.where(first), feed.where(F.col("ts") >= moment(sample.RUNS[1])), feed.where(first | (F.col("ts") < moment(sample.RUNS[1])) | F.col("ts").isNull())):
+        part.write.mode("append").parquet(f"{root}/files")
+        stored = live.live_kpis(read_feed(spark, f"{root}/files", feed.schema), root, dims)
+    return stored
 
 
 @query

@@ -12,10 +12,10 @@ from ..operators.enrich import LABELS
 from ..operators.retention import archived_once, archived_rows
 from ..operators.serving import serving_rows
 from ..operators.totals import merge
-from ..sources import HotStore, Source, load_dimension, read_or_empty, register, remove_folder
+from ..sources import HotStore, Snapshot, Source, load_dimension, read_or_empty, register, remove_folder
+from .ledger import TOTALS
 from .one_pass import Header, kpi_all_one_pass, label_totals, long_kpis, reduce_fact
 
-TOTALS = schema("kpi STRING, key BIGINT, n BIGINT, n_priced BIGINT, n_odd BIGINT, units BIGINT, parts BIGINT, n_fraud BIGINT")
 LONG = "kpi STRING, dim_value STRING, transactions BIGINT, total DOUBLE, average DOUBLE"
 RUNS = schema("run BIGINT, run_at TIMESTAMP_NTZ")
 
@@ -79,14 +79,12 @@ def vacuum(spark: SparkSession, out: str, keep: int = 1) -> list[str]:
     return [path for path in old if remove_folder(spark, path)]
 
 
-def vacuum_store(store: HotStore) -> list[str]:
-    """Remove generations of the hot table and totals that no reader of the newest committed row takes."""
-    now = store.generation()
+def vacuum_store(store: HotStore, keep: int = 1) -> list[str]:
+    """Remove what no reader of the newest ``keep`` states takes: parts of the hot table, and totals of earlier generations."""
     done = read_or_empty(store.spark, Source(f"{store.root}/totals/log"), schema("generation BIGINT"))
     totals_now = done.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
-    old = [store.generation_path(g) for g in range(now)]
-    old += [f"{store.root}/totals/generation={g}" for g in range(totals_now)]
-    return [path for path in old if remove_folder(store.spark, path)]
+    old = [f"{store.root}/totals/generation={g}" for g in range(totals_now)]
+    return store.vacuum(keep) + [path for path in old if remove_folder(store.spark, path)]
 
 
 def newest_totals(spark: SparkSession, out: str) -> DataFrame:
@@ -106,14 +104,18 @@ def refresh(
     return publish(kpi_all_one_pass(fact, dims, header), out, run_at)
 
 
-def archived_totals(store: HotStore, now: int) -> DataFrame:
+def archived_totals(store: HotStore, now: int | Snapshot) -> DataFrame:
     """Totals per (kpi, key) of all batches up to generation ``now``, reading each only once ever.
 
+    On that occasion a batch is compared with its manifest row: lost, doubled and changed rows raise.
+
     Archived batches do not change and totals add up, so the totals up to the last refresh are stored,
     and only the batches of later runs are scanned and added. As in the hot store, a row in a log
     commits the new totals, and a refresh that dies before it can be repeated.
     """
     spark, root = store.spark, f"{store.root}/totals"
+    state = now if isinstance(now, Snapshot) else store.snapshot()
+    now = state.generation if isinstance(now, Snapshot) else now
     log = read_or_empty(spark, Source(f"{root}/log"), schema("generation BIGINT"))
     done = log.agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
     stored = Source(f"{root}/generation={done}")
@@ -121,7 +123,8 @@ def archived_totals(store: HotStore, now: int) -> DataFrame:
     known = stored.read(spark, TOTALS) if done else read_or_empty(spark, stored, TOTALS)
     if now <= done:
         return known
-    runs = store.runs().where(F.col("generation").between(done + 1, now))
+    runs = store.runs(state).where(F.col("generation").between(done + 1, now))
+    store.verify_batches(runs)
     fresh = reduce_fact(archived_rows(store, runs), LABELS)
     merge(known.unionByName(fresh), "kpi", "key").write.mode("overwrite").parquet(f"{root}/generation={now}")
     spark.range(1).select(F.lit(now).cast("bigint").alias("generation")).write.mode("append").parquet(f"{root}/log")
@@ -133,12 +136,17 @@ def refresh_store(store: HotStore, dims: dict[str, DataFrame], out: str) -> tupl
 
     The dimensions are joined anew each time, so a changed label moves the past as well.
     """
-    now = store.generation()
-    live = reduce_fact(store.at(now), LABELS)
-    whole = merge(archived_totals(store, now).unionByName(live), "kpi", "key")
+    state = store.snapshot()
+    live = reduce_fact(store.current(state), LABELS)
+    whole = merge(archived_totals(store, state).unionByName(live), "kpi", "key")
     return publish(long_kpis(label_totals(whole, dims)), out)
 
 
+def refresh_ledger(totals: DataFrame, dims: dict[str, DataFrame], out: str) -> tuple[DataFrame, DataFrame]:
+    """Publish all KPIs from totals per key; reads no transaction."""
+    return publish(long_kpis(label_totals(totals, dims)), out)
+
+
 def kpi_table(stored: DataFrame, kpi: str) -> DataFrame:
     """One KPI table, under its own column names and in its own order, from the long form.
 

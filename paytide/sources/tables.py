@@ -27,6 +27,10 @@ class Source:
         df.write.format(self.format).options(**self.options).mode(mode).save(self.path)
 
 
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def read_or_empty(spark: SparkSession, source: Source, schema: StructType) -> DataFrame:
     """A table that may not exist yet. Any failure other than a missing path surfaces."""
     try:
@@ -34,7 +38,7 @@ def read_or_empty(spark: SparkSession, source: Source, schema: StructType) -> Da
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+        return empty(spark, schema)
 
 
 def load_hot(spark: SparkSession, source: Source) -> DataFrame:

@@ -9,23 +9,26 @@ and ``late_rows`` tells how many there were.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import asdict
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from ..functions.clock import latest, typed_time
 from ..functions.money import amount_of, mean_of, measured, sums
-from ..operators.enrich import enrich
+from ..operators.enrich import LABELS, enrich
 from ..operators.hot_cold import dedup_by_id, nameless
 from ..operators.kpis import percent
 from ..operators.quality import clean_valid, quarantine
 from ..operators.serving import serving_rows
 from ..operators.totals import merge, roll_up, totals
 from ..model import STORED_FACT
-from ..plans.refresh import refresh_store, stored_kpis
-from ..sources import HotStore, Source, read_or_empty
+from ..plans.ledger import Ledger
+from ..plans.one_pass import reduce_fact
+from ..plans.refresh import refresh_ledger, stored_kpis, vacuum
+from ..sources import Part, PartTable, Source, read_or_empty
+from ..sources.parts import parts_of, replaced
 from .run import drain, use_large_state
 
 LATENESS = "10 minutes"
@@ -84,40 +87,52 @@ def identity() -> Column:
     return F.coalesce("transaction_id", nameless(STORED_FACT.names))
 
 
-def ingested(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The transactions of all micro-batches so far, or of those before a number."""
-    stored = read_or_empty(spark, Source(root), T.StructType([*STORED_FACT.fields, T.StructField("batch", T.LongType())]))
-    return (stored if before is None else stored.where(F.col("batch") < before)).drop("batch")
+def stream_table(spark: SparkSession, root: str) -> PartTable:
+    """The transactions of a stream: a part per micro-batch, small parts merged, days as folders."""
+    return PartTable(spark, root, STORED_FACT, "txn_date")
 
 
-def ingest_writer(root: str, rejected: str | None = None) -> Callable[[DataFrame, int], None]:
-    """What each micro-batch adds to the stored transactions: those that are not there yet.
+def ingested(spark: SparkSession, root: str) -> DataFrame:
+    """The transactions of all micro-batches so far."""
+    return stream_table(spark, root).rows()
+
+
+def store_batch(table: PartTable, batch: DataFrame, number: int, rejected: str | None = None) -> None:
+    """Add to the stored transactions those of a micro-batch that are not there yet.
 
     Copies within the batch are collapsed with map-side combine; copies of stored transactions are
     found by id among the stored rows of the batch's own days, which are folders. However late a
-    transaction is, it is stored, and ``late`` counts come from the table. A batch lands in the folder of its
-    number and compares itself with the batches before it only, so repeating it after a failure
-    replaces it by the same rows. With ``rejected``, only valid rows are stored; the others go to that
-    folder with what is wrong with them.
+    transaction is, it is stored, and ``late`` counts come from the table. The new part and the number of the
+    micro-batch are one commit, so repeating it after a failure adds nothing. With ``rejected``, only valid rows are
+    stored; the others go to that folder with what is wrong with them.
     """
+    state = table.log.newest()[1]
+    if number <= state.get("upto", -1):
+        return
+    if rejected is not None:
+        quarantine(batch).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+        batch = clean_valid(batch)
+    rows = typed_time(batch)
+    rows = rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*STORED_FACT.names)
+    days = [r[0] for r in rows.select("txn_date").distinct().collect()]
+    same_days = F.col("txn_date").isin([d for d in days if d is not None])
+    known = table.rows(parts_of(state)).where(same_days | F.col("txn_date").isNull() if None in days else same_days)
+    known = known.select(F.col("txn_date").alias("known_day"), identity().alias("known"))
+    fresh = dedup_by_id(rows).withColumn("identity", identity()).join(
+        known, F.col("txn_date").eqNullSafe(F.col("known_day")) & (F.col("identity") == F.col("known")), "left_anti"
+    )
+    part = table.write(fresh.drop("identity"))
+    table.log.commit(lambda now: replaced(now, [], [part] if part.rows else [], upto=number, newest=asdict(part)))
+
+
+def ingest_writer(root: str, rejected: str | None = None) -> Callable[[DataFrame, int], None]:
+    """What each micro-batch adds to the stored transactions (``store_batch``); small parts are merged as they gather."""
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        if rejected is not None:
-            quarantine(batch).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
-            batch = clean_valid(batch)
-        rows = typed_time(batch)
-        rows = rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*STORED_FACT.names)
-        days = [r[0] for r in rows.select("txn_date").distinct().collect()]
-        known = ingested(spark, root, number)
-        same_days = F.col("txn_date").isin([d for d in days if d is not None])
-        known = known.where(same_days | F.col("txn_date").isNull() if None in days else same_days)
-        known = known.select(F.col("txn_date").alias("known_day"), identity().alias("known"))
-        fresh = dedup_by_id(rows).withColumn("identity", identity()).join(
-            known, F.col("txn_date").eqNullSafe(F.col("known_day")) & (F.col("identity") == F.col("known")), "left_anti"
-        )
-        out = fresh.drop("identity").hint("rebalance", "txn_date")
-        out.write.mode("overwrite").partitionBy("txn_date").parquet(f"{root}/batch={number}")
+        table = stream_table(batch.sparkSession, root)
+        store_batch(table, batch, number, rejected)
+        table.compact()
+        table.vacuum(KEPT_STATES)
 
     return write
 
@@ -140,16 +155,32 @@ def late_rows(stored: DataFrame, behind: Column) -> DataFrame:
 def ingest_and_refresh(
     root: str, dims: dict[str, DataFrame], out: str, rejected: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """A micro-batch that stores its transactions and publishes all KPIs over hot and archive."""
-    add = ingest_writer(f"{root}/table", rejected)
+    """A micro-batch that stores its transactions and publishes all KPIs over everything stored.
+
+    Its new rows are reduced to totals once and entered into the ledger; the KPIs come from the ledger alone, so a refresh costs
+    the same however long the stream has run. Parts are merged only after that, so a micro-batch that died
+    between the two commits finds its own part again. What no reader takes any more is removed.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        add(batch, number)
-        refresh_store(HotStore(batch.sparkSession, f"{root}/store", ingested(batch.sparkSession, f"{root}/table")), dims, out)
+        spark = batch.sparkSession
+        table, ledger = stream_table(spark, f"{root}/table"), Ledger(spark, f"{root}/ledger")
+        store_batch(table, batch, number, rejected)
+        newest = Part(**table.log.newest()[1]["newest"])
+        ledger.add(number, lambda: reduce_fact(table.rows([newest]), LABELS), lambda: reduce_fact(table.rows(), LABELS))
+        refresh_ledger(ledger.totals(), dims, out)
+        table.compact()
+        table.vacuum(KEPT_STATES)
+        ledger.vacuum(KEPT_STATES)
+        vacuum(spark, out, KEPT_STATES)
 
     return write
 
 
+# States, and refreshes, that readers may still be reading.
+KEPT_STATES = 10
+
+
 def live_kpis(feed: DataFrame, root: str, dims: dict[str, DataFrame]) -> DataFrame:
     """Process all available transactions; the long KPI table after the last micro-batch."""
     use_large_state(feed.sparkSession)

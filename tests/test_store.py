@@ -1,0 +1,360 @@
+"""A store that loses no rows: commits, conflicts, lost and changed folders, merges, and live tables kept elsewhere."""
+
+import shutil
+import threading
+from datetime import timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from paytide.functions.checksum import checksum, difference, total
+from paytide.functions.clock import moment
+from paytide.model import MANIFEST, STORED_FACT
+from paytide.operators import retention
+from paytide.plans.refresh import archived_totals, vacuum_store
+from paytide.sources import CommitLog, Conflict, HotStore, LostRows, PartTable, load_archive
+from paytide.sources.parts import facts_of, parts_of, replaced
+from rows import at, fact, same, txn
+
+NOW = at("2024-01-01 12:00:00")
+
+
+@pytest.fixture()
+def store(spark, tmp_path):
+    return HotStore(spark, str(tmp_path / "store"))
+
+
+def hourly(spark, first, last, start=0):
+    return fact(spark, [txn(start + h, when=f"2024-01-{1 + h // 24:02d} {h % 24:02d}:00:00") for h in range(first, last)])
+
+
+def ids(df):
+    return sorted(r.transaction_id for r in df.select("transaction_id").collect())
+
+
+# ---- the log -----------------------------------------------------------------------------
+
+
+def test_a_number_is_given_once(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "a log"))
+    assert log.newest() == (0, {})
+    assert log.folder.put_new("x", "1") and not log.folder.put_new("x", "2") and log.folder.text("x") == "1"
+    assert log.folder.text("y") is None
+    assert [n for n in log.folder.names() if n.startswith("_")] == []
+
+
+def test_writers_at_once_lose_no_commit(spark, tmp_path):
+    errors = []
+
+    def add(name):
+        try:
+            log = CommitLog(spark, str(tmp_path / "log"))
+            for i in range(8):
+                log.commit(lambda state: {"all": [*state.get("all", []), f"{name}{i}"]})
+        except Exception as error:  # noqa: BLE001
+            errors.append(error)
+
+    threads = [threading.Thread(target=add, args=(n,)) for n in "abcd"]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    version, state = CommitLog(spark, str(tmp_path / "log")).newest()
+    assert not errors and version == 32 and sorted(state["all"]) == sorted(f"{n}{i}" for n in "abcd" for i in range(8))
+
+
+def test_pruned_entries(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    for i in range(12):
+        log.commit(lambda _, i=i: {"n": i})
+    assert log.prune(3) == [{"n": 9}, {"n": 10}, {"n": 11}] and log.versions() == [10, 11, 12]
+    assert log.commit(lambda state: state) == (12, {"n": 11})
+
+
+# ---- checksums ---------------------------------------------------------------------------
+
+
+def test_checksums_add_up_and_notice_what_xor_does_not(spark):
+    names = sorted(STORED_FACT.names)
+    every, some = hourly(spark, 0, 9), hourly(spark, 0, 4)
+    told = lambda df: df.agg(checksum(names)).first()[0]
+    rest = every.where(~F.col("transaction_id").isin("t0", "t1", "t2", "t3"))
+    assert told(every) == told(every.repartition(5)) == total([told(some), told(rest)])
+    assert difference(told(every), told(some)) == told(rest) == every.agg(checksum(names, F.hour("ts") > 3)).first()[0]
+    assert told(every.limit(0)) == "0:0"
+    assert told(every.unionAll(every)) not in ("0:0", told(every))
+    other = every.withColumn("transaction_amount", F.when(F.col("transaction_id") == "t3", 11.0).otherwise(F.col("transaction_amount")))
+    assert told(other) != told(every)
+    # A null says in which column it is.
+    moved = [spark.createDataFrame([row], "a int, b int").agg(checksum(["a", "b"])).first()[0] for row in ((1, None), (None, 1))]
+    assert moved[0] != moved[1]
+
+
+# ---- ingest and runs at once ---------------------------------------------------------------
+
+
+def during(monkeypatch, action):
+    """Do something between an archive run's read and its commit, once."""
+    real, todo = HotStore.commit, [action]
+
+    def commit(self, run):
+        if todo:
+            todo.pop()()
+        real(self, run)
+
+    monkeypatch.setattr(HotStore, "commit", commit)
+
+
+def test_rows_that_arrive_during_a_run_are_hot_afterwards(spark, store, monkeypatch):
+    store.ingest(hourly(spark, 0, 13))
+    during(monkeypatch, lambda: store.ingest(fact(spark, [txn(50), txn(51, when="2024-01-01 01:30:00"), txn(52, when=None)])))
+    assert retention.archive_run(store, NOW)
+    assert ids(store.current()) == sorted(["t9", "t10", "t11", "t12", "t50", "t51", "t52"])
+    assert retention.archived_once(store).count() == 16
+    assert retention.archive_run(store, NOW + timedelta(hours=1))
+    assert retention.archived_once(store).count() == 16 and "t51" in ids(store.archive())
+
+
+@pytest.mark.parametrize("other", [NOW, NOW + timedelta(hours=1)])
+def test_two_runs_at_once_leave_one_history(spark, store, monkeypatch, other):
+    everything = hourly(spark, 0, 13)
+    store.ingest(everything)
+    during(monkeypatch, lambda: retention.archive_run(HotStore(spark, store.root), other))
+    retention.archive_run(store, NOW)
+    same(retention.archived_once(store), everything.select(*STORED_FACT.names))
+    generations = sorted(r.generation for r in store.runs().collect())
+    assert generations == list(range(1, len(generations) + 1)) and store.generation() == len(generations)
+    store.verify()
+    store.verify_batches(store.runs())
+
+
+def test_a_run_that_is_always_overtaken_gives_up(spark, store, monkeypatch):
+    store.ingest(hourly(spark, 0, 3))
+
+    def never(_self, _run):
+        raise Conflict("again")
+
+    monkeypatch.setattr(HotStore, "commit", never)
+    with pytest.raises(Conflict):
+        retention.archive_run(store, NOW)
+    assert store.current().count() == 3
+
+
+def test_a_dead_attempt_is_never_mixed_with_the_next(spark, store, monkeypatch):
+    store.ingest(hourly(spark, 0, 13))
+    with monkeypatch.context() as patch:
+        patch.setattr(HotStore, "commit", lambda _self, _run: (_ for _ in ()).throw(RuntimeError("dead")))
+        with pytest.raises(RuntimeError):
+            retention.archive_run(store, NOW)
+    store.ingest(fact(spark, [txn(70, when="2024-01-01 02:30:00")]))
+    assert retention.archive_run(store, NOW)
+    assert load_archive(spark, store.archive_root).count() == 9 and store.archive().count() == 10
+    store.verify_batches(store.runs())
+
+
+def test_a_reader_keeps_its_state(spark, store):
+    store.ingest(hourly(spark, 0, 13))
+    before = store.snapshot()
+    reader = store.current(before)
+    retention.archive_run(store, NOW)
+    store.ingest(hourly(spark, 20, 22))
+    assert reader.count() == store.current(before).count() == 13 and store.archive(before).count() == 0
+
+
+# ---- lost and changed state -----------------------------------------------------------------
+
+
+@pytest.fixture()
+def archived(spark, store):
+    store.ingest(hourly(spark, 0, 13))
+    retention.archive_run(store, NOW)
+    return store
+
+
+@pytest.mark.parametrize("folder", ["hot/generation=1", "archive/batch_id=1704110400", "archive", "manifest"])
+def test_a_lost_folder_raises(archived, folder):
+    shutil.rmtree(Path(archived.root) / folder)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        retention.archived_once(archived).count()
+
+
+def batch_files(store):
+    return sorted(Path(store.archive_root).rglob("*.parquet"))
+
+
+def test_a_lost_file_a_doubled_row_and_a_changed_amount_raise(spark, archived, tmp_path):
+    archived.verify_batches(archived.runs())
+    file = batch_files(archived)[0]
+    content, crc = file.read_bytes(), file.with_name(f".{file.name}.crc")
+    crc.unlink()
+    file.unlink()
+    with pytest.raises(LostRows):
+        archived_totals(archived, 1)
+    rows = fact(spark, [txn(h, when=f"2024-01-01 {h:02d}:00:00", amount=10.5 if h == 2 else 10.0) for h in range(9)])
+    rows.drop("txn_date").coalesce(1).write.parquet(str(tmp_path / "changed"))
+    shutil.copy(next((tmp_path / "changed").glob("*.parquet")), file)
+    with pytest.raises(LostRows):
+        archived_totals(archived, 1)
+    file.write_bytes(content)
+    archived.verify_batches(archived.runs())
+    shutil.copy(file, file.with_name("copy.parquet"))
+    with pytest.raises(LostRows):
+        archived_totals(archived, 1)
+
+
+def test_a_live_file_that_is_gone_stops_a_run(spark, archived):
+    archived.ingest(hourly(spark, 13, 40))
+    for file in Path(archived.root, "hot").rglob("part-0000[0-3]*.parquet"):
+        file.unlink()
+    with pytest.raises(LostRows):
+        archived.verify()
+    with pytest.raises(LostRows):
+        retention.archive_run(archived, NOW + timedelta(hours=9))
+    assert archived.runs().count() == 1
+
+
+def test_many_snapshot_runs_are_read(spark, archived):
+    """One row per run decides what counts; there is no expression per run."""
+    n, batch = 1500, Path(archived.archive_root) / "batch_id=1704110400"
+    runs = []
+    for i in range(n):
+        folder = f"archive/batch_id={i}"
+        shutil.copytree(batch, Path(archived.root) / folder)
+        runs.append((i, 2 + i, at("2024-01-01 04:00:00"), None, None, 9, 0, 0, "0:0", False, folder, 9))
+    many = spark.createDataFrame(runs, MANIFEST)
+    assert retention.archived_rows(archived, many).count() == 4 * n
+
+
+# ---- merging and removing ---------------------------------------------------------------------
+
+
+def test_merged_parts_hold_the_same_rows(spark, store):
+    rows = hourly(spark, 0, 40)
+    for h in range(20):
+        store.ingest(rows.where(F.col("transaction_id").isin(f"t{2 * h}", f"t{2 * h + 1}")))
+    before = store.snapshot()
+    reader = store.current(before)
+    assert store.compact(4) > 0 and len(store.snapshot().parts) <= 6
+    same(store.current(), rows.select(*STORED_FACT.names))
+    store.verify()
+    assert reader.count() == 40
+    assert store.vacuum() and store.vacuum() == []
+    same(store.current(), rows.select(*STORED_FACT.names))
+    assert len(list(Path(store.root, "hot", "generation=0").iterdir())) == len(store.snapshot().parts)
+
+
+def test_a_merge_during_a_run_makes_the_run_start_again(spark, store, monkeypatch):
+    for h in range(8):
+        store.ingest(hourly(spark, h, h + 1))
+    during(monkeypatch, lambda: store.compact(4))
+    assert retention.archive_run(store, NOW)
+    assert store.archive().count() == 8 and store.current().count() == 0 and store.runs().count() == 1
+
+
+def test_vacuum_keeps_late_parts_of_an_old_generation(spark, store, monkeypatch):
+    store.ingest(hourly(spark, 0, 13))
+    during(monkeypatch, lambda: store.ingest(fact(spark, [txn(50)])))
+    retention.archive_run(store, NOW)
+    gone = vacuum_store(store)
+    assert len(gone) == 1 and "generation=0/part=" in gone[0]
+    assert retention.archived_once(store).count() == 14
+
+
+def test_part_table(spark, tmp_path):
+    table = PartTable(spark, str(tmp_path / "t"), STORED_FACT, "txn_date")
+    assert table.rows().count() == 0 and table.compact() == 0
+    for h in range(0, 60, 3):
+        table.add(table.write(hourly(spark, h, h + 3)))
+    every = hourly(spark, 0, 60).select(*STORED_FACT.names)
+    same(table.rows(), every)
+    table.compact(4)
+    assert len(table.parts()) <= 8
+    table.vacuum()
+    same(table.rows(), every)
+    table.verify()
+    assert (60, facts_of(every)[1]) == facts_of(table.rows())
+    plan = table.rows().where("txn_date = DATE'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(txn_date" in plan
+    with pytest.raises(Conflict):
+        replaced(table.log.newest()[1], parts_of({"parts": [{"path": "gone", "rows": 1, "checksum": "0:0"}]}), [])
+
+
+# ---- live tables kept elsewhere ----------------------------------------------------------------
+
+
+def external(spark, tmp_path, rows):
+    path = str(tmp_path / "live")
+    rows.select(*STORED_FACT.names).repartition("txn_date").write.mode("overwrite").partitionBy("txn_date").parquet(path)
+    return HotStore(spark, str(tmp_path / "store"), spark.read.schema(STORED_FACT).parquet(path))
+
+
+def shuffled_rows(df):
+    """Rows that went through exchanges of an executed plan."""
+    df.collect()
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if "QueryStage" in kind:
+            return walk(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_old_hours_that_are_archived_whole_are_not_shuffled(spark, tmp_path):
+    rows = hourly(spark, 0, 500)
+    store = external(spark, tmp_path, rows)
+    for hours in (100, 300, 480):
+        assert retention.archive_run(store, NOW + timedelta(hours=hours))
+    assert store.runs().count() == 3
+    assert shuffled_rows(store.current()) == 0
+    same(retention.archived_once(store), rows.select(*STORED_FACT.names))
+
+
+def test_a_late_row_in_an_old_day_is_found(spark, tmp_path):
+    rows = hourly(spark, 0, 500)
+    retention.archive_run(external(spark, tmp_path, rows), NOW + timedelta(hours=480))
+    late = fact(spark, [txn(900, when="2024-01-03 05:20:00"), txn(901, when=None), txn(902, when="2023-12-31 05:20:00")])
+    more = rows.unionAll(late)
+    store = external(spark, tmp_path, more)
+    current = store.current()
+    assert {"t900", "t901", "t902"} < set(ids(current)) and current.count() == rows.where(F.col("ts") >= moment("2024-01-21 09:00:00")).count() + 3
+    # One row of the hour that differs, the late ones, and what the archive holds of them.
+    assert shuffled_rows(current) <= 12
+    same(retention.archived_once(store), more.select(*STORED_FACT.names))
+    assert retention.archive_run(store, NOW + timedelta(hours=490))
+    assert shuffled_rows(external(spark, tmp_path, more).current()) == 0
+    same(retention.archived_once(external(spark, tmp_path, more)), more.select(*STORED_FACT.names))
+
+
+def test_an_external_table_that_was_trimmed(spark, tmp_path):
+    rows = hourly(spark, 0, 100)
+    retention.archive_run(external(spark, tmp_path, rows), NOW + timedelta(hours=60))
+    store = external(spark, tmp_path, rows.where(F.col("ts") >= moment("2024-01-03 00:00:00")))
+    assert store.current().count() == rows.where(F.col("ts") >= moment("2024-01-03 21:00:00")).count()
+
+
+@pytest.mark.parametrize("sent", [0, 10_000])
+def test_many_hours_that_differ(spark, tmp_path, monkeypatch, sent):
+    from paytide.sources import hot_store
+
+    monkeypatch.setattr(hot_store, "SENT_HOURS", sent)
+    rows = hourly(spark, 0, 60)
+    retention.archive_run(external(spark, tmp_path, rows), NOW + timedelta(hours=40))
+    late = fact(spark, [txn(900 + h, when=f"2024-01-01 {h:02d}:20:00") for h in range(20)] + [txn(950, when=None)])
+    more = rows.unionAll(late).unionAll(hourly(spark, 3, 5))
+    store = external(spark, tmp_path, more)
+    # A copy of an archived transaction is archived; a late one is live.
+    assert store.current().count() == 60 - 49 + 21
+
+
+def test_snapshots_of_an_external_table(spark, tmp_path):
+    rows = hourly(spark, 0, 100)
+    store = external(spark, tmp_path, rows)
+    for hours in (10, 40, 80):
+        assert retention.archive_run(store, NOW + timedelta(hours=hours), snapshot=True)
+        same(retention.archived_once(store), rows.select(*STORED_FACT.names))
+    assert shuffled_rows(store.current()) == 0
