@@ -1,0 +1,10 @@
+"""spark-submit jobs/maintain.py --help"""
+
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from paytide.plans.jobs import maintain  # noqa: E402
+
+maintain()

@@ -14,27 +14,35 @@ from ..operators.retention import HOT_HOURS, archive_run
 from ..sources import HotStore, Source, has_rows, load_hot, read_or_empty
 from ..streaming import live
 from ..streaming.run import drain, keep_running, read_feed, use_large_state
-from .refresh import load_dims, load_model, refresh, refresh_store
+from .ledger import Ledger
+from .refresh import load_dims, load_model, refresh, refresh_store, vacuum, vacuum_store
 
 
 def _parser(description: str) -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=description)
     parser.add_argument("--store", required=True, help="root of the hot store")
     parser.add_argument("--hot", help="where the live table is, if not in the store")
-    parser.add_argument("--hot-format", help="format of that table (default: parquet)")
+    parser.add_argument("--hot-format", help="format of that table (default: parquet); stream: the table of jobs/stream.py")
     parser.add_argument("--hot-option", action="append", default=[], metavar="NAME=VALUE", help="reader option")
-    parser.add_argument("--quarantine", help="take valid rows of that table only, and write the others here")
+    parser.add_argument("--quarantine", help="take valid rows only, and write the others here")
     return parser
 
 
 def _store(spark: SparkSession, args: argparse.Namespace) -> HotStore:
+    """The store of a job. With a quarantine, invalid rows are out of its live table, wherever that is."""
     if args.hot is None and args.hot_format is None:
-        return HotStore(spark, args.store)
-    options = dict(option.split("=", 1) for option in args.hot_option)
-    source = Source(args.hot, args.hot_format or "parquet", options)
+        store = HotStore(spark, args.store)
+        if args.quarantine is not None:
+            store.replace_live(clean_valid, quarantine, args.quarantine)
+        return store
+    if args.hot_format == "stream":
+        live_rows = raw = live.ingested(spark, f"{args.hot.rstrip('/')}/table")
+    else:
+        options = dict(option.split("=", 1) for option in args.hot_option)
+        source = Source(args.hot, args.hot_format or "parquet", options)
+        live_rows, raw = load_hot(spark, source), read_or_empty(spark, source, FACT)
     if args.quarantine is None:
-        return HotStore(spark, args.store, load_hot(spark, source))
-    raw = read_or_empty(spark, source, FACT)
+        return HotStore(spark, args.store, live_rows)
     quarantine(raw).write.mode("overwrite").parquet(args.quarantine)
     return HotStore(spark, args.store, clean_valid(raw))
 
@@ -92,3 +100,25 @@ def stream(argv: list[str] | None = None) -> None:
         drain(writer, f"{args.root}/checkpoint")
     else:
         keep_running(writer, f"{args.root}/checkpoint", args.every).awaitTermination()
+
+
+def maintain(argv: list[str] | None = None) -> None:
+    """Merge small folders and remove those that nobody reads any more."""
+    parser = argparse.ArgumentParser(description="Merge small parts and remove superseded ones, old totals and old refreshes.")
+    parser.add_argument("--store", help="root of a hot store")
+    parser.add_argument("--root", help="root of a stream (jobs/stream.py), while the stream is stopped")
+    parser.add_argument("--out", help="folder of refreshes")
+    parser.add_argument("--keep", type=int, default=10, help="newest states and refreshes that readers may still use (default: 10)")
+    args = parser.parse_args(argv)
+    spark = session.build("maintain")
+    if args.store:
+        store = HotStore(spark, args.store)
+        store.compact()
+        vacuum_store(store, args.keep)
+    if args.root:
+        table = live.stream_table(spark, f"{args.root}/table")
+        table.compact()
+        table.vacuum(args.keep)
+        Ledger(spark, f"{args.root}/ledger").vacuum(args.keep)
+    if args.out:
+        vacuum(spark, args.out, args.keep)

@@ -11,6 +11,7 @@ A live table kept elsewhere has no parts here; the manifest and the batches tell
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,6 +25,8 @@ from .commit_log import CommitLog, Conflict, Folder, State
 from .parts import LostRows, Part, facts_of, parts_of, read_parts, remove_unnamed, replaced, tier, verify, FAN_IN
 from .tables import Source, empty, remove_folder
 
+Transform = Callable[[DataFrame], DataFrame]
+
 # So many hours of an external table that differ from the archive go into its scan as literals.
 SENT_HOURS = 10_000
 
@@ -118,7 +121,7 @@ class HotStore:
         )
         return fresh.unionByName(late.drop("identity"))
 
-    def _hours_that_differ(self, old: DataFrame, runs: DataFrame):
+    def _hours_that_differ(self, old: DataFrame, runs: DataFrame) -> Transform | None:
         """A filter to the hours in which ``old`` is not what the runs archived; None if there is no such hour.
 
         Hours are compared in both directions: rows can be missing from the origin as well.
@@ -179,6 +182,24 @@ class HotStore:
         part = self.write_part(typed_time(df), self.snapshot().generation)
         self.log.commit(lambda state: replaced(state, [], [part]))
 
+    def replace_live(self, keep: Transform, leave_out: Transform, rejected: str) -> int:
+        """Leave rows out of the live table, and store them below ``rejected``; returns their number.
+
+        ``keep`` and ``leave_out`` part the live rows in two. The parts that were read are replaced in one commit; a run that
+        overtakes it raises Conflict, and nothing is left out.
+        """
+        snapshot = self.snapshot()
+        rows = self.current(snapshot)
+        path = f"{rejected.rstrip('/')}/{uuid.uuid4().hex}"
+        leave_out(rows).write.parquet(path)
+        gone = self.spark.read.schema(leave_out(rows).schema).parquet(path).count()
+        if gone:
+            part = self.write_part(keep(rows), snapshot.generation)
+            if part.rows + gone != sum(p.rows for p in snapshot.parts):
+                raise LostRows(f"{part.rows} rows kept and {gone} left out; nothing was committed")
+            self.log.commit(lambda state: replaced(state, list(snapshot.parts), [part] if part.rows else []))
+        return gone
+
     def write_part(self, df: DataFrame, generation: int) -> Part:
         """Write a part of the live table that nobody sees yet, and take its facts from what lies on disk."""
         path = f"hot/generation={generation}/part={uuid.uuid4().hex}"
