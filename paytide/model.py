@@ -16,6 +16,7 @@ KINDS = {
     "BIGINT": T.LongType(),
     "DOUBLE": T.DoubleType(),
     "BOOLEAN": T.BooleanType(),
+    "BINARY": T.BinaryType(),
     "DATE": T.DateType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "ARRAY<INT>": T.ArrayType(T.IntegerType()),

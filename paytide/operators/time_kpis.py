@@ -40,8 +40,13 @@ def kpi_fraud_spikes(fact: DataFrame, hours: int = 24, factor: float = 2.0) -> D
     number gives their sum without writing the quiet hours out, and the divisor is the number of
     hours since the first, up to ``hours``. Thus one scan is enough.
     """
+    return spikes(bucketed(fact, "hour").select("hour", "n_fraud"), hours, factor)
+
+
+def spikes(hourly: DataFrame, hours: int = 24, factor: float = 2.0) -> DataFrame:
+    """The same from counts (hour, n_fraud); hours without a row are quiet."""
     number = F.unix_seconds(F.col("hour").cast("timestamp")) / F.lit(3600)
-    hourly = bucketed(fact, "hour").select("hour", F.col("n_fraud"), number.cast("bigint").alias("at"))
+    hourly = hourly.withColumn("at", number.cast("bigint"))
     before = Window.orderBy("at").rangeBetween(-hours, -1)
     elapsed = F.col("at") - F.min("at").over(Window.orderBy("at").rangeBetween(Window.unboundedPreceding, 0))
     framed = hourly.select(

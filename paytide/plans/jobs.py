@@ -88,6 +88,7 @@ def stream(argv: list[str] | None = None) -> None:
     parser.add_argument("--dims", required=True, help="folder with one table per dimension")
     parser.add_argument("--out", required=True, help="folder for the results")
     parser.add_argument("--quarantine", help="folder for rows that are not valid; without it all rows are taken")
+    parser.add_argument("--windows", action="store_true", help="also keep counts, fraud spikes and latency per window")
     parser.add_argument("--every", default="3 hours", help="interval (default: 3 hours)")
     parser.add_argument("--once", action="store_true", help="take up what is there, then stop")
     args = parser.parse_args(argv)
@@ -95,7 +96,7 @@ def stream(argv: list[str] | None = None) -> None:
     use_large_state(spark)
     feed = read_feed(spark, args.feed, FACT, args.feed_format)
     dims = load_dims(spark, args.dims)
-    writer = feed.writeStream.foreachBatch(live.ingest_and_refresh(args.root, dims, args.out, args.quarantine))
+    writer = feed.writeStream.foreachBatch(live.ingest_and_refresh(args.root, dims, args.out, args.quarantine, args.windows))
     if args.once:
         drain(writer, f"{args.root}/checkpoint")
     else:

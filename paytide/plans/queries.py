@@ -16,6 +16,7 @@ from ..operators import hot_cold, kpis, latency, quality, retention, serving, ti
 from ..operators.totals import roll_up, totals
 from ..sources import ArchiveRun, HotStore, Source, sample
 from ..streaming import live
+from ..streaming.windows import Windows
 from ..streaming.run import read_feed, to_table
 from . import one_pass
 from .refresh import archived_totals, load_model, newest_totals, refresh, refresh_store
@@ -125,6 +126,33 @@ def kpi_latency_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latency.kpi_latency_approx(sample.order_lines(spark, sf_dir))
 
 
+@query
+def kpi_latency_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency per day from sketches of three parts of the fact, and whether its percentiles are within 3 % of their ranks."""
+    fact = sample.feed(spark, sf_dir)
+    parts = [
+        sketches.latency_sketches(fact.where(F.pmod(F.col("transaction_id").cast("bigint"), F.lit(3)) == n)) for n in range(3)
+    ]
+    days = sketches.latency_by_day(sketches.merge_sketches(reduce(DataFrame.unionByName, parts)))
+    ranked = fact.select("txn_date", measured("processing_time").alias("v")).join(days, "txn_date")
+    within = [
+        (F.try_divide(F.count_if(F.col("v") < F.col(name)), F.count("v")) <= p + 0.03)
+        & (F.try_divide(F.count_if(F.col("v") <= F.col(name)), F.count("v")) >= p - 0.03)
+        for p, name in ((0.5, "p50_latency"), (0.95, "p95_latency"))
+    ]
+    return ranked.groupBy("txn_date", "transactions", "avg_latency").agg(
+        within[0].alias("p50_within"), within[1].alias("p95_within")
+    )
+
+
+@query
+def kpi_by_segment_then(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPI by the segment a customer had at the time: a signup makes one New, an error Risky."""
+    fact = sample.feed(spark, sf_dir)
+    past = history.versions(sample.segment_changes(spark, sf_dir), "customer_id", "ts", ["customer_segment"], "version")
+    return kpis.by_label(history.as_of(fact, past, "customer_id", ["customer_segment"]), "customer_segment")
+
+
 @query
 def kpi_tpm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_kpis.kpi_tpm(sample.feed(spark, sf_dir))
@@ -523,6 +551,30 @@ def stream_kpi_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored
 
 
+def stored_windows(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, Windows]:
+    """The windows of a stream of three micro-batches, the second newest of all and the third mostly late or repeated."""
+    session.configure(spark)
+    root = session.work_path(spark, name)
+    table, windows = live.stream_table(spark, f"{root}/table"), Windows(spark, f"{root}/windows")
+    for number, part in enumerate(sample.overlapping(sample.feed(spark, sf_dir))[::2] + (sample.feed(spark, sf_dir),)):
+        live.store_batch(table, part, number)
+        windows.add(number, table, live.newest_part(table))
+    return table.rows(), windows
+
+
+@query
+def stream_windows_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions per minute, every window right however late its rows came."""
+    return stored_windows(spark, sf_dir, "stream_windows_corrected")[1].tpm()
+
+
+@query
+def stream_fraud_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fraud spikes of the hours that the watermark has closed."""
+    rows, windows = stored_windows(spark, sf_dir, "stream_fraud_spikes")
+    return windows.fraud_spikes(latest(rows, back=F.make_dt_interval(mins=F.lit(10))))
+
+
 @query
 def stream_tpm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_table(live.live_tpm(event_stream(spark, sf_dir)), "stream_tpm")

@@ -47,8 +47,10 @@ def stored_serving(spark: SparkSession, out: str) -> DataFrame:
     return Source(f"{latest_run(spark, out)}/serving").read(spark, SERVING)
 
 
-def publish(kpis: DataFrame, out: str, run_at: datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    """Store a long KPI table, and derive the result tables and the JSON from the stored rows.
+def publish(
+    kpis: DataFrame, out: str, run_at: datetime | None = None, more: dict[str, DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Store a long KPI table, and derive the result tables and the JSON from the stored rows. ``more`` tables are stored with them.
 
     Each refresh has a folder of its own, and a row in the log, with its time, commits it: readers see the
     tables of one refresh, never of two, and a refresh that dies is not seen. Returns the stored long table and the
@@ -63,6 +65,8 @@ def publish(kpis: DataFrame, out: str, run_at: datetime | None = None) -> tuple[
     for kpi, (table, *_rest) in KPI_TABLES.items():
         kpi_table(stored, kpi).write.mode("overwrite").parquet(f"{folder}/{table}")
     serving_rows(stored).coalesce(1).write.mode("overwrite").parquet(f"{folder}/serving")
+    for table, rows in (more or {}).items():
+        rows.write.mode("overwrite").parquet(f"{folder}/{table}")
     at = moment(run_at or datetime.now(timezone.utc).replace(tzinfo=None))
     row = spark.range(1).select(F.lit(run).cast("bigint").alias("run"), at.alias("run_at"))
     row.coalesce(1).write.mode("append").parquet(f"{out}/log")
@@ -142,9 +146,11 @@ def refresh_store(store: HotStore, dims: dict[str, DataFrame], out: str) -> tupl
     return publish(long_kpis(label_totals(whole, dims)), out)
 
 
-def refresh_ledger(totals: DataFrame, dims: dict[str, DataFrame], out: str) -> tuple[DataFrame, DataFrame]:
-    """Publish all KPIs from totals per key; reads no transaction."""
-    return publish(long_kpis(label_totals(totals, dims)), out)
+def refresh_ledger(
+    totals: DataFrame, dims: dict[str, DataFrame], out: str, more: dict[str, DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Publish all KPIs from totals per key, and other tables with them; reads no transaction."""
+    return publish(long_kpis(label_totals(totals, dims)), out, more=more)
 
 
 def kpi_table(stored: DataFrame, kpi: str) -> DataFrame:

@@ -30,6 +30,7 @@ from ..plans.refresh import refresh_ledger, stored_kpis, vacuum
 from ..sources import Part, PartTable, Source, read_or_empty
 from ..sources.parts import parts_of, replaced
 from .run import drain, use_large_state
+from .windows import Windows
 
 LATENESS = "10 minutes"
 
@@ -125,6 +126,11 @@ def store_batch(table: PartTable, batch: DataFrame, number: int, rejected: str |
     table.log.commit(lambda now: replaced(now, [], [part] if part.rows else [], upto=number, newest=asdict(part)))
 
 
+def newest_part(table: PartTable) -> Part:
+    """What the newest micro-batch added."""
+    return Part(**table.log.newest()[1]["newest"])
+
+
 def ingest_writer(root: str, rejected: str | None = None) -> Callable[[DataFrame, int], None]:
     """What each micro-batch adds to the stored transactions (``store_batch``); small parts are merged as they gather."""
 
@@ -153,22 +159,27 @@ def late_rows(stored: DataFrame, behind: Column) -> DataFrame:
 
 
 def ingest_and_refresh(
-    root: str, dims: dict[str, DataFrame], out: str, rejected: str | None = None
+    root: str, dims: dict[str, DataFrame], out: str, rejected: str | None = None, windows: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch that stores its transactions and publishes all KPIs over everything stored.
 
     Its new rows are reduced to totals once and entered into the ledger; the KPIs come from the ledger alone, so a refresh costs
     the same however long the stream has run. Parts are merged only after that, so a micro-batch that died
-    between the two commits finds its own part again. What no reader takes any more is removed.
+    between the two commits finds its own part again. What no reader takes any more is removed. With ``windows``, the
+    counts, fraud spikes and latency percentiles per window are kept and published as well, corrected by late rows.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         table, ledger = stream_table(spark, f"{root}/table"), Ledger(spark, f"{root}/ledger")
         store_batch(table, batch, number, rejected)
-        newest = Part(**table.log.newest()[1]["newest"])
+        newest = newest_part(table)
         ledger.add(number, lambda: reduce_fact(table.rows([newest]), LABELS), lambda: reduce_fact(table.rows(), LABELS))
-        refresh_ledger(ledger.totals(), dims, out)
+        stored = Windows(spark, f"{root}/windows") if windows else None
+        if stored is not None:
+            stored.add(number, table, newest)
+            stored.vacuum(KEPT_STATES)
+        refresh_ledger(ledger.totals(), dims, out, None if stored is None else stored.tables())
         table.compact()
         table.vacuum(KEPT_STATES)
         ledger.vacuum(KEPT_STATES)

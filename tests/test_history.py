@@ -1,0 +1,145 @@
+"""KPIs by what held at the time, and percentiles that merge."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from paytide.functions.clock import moment
+from paytide.operators import history, kpis, sketches, time_kpis
+from paytide.operators.latency import kpi_latency
+from paytide.sources import sample
+from paytide.streaming import live
+from paytide.streaming.windows import Windows
+from rows import METHODS, at, fact, same, txn
+
+SF = "/root/testdata/sf0.01"
+
+
+def changes(spark, rows, sets=False):
+    data = [(k, at(t) if t else None, v, n, *((s,) if sets else ())) for k, t, v, n, *s in [(*r[:4], *r[4:]) for r in rows]]
+    data = [(*d[:4], *(d[4] if sets else ())) for d in data]
+    return spark.createDataFrame(data, "customer_id long, at timestamp_ntz, segment string, n int" + (", sets array<string>" if sets else ""))
+
+
+def test_versions(spark):
+    rows = changes(spark, [(1, "2024-01-01 10:00:00", "New", 1), (1, "2024-01-02 10:00:00", None, 2), (1, "2024-01-02 10:00:00", "Loyal", 3),
+                           (2, "2024-01-01 00:00:00", "Risky", 1), (None, "2024-01-01 00:00:00", "x", 1), (3, None, "y", 1)])
+    got = history.versions(rows, "customer_id", "at", ["segment"], "n").orderBy("customer_id", "valid_from").collect()
+    assert [(r.customer_id, str(r.valid_from)[:10], str(r.valid_to)[:10], r.segment) for r in got] == [
+        (1, "2024-01-01", "2024-01-02", "New"), (1, "2024-01-02", "None", "Loyal"), (2, "2024-01-01", "None", "Risky")
+    ]
+
+
+def test_partial_updates_keep_what_they_do_not_set(spark):
+    schema = "k long, at timestamp_ntz, a string, b int, sets array<string>"
+    rows = spark.createDataFrame([
+        (1, at("2024-01-01 00:00:00"), "x", 5, ["a", "b"]), (1, at("2024-01-02 00:00:00"), "y", None, ["a"]),
+        (1, at("2024-01-03 00:00:00"), None, None, ["b"]),
+    ], schema)
+    got = history.versions(rows, "k", "at", ["a", "b"]).orderBy("valid_from").collect()
+    assert [(r.a, r.b) for r in got] == [("x", 5), ("y", 5), ("y", None)]
+
+
+def test_as_of_against_brute_force(spark):
+    rnd = random.Random(3)
+    when = lambda: f"2024-01-{rnd.randrange(1, 4):02d} {rnd.randrange(24):02d}:{rnd.choice([0, 0, 15, 30]):02d}:00"
+    states = [(rnd.choice([1, 1, 1, 2, 3]), when(), rnd.choice(["A", "B", None]), n) for n in range(60)]
+    txns = [txn(i, customer=rnd.choice([1, 1, 2, 3, 4, None]), when=rnd.choice([when(), when(), when(), None])) for i in range(300)]
+    past = history.versions(changes(spark, states), "customer_id", "at", ["segment"], "n")
+    got = {r.transaction_id: r.segment for r in history.as_of(fact(spark, txns), past, "customer_id", ["segment"]).collect()}
+
+    def held(customer, ts):
+        before = [s for s in states if s[0] == customer and ts is not None and s[1] <= ts]
+        return max(before, key=lambda s: (s[1], s[3]))[2] if before else None
+
+    assert got == {t[0]: held(t[1], t[5]) for t in txns}
+
+
+def test_as_of_keeps_every_row_and_empty_sides(spark):
+    rows = fact(spark, [txn(1), txn(1), txn(2, customer=None, when=None)])
+    none = history.versions(changes(spark, []), "customer_id", "at", ["segment"], "n")
+    assert history.as_of(rows, none, "customer_id", ["segment"]).where("segment IS NULL").count() == 3
+    assert history.as_of(rows.limit(0), none, "customer_id", ["segment"]).count() == 0
+
+
+def rank_of(values, value):
+    return sum(v <= value for v in values) / len(values)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_merged_sketches_keep_their_rank_error(spark, parts):
+    rows = sample.feed(spark, SF)
+    pieces = [sketches.latency_sketches(rows.where(F.pmod(F.col("transaction_id").cast("int"), F.lit(parts)) == n), ["payment"]) for n in range(parts)]
+    merged = pieces[0]
+    for piece in pieces[1:]:
+        merged = merged.unionByName(piece)
+    merged = sketches.merge_sketches(merged)
+    values = {}
+    for r in rows.select("txn_date", "processing_time").where("processing_time IS NOT NULL").collect():
+        values.setdefault(r.txn_date, []).append(r.processing_time)
+    days = sketches.latency_by_day(merged).collect()
+    assert len(days) == len(values)
+    for r in days:
+        assert r.transactions >= len(values[r.txn_date])
+        seen = sorted(values[r.txn_date])
+        below = lambda v: sum(x < v for x in seen) / len(seen)
+        assert below(r.p50_latency) <= 0.53 and rank_of(seen, r.p50_latency) >= 0.47
+        assert below(r.p95_latency) <= 0.98 and rank_of(seen, r.p95_latency) >= 0.92
+
+
+def test_sketches_per_label_and_of_nothing(spark):
+    rows = fact(spark, [txn(i, method=1 + i % 2, took=float(i)) for i in range(100)] + [txn(200, method=3, took=None), txn(201, method=9)])
+    methods = spark.createDataFrame([(1, "Card"), (2, "Cash"), (2, "Bank"), (3, "Wallet")], METHODS)
+    got = {r.label: r[1:] for r in sketches.latency_by_label(sketches.latency_sketches(rows, ["payment"]), methods, "payment").collect()}
+    exact = {label: kpi_latency(rows.where(F.col("payment_method_id") == m)).first() for m, label in ((1, "Card"), (2, "Cash"))}
+    for label, row in exact.items():
+        assert got[label][:2] == (50, row.avg_latency) and abs(got[label][2] - row.p50_latency) <= 2 and abs(got[label][3] - row.p95_latency) <= 4
+    assert got["Bank"] == got["Cash"] and got["Wallet"] == (1, None, None, None) and len(got) == 4
+    assert sketches.latency_by_day(sketches.latency_sketches(rows.limit(0))).count() == 0
+
+
+# ---- stored windows --------------------------------------------------------------------------
+
+
+def fed(spark, root, batches, kpis=()):
+    table, windows = live.stream_table(spark, f"{root}/table"), Windows(spark, f"{root}/windows", kpis)
+    for number, rows in batches:
+        live.store_batch(table, rows, number)
+        windows.add(number, table, live.newest_part(table))
+    return windows
+
+
+def test_late_rows_correct_stored_windows(spark, tmp_path):
+    rnd = random.Random(2)
+    rows = [
+        txn(i, when=f"2024-01-{1 + i % 3:02d} {rnd.randrange(24):02d}:{rnd.randrange(60):02d}:01", took=float(i),
+            status="Fraud" if i % 3 == 0 else "Success")
+        for i in range(240)
+    ] + [txn(300, when=None)]
+    rnd.shuffle(rows)
+    batches = [(n, fact(spark, rows[n * 60 : (n + 1) * 60 + 10])) for n in range(5)]
+    windows = fed(spark, str(tmp_path), [*batches, batches[-1]])
+    every = fact(spark, rows)
+    same(windows.tpm().select(F.col("window_start").alias("minute"), "transactions"), time_kpis.kpi_tpm(every.where("ts IS NOT NULL")))
+    same(windows.fraud_spikes(), time_kpis.kpi_fraud_spikes(every.where("ts IS NOT NULL")))
+    assert windows.fraud_spikes(moment("2024-01-02 00:00:00")).count() <= windows.fraud_spikes().count()
+    fraud = {str(r.window_start): (r.transactions, r.fraud_transactions) for r in windows.fraud().collect()}
+    hours = every.where("ts IS NOT NULL").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h")).agg(F.count("*"), F.count_if(F.col("status") == "Fraud"))
+    assert fraud == {str(r[0]): (r[1], r[2]) for r in hours.collect()}
+
+
+def test_spikes_count_quiet_hours(spark, tmp_path):
+    bad = lambda i, h: txn(i, when=f"2024-01-01 {h:02d}:00:00", status="Fraud")
+    late = [bad(i, 9) for i in range(20, 24)]
+    windows = fed(spark, str(tmp_path), [(0, fact(spark, [bad(1, 0), bad(2, 10), bad(3, 10)])), (1, fact(spark, late))])
+    got = {str(r.hour)[11:13]: (r.fraud_transactions, r.trailing_mean) for r in windows.fraud_spikes().collect()}
+    assert got == {"09": (4, 1 / 9), "10": (2, 5 / 10)}
+
+
+def test_latency_of_stored_windows(spark, tmp_path):
+    rows = [txn(i, when=f"2024-01-01 {i % 4:02d}:00:00", took=float(i)) for i in range(200)]
+    windows = fed(spark, str(tmp_path), [(n, fact(spark, rows[n::3])) for n in range(3)], ("payment",))
+    got = {str(r.window_start)[11:13]: r for r in sketches.latency_by_hour(windows.sketches.totals()).collect()}
+    assert sorted(got) == ["00", "01", "02", "03"] and all(r.transactions == 50 and abs(r.p50_latency - 99) <= 8 for r in got.values())
+    assert kpis.kpi_daily(fact(spark, rows)).count() == sketches.latency_by_day(windows.sketches.totals()).count() == 1
