@@ -27,6 +27,12 @@ def kpi_by_label(
     return report(rolled, transactions, total, average, label=label).orderBy(F.desc(total), label)
 
 
+def kpi_by_own_label(fact: DataFrame, kpi: str) -> DataFrame:
+    """KPI of a label that the fact itself carries."""
+    _, _, label, *names = KPI_TABLES[kpi]
+    return report(totals(fact, label), *names, label=label).orderBy(F.desc(names[1]), label)
+
+
 def kpi_by_merchant_category(fact: DataFrame, merchants: DataFrame) -> DataFrame:
     _, _, label, *names = KPI_TABLES["merchant"]
     return kpi_by_label(totals(fact, "merchant_id"), merchants, "merchant_id", label, *names)

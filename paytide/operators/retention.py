@@ -56,37 +56,36 @@ def row_bytes() -> Column:
     return size.cast("bigint")
 
 
-def _edge(rows: DataFrame, unit: str, used: int, budget: int) -> tuple[datetime, int] | None:
-    """The newest bucket of time that does not fit whole, and the bytes that are used before it.
+def _edge(rows: DataFrame, budget: int) -> tuple[datetime, int] | None:
+    """The newest minute that does not fit whole, and the bytes that are used before it.
 
-    Only the sums per bucket are ordered, and one row reaches the driver.
+    One scan. Only the sums per minute are ordered, and one row reaches the driver.
     """
-    bucket = F.date_trunc(unit, "ts").cast("timestamp_ntz").alias("bucket")
-    sizes = rows.groupBy(bucket).agg(F.sum(row_bytes()).alias("bytes"))
-    running = F.sum("bytes").over(Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0))
-    over = sizes.withColumn("running", running + used).where(F.col("running") > budget)
-    first = over.orderBy(F.desc("bucket")).first()
-    return None if first is None else (first.bucket, first.running - first.bytes)
+    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute")
+    sizes = rows.groupBy(minute).agg(F.sum(row_bytes()).alias("bytes"))
+    running = F.sum("bytes").over(Window.orderBy(F.desc("minute")).rowsBetween(Window.unboundedPreceding, 0))
+    over = sizes.withColumn("running", running).where(F.col("running") > budget)
+    first = over.orderBy(F.desc("minute")).first()
+    return None if first is None else (first.minute, first.running - first.bytes)
 
 
 def split_by_size(fact: DataFrame, budget: int = HOT_BYTES) -> tuple[DataFrame, DataFrame, datetime | None]:
     """(kept, the others, time from which all is kept): the newest rows that fit into a byte budget.
 
-    Whole hours are taken as long as they fit, in the hour that does not fit whole minutes, and in
-    the minute that does not fit rows by time and id, so all that fits is kept and a busy
-    hour cannot empty the table. Rows without time are not kept. Without a budget overrun the time is None.
+    Whole minutes are taken as long as they fit, and in the minute that does not fit rows by time and id, so all that fits
+    is kept and a busy hour cannot empty the table. Rows without time are not kept. Without a budget overrun the
+    time is None.
     """
     timed = fact.where(F.col("ts").isNotNull())
     untimed = fact.where(F.col("ts").isNull())
-    hour = _edge(timed, "hour", 0, budget)
-    if hour is None:
+    edge = _edge(timed, budget)
+    if edge is None:
         return timed, untimed, None
-    inside = timed.where(since(timed, moment(hour[0])) & (F.col("ts") < moment(hour[0] + timedelta(hours=1))))
-    minute, used = _edge(inside, "minute", hour[1], budget)
+    minute, used = edge
     start, end = moment(minute), moment(minute + timedelta(minutes=1))
     # One minute of rows is ordered, none else.
     newest = Window.orderBy(F.desc("ts"), F.asc_nulls_last("transaction_id")).rowsBetween(Window.unboundedPreceding, 0)
-    last = inside.where((F.col("ts") >= start) & (F.col("ts") < end))
+    last = timed.where(since(timed, start) & (F.col("ts") < end))
     fits = last.withColumn("fits", F.sum(row_bytes()).over(newest) + used <= budget)
     newer, older = fact.where(since(fact, end)), timed.where(F.col("ts") < start)
     kept = hot_cold_union(newer, fits.where("fits").drop("fits"))

@@ -124,6 +124,20 @@ def run_cards(run: DataFrame) -> DataFrame:
     )
 
 
+def next_run(ts: Column, hours: int = 3) -> Column:
+    """The first periodic run after a moment."""
+    period = hours * 3600
+    return F.timestamp_seconds((F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(period)) + 1) * period).cast("timestamp_ntz")
+
+
+def as_run(newest: DataFrame) -> DataFrame:
+    """A stored refresh under the names of the run history."""
+    return newest.select(
+        F.col("run_at").alias("run_ts"), F.col("transactions").alias("total_transactions"),
+        F.col("total").alias("total_volume"), F.col("average").alias("avg_transaction_value"),
+    )
+
+
 def kpi_run_history(fact: DataFrame, hours: int = 3) -> DataFrame:
     """The global KPI as each periodic refresh saw it: totals of everything before the run.
 

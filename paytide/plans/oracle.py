@@ -362,3 +362,30 @@ FROM (SELECT *, CAST(transaction_id AS BIGINT) AS e FROM feed)"""
 
 ORACLE["latest_stored_run"] = f"""WITH {FEED}
 SELECT CAST(2 AS BIGINT) AS run, TIMESTAMP '2024-01-20' AS run_at, {AMOUNTS} FROM feed WHERE ts < TIMESTAMP '2024-01-20'"""
+
+ORACLE["stream_windows_corrected"] = f"""WITH {FEED}
+SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
+  COUNT(*) AS transactions FROM feed GROUP BY 1, 2"""
+
+ORACLE["stream_fraud_spikes"] = f"""SELECT * FROM ({ORACLE["kpi_fraud_spikes"]})
+WHERE "hour" + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTES"""
+
+ORACLE["kpi_latency_sketched"] = f"""WITH {FEED}
+SELECT txn_date, COUNT(*) AS transactions, {mean("processing_time")} AS avg_latency, TRUE AS p50_within, TRUE AS p95_within
+FROM feed GROUP BY txn_date"""
+
+ORACLE["kpi_by_segment_then"] = f"""WITH {FEED},
+change AS (
+  SELECT user_id AS customer_id, ts AS since, CASE WHEN event_type = 'signup' THEN 'New' ELSE 'Risky' END AS customer_segment
+  FROM events WHERE event_type IN ('signup', 'error')
+  QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+SELECT customer_segment, COUNT(*) AS transactions, {total()} AS total_spend, {mean()} AS avg_spend
+FROM feed ASOF LEFT JOIN change ON feed.customer_id = change.customer_id AND feed.ts >= change.since
+GROUP BY customer_segment"""
+
+ORACLE["tables_with_rows"] = f"""WITH {FEED}, {DIMS}
+SELECT part, "rows" > 0 AS has_rows, "rows" FROM (
+  SELECT 'transactions' AS part, COUNT(*) AS "rows" FROM feed
+  UNION ALL SELECT 'customers', COUNT(*) FROM customers
+  UNION ALL SELECT 'merchants', COUNT(*) FROM merchants
+  UNION ALL SELECT 'refused', COUNT(*) FROM feed WHERE status = 'Refused')"""

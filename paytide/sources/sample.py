@@ -181,6 +181,15 @@ def overlapping(fact: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return first, second, fact.where(ts >= moment(CUTOFFS[1]))
 
 
+def segment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(customer_id, ts, version, customer_segment): every signup and every error sets the segment from then on."""
+    telling = table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "error"))
+    segment = F.when(F.col("event_type") == "signup", "New").otherwise("Risky")
+    return telling.select(
+        F.col("user_id").alias("customer_id"), "ts", F.col("event_id").alias("version"), segment.alias("customer_segment")
+    )
+
+
 def customer_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partial updates of the customers from everything that happened to them.
 
