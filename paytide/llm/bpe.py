@@ -31,7 +31,7 @@ from .tables import map_rows
 # Stands for the word-end mark; it is not in the byte alphabet.
 END = "\ue000"
 # Entries a worker keeps of words already encoded. Beyond it the memory is emptied, not the result.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 100_000
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 TOKENS_SCHEMA = "doc_id long, ids array<int>, decoded string"
@@ -81,6 +81,7 @@ class WordBpe:
         self.matches.make_automaton()
         self.banned = self._unreachable()
         self.words: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def _fits(self, left: int, right: int, until: float = inf) -> bool:
         """Do the merge rules leave the border between two neighbouring tokens alone?
@@ -137,9 +138,13 @@ class WordBpe:
 
     def word(self, word: str) -> tuple[int, str, str]:
         """Number of ids, the ids and the token texts of a pre-token, both joined by spaces."""
-        ids = self.word_ids("".join(map(self.bytes.__getitem__, word.encode())))
-        found = len(ids), " ".join(map(str, ids)), " ".join(map(self.text_of.__getitem__, ids))
+        found = self.older.get(word)
+        if found is None:
+            ids = self.word_ids("".join(map(self.bytes.__getitem__, word.encode())))
+            found = len(ids), " ".join(map(str, ids)), " ".join(map(self.text_of.__getitem__, ids))
         if len(self.words) >= WORDS_KEPT:
+            # The words before are still known for one more turn, so those in use are never computed anew all at once.
+            self.older = self.words.copy()
             self.words.clear()
         if len(word) <= 64:
             self.words[word] = found

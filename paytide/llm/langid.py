@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .tables import ddl, map_rows
+from .tables import map_rows, map_text
 
 # Length of a rank list, of documents and languages alike.
 RANKS = 300
@@ -162,12 +162,10 @@ def keep_known(docs: DataFrame, ranks: int = RANKS) -> DataFrame:
     held out, as in :func:`identify`.
     """
     known = profile(learn(docs.where(~held_out(F.col("doc_id"))), ranks), ranks)
-    text, lang = docs.columns.index("text"), docs.columns.index("lang")
+    told = map_text(docs, "text", lambda text: nearest(text, known, ranks)[0])
+    lang = F.coalesce("lang", TOLD)
+    return docs.withColumn(TOLD, told).where(F.col(TOLD) != UNKNOWN).withColumn("lang", lang).select(*docs.columns)
 
-    def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for row in rows:
-            told, _ = nearest(row[text], known, ranks)
-            if told != UNKNOWN:
-                yield row if row[lang] is not None else (*row[:lang], told, *row[lang + 1 :])
 
-    return map_rows(docs, rows_of, ddl(docs), 2_000)
+# A name no input column has.
+TOLD = "language told"

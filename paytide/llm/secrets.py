@@ -36,7 +36,7 @@ from urllib.parse import unquote_to_bytes
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import ddl, map_rows
+from .tables import map_rows, map_text
 
 KINDS = ("assign", "access", "hex")
 LAYER_BYTES = 64 << 20
@@ -335,14 +335,13 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     there is such a column, is the length of the new text.
     """
     columns = docs.columns
-    at = columns.index("text")
 
-    def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for row in rows:
-            every = Worklist(row[at]).spans()[1] if row[at] else []
-            yield row if not every else (*row[:at], masked(row[at], every, mark), *row[at + 1 :])
+    def redacted(text: str | None) -> str | None:
+        """Null where nothing changes, so most texts travel one way only."""
+        every = Worklist(text).spans()[1] if text else []
+        return masked(text, every, mark) if every else None
 
-    out = map_rows(docs, rows_of, ddl(docs), 2_000)
+    out = docs.withColumn("text", F.coalesce(map_text(docs, "text", redacted), "text"))
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         changed = F.when(F.col("text").isNotNull(), F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))

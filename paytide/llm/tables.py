@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -13,7 +13,9 @@ from ..session import work_path
 
 
 SENT_IDS = 1_000_000
+# Rows and bytes that a worker turns into Python objects, or holds as such, at a time.
 SLICE = 256
+HELD_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +30,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ddl(df: DataFrame) -> str:
-    """The columns of ``df`` as a schema string."""
-    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema.fields)
-
-
 def drop_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """``df`` without the rows whose ``key`` is in ``ids`` (one column); rows with a null key stay.
 
@@ -43,35 +40,81 @@ def drop_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return df.join(F.broadcast(ids) if few else ids, key, "left_anti").select(*df.columns)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of SLICE rows, fewer where rows are long: HELD_BYTES at a time, or one row."""
+    step = max(1, min(SLICE, HELD_BYTES * batch.num_rows // max(1, batch.nbytes)))
+    return (batch.slice(start, step) for start in range(0, batch.num_rows, step))
+
+
 def map_rows(
     df: DataFrame, rows_of: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str, at_once: int = 20_000
 ) -> DataFrame:
     """Run a Python generator over each partition; Arrow batches travel both ways.
 
     ``rows_of`` gets an iterator over the partition's rows, as tuples in column order, and
-    yields output rows. No more than one input batch and ``at_once`` output rows are held.
+    yields output rows. No more is held than one input batch, and ``at_once`` output rows or those that reach
+    HELD_BYTES.
     """
     arrow = to_arrow_schema(StructType.fromDDL(schema))
+    # Only values of these columns can be large.
+    wide = [i for i, field in enumerate(arrow) if not pa.types.is_primitive(field.type)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def source() -> Iterator[tuple]:
             for batch in batches:
                 # A batch is in Arrow already; only a slice of it becomes Python objects at a time.
-                for start in range(0, batch.num_rows, SLICE):
-                    yield from zip(*(column.to_pylist() for column in batch.slice(start, SLICE).columns))
+                for part in slices(batch):
+                    yield from zip(*(column.to_pylist() for column in part.columns))
 
         held: list[tuple] = []
+        size = 0
         for row in rows_of(source()):
             held.append(row)
-            if len(held) >= at_once:
+            for i in wide:
+                size += bytes_of(row[i])
+            if len(held) >= at_once or size >= HELD_BYTES:
                 yield pack(held, arrow)
-                held = []
+                held, size = [], 0
         if held:
             yield pack(held, arrow)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let batches between Spark and Python end at HELD_BYTES; both sides hold some of them, and buffers for them."""
+    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) > HELD_BYTES:
+        spark.conf.set(BATCH_BYTES, str(HELD_BYTES))
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+# About what an element of a list takes as a Python object.
+ELEMENT_BYTES = 32
+
+
+def bytes_of(value: object) -> int:
+    if isinstance(value, (str, bytes)):
+        return len(value)
+    return len(value) * ELEMENT_BYTES if isinstance(value, list) else 0
+
+
+def map_text(df: DataFrame, column: str, new: Callable[[str | None], str | None]) -> Column:
+    """A text per text of a column: only this one travels to Python and back, the others stay where they are."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = slices(pa.record_batch([batch], names=["text"]))
+            yield pa.concat_arrays([
+                pa.array([], pa.string()), *(pa.array([new(t) for t in part.column(0).to_pylist()], pa.string()) for part in parts)
+            ])
+
+    small_batches(df.sparkSession)
+    # Called non-deterministic, because a filter on its result would otherwise be pushed below it as a second call.
+    return F.arrow_udf(run, "string", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()(df[column])
+
+
 def pack(rows: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
     """Rows as one Arrow batch of the given schema."""
     return pa.record_batch(
