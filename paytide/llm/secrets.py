@@ -5,8 +5,8 @@ a layer of its own, each layer is scanned and unwrapped in turn, and a layer who
 seen before in the same document is not entered again, so the work ends at a fixpoint.
 
 Unwrapped are: percent escapes, Unicode and hexadecimal escapes, base64 in both alphabets, also
-wrapped over lines, and gzip, zlib, bzip2 and xz streams, all members of them, found inside base64 or
-written as escaped bytes. Bytes that are no text are read byte by byte where they have a printable stretch that
+wrapped over lines or begun behind other signs, and gzip, zlib, bzip2, xz and bare deflate streams, all members of them,
+found inside base64 or, but for bare deflate, written as escaped bytes. Bytes that are no text are read byte by byte where they have a printable stretch that
 could hold a secret, and as UTF-16 where every other byte is zero. Every layer carries, for each of its
 characters, the part of the document it came from: one escape for an unescaped character,
 the group of four signs for a base64 byte, the whole stream for a compressed one. A secret
@@ -17,7 +17,8 @@ Kinds, leftmost and non-overlapping per kind, offsets in code points, end exclus
 more, ``hex`` 24 hexadecimal digits or more. Too short matches are consumed and dropped.
 
 A compressed stream that unpacks to more than ``LAYER_BYTES`` is a bomb: it is unpacked up to
-there, which bounds a worker's memory, and the document is flagged ``truncated``.
+there, which bounds a worker's memory, and the document is flagged ``truncated``; so it is where an xz stream wants a
+dictionary of more than ``DICTIONARY_BYTES`` and is not unpacked.
 """
 
 from __future__ import annotations
@@ -40,6 +41,9 @@ from .tables import map_rows, map_text
 
 KINDS = ("assign", "access", "hex")
 LAYER_BYTES = 64 << 20
+DICTIONARY_BYTES = 256 << 20
+# The shortest text with a secret.
+SHORTEST = "token=abcdef"
 
 # The base patterns.
 ASSIGN = re.compile(
@@ -54,7 +58,7 @@ ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\
 ONE_ESCAPE = re.compile(r"\\(?:u\{([0-9A-Fa-f]+)\}|[uxU]([0-9A-Fa-f]+))")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 # A run that goes on in the next lines; begun only where a run begins, so a long one is read once.
-WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{8,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
 SIGNS = re.compile(r"[A-Za-z0-9+/_=-]+")
 # The shortest secret or nested run has so many signs.
 STRETCH = re.compile(rb"[ -~]{12}")
@@ -133,7 +137,9 @@ class Worklist:
                 if "\\x" in m[0]:
                     yield from self.from_escaped(codecs.escape_decode(m[0])[0], m, ONE_BYTE, parent)
         for m in BASE64.finditer(text):
-            yield from self.from_base64(m[0], np.arange(m.start(), m.end()), parent)
+            # Signs before a run, as in ``v1/`` or ``id-``, belong to the alphabet and shift its groups.
+            for first in range(4):
+                yield from self.from_base64(m[0][first:], np.arange(m.start() + first, m.end()), parent)
         if "\n" in text:
             for m in WRAPPED.finditer(text):
                 lines = list(SIGNS.finditer(text, m.start(), m.end()))
@@ -173,7 +179,10 @@ class Worklist:
         unpacked = self.unpacked(raw)
         text = (unpacked or b"").decode("utf-8", "replace")
         if text:
-            yield mapped(text, np.full(len(text), start, dtype=np.int64), np.full(len(text), end, dtype=np.int64), parent)
+            if parent is not None:
+                start, end = parent[1][start], parent[2][end - 1]
+            # One value seen len(text) times, so a large stream takes no more than its text.
+            yield text, *(np.broadcast_to(np.int64(edge), len(text)) for edge in (start, end))
 
     def from_base64(self, run: str, at: np.ndarray, parent: Layer | None) -> Iterator[Layer]:
         """The layers of a run whose signs stand at the places ``at``."""
@@ -219,7 +228,11 @@ class Worklist:
                     break
                 room = self.layer_bytes - len(out or b"")
                 out = (out or b"") + machine.decompress(raw, room)
-            except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
+            except lzma.LZMAError as error:
+                # A dictionary beyond DICTIONARY_BYTES is a bomb, too.
+                self.truncated |= "emory" in str(error)
+                break
+            except (zlib.error, OSError, EOFError, ValueError):
                 break
             if len(out) >= self.layer_bytes:
                 self.truncated, self.rest = True, b""
@@ -227,6 +240,18 @@ class Worklist:
             # Members may be followed by zeros.
             self.rest = machine.unused_data
             raw = self.rest.lstrip(b"\x00")
+        return self.deflated(raw) if out is None else out
+
+    def deflated(self, raw: bytes) -> bytes | None:
+        """The content of a deflate stream without any header; only a whole one that holds a text counts, as nothing else tells."""
+        machine = zlib.decompressobj(-15)
+        try:
+            out = machine.decompress(raw, self.layer_bytes)
+        except zlib.error:
+            return None
+        if not machine.eof or machine.unused_data or len(out) < len(SHORTEST) or readable(out) is None:
+            return None
+        self.rest = b""
         return out
 
 
@@ -236,7 +261,7 @@ def machine_of(raw: bytes):
         return zlib.decompressobj(47)
     if raw[:3] == b"BZh":
         return bz2.BZ2Decompressor()
-    return lzma.LZMADecompressor(memlimit=256 << 20) if raw[:6] == b"\xfd7zXZ\x00" else None
+    return lzma.LZMADecompressor(memlimit=DICTIONARY_BYTES) if raw[:6] == b"\xfd7zXZ\x00" else None
 
 
 def placed(text: str, begin: np.ndarray, end: np.ndarray, at: np.ndarray, parent: Layer | None) -> Layer:

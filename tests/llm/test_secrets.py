@@ -3,6 +3,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -70,6 +71,68 @@ def test_layers_are_unwrapped_whole(inside):
     assert any(kind == "assign" and 5 <= int(a) < int(b) <= 5 + len(inside) for kind, a, b in found), found
 
 
+def deflate(raw):
+    machine = zlib.compressobj(wbits=-15)
+    return machine.compress(raw) + machine.flush()
+
+
+@pytest.mark.parametrize("inside", [
+    *(before + b64(SECRET.encode()) for before in ("v1/", "id-", "x_", "Q", "_", "session-token-")),
+    *("x_" + b64(f(SECRET.encode())) for f in (gzip.compress, deflate)),
+    lines(b64(f"{FILL[:45]}{SECRET}{FILL}".encode()), 8), lines(b64(f"{FILL[:45]}{SECRET}{FILL}".encode()), 10, "\r\n"),
+    b64(deflate(SECRET.encode())), b64(deflate(b64(SECRET.encode()).encode())), b64(gzip.compress(deflate(f"{FILL}{SECRET}".encode()))),
+])
+def test_runs_behind_other_signs_narrow_lines_and_bare_deflate(inside):
+    text = f"héad {inside} tail"
+    found = [s.split(":") for s in spans(text).split(",") if s]
+    assert any(kind == "assign" and 5 <= int(a) < int(b) <= 5 + len(inside) for kind, a, b in found), found
+
+
+WRAPS = [
+    quoted, lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: b64(t.encode()), lambda t: "k/" + b64(t.encode()),
+    lambda t: b64(gzip.compress(t.encode())), lambda t: b64(deflate(t.encode())), lambda t: b64(bz2.compress(t.encode())),
+    lambda t: lines(b64(t.encode()), 76), lambda t: base64.urlsafe_b64encode(t.encode()).decode(), lambda t: b64(t.encode("utf-16")),
+]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_random_layers(seed):
+    rnd = random.Random(seed)
+    inside = SECRET
+    for _ in range(rnd.randrange(1, 5)):
+        inside = rnd.choice(WRAPS)(inside)
+    text = f"{FILL}\n{inside} {FILL}"
+    start = len(FILL) + 1
+    found = [s.split(":") for s in spans(text).split(",") if s]
+    assert any(kind == "assign" and start <= int(a) < int(b) <= start + len(inside) for kind, a, b in found)
+
+
+def test_a_dictionary_beyond_the_bound_is_flagged():
+    filters = [{"id": lzma.FILTER_LZMA2, "dict_size": 400 << 20, "mode": lzma.MODE_FAST, "mf": lzma.MF_HC3}]
+    header = lzma.compress(b"x", filters=[{"id": lzma.FILTER_LZMA2, "dict_size": 1 << 20}])
+    work = secrets.Worklist(b64(header))
+    work.spans()
+    assert not work.truncated
+    try:
+        large = lzma.compress(SECRET.encode(), filters=filters)
+    except MemoryError:
+        pytest.skip("no memory for the encoder")
+    work = secrets.Worklist(b64(large))
+    work.spans()
+    assert work.truncated
+
+
+def test_a_large_stream_takes_little_more_than_its_text():
+    import tracemalloc
+
+    text = b64(gzip.compress(b"0 " * 8_000_000 + SECRET.encode()))
+    tracemalloc.start()
+    found = secrets.Worklist(text).spans()[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [kind for _, kind, _ in found] == [0] and peak < 150_000_000
+
+
 def test_a_long_word_before_a_wrapped_run():
     run = lines(b64(f"{FILL[:45]}{SECRET}{FILL}".encode()), 64)
     assert spans(f"internationally\n{run}\nend").startswith("assign:")
