@@ -143,6 +143,9 @@ def wishes(scattered: DataFrame, open_to: list[bool], nth: int) -> DataFrame:
 
 def admitted(asked: DataFrame, quota: list[int], count: int, nth: int, whole: bool) -> DataFrame:
     """(key, to, moves): how many of each group may enter, larger groups first and then by a hash."""
+    if whole:
+        # A group that cannot enter holds up none behind it.
+        asked = asked.where(F.col("need") <= case(F.col("to"), quota))
     buckets = max(1, count // BUCKET_ROWS)
     cell = ["to", "turn", "bucket"]
     queued = asked.withColumns({
