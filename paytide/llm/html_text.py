@@ -3,7 +3,8 @@
 A page is cut into blocks of visible text. Markup tells what it can: blocks inside the article (else
 inside ``main``) are the text, and menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments are not, whether marked by their element, their role or their class. A class that only
-contains such a word may name the layout, so an article inside is judged like other text. Everything else
+contains such a word may name the layout, so an article inside is judged like other text; and words that name topics as well, such as
+*related* or *share*, count only if the rest of the name says that it is a part of a page. Everything else
 outside the article is judged by its host: the token streams of the host's pages are concatenated,
 a suffix array over them yields the substrings of at least ``REPEATED`` words that occur in distinct
 pages, and words so covered are boilerplate, as are whole blocks that distinct pages share. A page
@@ -61,6 +62,17 @@ ASIDE_WORDS = set(
 )
 # Of these, the words that an article inside does not disprove.
 SURE_WORDS = {"comment", "comments", "disqus", "replies", "related", "recommended", "recommendations", "sidebar", "widget", "widgets"}
+# These say something only together with words for parts of a page: ``related-posts`` is one, ``related-work`` is not.
+WEAK_WORDS = set(
+    "ad ads promo promotion banner notice popup modal overlay subscribe subscription signup login share sharing social related "
+    "recommended recommendations pager toolbar skip header menu".split()
+)
+PART_WORDS = set(
+    "box block list section wrap wrapper container area post posts link links item items bar button buttons icon icons unit slot panel "
+    "strip row col column card cards module tile tiles inner outer top bottom left right side center main site page user reader "
+    "article articles story stories news reading content form forms media group set tools tool tray float fixed sticky desktop "
+    "mobile small large primary secondary global sub in up out us on to nav title entry blog widget header footer".split()
+)
 CLASS_WORD = re.compile(r"[a-z]+")
 # What follows one of these in a name tells what the page has or lacks, not what the element is.
 LAYOUT_WORDS = {"has", "have", "with", "without", "no", "non", "not"}
@@ -104,6 +116,8 @@ def named_aside(parts: list[str], words: set[str]) -> int:
     if parts[-1:] == ["off"]:
         return NO
     told = set(parts[: next((n for n, w in enumerate(parts) if w in LAYOUT_WORDS), len(parts))])
+    if told & words <= WEAK_WORDS and not told <= words | PART_WORDS:
+        return NO
     if told & SURE_WORDS:
         return SURE if len(parts) == 1 else PART
     return MAYBE if told & words else NO

@@ -59,6 +59,24 @@ def test_layout_classes_leave_the_article(spark, page):
     assert texts(html_text.extract(pages(spark, [(1, "http://h/", page)]))) == {1: "t x"}
 
 
+@pytest.mark.parametrize("element", [
+    "section class='related-work'", "p class='notice-text'", "div class='social-policy'", "p class='share-price'", "div id=ad-astra",
+    "div class='banner-year promotion-rules'", "p class=login-problem",
+])
+def test_topics_are_no_parts_of_a_page(spark, element):
+    page = f"<article><h1>t</h1><{element}>x</article>"
+    assert texts(html_text.extract(pages(spark, [(1, "http://h/", page)]))) == {1: "t x"}
+
+
+@pytest.mark.parametrize("name", [
+    "related-posts", "share", "share-buttons", "social-links", "ad-slot", "ads", "promo_box", "notice", "cookie-notice", "signup-form",
+    "newsletter-text", "comment-text", "site-footer", "nav-main", "recommended articles", "header-menu", "subscribe-panel top",
+])
+def test_parts_of_a_page_are_no_text(spark, name):
+    page = f"<article><h1>t</h1><div class='{name}'>no</div><p>x</article>"
+    assert texts(html_text.extract(pages(spark, [(1, "http://h/", page)]))) == {1: "t x"}
+
+
 def brute_covered(texts, pages, least):
     where = {}
     for text, page in zip(texts, pages):
