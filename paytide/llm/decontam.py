@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .tables import drop_ids
+from .tables import SENT_IDS, drop_ids, written
 
 WORD = r"[\p{L}\p{M}\p{N}]+"
 # Which words of a window are hashed.
@@ -134,9 +134,15 @@ def overlaps(docs: DataFrame, tests: DataFrame) -> DataFrame:
         .select("doc_id", "item_id", (F.col("p") - F.col("q")).alias("shift"), "q").distinct()
     )
     item_words = items.select(F.col("item_id").alias("i"), F.col("h").alias("item"))
-    texts = docs.select(F.col("doc_id").alias("d"), "text")
+    # Few documents hold anything, so their ids are known first, and only their texts are moved.
+    alike = written(stretches(hits), "stretches")
+    ids = alike.select(F.col("doc_id").alias("hit")).distinct()
+    few = ids.limit(SENT_IDS + 1).count() <= SENT_IDS
+    texts = docs.select(F.col("doc_id").alias("d"), "text").join(
+        F.broadcast(ids) if few else ids, F.col("d").eqNullSafe(F.col("hit")), "left_semi"
+    )
     both = (
-        stretches(hits).join(texts, F.col("doc_id").eqNullSafe(F.col("d")))
+        alike.join(texts, F.col("doc_id").eqNullSafe(F.col("d")))
         .withColumn("doc", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)))
         .join(sent(item_words), F.col("item_id").eqNullSafe(F.col("i")))
     )
