@@ -44,6 +44,15 @@ def test_a_number_is_given_once(spark, tmp_path):
     assert [n for n in log.folder.names() if n.startswith("_")] == []
 
 
+def test_a_rename_that_replaces_nothing(spark, tmp_path):
+    """What other file systems than the local one are asked for."""
+    folder = CommitLog(spark, str(tmp_path / "log")).folder
+    for name, text in (("one", "1"), ("two", "2")):
+        assert folder.put_new(name, text)
+    assert folder._rename("one", "three") and not folder._rename("two", "three")
+    assert folder.text("three") == "1" and folder.text("one") is None and folder.text("two") == "2"
+
+
 def test_writers_at_once_lose_no_commit(spark, tmp_path):
     errors = []
 
