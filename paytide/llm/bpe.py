@@ -159,6 +159,12 @@ class WordBpe:
             for word in words(part):
                 yield known.get(word) or self.word(word)
 
+    def forget(self) -> None:
+        """Drop the words and pairs known so far."""
+        self.words.clear()
+        self.older.clear()
+        self.fits.cache_clear()
+
     def encode(self, text: str) -> list[int]:
         return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split()]
 
@@ -200,6 +206,8 @@ def _encode_rows(rows: Iterator[tuple], path: str) -> Iterator[tuple]:
     for doc_id, text in rows:
         ids = bpe.encode(text or "")
         yield doc_id, ids, bpe.decode(ids)
+    # Rows with all their ids need the room; the next task learns its words anew.
+    bpe.forget()
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -23,10 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Store an intermediate table in the shared folder and read it back: lineage ends there."""
+    """Store an intermediate table in the shared folder and read it back: lineage ends there.
+
+    What was shuffled for it is of no use any more. Spark removes such files when the driver's objects for them are
+    collected, which may take half an hour while the disks fill, so that is asked for.
+    """
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -77,6 +83,8 @@ def map_rows(
                 held, size = [], 0
         if held:
             yield pack(held, arrow)
+            held = []
+        give_back()
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -88,6 +96,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_BYTES, str(HELD_BYTES))
 
 
+def give_back() -> None:
+    """Return what a task held to the system: its worker stays for later tasks, beside those that others use."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # About what an element of a list takes as a Python object.
@@ -109,6 +125,7 @@ def map_text(df: DataFrame, column: str, new: Callable[[str | None], str | None]
             yield pa.concat_arrays([
                 pa.array([], pa.string()), *(pa.array([new(t) for t in part.column(0).to_pylist()], pa.string()) for part in parts)
             ])
+        give_back()
 
     small_batches(df.sparkSession)
     # Called non-deterministic, because a filter on its result would otherwise be pushed below it as a second call.
