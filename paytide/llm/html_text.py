@@ -10,9 +10,12 @@ a suffix array over them yields the substrings of at least ``REPEATED`` words th
 pages, and words so covered are boilerplate, as are whole blocks that distinct pages share. A page
 without an article or ``main`` keeps the uncovered runs of its blocks.
 
-Blocks inside an article are never judged by repetition: copies of an article are articles. Nor do
-copies of a page without an article judge each other: pages of a host whose blocks to be judged are the
-same count as one page.
+Inside an article only boxes are judged: lists, tables, sections and the like that hold less than half of its
+words. What ``REPEATED`` words or more of such a box have in common with another article or part of the host goes. Other blocks of an
+article are its text, however often the host repeats them: articles quote each other and are copied. Copies do not
+judge each other either: pages of a host without an article whose blocks to be judged are the same count as one
+page, as do articles that are the same outside their boxes, by the least hash of its word runs, which
+nearly equal articles mostly share.
 
 Equal blocks of a host are one row before the suffix arrays are built. A host with more than
 ``CHUNK_WORDS`` words is divided: a block goes to the chunks its winnowed fingerprints name, and two
@@ -79,11 +82,14 @@ LAYOUT_WORDS = {"has", "have", "with", "without", "no", "non", "not"}
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
+# Elements that are boxes where they hold the smaller part of an article.
+BOX_TAGS = {"div", "section", "table", "ul", "ol", "dl", "details", "figure", "center"}
+
 OTHER, MAIN, ARTICLE, ASIDE = range(4)
 # A PART is a sure word that is only a part of a class or id.
 NO, MAYBE, PART, SURE = range(4)
 
-PARSED_SCHEMA = "page_id long, url string, host string, text string, others array<string>, asides array<string>"
+PARSED_SCHEMA = "page_id long, url string, host string, text string, content long, others array<string>, judged array<boolean>, asides array<string>"
 CHUNK_SCHEMA = "host string, chunk long, id long, block string, page long"
 COVER_SCHEMA = "id long, start int, stop int"
 COVER_ARROW = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
@@ -123,19 +129,22 @@ def named_aside(parts: list[str], words: set[str]) -> int:
     return MAYBE if told & words else NO
 
 
-def blocks(page: str) -> list[tuple[int, str]]:
-    """(where, text) of every block with visible text, in page order."""
-    out: list[tuple[int, str]] = []
+def blocks(page: str) -> list[tuple[int, str, tuple | None]]:
+    """(where, text, container) of every block with visible text, in page order.
+
+    A container is its place in the page and the container around it, if that is in the same part of the page.
+    """
+    out: list[tuple[int, str, tuple | None]] = []
     held: list[str] = []
-    # Open block elements: name, what their text is, and how sure it is that they are none of the article.
-    stack: list[tuple[str, int, int]] = []
+    # Open block elements: name, what their text is, how sure it is that they are none of the article, and the container.
+    stack: list[tuple[str, int, int, tuple | None]] = []
     where = OTHER
 
     def close():
         if held:
             text = SPACE.sub(" ", html.unescape("".join(held))).strip()
             if text:
-                out.append((where, text))
+                out.append((where, text, stack[-1][3] if stack else None))
             held.clear()
 
     at, size = 0, len(page)
@@ -168,12 +177,12 @@ def blocks(page: str) -> list[tuple[int, str]]:
         if closing:
             where = closed(stack, tag, where)
         elif not raw.endswith("/"):
-            where = opened(stack, tag, raw, where)
+            where = opened(stack, tag, raw, where, at)
     close()
     return out
 
 
-def opened(stack: list[tuple[str, int, int]], tag: str, raw: str, where: int) -> int:
+def opened(stack: list[tuple[str, int, int, tuple | None]], tag: str, raw: str, where: int, at: int) -> int:
     inside, sure = where, stack[-1][2] if stack else NO
     aside = is_aside(tag, raw, where == ARTICLE)
     if aside == SURE or (aside and (tag != "article" or where == ARTICLE)):
@@ -184,11 +193,12 @@ def opened(stack: list[tuple[str, int, int]], tag: str, raw: str, where: int) ->
         inside = OTHER if sure == PART else ARTICLE
     elif tag == "main" and sure != SURE and where in (OTHER, ASIDE):
         inside = OTHER if sure == PART else MAIN
-    stack.append((tag, inside, sure))
+    around = stack[-1][3] if stack and stack[-1][1] == inside else None
+    stack.append((tag, inside, sure, (at, around) if tag in BOX_TAGS else around))
     return inside
 
 
-def closed(stack: list[tuple[str, int, int]], tag: str, where: int) -> int:
+def closed(stack: list[tuple[str, int, int, tuple | None]], tag: str, where: int) -> int:
     """Close the innermost open element of the name, and with it what was left open inside."""
     for n in range(len(stack) - 1, -1, -1):
         if stack[n][0] == tag:
@@ -202,11 +212,43 @@ def closed(stack: list[tuple[str, int, int]], tag: str, where: int) -> int:
 def parsed_rows(rows: Iterator[tuple]) -> Iterator[tuple]:
     for page_id, url, page in rows:
         found = blocks(page or "")
-        best = max((w for w, _ in found if w != ASIDE), default=OTHER)
-        others = [text for w, text in found if w == OTHER] if best == OTHER else []
-        asides = [text for w, text in found if w < best or w == ASIDE]
-        text = " ".join(text for w, text in found if w == best) if best != OTHER else ""
-        yield page_id, url, host_of(url), text, others, asides
+        best = max((w for w, _, _ in found if w != ASIDE), default=OTHER)
+        main = [(text, around) for w, text, around in found if w == best and w != ASIDE]
+        open_blocks = [True] * len(main) if best == OTHER else boxed(main)
+        asides = [text for w, text, _ in found if w < best or w == ASIDE]
+        others = [text for text, _ in main]
+        if any(open_blocks):
+            yield page_id, url, host_of(url), "", content(others, open_blocks, best), others, open_blocks, asides
+        else:
+            yield page_id, url, host_of(url), " ".join(others), None, [], [], asides
+
+
+def boxed(main: list[tuple[str, tuple | None]]) -> list[bool]:
+    """Which blocks of an article are to be judged: those of REPEATED words or more in a container with less than half of its words."""
+    inside: dict[int, int] = {}
+    outer: dict[int, int | None] = {}
+    sizes = [text.count(" ") + 1 for text, _ in main]
+    for size, (_, around) in zip(sizes, main):
+        if around:
+            inside[around[0]] = inside.get(around[0], 0) + size
+        while around and around[0] not in outer:
+            outer[around[0]] = around[1][0] if around[1] else None
+            around = around[1]
+    # A container begins before those in it.
+    for place in sorted(outer, reverse=True):
+        if outer[place] is not None:
+            inside[outer[place]] = inside.get(outer[place], 0) + inside[place]
+    half = sum(sizes) / 2
+    # The innermost container is the smallest one.
+    return [size >= REPEATED and around is not None and inside[around[0]] < half for size, (_, around) in zip(sizes, main)]
+
+
+def content(texts: list[str], open_blocks: list[bool], best: int) -> int:
+    """What tells a page with blocks to be judged from its copies."""
+    if best == OTHER:
+        return xxhash.xxh64_intdigest("\n".join(texts)) - (1 << 63)
+    words = " ".join(text for text, box in zip(texts, open_blocks) if not box).split(" ")
+    return min(xxhash.xxh64_intdigest(" ".join(words[i : i + GRAM])) for i in range(max(1, len(words) - GRAM + 1))) - (1 << 63)
 
 
 def host_of(url: str | None) -> str:
@@ -345,16 +387,15 @@ def extract(pages: DataFrame) -> DataFrame:
     ``n_boilerplate`` counts the words outside the text that the host's other pages repeat. A null or
     empty html has the empty text. Pages without a host are one host. Null page_ids are a row like
     others; they count as one page, and rows that share an id are one page, as are pages of a host whose
-    blocks to be judged are the same. Other columns are not
+    blocks to be judged are the same and articles that are the same outside their boxes. Other columns are not
     read; an empty table gives an empty one.
     """
     own = parsed(pages)
     every = F.concat(
-        F.transform("others", lambda b: F.struct(b.alias("block"), F.lit(True).alias("open"))),
+        F.filter(F.transform("others", lambda b, i: F.struct(b.alias("block"), F.get("judged", i).alias("open"))), lambda b: b["open"]),
         F.transform("asides", lambda b: F.struct(b.alias("block"), F.lit(False).alias("open"))),
     )
-    content = F.when(F.size("others") > 0, F.xxhash64("others"))
-    rows = own.select("page_id", "host", content.alias("content"), F.explode(every).alias("b"))
+    rows = own.select("page_id", "host", "content", F.explode(every).alias("b"))
     rows = written(rows.select("page_id", "host", "content", "b.block", "b.open"), "blocks")
     told = rows.drop("content").join(judged(rows.select("page_id", "host", "content", "block")), ["host", "block"])
     length = F.aggregate("ranges", F.lit(0), lambda n, r: n + r["stop"] - r["start"])
@@ -364,17 +405,17 @@ def extract(pages: DataFrame) -> DataFrame:
     )
     joined = own.join(by_page, F.col("page_id").eqNullSafe(F.col("of")), "left")
     final = map_rows(
-        joined.select("page_id", "url", "text", "others", "cuts", F.coalesce("n_boilerplate", F.lit(0)).alias("n")),
+        joined.select("page_id", "url", "text", "others", "judged", "cuts", F.coalesce("n_boilerplate", F.lit(0)).alias("n")),
         final_rows, "page_id long, url string, text string, n_chars long, n_boilerplate long", 500,
     )
     return final
 
 
 def final_rows(rows: Iterator[tuple]) -> Iterator[tuple]:
-    for page_id, url, text, others, cuts, n in rows:
+    for page_id, url, text, others, open_blocks, cuts, n in rows:
         if others:
             ranges = {cut["block"]: [(r["start"], r["stop"]) for r in cut["ranges"]] for cut in cuts or ()}
-            text = " ".join(filter(None, (unique_runs(block, ranges.get(block, ())) for block in others)))
+            text = " ".join(filter(None, (unique_runs(b, ranges.get(b, ()) if box else ()) for b, box in zip(others, open_blocks))))
         yield page_id, url, text, len(text), n
 
 

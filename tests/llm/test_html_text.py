@@ -150,6 +150,43 @@ def test_copies_of_a_page_and_few_unique_words_stay(spark, monkeypatch, chunk):
     assert texts(html_text.extract(pages(spark, rows))) == {1: text, 2: text, 3: text, 4: other, 5: few, 6: other}
 
 
+@pytest.mark.parametrize("chunk", [200_000, 40])
+def test_boxes_that_articles_repeat_go(spark, monkeypatch, chunk):
+    """Boxes in articles are judged by the arrays; paragraphs, short rows, main containers and copies stay."""
+    monkeypatch.setattr(html_text, "CHUNK_WORDS", chunk)
+    box = " ".join(f"b{i}" for i in range(20))
+    quote = " ".join(f"q{i}" for i in range(20))
+
+    def own(n):
+        return " ".join(f"u{n}x{i}" for i in range(60))
+
+    def page(n, extra=""):
+        return f"<article><div class=text><h1>t{n}</h1><p>{own(n)}<p>{quote}</div><div class=zz><section>{box} {extra}</section></div><table><tr><td>Yes</table></article>"
+
+    rows = [(n, "http://h/", page(n)) for n in range(6)]
+    want = {n: f"t{n} {own(n)} {quote} Yes" for n in range(6)}
+    rows += [(6, "http://h/", page(6, "own words")), (7, "http://other/", page(7))]
+    want |= {6: f"t6 {own(6)} {quote} own words Yes", 7: f"t7 {own(7)} {quote} {box} Yes"}
+    # Copies of one article, on a host with no other.
+    rows += [(n, "http://copies/", page(8)) for n in (8, 9, 10)]
+    want |= {n: f"t8 {own(8)} {quote} {box} Yes" for n in (8, 9, 10)}
+    # Two articles in containers of their own are no boxes.
+    rows += [(n, "http://two/", f"<main><div><article>{own(n)}</article></div><div><article>{quote}</article></div></main>") for n in (11, 12)]
+    want |= {n: f"{own(n)} {quote}" for n in (11, 12)}
+    assert texts(html_text.extract(pages(spark, rows))) == want
+
+
+def test_containers_in_containers():
+    """A container holds what its inner ones hold; depth costs no more than length."""
+    many = " ".join(f"w{i}" for i in range(13))
+    page = f"<article><div><div><p>{many}</div><ul><li>{many}</ul></div><ol><li>{many}<li>few</ol></article>"
+    main = [(text, around) for _, text, around in html_text.blocks(page)]
+    assert html_text.boxed(main) == [True, True, True, False]
+    deep = "<article>" + f"<div><p>{many}" * 20_000
+    assert len(html_text.blocks(deep)) == 20_000
+    assert sum(html_text.boxed([(text, around) for _, text, around in html_text.blocks(deep)])) == 9_999
+
+
 def test_odd_rows(spark):
     long = "<article>" + "<p>word &eacute; " * 50_000
     rows = [(None, None, None), (1, "u", long), (1, "u", long), (2, "", "<"), (3, "http://[", "&#0;&bogus;")]
