@@ -10,12 +10,12 @@ token bitmaps, their size range and whether they are in one group already. Two t
 together; a pair of nodes is left out if the largest overlap that its bitmaps and sizes allow is too
 small for a link, or if all its records are in one group. What is left is compared exactly.
 
-A first round brings each class into one block, which finds most groups. A second takes all blocks in
-which classes of different groups are left; there the trees are built over bitmaps of the prefixes alone,
-and two sets may be linked only if their prefixes agree so far that the rest can make up for what
-differs. What hangs together in a block by the bitmaps is compared again by the prefixes themselves, equal
-sets of classes once; what hangs together by these is a cluster, whose texts are compared as in the
-first round.
+In both rounds the trees are first built over bitmaps of the prefixes alone: two sets may be linked only
+if their prefixes agree so far that the rest can make up for what differs. A first round brings each class
+into one block, which finds most groups; the texts of what hangs together by the bitmaps are compared. A
+second takes all blocks in which classes of different groups are left. What hangs together in a block by the
+bitmaps is compared again by the prefixes themselves, equal sets of classes once; what hangs together by
+these is a cluster, whose texts are compared as in the first round.
 
 Blocks and clusters are divided by size band and by hash into nodes of bounded weight, and only pairs of
 nodes that can hold a link across groups are sent to a task, so neither a large group nor a frequent
@@ -48,7 +48,7 @@ COUNTED_AT_ONCE = 1_500_000
 FAN = 8
 
 PASS_SCHEMA = "doc_id long, n long, d1 long, d2 long, shingle long, seen long"
-PREFIX_SCHEMA = "doc_id long, n long, shingles array<long>, part binary, bits binary"
+PREFIX_SCHEMA = "doc_id long, n long, shingles array<long>, bits binary"
 GROUP_SCHEMA = "found long, least long, class_id long"
 
 
@@ -110,8 +110,7 @@ def frequent(passed: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, share: int, late: np.ndarray) -> DataFrame:
-    """(doc_id, n, shingles, part, bits): the shingles each document is brought together by, as rows to be, sorted, and
-    as a bitmap."""
+    """(doc_id, n, shingles, bits): the shingles each document is brought together by, in their order and as a bitmap."""
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text in rows:
@@ -124,7 +123,7 @@ def prefixes(docs: DataFrame, k: int, share: int, late: np.ndarray) -> DataFrame
                 is_late = late[at] == found
                 found = np.concatenate([found[~is_late], found[is_late]])
             part = found[:length]
-            yield doc_id, len(found), part.tolist(), np.sort(part).tobytes(), bitmap(part, width(length)).tobytes()
+            yield doc_id, len(found), part.tolist(), bitmap(part, width(length)).tobytes()
 
     return map_rows(docs.select("doc_id", "text"), rows_of, PREFIX_SCHEMA, 5_000)
 
@@ -138,8 +137,11 @@ def width(n: int) -> int:
 
 
 def bitmap(found: np.ndarray, bits: int) -> np.ndarray:
-    """A bitmap of shingles; the first bits of a hash are its place."""
-    places = found.view(np.uint64) >> np.uint64(64 - bits.bit_length() + 1)
+    """A bitmap of shingles; the first bits of a hash, mixed once more, are its place.
+
+    Prefixes are the least hashes of their sets, which without mixing would share the first few places.
+    """
+    places = (found.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits.bit_length() + 1)
     out = np.zeros(bits // 64, dtype=np.uint64)
     np.bitwise_or.at(out, (places >> np.uint64(6)).astype(np.int64), np.uint64(1) << (places & np.uint64(63)))
     return out
@@ -289,6 +291,11 @@ def compare_parts(rows: list[tuple], share: int) -> tuple[list[int], Groups]:
     return compare_sets([(i, label, n, np.frombuffer(raw, dtype=np.int64)) for i, label, n, raw in rows], share)
 
 
+def packed(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Rows whose last column is a prefix, as the bytes of its sorted shingles: a list of numbers takes four times as much."""
+    return ((*row, np.sort(np.array(prefix, dtype=np.int64)).tobytes()) for *row, prefix in rows)
+
+
 def compare_prefixes(rows: list[tuple], share: int) -> tuple[list[int], Groups]:
     """Groups by possible links of records (class_id, label, n, bitmap of the prefix).
 
@@ -336,10 +343,10 @@ def groups_of(rows: Iterator[tuple], keys: int, compare) -> Iterator[tuple]:
                 yield from ((found, least, class_id) for class_id in joined)
 
 
-def traversed(members: DataFrame, keys: list[str], payload: DataFrame, compare) -> DataFrame:
+def traversed(members: DataFrame, keys: list[str], payload: DataFrame, compare, read=iter) -> DataFrame:
     """(found, least, class_id): what ``compare`` joins in every group of ``keys`` of ``members`` (keys, class_id, label, n).
 
-    ``payload`` (class_id, payload) has what records are made of. The ids are sent to its scan if they
+    ``payload`` (class_id, payload) has what records are made of; ``read`` is applied to the rows as they come. The ids are sent to its scan if they
     are few enough, so only what is needed is shuffled; else both sides are. A task reads its groups
     one after the other.
     """
@@ -349,7 +356,7 @@ def traversed(members: DataFrame, keys: list[str], payload: DataFrame, compare)
     full = members.join(payload, "class_id").select(*keys, "class_id", "label", "n", "payload")
     sorted_groups = full.repartition(*keys).sortWithinPartitions(*keys)
     n_keys = len(keys)
-    return map_rows(sorted_groups, lambda rows: groups_of(rows, n_keys, compare), GROUP_SCHEMA)
+    return map_rows(sorted_groups, lambda rows: groups_of(read(rows), n_keys, compare), GROUP_SCHEMA)
 
 
 def as_links(groups: DataFrame) -> DataFrame:
@@ -403,11 +410,11 @@ def divided(rows: DataFrame, share: int, weight: str) -> tuple[DataFrame, list[s
     return side_a.select(*columns).unionByName(side_b.select(*columns)), key
 
 
-def first_round(shared: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
+def first_round(shared: DataFrame, short: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
     """Links in one block per class: that of its first shared shingle.
 
     A heavy block is divided by hash; the class with the least id is in each part, so parts of a
-    group of copies meet in it.
+    group of copies meet in it. Only the texts of classes whose prefixes let them be linked are read.
     """
     one = written(shared.groupBy("class_id", "n").agg(F.min("shingle").alias("block")), "round_one")
     blocks = one.groupBy("block").agg(
@@ -418,8 +425,11 @@ def first_round(shared: DataFrame, texts: DataFrame, k: int, share: int) -> Data
     leaders = blocks.where("parts > 1").select(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "leader.*"
     )
-    members = rows.unionByName(leaders).withColumn("label", F.col("class_id"))
-    return as_links(traversed(members, ["block", "part"], texts, lambda rows: compare_texts(rows, k, share)))
+    members = written(rows.unionByName(leaders).withColumn("label", F.col("class_id")), "members_one")
+    bits = short.select("class_id", F.col("bits").alias("payload"))
+    met = written(traversed(members, ["block", "part"], bits, lambda rows: compare_prefixes(rows, share)), "near_one")
+    members = met.join(one.select("class_id", "n"), "class_id").withColumn("label", F.col("class_id"))
+    return as_links(traversed(members, ["found", "least"], texts, lambda rows: compare_texts(rows, k, share)))
 
 
 def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
@@ -450,8 +460,8 @@ def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts:
     met = written(traversed(members, key, bits, lambda rows: compare_prefixes(rows, share)), "met_by_bits")
     known = written(labelled.select("class_id", "n", "label").distinct(), "known")
     members = written(once(met).join(known, "class_id").select("found", "least", "class_id", "label", "n"), "met_once")
-    parts = short.select("class_id", F.col("part").alias("payload"))
-    near = traversed(members, ["found", "least"], parts, lambda rows: compare_parts(rows, share))
+    parts = short.select("class_id", F.col("shingles").alias("payload"))
+    near = traversed(members, ["found", "least"], parts, lambda rows: compare_parts(rows, share), packed)
     clusters = components(written(as_links(near), "near"))
     rows = clusters.join(known, F.col("node") == F.col("class_id")).select(F.col("component").alias("block"), "class_id", "n", "label")
     members, key = divided(rows, share, "n")
@@ -484,7 +494,7 @@ def join(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
     met = written(met.select("shingle"), "met")
     shared = written(rows.join(met, "shingle").select("shingle", "class_id", "n", "place"), "shared")
     texts = docs.select(F.col("doc_id").alias("class_id"), F.col("text").alias("payload"))
-    links = written(first_round(shared, texts, k, share), "links_one")
+    links = written(first_round(shared, short, texts, k, share), "links_one")
     groups = components(links)
     more = written(second_round(shared, groups, short, texts, k, share), "links_two")
     groups = components(links.unionByName(more))

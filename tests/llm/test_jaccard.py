@@ -80,6 +80,25 @@ def test_texts_are_shuffled_when_there_are_many_ids(spark, monkeypatch):
     assert found(jaccard.join(documents(spark, rows), 4, 85)) == brute(rows, 4, 85)
 
 
+def test_only_texts_that_may_be_linked_are_sent(spark, monkeypatch):
+    """Classes that share a block, but little more, are told apart by the bitmaps of their prefixes."""
+    sent = []
+
+    def noted(members, keys, payload, *compare):
+        if payload.schema["payload"].dataType.simpleString() == "string":
+            sent.append(members.select("class_id").distinct().count())
+        return traversed(members, keys, payload, *compare)
+
+    traversed = jaccard.traversed
+    monkeypatch.setattr(jaccard, "traversed", noted)
+    # One passage in all texts; without a list of frequent shingles some of it is among the first of many texts.
+    monkeypatch.setattr(jaccard, "SEEN_TOGETHER", 10**6)
+    passage = prose(7, 30)
+    rows = [(n, prose(1000 + n, 250) + " " + passage) for n in range(40)] + [(40, prose(1003, 250) + " once " + passage)]
+    assert found(jaccard.join(documents(spark, rows), 4, 85)) == brute(rows, 4, 85)
+    assert sent[0] == 2 and sum(sent) <= 4
+
+
 def test_query_by_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in table(spark, sf, "documents").collect()]
@@ -140,3 +159,16 @@ def test_components_of_a_long_chain(spark):
     random.Random(1).shuffle(chain)
     out = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert out == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_bits_of_a_prefix_are_spread(spark):
+    """The least hashes of a set begin alike; their bitmap still tells prefixes apart, and a prefix is stored once."""
+    rows = [(n, " ".join(f"x{n}y{i}" for i in range(300))) for n in range(2)]
+    short = jaccard.prefixes(documents(spark, rows), 4, 85, np.empty(0, dtype=np.int64))
+    assert short.columns == ["doc_id", "n", "shingles", "bits"]
+    kept = [(r["doc_id"], r["doc_id"], r["n"], r["bits"]) for r in short.orderBy("doc_id").collect()]
+    assert np.bitwise_count(np.frombuffer(kept[0][3], dtype=np.uint64)).sum() > 35
+    ids, groups = jaccard.compare_prefixes(kept, 85)
+    assert groups.root(0) != groups.root(1)
+    part = short.first()["shingles"]
+    assert list(jaccard.packed(iter([(1, 2, part[::-1])]))) == [(1, 2, np.array(sorted(part)).tobytes())]
