@@ -18,11 +18,15 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from math import inf
 
 import ahocorasick
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -30,8 +34,11 @@ from .tables import map_rows
 
 # Stands for the word-end mark; it is not in the byte alphabet.
 END = "\ue000"
-# Entries a worker keeps of words already encoded. Beyond it the memory is emptied, not the result.
-WORDS_KEPT = 100_000
+# Entries a worker keeps of words already encoded, and of borders already judged. Beyond it the memory is emptied, not
+# the result. Several workers share an executor with its heap, so ids are kept packed and a border as one number.
+WORDS_KEPT = 70_000
+BORDERS_KEPT = 100_000
+JOINED_AT_ONCE = 1 << 20
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 TOKENS_SCHEMA = "doc_id long, ids array<int>, decoded string"
@@ -52,36 +59,41 @@ class WordBpe:
             spec = json.load(file)
         model = spec["model"]
         mark = model["end_of_word_suffix"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.text_of = {i: s for s, i in model["vocab"].items()} | {i: s for s, i in self.special.items()}
+        ids = model["vocab"]
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = {s: packed([i]) for s, i in special.items()}
         self.bytes = byte_alphabet()
-        self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.split_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
         def inner(token: str) -> str:
             return token[: -len(mark)] + END if token.endswith(mark) and token != mark else token
 
+        # Per token id: its text, its two halves, and the rank of the merge that makes it (-1: none).
+        self.size = max(*ids.values(), *special.values(), -1) + 1
+        texts = [""] * self.size
+        self.left, self.right, self.made = (array("i", [-1]) * self.size for _ in range(3))
+        for string, i in [*ids.items(), *special.items()]:
+            texts[i] = string
+        self.texts, self.decimals = pa.array(texts, pa.string()), pa.array(map(str, range(self.size)), pa.string())
+
         # A merge's rank orders creation; characters of the alphabet are there from the start.
-        self.rank: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.made: dict[int, int] = {}
-        ids = model["vocab"]
+        self.rank: dict[int, int] = {}
         for rank, (left, right) in enumerate(model["merges"]):
             token = ids[left + right]
-            self.rank[ids[left], ids[right]] = rank
-            if token not in self.parts:
-                self.parts[token] = ids[left], ids[right]
-                self.made[token] = rank
-        self.fits = lru_cache(maxsize=1 << 18)(self._fits)
+            self.rank[ids[left] * self.size + ids[right]] = rank
+            if self.made[token] < 0:
+                self.left[token], self.right[token], self.made[token] = ids[left], ids[right], rank
+        banned = self._unreachable()
         self.matches = ahocorasick.Automaton()
-        self.lengths: dict[int, int] = {}
-        everything = {i: inner(s) for s, i in ids.items()}
-        for token, string in everything.items():
-            self.lengths[token] = len(string)
-            self.matches.add_word(string, token)
+        self.lengths = [0] * self.size
+        for string, i in ids.items():
+            self.lengths[i] = len(inner(string))
+            if i not in banned:
+                self.matches.add_word(inner(string), i)
         self.matches.make_automaton()
-        self.banned = self._unreachable()
-        self.words: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.borders: dict[int, bool] = {}
 
     def _fits(self, left: int, right: int, until: float = inf) -> bool:
         """Do the merge rules leave the border between two neighbouring tokens alone?
@@ -92,17 +104,24 @@ class WordBpe:
         ``until`` is the rank at which the run ends.
         """
         while True:
-            across = self.rank.get((left, right))
+            across = self.rank.get(left * self.size + right)
             if across is not None and across < until:
                 return False
-            left_made, right_made = self.made.get(left, -1), self.made.get(right, -1)
+            left_made, right_made = self.made[left], self.made[right]
             if left_made > right_made:
-                until, left = left_made, self.parts[left][1]
+                until, left = left_made, self.right[left]
             elif right_made >= 0:
-                until, right = right_made + 1, self.parts[right][0]
+                until, right = right_made + 1, self.left[right]
             else:
                 return True
 
+    def fits(self, left: int, right: int) -> bool:
+        """:meth:`_fits` of a whole run, remembered."""
+        if len(self.borders) >= BORDERS_KEPT:
+            self.borders.clear()
+        found = self.borders[left * self.size + right] = self._fits(left, right)
+        return found
+
     def _unreachable(self) -> set[int]:
         """Tokens the merge rules never make, not even of their own text.
 
@@ -110,9 +129,9 @@ class WordBpe:
         merges leave side by side.
         """
         out: set[int] = set()
-        for token, (left, right) in sorted(self.parts.items(), key=lambda x: self.made[x[0]]):
-            rank = self.made[token]
-            early = self.made.get(left, -1) < rank and self.made.get(right, -1) < rank
+        for token in sorted((i for i in range(self.size) if self.made[i] >= 0), key=self.made.__getitem__):
+            left, right, rank = self.left[token], self.right[token], self.made[token]
+            early = self.made[left] < rank and self.made[right] < rank
             if not early or left in out or right in out or not self._fits(left, right, rank):
                 out.add(token)
         return out
@@ -122,26 +141,33 @@ class WordBpe:
         string = word + END
         size = len(string)
         last = [-1] * (size + 1)
-        fits, lengths, banned = self.fits, self.lengths, self.banned
+        lengths, borders, tokens = self.lengths, self.borders, self.size
         for at, token in self.matches.iter(string):
             end = at + 1
-            start = end - lengths[token]
-            if last[end] >= 0 or token in banned:
+            if last[end] >= 0:
                 continue
-            if start == 0 or (last[start] >= 0 and fits(last[start], token)):
-                last[end] = token
+            start = end - lengths[token]
+            if start:
+                left = last[start]
+                if left < 0:
+                    continue
+                fits = borders.get(left * tokens + token)
+                if not (self.fits(left, token) if fits is None else fits):
+                    continue
+            last[end] = token
         ids = []
         while size:
+            if last[size] < 0:
+                raise KeyError(f"no tokens for {word!r}")
             ids.append(last[size])
             size -= lengths[last[size]]
         return ids[::-1]
 
-    def word(self, word: str) -> tuple[int, str, str]:
-        """Number of ids, the ids and the token texts of a pre-token, both joined by spaces."""
+    def word(self, word: str) -> bytes:
+        """The packed ids of a pre-token."""
         found = self.older.get(word)
         if found is None:
-            ids = self.word_ids("".join(map(self.bytes.__getitem__, word.encode())))
-            found = len(ids), " ".join(map(str, ids)), " ".join(map(self.text_of.__getitem__, ids))
+            found = packed(self.word_ids("".join(map(self.bytes.__getitem__, word.encode()))))
         if len(self.words) >= WORDS_KEPT:
             # The words before are still known for one more turn, so those in use are never computed anew all at once.
             self.older = self.words.copy()
@@ -150,27 +176,38 @@ class WordBpe:
             self.words[word] = found
         return found
 
-    def pieces(self, text: str) -> Iterator[tuple[int, str, str]]:
-        known = self.words
+    def ids(self, text: str) -> np.ndarray:
+        """All ids of a text."""
+        known, pieces = self.words.get, []
         for part in self.split_special.split(text) if self.split_special else [text]:
             if part in self.special:
-                yield 1, str(self.special[part]), part
-                continue
-            for word in words(part):
-                yield known.get(word) or self.word(word)
+                pieces.append(self.special[part])
+            else:
+                pieces += [known(word) or self.word(word) for word in words(part)]
+        return np.frombuffer(b"".join(pieces), dtype=np.int32)
 
     def forget(self) -> None:
-        """Drop the words and pairs known so far."""
+        """Drop the words and borders known so far."""
         self.words.clear()
         self.older.clear()
-        self.fits.cache_clear()
+        self.borders.clear()
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split()]
+        return self.ids(text).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """Token texts joined by one space: this vocabulary comes without a decoder rule."""
-        return " ".join(self.text_of[i] for i in ids)
+        return joined(self.texts, ids)
+
+
+def packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+def joined(strings: pa.StringArray, ids: list[int] | np.ndarray) -> str:
+    """The strings at these places, joined by one space; JOINED_AT_ONCE of them are Arrow's at a time."""
+    parts = (strings.take(pa.array(ids[i : i + JOINED_AT_ONCE], pa.int32())) for i in range(0, len(ids), JOINED_AT_ONCE))
+    return " ".join([pc.binary_join(pa.ListArray.from_arrays([0, len(p)], p), " ")[0].as_py() for p in parts])
 
 
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
@@ -198,13 +235,13 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     Rows are independent: repeated rows, null ids and ties need no rule, an empty table gives
     an empty one, and other columns of the input are not read.
     """
-    return map_rows(docs.select("doc_id", "text"), partial(_encode_rows, path=path), TOKENS_SCHEMA, at_once=500)
+    return map_rows(docs.select("doc_id", "text"), partial(_encode_rows, path=path), TOKENS_SCHEMA, at_once=200)
 
 
 def _encode_rows(rows: Iterator[tuple], path: str) -> Iterator[tuple]:
     bpe = tokenizer(path)
     for doc_id, text in rows:
-        ids = bpe.encode(text or "")
+        ids = bpe.ids(text or "")
         yield doc_id, ids, bpe.decode(ids)
     # Rows with all their ids need the room; the next task learns its words anew.
     bpe.forget()
@@ -222,7 +259,6 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
 def _digest_rows(rows: Iterator[tuple], path: str) -> Iterator[tuple]:
     bpe = tokenizer(path)
     for doc_id, text in rows:
-        found = list(bpe.pieces(text or ""))
-        ids = " ".join([f[1] for f in found]).encode()
-        decoded = " ".join([f[2] for f in found]).encode()
-        yield doc_id, sum([f[0] for f in found]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        ids = bpe.ids(text or "")
+        decimals, decoded = joined(bpe.decimals, ids).encode(), bpe.decode(ids).encode()
+        yield doc_id, len(ids), hashlib.sha256(decimals).hexdigest(), hashlib.sha256(decoded).hexdigest()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -17,6 +18,8 @@ SENT_IDS = 1_000_000
 # Rows and bytes that a worker turns into Python objects, or holds as such, at a time.
 SLICE = 256
 HELD_BYTES = 8 << 20
+# Bytes of a batch from Spark to Python. Larger ones come and go outside the heap, where the allocator keeps their room.
+SENT_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,9 +94,9 @@ def map_rows(
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let batches between Spark and Python end at HELD_BYTES; both sides hold some of them, and buffers for them."""
-    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) > HELD_BYTES:
-        spark.conf.set(BATCH_BYTES, str(HELD_BYTES))
+    """Let batches from Spark to Python end at SENT_BYTES; both sides hold some of them, and buffers for them."""
+    if int(spark.conf.get(BATCH_BYTES).rstrip("b")) > SENT_BYTES:
+        spark.conf.set(BATCH_BYTES, str(SENT_BYTES))
 
 
 def give_back() -> None:
@@ -113,6 +116,8 @@ ELEMENT_BYTES = 32
 def bytes_of(value: object) -> int:
     if isinstance(value, (str, bytes)):
         return len(value)
+    if isinstance(value, np.ndarray):
+        return value.nbytes
     return len(value) * ELEMENT_BYTES if isinstance(value, list) else 0
 
 

@@ -1,10 +1,12 @@
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 from samples import documents, odd_documents
 from tokenizers import Tokenizer
 
-from paytide.llm import bpe
+from paytide.llm import bpe, tables
 from paytide.llm.queries import REGISTRY, TOKENIZER
 from paytide.llm.tables import table
 
@@ -58,3 +60,29 @@ def test_odd_rows(spark):
     assert len(out) == 12
     assert all(r["ids"] == [] and r["decoded"] == "" for r in out if r["doc_id"] in (1, 2, 3))
     assert bpe.encode_digests(documents(spark, []), TOKENIZER).count() == 0
+
+
+def test_memory_of_words_and_borders_is_small():
+    """Several workers share an executor: two full generations of words and all borders, about 20 and 10 MB."""
+    rnd, own = random.Random(3), bpe.WordBpe(TOKENIZER)
+    tracemalloc.start()
+    for _ in range(2_000):
+        own.ids(" ".join("".join(rnd.choices("etaoinshr", k=rnd.randint(4, 12))) for _ in range(100)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(own.words) + len(own.older) > 100_000 and len(own.borders) <= bpe.BORDERS_KEPT
+    assert held < 40 << 20
+    own.forget()
+    assert not own.words and not own.older and not own.borders
+
+
+def test_ids_are_held_packed():
+    ids = [r[1] for r in bpe._encode_rows(iter([(1, "some text, 1 2 3"), (2, None)]), TOKENIZER)]
+    assert [i.dtype for i in ids] == [np.int32] * 2 and tables.bytes_of(ids[0]) == 4 * len(ids[0]) and not len(ids[1])
+
+
+def test_long_texts_are_joined_in_blocks(monkeypatch):
+    own = bpe.tokenizer(TOKENIZER)
+    want = [own.decode(own.encode(t)) for t in TRICKY]
+    monkeypatch.setattr(bpe, "JOINED_AT_ONCE", 2)
+    assert [own.decode(own.encode(t)) for t in TRICKY] == want

@@ -48,3 +48,14 @@ def test_a_filter_calls_it_once(spark):
     df = spark.createDataFrame([("a",), ("b",)], "text string")
     df = df.withColumn("new", tables.map_text(df, "text", count))
     assert df.where("new <> 'c'").select("new").count() == 2 and calls.value == 2
+
+
+def test_batches_to_python_end_by_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["n"])
+
+    long = spark.range(40, numPartitions=1).select(F.repeat(F.lit("x"), 500_000).alias("text"))
+    tables.map_rows(long, lambda rows: rows, "text string")
+    found = [r["n"] for r in long.mapInArrow(sizes, "n long").collect()]
+    assert len(found) > 5 and max(found) <= 3 << 20
