@@ -86,3 +86,42 @@ def test_long_texts_are_joined_in_blocks(monkeypatch):
     want = [own.decode(own.encode(t)) for t in TRICKY]
     monkeypatch.setattr(bpe, "JOINED_AT_ONCE", 2)
     assert [own.decode(own.encode(t)) for t in TRICKY] == want
+
+
+def test_new_words_are_encoded_together(monkeypatch):
+    """A call in Python per new word took most of the time."""
+    library = Tokenizer.from_file(TOKENIZER)
+    rows = [(i, t) for i, t in enumerate(t for t in texts() if max(map(len, bpe.words(t)), default=0) <= bpe.LONG_WORD)]
+    calls = []
+    alone = bpe.WordBpe.word_ids
+    monkeypatch.setattr(bpe.WordBpe, "word_ids", lambda own, word: calls.append(word) or alone(own, word))
+    bpe.tokenizer.cache_clear()
+    found = list(bpe._digest_rows(iter(rows), TOKENIZER))
+    assert len(rows) > 2_000 and not calls
+    for (doc_id, text), row in zip(rows, found, strict=True):
+        ids = library.encode(text, add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        digests = [hashlib.sha256(part.encode()).hexdigest() for part in (" ".join(map(str, ids)), decoded)]
+        assert row == (doc_id, len(ids), *digests), text
+
+
+def test_together_or_alone_is_the_same(monkeypatch):
+    own = bpe.WordBpe(TOKENIZER)
+    new = sorted({w for t in texts() for w in bpe.words(t)})
+    alone = [bpe.packed(own.word_ids("".join(own.bytes[b] for b in w.encode()))) for w in new]
+    assert own.new_ids(new) == alone
+    # Next to nothing is remembered, and little is done at once.
+    few = {"JUDGED_BITS": 1, "WORDS_KEPT": 5, "WORDS_AT_ONCE": 3, "TEXT_AT_ONCE": 400, "NEW_AT_ONCE": 9}
+    for name, value in few.items():
+        monkeypatch.setattr(bpe, name, value)
+    little = bpe.WordBpe(TOKENIZER)
+    assert little.new_ids(new) == alone
+    want = [own.encode(t) for t in texts()[:300]]
+    assert [ids.tolist() for _, ids in little.rows_ids(iter(enumerate(texts()[:300])))] == want
+
+
+def test_a_word_written_as_a_special_token_is_not_one():
+    own = bpe.WordBpe(TOKENIZER)
+    own.special["\ncat"] = bpe.packed([7])
+    own.split_special = bpe.re.compile("(cat)")
+    assert own.encode("cat") == [7] and own.encode("Cat") == bpe.WordBpe(TOKENIZER).encode("cat")
