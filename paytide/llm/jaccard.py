@@ -287,7 +287,7 @@ def compare_texts(rows: list[tuple], k: int, share: int) -> tuple[list[int], Gro
 
 
 def compare_parts(rows: list[tuple], share: int) -> tuple[list[int], Groups]:
-    """Groups by possible links of records (class_id, label, n, sorted prefix)."""
+    """Groups by possible links of records (class_id, label, n, sorted prefix); its shingles may be shortened, and two then be equal."""
     return compare_sets([(i, label, n, np.frombuffer(raw, dtype=np.int64)) for i, label, n, raw in rows], share)
 
 
@@ -460,7 +460,8 @@ def second_round(shared: DataFrame, groups: DataFrame, short: DataFrame, texts:
     met = written(traversed(members, key, bits, lambda rows: compare_prefixes(rows, share)), "met_by_bits")
     known = written(labelled.select("class_id", "n", "label").distinct(), "known")
     members = written(once(met).join(known, "class_id").select("found", "least", "class_id", "label", "n"), "met_once")
-    parts = short.select("class_id", F.col("shingles").alias("payload"))
+    # Half of each hash is enough here: shingles that are taken for one only make a link look possible.
+    parts = short.select("class_id", F.transform("shingles", lambda s: s.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("payload"))
     near = traversed(members, ["found", "least"], parts, lambda rows: compare_parts(rows, share), packed)
     clusters = components(written(as_links(near), "near"))
     rows = clusters.join(known, F.col("node") == F.col("class_id")).select(F.col("component").alias("block"), "class_id", "n", "label")

@@ -20,6 +20,7 @@ SLICE = 256
 HELD_BYTES = 8 << 20
 # Bytes of a batch from Spark to Python. Larger ones come and go outside the heap, where the allocator keeps their room.
 SENT_BYTES = 2 << 20
+DROP_SHUFFLED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,12 +30,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Store an intermediate table in the shared folder and read it back: lineage ends there.
 
-    What was shuffled for it is of no use any more. Spark removes such files when the driver's objects for them are
-    collected, which may take half an hour while the disks fill, so that is asked for.
+    What was shuffled for it is of no use any more, and Spark is told to remove it at the end of the write. Files of
+    other actions, and those that a Spark before 4.1 leaves, go when the driver's objects for them are collected, which
+    may take half an hour while the disks fill, so that is asked for.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLED, None)
+    spark.conf.set(DROP_SHUFFLED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLED)
+        else:
+            spark.conf.set(DROP_SHUFFLED, before)
     spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

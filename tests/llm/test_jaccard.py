@@ -172,3 +172,35 @@ def test_bits_of_a_prefix_are_spread(spark):
     assert groups.root(0) != groups.root(1)
     part = short.first()["shingles"]
     assert list(jaccard.packed(iter([(1, 2, part[::-1])]))) == [(1, 2, np.array(sorted(part)).tobytes())]
+
+
+def test_prefixes_are_compared_by_half_of_each_hash(spark, monkeypatch):
+    """Of prefixes four bytes a shingle are sent; links around the threshold are all found."""
+    sent = []
+
+    def noted(members, keys, payload, *compare):
+        sent.append(payload.schema["payload"].dataType.simpleString())
+        return traversed(members, keys, payload, *compare)
+
+    traversed = jaccard.traversed
+    monkeypatch.setattr(jaccard, "traversed", noted)
+    rows = families(8)
+    assert found(jaccard.join(documents(spark, rows), 4, 85)) == brute(rows, 4, 85)
+    assert "array<int>" in sent and "array<bigint>" not in sent
+
+
+def test_shortened_prefixes_never_lose_a_link():
+    """Also when different shingles become equal, in one set or in both."""
+    rnd = np.random.default_rng(9)
+    met = 0
+    for _ in range(300):
+        whole = np.unique(rnd.integers(-(2**63), 2**63 - 1, 400))
+        sets = [np.sort(rnd.choice(whole, rnd.integers(200, 390), replace=False)) for _ in range(2)]
+        if jaccard.linked(*sets, *map(len, sets), 50):
+            met += 1
+            parts = [s[: len(s) - jaccard.needed(len(s), 50) + 1] for s in sets]
+            # Seven bits of a hash: most of a large prefix's shingles are taken for others.
+            short = [(i, i, len(s), (p & 127).tolist()) for i, (s, p) in enumerate(zip(sets, parts))]
+            ids, groups = jaccard.compare_parts(list(jaccard.packed(iter(short))), 50)
+            assert groups.root(0) == groups.root(1)
+    assert met > 20

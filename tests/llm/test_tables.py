@@ -1,3 +1,7 @@
+import time
+from glob import glob
+from types import SimpleNamespace
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -59,3 +63,22 @@ def test_batches_to_python_end_by_bytes(spark):
     tables.map_rows(long, lambda rows: rows, "text string")
     found = [r["n"] for r in long.mapInArrow(sizes, "n long").collect()]
     assert len(found) > 5 and max(found) <= 3 << 20
+
+
+def test_shuffle_files_of_a_stored_table_go_at_once(spark):
+    """Without waiting for the driver to collect its garbage, which may come after the next table's shuffle."""
+    places = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {f for place in places for f in glob(f"{place}/**/shuffle_*", recursive=True)}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    asked = spark.conf.get(setting, None)
+    df = spark.range(20_000).groupBy(F.xxhash64("id").alias("k")).count()
+    no_gc = SimpleNamespace(System=SimpleNamespace(gc=lambda: None))
+    session = SimpleNamespace(conf=spark.conf, read=spark.read, sparkContext=spark.sparkContext, _jvm=no_gc)
+    before = files()
+    out = tables.written(SimpleNamespace(sparkSession=session, write=df.write, schema=df.schema), "grouped")
+    until = time.monotonic() + 10
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert out.count() == 20_000
+    assert spark.conf.get(setting, None) == asked
